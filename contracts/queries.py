@@ -42,6 +42,11 @@ def _written(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **kw)
     return path, read_written(spark, path, df.schema, partition_by)
 
 
+def _all_tasks(spark: SparkSession) -> LoadSpec:
+    """For tables of thousands of small partitions: every core writes a share of them."""
+    return LoadSpec(write_partitions=spark.sparkContext.defaultParallelism)
+
+
 def _by_day(spark: SparkSession, sf: str, name: str, *columns: str) -> tuple[str, DataFrame]:
     return _written(_events_by(spark, sf, "dt", "yyyyMMdd", *columns), name, ("dt",))
 
@@ -231,7 +236,7 @@ def partition_key_allowlist(spark, sf):
 def derive_partition(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("last_update_time"))
     rows, parts = derive_pt(orders)
-    return _written(rows, "derive_pt", tuple(parts))[1]
+    return _written(rows, "derive_pt", tuple(parts), load=_all_tasks(spark))[1]
 
 
 # --- filters and dates -----------------------------------------------------------------------
@@ -259,7 +264,8 @@ def hour_to_day_filter(spark, sf):
 
 
 def hour_range_export(spark, sf):
-    events = _written(_events_by(spark, sf, "dh", "yyyyMMddHH", "event_id"), "by_hour", ("dh",))[1]
+    by_hour = _events_by(spark, sf, "dh", "yyyyMMddHH", "event_id")
+    events = _written(by_hour, "by_hour", ("dh",), load=_all_tasks(spark))[1]
     hours = HourRange("2024010200", "2024010512", include_start=False, include_end=False)
     path = export_hour_range(events, fresh_path(spark, "hour_range"), ["dh"], hours)
     return read_written(spark, path, events.schema, ["dh"])
@@ -389,7 +395,7 @@ def route_maxcompute_to_hive(spark, sf):
 
 def route_mysql_to_hive(spark, sf):
     df = table(spark, sf, "orders").withColumnRenamed("o_orderdate", "last_update_time")
-    path = mysql_to_hive(df, t.ORDERS_UPDATED_MYSQL, _destination(spark, "mysql_hive"))
+    path = mysql_to_hive(df, t.ORDERS_UPDATED_MYSQL, _destination(spark, "mysql_hive"), load=_all_tasks(spark))
     schema = conform(df, t.ORDERS_UPDATED_MYSQL, "hive").schema
     return read_written(spark, path, schema, ["pt"])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,13 +15,23 @@ from tableferry.session import adaptive
 MAX_BUCKET_SKEW = 3.0
 
 
-def spread(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
+def _row_hash(df: DataFrame, skip: Sequence[str] = ()) -> Column:
+    """A hash that cuts a run of rows with equal sort values; the same on every attempt of a task."""
+    return F.xxhash64(*[f"`{f.name}`" for f in df.schema.fields
+                        if f.name not in skip and not isinstance(f.dataType, (T.MapType, T.VariantType))])
+
+
+def spread(df: DataFrame, partition_columns: Sequence[str], tasks: int | None = None) -> DataFrame:
     """Bring the rows of a partition together without making a large partition one task.
 
     The rebalance hint shuffles by the partition columns, then cuts each large partition and joins
-    small ones by their measured size.  Without adaptive execution that measure is missing; the
-    tasks then write the partitions they hold, unshuffled.
+    small ones by their measured size.  That measure is bytes, so a small table of very many
+    partitions would be written by one task; ``tasks`` shares it out by ranges instead, at the price
+    of a sampling pass over the input.  Without adaptive execution nothing is measured; the tasks
+    then write the partitions they hold, unshuffled.
     """
+    if tasks:
+        return df.repartitionByRange(tasks, *partition_columns, _row_hash(df, partition_columns))
     return df.hint("rebalance", *partition_columns) if adaptive(df.sparkSession) else df
 
 
@@ -54,8 +64,7 @@ def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | N
                   .sortBy(*(sort_keys or [dist_key])))
         layout = "bucketed"
     elif order := list(sort_keys) or ([dist_key] if dist_key else []):
-        hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-        writer = df.repartitionByRange(*order, F.xxhash64(*hashed)).sortWithinPartitions(*order).write
+        writer = df.repartitionByRange(*order, _row_hash(df)).sortWithinPartitions(*order).write
         layout = "sorted"
     else:
         writer = df.write

@@ -65,11 +65,11 @@ def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: st
 
 
 def mysql_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, where: str | Column = NO_FILTER,
-                  pt: str | None = None, on_loss: str = "fail") -> str:
+                  pt: str | None = None, on_loss: str = "fail", load: LoadSpec = LoadSpec()) -> str:
     """MySQL to Hive, partitioned by ``pt`` where the table has an update time, whole otherwise."""
     dated, parts = derive_pt(matching(df, where), pt)
     rows = conform(dated, spec, "hive", on_loss=on_loss, keep=parts)
-    path = write_files(rows, dest.path(spec), mode="overwrite", partition_by=parts)
+    path = write_files(rows, dest.path(spec), mode=load.mode, partition_by=parts, load=load)
     return _finish(df.sparkSession, dest, spec, path, rows, parts)
 
 

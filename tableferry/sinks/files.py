@@ -13,17 +13,16 @@ from tableferry.specs import LoadSpec
 
 FORMATS = ("parquet", "orc", "json", "csv")
 
-# What makes a format read back as it was written.
+# What makes a format read back as it was written; text formats would drop the microseconds.
+_MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 _WRITE_OPTIONS = {
     "parquet": {"compression": "snappy"},
     "orc": {"compression": "snappy"},
-    "json": {"compression": "gzip", "ignoreNullFields": "true"},
-    "csv": {"compression": "gzip", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"},
-}
-_READ_OPTIONS = {
-    "json": {},
-    "csv": {"escape": '"', "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"},
+    "json": _MICROS,
+    "csv": _MICROS | {"escape": '"'},
 }
+# A quoted line end belongs to its value; such files are read whole, so use Parquet for large ones.
+_READ_OPTIONS = {"json": _MICROS, "csv": _MICROS | {"escape": '"', "multiLine": "true"}}
 
 
 def table_path(root: str, database: str, table: str) -> str:
@@ -37,12 +36,13 @@ def write_files(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
 
     ``partition_by`` shuffles once by the partition columns (see ``spread``); ``clustered`` says
     that the input already lies in files per partition, as after reading a partitioned table, and
-    saves that shuffle.  Otherwise each task writes what it read, at the parallelism of ``load``.
+    saves that shuffle.  An unpartitioned table is written by the tasks that read it, or at the
+    parallelism ``load`` asks for.
     """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
     if partition_by and not clustered:
-        df = spread(df, partition_by)
+        df = spread(df, partition_by, load.write_partitions)
     elif not partition_by:
         df = output_partitions(df, load.read_partitions, load.write_partitions)
     writer = df.write.format(fmt).mode(mode).options(**(_WRITE_OPTIONS[fmt] | options))
