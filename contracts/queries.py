@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contracts import tables as t
 from contracts.tables import table
 from tableferry.functions.dates import (HourRange, date_between, date_literal, date_shift, day_of, day_series,
-                                        hour_filter)
+                                        hour_filter, hour_of)
 from tableferry.operators.audit import duplicate_keys, narrowing, varchar_fit, varchar_limits
 from tableferry.operators.conform import (REJECTED, conform, conform_or_reject, derive_pt, json_to_variant,
                                           keep_partition_keys, native_then_partition, variant_field)
@@ -30,9 +31,9 @@ from tableferry.sources.jdbc import split_sizes
 from tableferry.specs import IncrementalSpec, LoadSpec, TableSpec
 
 
-def _events_by(spark: SparkSession, sf: str, name: str, pattern: str, *columns: str) -> DataFrame:
+def _events_by(spark: SparkSession, sf: str, name: str, part: Callable[[str], Column], *columns: str) -> DataFrame:
     """Events with a text partition column made from the event time."""
-    return table(spark, sf, "events").select(*(columns or ("*",)), F.date_format("ts", pattern).alias(name))
+    return table(spark, sf, "events").select(*(columns or ("*",)), part("ts").alias(name))
 
 
 def _written(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **kw) -> tuple[str, DataFrame]:
@@ -48,7 +49,7 @@ def _all_tasks(spark: SparkSession) -> LoadSpec:
 
 
 def _by_day(spark: SparkSession, sf: str, name: str, *columns: str) -> tuple[str, DataFrame]:
-    return _written(_events_by(spark, sf, "dt", "yyyyMMdd", *columns), name, ("dt",))
+    return _written(_events_by(spark, sf, "dt", day_of, *columns), name, ("dt",))
 
 
 def _counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
@@ -108,7 +109,7 @@ def export_partitioned(spark, sf):
 
 def dynamic_partition_overwrite(spark, sf):
     path, written = _by_day(spark, sf, "dynamic_overwrite", "event_id", "value")
-    doubled = _events_by(spark, sf, "dt", "yyyyMMdd", "event_id", (F.col("value") * 2).alias("value"))
+    doubled = _events_by(spark, sf, "dt", day_of, "event_id", (F.col("value") * 2).alias("value"))
     overwrite_partitions(doubled.where("dt = '20240105'"), path, ["dt"])
     return read_written(spark, path, written.schema, ["dt"])
 
@@ -129,7 +130,7 @@ def export_delimited_text(spark, sf):
 
 
 def partition_recovery(spark, sf):
-    events = _events_by(spark, sf, "dt", "yyyyMMdd")
+    events = _events_by(spark, sf, "dt", day_of)
     path, _ = _written(events.where(events.ts < "2024-01-11"), "recovery", ("dt",))
     name = register(spark, fresh_table(spark, "events"), path, events.schema, ["dt"])
     write_files(events.where(events.ts >= "2024-01-11"), path, mode="append", partition_by=["dt"])
@@ -228,7 +229,7 @@ def project_native_then_partition(spark, sf):
 
 
 def partition_key_allowlist(spark, sf):
-    events = _events_by(spark, sf, "ds", "yyyyMMdd", "event_id", "user_id", "value", "event_type")
+    events = _events_by(spark, sf, "ds", day_of, "event_id", "user_id", "value", "event_type")
     rows, parts = keep_partition_keys(events, ["ds", "event_type"])
     return _written(rows, "allowlist", tuple(parts))[1]
 
@@ -264,7 +265,7 @@ def hour_to_day_filter(spark, sf):
 
 
 def hour_range_export(spark, sf):
-    by_hour = _events_by(spark, sf, "dh", "yyyyMMddHH", "event_id")
+    by_hour = _events_by(spark, sf, "dh", hour_of, "event_id")
     events = _written(by_hour, "by_hour", ("dh",), load=_all_tasks(spark))[1]
     hours = HourRange("2024010200", "2024010512", include_start=False, include_end=False)
     path = export_hour_range(events, fresh_path(spark, "hour_range"), ["dh"], hours)
@@ -305,7 +306,7 @@ def retention_prune(spark, sf):
 
 
 def retention_drop(spark, sf):
-    events = _events_by(spark, sf, "dt", "yyyyMMdd", "event_id")
+    events = _events_by(spark, sf, "dt", day_of, "event_id")
     path, _ = _written(events, "retention", ("dt",))
     name = register(spark, fresh_table(spark, "events"), path, events.schema, ["dt"])
     drop_expired(spark, name, 7, "20240130")
@@ -340,7 +341,7 @@ def merge_touched_partitions(spark, sf):
     spec = TableSpec("events", "mysql", (t.C("event_id", "BIGINT"), t.C("dt", "CHAR", 8)),
                      primary_key=("event_id", "dt"), partition_columns=("dt",))
     name, root = fresh_table(spark, "events"), scratch_root(spark)
-    events = _events_by(spark, sf, "dt", "yyyyMMdd", "event_id", "value")
+    events = _events_by(spark, sf, "dt", day_of, "event_id", "value")
     load_table(events.where("dt <= '20240120'"), spec, name, root, LoadSpec())
     changed = events.withColumn("value", F.col("value") + 1)
     inc = IncrementalSpec("dt >= '20240118'", merge=True)
@@ -387,7 +388,7 @@ def route_hologres_to_warehouse(spark, sf):
 
 
 def route_maxcompute_to_hive(spark, sf):
-    df = _events_by(spark, sf, "ds", "yyyyMMdd")
+    df = _events_by(spark, sf, "ds", day_of)
     path = maxcompute_to_hive(df, t.EVENTS_MAXCOMPUTE, _destination(spark, "maxcompute"))
     schema = conform(df, t.EVENTS_MAXCOMPUTE, "hive").drop("event_type").schema
     return read_written(spark, path, schema, ["ds"])

@@ -47,8 +47,23 @@ def date_shift(value: Column | str, amount: int, unit: str) -> Column:
 
 
 def day_of(c: Column | str) -> Column:
-    """The day of a date or timestamp as text, e.g. 20240105."""
-    return F.date_format(c, DAY)
+    """The day of a date or timestamp as text, e.g. 20240105.
+
+    By way of the date: formatting a timestamp without time zone directly would move it through the
+    session time zone, where an hour may be missing.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.date_format(c.cast("date"), DAY)
+
+
+def hour_of(c: Column | str) -> Column:
+    """The hour of a timestamp as text, e.g. 2024010510."""
+    return F.concat(day_of(c), F.lpad(F.hour(c).cast("string"), 2, "0"))
+
+
+def month_of(c: Column | str) -> Column:
+    """The month of a date or timestamp as text, e.g. 202401."""
+    return F.substring(day_of(c), 1, 6)
 
 
 @dataclass(frozen=True)
@@ -128,7 +143,7 @@ def day_series(bounds: DataFrame, first: str = "first", last: str = "last", name
     """
     start, end = F.col(first).cast("date"), F.col(last).cast("date")
     days = bounds.select(F.explode(F.sequence(start, F.greatest(start, end))).alias(name))
-    return days.select(F.date_format(name, DAY).alias(name))
+    return days.select(day_of(name).alias(name))
 
 
 def literal_day_series(spark: SparkSession, first: str, last: str, name: str = "day") -> DataFrame:

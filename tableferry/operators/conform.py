@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.casts import convert, is_noop, lost, try_convert
-from tableferry.functions.dates import DAY
+from tableferry.functions.dates import day_of
 from tableferry.functions.typemaps import Target, resolve, target_type
 from tableferry.specs import SourceColumn, TableSpec
 
@@ -155,7 +155,7 @@ def derive_pt(df: DataFrame, value: str | None = None, column: str = UPDATE_TIME
     f = _fields(df).get(column)
     if f is None:
         return df, []
-    return df.withColumn(name, F.lit(value) if value else F.date_format(_physical(f), DAY)), [name]
+    return df.withColumn(name, F.lit(value) if value else day_of(_physical(f))), [name]
 
 
 def json_to_variant(df: DataFrame, *columns: str) -> DataFrame:

@@ -12,6 +12,10 @@ from tableferry.operators.audit import duplicate_keys
 from tableferry.specs import IncrementalSpec
 
 
+# Partition values sent to the driver to make a filter of; a merge touching more uses a join.
+MAX_LISTED_PARTITIONS = 1000
+
+
 class DuplicateKeys(ValueError):
     """The staged rows hold a merge key twice and nothing says which row is the newer one."""
 
@@ -74,19 +78,43 @@ def merge(target: DataFrame, staging: DataFrame, key: Sequence[str], order_by: S
     return target.join(staging.select(*key), key, "left_anti").select(*target.columns).unionByName(staging)
 
 
+def touched_partitions(target: DataFrame, staging: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
+    """The target rows in partitions that staging holds rows of; NULL counts as a partition.
+
+    Few partitions become a literal filter, which prunes directories while the query is planned.
+    Beyond that bound a semi join gives the same rows.
+    """
+    values = staging.select(*partition_columns).distinct()
+    few = values.take(MAX_LISTED_PARTITIONS + 1)
+    if len(few) > MAX_LISTED_PARTITIONS:
+        same = F.lit(True)
+        for p in partition_columns:
+            same = same & F.col(f"t.{p}").eqNullSafe(F.col(f"s.{p}"))
+        return target.alias("t").join(values.alias("s"), same, "left_semi").select(*target.columns)
+    if len(partition_columns) == 1:
+        p = partition_columns[0]
+        wanted = F.col(p).isin([r[0] for r in few if r[0] is not None])
+        return target.where(wanted | F.col(p).isNull() if any(r[0] is None for r in few) else wanted)
+    wanted = F.lit(False)
+    for r in few:
+        one = F.lit(True)
+        for p, v in zip(partition_columns, r):
+            one = one & (F.col(p).isNull() if v is None else F.col(p) == v)
+        wanted = wanted | one
+    return target.where(wanted)
+
+
 def merge_partitions(target: DataFrame, staging: DataFrame, key: Sequence[str], partition_columns: Sequence[str],
                      order_by: Sequence[str] = ()) -> DataFrame:
     """``merge`` for a target partitioned by part of its key: only the partitions named in staging.
 
     Write the result with a dynamic partition overwrite; the other partitions are neither read nor
-    written.  The partition values of staging prune the target scan at run time.
+    written.
     """
     outside = [p for p in partition_columns if p not in key]
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the merge key")
-    touched = staging.select(*partition_columns).distinct()
-    return merge(target.join(touched, list(partition_columns), "left_semi").select(*target.columns),
-                 staging, key, order_by)
+    return merge(touched_partitions(target, staging, partition_columns), staging, key, order_by)
 
 
 def drift(target: DataFrame, staging: DataFrame, custom_fields: Sequence[str] = ()) -> tuple[list[str], list[str]]:
