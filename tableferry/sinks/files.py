@@ -19,7 +19,7 @@ _WRITE_OPTIONS = {
     "parquet": {"compression": "snappy"},
     "orc": {"compression": "snappy"},
     "json": _MICROS,
-    "csv": _MICROS | {"escape": '"'},
+    "csv": _MICROS | {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
 }
 # A quoted line end belongs to its value; such files are read whole, so use Parquet for large ones.
 _READ_OPTIONS = {"json": _MICROS, "csv": _MICROS | {"escape": '"', "multiLine": "true"}}

@@ -1,0 +1,176 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import tableferry.operators.load as load_module
+from tableferry.operators.load import (DuplicateKeys, align, append, drift, evolve, latest, merge, merge_partitions,
+                                       staged, touched_partitions)
+from tableferry.plans.routes import load_table
+from tableferry.session import fresh_table
+from tableferry.sinks.files import read_written, write_files
+from tableferry.specs import IncrementalSpec, LoadSpec, SourceColumn, TableSpec
+from tests.helpers import conf, plan, rows
+
+SCHEMA = "k int, o int, v string"
+ROW = st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 9), st.sampled_from("abc"))
+
+
+def _latest(data):
+    best = {}
+    for k, o, v in data:
+        if k is not None:
+            best[k] = max(best.get(k, (-1, "")), (o, v))
+    return [(k, *ov) for k, ov in best.items()] + [r for r in data if r[0] is None]
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(ROW, max_size=12), st.lists(ROW, max_size=12))
+def test_merge_against_brute_force(spark, target, staging):
+    t, s = spark.createDataFrame(target, SCHEMA), spark.createDataFrame(staging, SCHEMA)
+    staged_keys = {k for k, _, _ in staging if k is not None}
+    want = [r for r in target if r[0] not in staged_keys] + _latest(staging)
+    once = merge(t, s, ["k"], ["o"])
+    assert rows(once) == sorted(want, key=repr)
+    # Rows with a key land once however often the increment is loaded; NULL keys append.
+    again = merge(once, s.where("k is not null"), ["k"], ["o"])
+    assert rows(again) == rows(once)
+
+
+def test_duplicates_need_an_order(spark):
+    t = spark.createDataFrame([(1, 1, "a")], SCHEMA)
+    s = spark.createDataFrame([(1, 2, "b"), (1, 3, "c"), (None, 1, "x"), (None, 1, "x")], SCHEMA)
+    with pytest.raises(DuplicateKeys, match="order_by"):
+        merge(t, s, ["k"])
+    assert rows(merge(t, s, ["k"], ["o"])) == [(1, 3, "c"), (None, 1, "x"), (None, 1, "x")]
+
+
+def test_composite_key(spark):
+    t = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 1, "c")], SCHEMA)
+    s = spark.createDataFrame([(1, 1, "z"), (None, 1, "z")], SCHEMA)
+    assert rows(merge(t, s, ["k", "o"])) == [(1, 1, "z"), (1, 2, "b"), (None, 1, "c"), (None, 1, "z")]
+
+
+def test_latest_keeps_unorderable_columns(spark):
+    s = spark.range(4).select((F.col("id") % 2).alias("k"), "id", F.create_map(F.lit("a"), "id").alias("m"))
+    assert {(r["k"], r["id"], r["m"]["a"]) for r in latest(s, ["k"], ["id"]).collect()} == {(0, 2, 2), (1, 3, 3)}
+
+
+def test_hot_target_key_is_split(spark):
+    """A third of the target has one key: the anti join splits it instead of giving it one task."""
+    t = spark.range(0, 60000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    s = spark.range(0, 60000, 1, 8).where("id % 2 = 0 and id <> 7").select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+              spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
+              spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64k",
+              spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5"):
+        out = merge(t, s, ["k"])
+        got = out.groupBy((F.col("v") == "new").alias("new")).count().collect()
+        text = plan(out, run=True)
+    assert "skew=true" in text or "skewed" in text
+    staged_keys = 30000
+    kept = sum(1 for i in range(60000) if (k := 7 if i % 3 == 0 else i) % 2 or k == 7)
+    assert {r["new"]: r["count"] for r in got} == {True: staged_keys, False: kept}
+
+
+def test_hot_staged_key_is_reduced_before_the_shuffle(spark):
+    s = spark.range(0, 1000, 1, 4).select(F.lit(1).alias("k"), "id")
+    text = plan(latest(s, ["k"], ["id"]))
+    assert "partial_max_by" in text and "Window" not in text
+
+
+# --- partitions ------------------------------------------------------------------------------
+
+def _events(spark, values):
+    return spark.createDataFrame(values, "id int, v string, dt string")
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_merge_touches_only_named_partitions(spark, path, monkeypatch, listed):
+    monkeypatch.setattr(load_module, "MAX_LISTED_PARTITIONS", listed)
+    base = _events(spark, [(1, "a", "d1"), (2, "a", "d1"), (3, "a", "d2"), (4, "a", None)])
+    target = read_written(spark, write_files(base, path(), partition_by=["dt"]), base.schema, ["dt"])
+    staging = _events(spark, [(1, "b", "d1"), (9, "b", "d3")])
+    out = merge_partitions(target, staging, ["id", "dt"], ["dt"])
+    assert rows(out) == [(1, "b", "d1"), (2, "a", "d1"), (9, "b", "d3")]
+    if listed:
+        assert "PartitionFilters: [dt" in plan(out) or "PartitionFilters: [isnotnull(dt" in plan(out)
+    # A NULL partition would be overwritten too, so its rows must come along.
+    with_null = merge_partitions(target, _events(spark, [(8, "b", None)]), ["id", "dt"], ["dt"])
+    assert rows(with_null) == [(4, "a", None), (8, "b", None)]
+    with pytest.raises(ValueError, match="part of the merge key"):
+        merge_partitions(target, staging, ["id"], ["dt"])
+
+
+@pytest.mark.parametrize("listed", [1000, 0])
+def test_touched_by_two_columns(spark, monkeypatch, listed):
+    monkeypatch.setattr(load_module, "MAX_LISTED_PARTITIONS", listed)
+    t = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 1, 3), (None, 1, 4)], "p string, q int, v int")
+    s = spark.createDataFrame([("a", 2, 0), (None, 1, 0)], "p string, q int, v int")
+    assert {r["v"] for r in touched_partitions(t, s, ["p", "q"]).collect()} == {2, 4}
+
+
+# --- schema drift ----------------------------------------------------------------------------
+
+def test_drift(spark):
+    t, s = spark.createDataFrame([(1, "x")], "Id int, gone string"), spark.createDataFrame([(2, 1.5)], "ID int, fresh double")
+    assert drift(t, s) == (["fresh"], ["gone"])
+    assert drift(t, s, ["GONE"]) == (["fresh"], [])
+    with pytest.raises(ValueError, match="unknown|no type"):
+        drift(t, s, ["other"])
+    assert rows(evolve(t, s)) == [(1, None), (2, 1.5)]
+    assert evolve(t, s, ["gone"]).columns == ["id", "gone", "fresh"]
+    assert align(t, s).dtypes == [("id", "int"), ("fresh", "double")]
+
+
+# --- loads into catalog tables ----------------------------------------------------------------
+
+SPEC = TableSpec("t", "mysql", (SourceColumn("k", "INT"), SourceColumn("o", "INT"), SourceColumn("v", "CHAR", 1)), primary_key=("k",))
+PARTED = TableSpec("t", "mysql", (SourceColumn("id", "INT"), SourceColumn("v", "CHAR"), SourceColumn("dt", "CHAR")),
+                   primary_key=("id", "dt"), partition_columns=("dt",))
+
+
+def test_staging(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], SCHEMA)
+    inc = IncrementalSpec("k > 1", select_from_staging=("k", "upper(v) as v"))
+    assert rows(staged(df, inc)) == [(2, "B")]
+    assert append(df, df).count() == 4
+
+
+def test_full_then_append_then_merge(spark, path):
+    name, root = fresh_table(spark, "t"), path("root")
+    df = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], SCHEMA)
+    assert load_table(df, SPEC, name, root, LoadSpec()) == "overwrite"
+    more = spark.createDataFrame([(2, 9, "z"), (3, 3, "c")], SCHEMA)
+    assert load_table(more, SPEC, name, root, LoadSpec(incremental=IncrementalSpec("k = 3", compact_after_load=True))) == "append"
+    assert rows(spark.table(name)) == [(1, 1, "a"), (2, 2, "b"), (3, 3, "c")]
+    assert load_table(more, SPEC, name, root, LoadSpec(incremental=IncrementalSpec("k = 2", merge=True))) == "merge"
+    assert rows(spark.table(name)) == [(1, 1, "a"), (2, 9, "z"), (3, 3, "c")]
+    assert load_table(more, SPEC, name, root, LoadSpec(incremental=IncrementalSpec("k = 2", merge=True, append_only=True))) == "append"
+    assert spark.table(name).count() == 4
+    assert load_table(df, SPEC, name, root, LoadSpec()) == "overwrite"
+    assert rows(spark.table(name)) == rows(df)
+
+
+@pytest.mark.parametrize("merge_it", [True, False])
+def test_drifted_load(spark, path, merge_it):
+    name, root = fresh_table(spark, "t"), path("root")
+    load_table(spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], SCHEMA), SPEC, name, root, LoadSpec())
+    new = spark.createDataFrame([(2, "B", 1.5)], "k int, v string, w double")
+    load_table(new, SPEC, name, root, LoadSpec(incremental=IncrementalSpec("true", merge=merge_it)))
+    want = [(1, "a", None), (2, "B", 1.5)] if merge_it else [(1, "a", None), (2, "B", 1.5), (2, "b", None)]
+    assert spark.table(name).columns == ["k", "v", "w"] and rows(spark.table(name)) == want
+
+
+def test_partitioned_loads(spark, path):
+    name, root = fresh_table(spark, "t"), path("root")
+    base = _events(spark, [(1, "a", "d1"), (2, "a", "d1"), (3, "a", "d2"), (4, "a", None)])
+    load_table(base, PARTED, name, root, LoadSpec())
+    merging = LoadSpec(incremental=IncrementalSpec("true", merge=True))
+    load_table(_events(spark, [(1, "b", "d1"), (9, "b", "d3"), (8, "b", None)]), PARTED, name, root, merging)
+    assert rows(spark.table(name)) == sorted([(1, "b", "d1"), (2, "a", "d1"), (3, "a", "d2"), (9, "b", "d3"), (4, "a", None), (8, "b", None)], key=repr)
+    load_table(_events(spark, [(5, "c", "d2"), (6, "c", "d4")]), PARTED, name, root, LoadSpec(incremental=IncrementalSpec("true")))
+    assert rows(spark.table(name).where("dt in ('d2', 'd4')")) == [(3, "a", "d2"), (5, "c", "d2"), (6, "c", "d4")]
+    assert spark.table(name).count() == 8
+    load_table(_events(spark, [(7, "d", "d9")]), PARTED, name, root, LoadSpec(incremental=IncrementalSpec("true", compact_after_load=True)))
+    assert spark.table(name).count() == 9
