@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,8 @@ from pyspark.sql import types as T
 from tableferry.functions.typemaps import Target
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
+_WHOLE_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+_FLOATING = (T.FloatType, T.DoubleType)
 
 
 def interval_micros(c: Column) -> Column:
@@ -28,6 +32,37 @@ def _text(c: Column, physical: T.DataType) -> Column:
     return c if isinstance(physical, T.StringType) else c.cast("string")
 
 
+def _whole(c: Column, physical: T.DataType, want: T.DataType) -> Column:
+    """A number as a whole number; fractions are cut off towards zero."""
+    top = 2 ** (_WHOLE_BITS[type(want)] - 1)
+    if isinstance(physical, _FLOATING):
+        # A fraction above -129 cuts to -128; below 64 bits only, as -2^63 - 1 is no double.
+        above = c >= float(-top) if top == 2**63 else c > float(-top - 1)
+        return F.when(above & (c < float(top)), c.cast(want))
+    if isinstance(physical, T.DecimalType):
+        return F.when((c > F.lit(Decimal(-top - 1))) & (c < F.lit(Decimal(top))), c.cast(want))
+    if _WHOLE_BITS[type(physical)] <= _WHOLE_BITS[type(want)]:
+        return c.cast(want)
+    return F.when(c.between(-top, top - 1), c.cast(want))
+
+
+def _decimal(c: Column, physical: T.DataType, want: T.DecimalType) -> Column:
+    """A number as a decimal, rounded half up to its scale."""
+    limit = 10 ** (want.precision - want.scale)
+    if isinstance(physical, _FLOATING):
+        # Just below the limit rounding decides, so only there the value is tried.
+        size = F.abs(c)
+        return F.when(size < float(limit), F.when(size <= float(limit) - 1, c.cast(want)).otherwise(c.try_cast(want)))
+    edge = Decimal(limit)
+    if isinstance(physical, T.DecimalType) and physical.scale > want.scale:
+        if want.precision == 38:
+            return c.try_cast(want)
+        edge -= Decimal(5).scaleb(-want.scale - 1)
+    elif want.precision - want.scale >= (physical.precision - physical.scale if isinstance(physical, T.DecimalType) else 19):
+        return c.cast(want)
+    return F.when((c < F.lit(edge)) & (c > F.lit(-edge)), c.cast(want))
+
+
 def is_noop(physical: T.DataType, target: Target) -> bool:
     return target.spark is None or (physical == target.spark and target.max_bytes is None)
 
@@ -53,6 +88,11 @@ def try_convert(c: Column, physical: T.DataType, target: Target, declared: str =
         narrow = c.cast(want)
         infinite = F.lit(float("inf"))
         return F.when((F.abs(narrow) != infinite) | (F.abs(c) == infinite), narrow)
+    # try_cast throws and catches an exception per lost value; comparing with the bounds costs nothing.
+    if isinstance(physical, T.NumericType) and type(want) in _WHOLE_BITS:
+        return _whole(c, physical, want)
+    if isinstance(physical, T.NumericType) and isinstance(want, T.DecimalType):
+        return _decimal(c, physical, want)
     return c.try_cast(want)
 
 
@@ -66,7 +106,7 @@ def inexact(c: Column, physical: T.DataType, target: Target) -> Column:
     converted = try_convert(c, physical, target)
     if is_noop(physical, target) or not isinstance(physical, T.NumericType):
         return F.lit(False)
-    back = converted.try_cast(physical)
+    back = try_convert(converted, target.spark, Target("", physical))
     return F.coalesce(converted.isNotNull() & (back.isNull() | (back != c)), F.lit(False))
 
 

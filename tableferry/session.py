@@ -45,3 +45,17 @@ def fresh_table(spark: SparkSession, name: str) -> str:
 
 def adaptive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+
+
+def recommended(cores: int) -> dict[str, str]:
+    """Settings for whoever builds the session; results do not depend on them."""
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(max(cores, 1) * (1 if cores <= 64 else 3)),
+        # Fixed value: input splits of a full unload.
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        # One listing task per core instead of one per partition directory.
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(max(cores, 1)),
+    }

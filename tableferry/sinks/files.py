@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.operators.layout import output_partitions, spread
@@ -13,16 +14,29 @@ from tableferry.specs import LoadSpec
 
 FORMATS = ("parquet", "orc", "json", "csv")
 
+# Fixed value: NULL in CSV, as in delimited text.  Spark reads its own default, nothing, for both
+# NULL and the empty string.
+CSV_NULL = "\\N"
+
 # What makes a format read back as it was written; text formats would drop the microseconds.
 _MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+_CSV = _MICROS | {"escape": '"', "nullValue": CSV_NULL}
 _WRITE_OPTIONS = {
     "parquet": {"compression": "snappy"},
     "orc": {"compression": "snappy"},
     "json": _MICROS,
-    "csv": _MICROS | {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
+    "csv": _CSV | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
 }
 # A quoted line end belongs to its value; such files are read whole, so use Parquet for large ones.
-_READ_OPTIONS = {"json": _MICROS, "csv": _MICROS | {"escape": '"', "multiLine": "true"}}
+_READ_OPTIONS = {"json": _MICROS, "csv": _CSV | {"multiLine": "true"}}
+
+
+def _no_null_marks(df: DataFrame) -> DataFrame:
+    """Stop at text that would read back as NULL."""
+    message = F.lit(f"a value is {CSV_NULL}, the NULL mark")
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({n: F.when(F.col(f"`{n}`") == CSV_NULL, F.raise_error(message).cast("string"))
+                           .otherwise(F.col(f"`{n}`")) for n in texts})
 
 
 def table_path(root: str, database: str, table: str) -> str:
@@ -45,6 +59,8 @@ def write_files(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
         df = spread(df, partition_by, load.write_partitions)
     elif not partition_by:
         df = output_partitions(df, load.read_partitions, load.write_partitions)
+    if fmt == "csv":
+        df = _no_null_marks(df)
     writer = df.write.format(fmt).mode(mode).options(**(_WRITE_OPTIONS[fmt] | options))
     if partition_by:
         writer = writer.partitionBy(*partition_by)

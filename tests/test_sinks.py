@@ -126,6 +126,11 @@ def test_formats_round_trip(spark, path, fmt):
     assert rows(back) == rows(df)
 
 
+def test_csv_stops_at_the_null_mark(spark, path):
+    with pytest.raises(PySparkException, match="NULL mark"):
+        write_files(spark.createDataFrame([("\\N",)], "a string"), path(), fmt="csv")
+
+
 TEXT = st.one_of(st.none(), st.text(st.characters(blacklist_characters="\x01\n", blacklist_categories=("Cs",)), max_size=8).filter(lambda s: s != "\\N"))
 
 
