@@ -20,6 +20,10 @@ select lang, '{0}' as column_name, {1} as max_allowed, count(*) as n,
        cast(count(*) filter (octet_length(encode({0})) > {1}) as bigint) as n_over
 from documents group by lang"""
 
+# Columns of each table that have a target type: all but the vector of embeddings.
+_KEPT_COLUMNS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
+                 "documents": 5, "embeddings": 2, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4}
+
 ORACLE = {
     "export_filtered": "select * from orders where o_orderstatus = 'F'",
     "catalog_table_scan": "select o_orderkey, o_custkey, o_orderpriority from orders",
@@ -133,5 +137,7 @@ select o_orderkey, case when o_orderdate >= date '1999-01-01' then o_orderpriori
     "route_mysql_to_hive": """
 select o_orderkey, o_totalprice, o_orderstatus, cast(o_orderdate as varchar) as last_update_time,
        strftime(o_orderdate, '%Y%m%d') as pt from orders""",
+    "migrate_all_tables": " union all ".join(
+        f"select '{n}' as table_name, count(*) as n, {c} as n_columns from {n}" for n, c in _KEPT_COLUMNS.items()),
     "route_hive_to_hive": f"select event_id, event_type, value, {_EVENTS_DAY} as dt from events",
 }

@@ -28,6 +28,7 @@ from tableferry.sinks.files import FORMATS, overwrite_partitions, read_written,
 from tableferry.sources.catalog import list_tables, read_table
 from tableferry.sources.files import matching
 from tableferry.sources.jdbc import split_sizes
+from tableferry.sources.probe import probe
 from tableferry.specs import IncrementalSpec, LoadSpec, TableSpec
 
 
@@ -408,6 +409,24 @@ def route_hive_to_hive(spark, sf):
     return read_written(spark, new, written.schema, ["dt"])
 
 
+def migrate_all_tables(spark, sf):
+    """Every table as it is found: probe its columns, conform, write; report rows and kept columns."""
+    dest = _destination(spark, "all_tables")
+
+    def job(name):
+        df = table(spark, sf, name)
+        return to_warehouse(df, probe(df, name, "mysql"), dest)
+
+    outcomes = for_each_table(spark, {n: partial(job, n) for n in t.TABLES})
+    out = []
+    for o in outcomes:
+        if o.path:
+            moved = spark.read.parquet(o.path)
+            out.append(moved.agg(F.count("*").alias("n")).select(
+                F.lit(o.table).alias("table_name"), "n", F.lit(len(moved.columns)).alias("n_columns")))
+    return reduce(DataFrame.unionByName, out)
+
+
 QUERIES = {
     "export_filtered": export_filtered,
     "catalog_table_scan": catalog_table_scan,
@@ -459,4 +478,5 @@ QUERIES = {
     "route_maxcompute_to_hive": route_maxcompute_to_hive,
     "route_mysql_to_hive": route_mysql_to_hive,
     "route_hive_to_hive": route_hive_to_hive,
+    "migrate_all_tables": migrate_all_tables,
 }

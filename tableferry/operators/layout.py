@@ -15,13 +15,18 @@ from tableferry.session import adaptive
 MAX_BUCKET_SKEW = 3.0
 
 
-def _row_hash(df: DataFrame, skip: Sequence[str] = ()) -> Column:
-    """A hash that cuts a run of rows with equal sort values; the same on every attempt of a task."""
-    return F.xxhash64(*[f"`{f.name}`" for f in df.schema.fields
-                        if f.name not in skip and not isinstance(f.dataType, (T.MapType, T.VariantType))])
+def _tie_break(df: DataFrame, used: Sequence[str], key: Sequence[str]) -> list[Column]:
+    """A hash that cuts a run of rows with equal sort values; the same on every attempt of a task.
+
+    Over the key where there is one: ranges are sampled, and that pass reads the columns hashed.
+    """
+    columns = list(key) or [f.name for f in df.schema.fields
+                            if f.name not in used and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return [F.xxhash64(*[f"`{c}`" for c in columns])] if columns else []
 
 
-def spread(df: DataFrame, partition_columns: Sequence[str], tasks: int | None = None) -> DataFrame:
+def spread(df: DataFrame, partition_columns: Sequence[str], tasks: int | None = None,
+           key: Sequence[str] = ()) -> DataFrame:
     """Bring the rows of a partition together without making a large partition one task.
 
     The rebalance hint shuffles by the partition columns, then cuts each large partition and joins
@@ -31,7 +36,7 @@ def spread(df: DataFrame, partition_columns: Sequence[str], tasks: int | None =
     then write the partitions they hold, unshuffled.
     """
     if tasks:
-        return df.repartitionByRange(tasks, *partition_columns, _row_hash(df, partition_columns))
+        return df.repartitionByRange(tasks, *partition_columns, *_tie_break(df, partition_columns, key))
     return df.hint("rebalance", *partition_columns) if adaptive(df.sparkSession) else df
 
 
@@ -42,29 +47,31 @@ def output_partitions(df: DataFrame, read_partitions: int | None, write_partitio
     return df.repartition(write_partitions)
 
 
-def bucket_skew(df: DataFrame, key: str, buckets: int) -> float:
+def bucket_skew(df: DataFrame, key: Sequence[str | Column], buckets: int) -> float:
     """Rows of the largest bucket over the mean, counted exactly; ``buckets`` rows are shuffled."""
     # hash() is the function that bucketing uses, so these are the buckets a write would make.
-    sizes = df.groupBy(F.pmod(F.hash(key), F.lit(buckets)).alias("bucket")).count()
+    sizes = df.groupBy(F.pmod(F.hash(*key), F.lit(buckets)).alias("bucket")).count()
     top, total = sizes.agg(F.max("count"), F.sum("count")).first()
     return top * buckets / total if total else 0.0
 
 
 def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | None, sort_keys: Sequence[str] = (),
-                      buckets: int = 8) -> str:
+                      buckets: int = 8, key: Sequence[str] = ()) -> str:
     """Write a catalog table laid out by its keys; returns ``bucketed``, ``sorted`` or ``automatic``.
 
     A key that spreads evenly gives buckets, so later joins and groupings on it need no shuffle.
     Where one value holds too many rows, or there is no key, the rows are range-partitioned by the
-    sort keys instead.  The row hash at the end of that order splits a run of equal sort values.
+    sort keys instead; a hash at the end of that order, of the unique ``key`` if there is one, splits
+    a run of equal sort values.  Where even whole rows repeat too often for that, and where nothing
+    is to be sorted, each task writes what it reads.
     """
-    if dist_key and bucket_skew(df, dist_key, buckets) <= MAX_BUCKET_SKEW:
+    order = list(sort_keys) or ([dist_key] if dist_key else [])
+    if dist_key and bucket_skew(df, [dist_key], buckets) <= MAX_BUCKET_SKEW:
         # The same hash and number as the buckets: one file per bucket.
-        writer = (df.repartition(buckets, dist_key).write.bucketBy(buckets, dist_key)
-                  .sortBy(*(sort_keys or [dist_key])))
+        writer = df.repartition(buckets, dist_key).write.bucketBy(buckets, dist_key).sortBy(*order)
         layout = "bucketed"
-    elif order := list(sort_keys) or ([dist_key] if dist_key else []):
-        writer = df.repartitionByRange(*order, _row_hash(df)).sortWithinPartitions(*order).write
+    elif order and bucket_skew(df, ranges := [*order, *_tie_break(df, order, key)], buckets) <= MAX_BUCKET_SKEW:
+        writer = df.repartitionByRange(*ranges).sortWithinPartitions(*order).write
         layout = "sorted"
     else:
         writer = df.write

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.operators.audit import duplicate_keys
+from tableferry.session import fresh_path
+from tableferry.sinks.files import write_files
 from tableferry.specs import IncrementalSpec
 
 
@@ -26,6 +28,16 @@ def staged(source: DataFrame, inc: IncrementalSpec) -> DataFrame:
     return rows.selectExpr(*inc.select_from_staging) if inc.select_from_staging else rows
 
 
+def stage(rows: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder and read from there.
+
+    A load uses its increment several times: staged, it asks the source once, sees one state of it,
+    and Spark knows its real size when it chooses a join.
+    """
+    spark = rows.sparkSession
+    return spark.read.schema(rows.schema).parquet(write_files(rows, fresh_path(spark, "staging")))
+
+
 def append(target: DataFrame, staging: DataFrame) -> DataFrame:
     return target.unionByName(staging)
 
@@ -65,12 +77,13 @@ def merge(target: DataFrame, staging: DataFrame, key: Sequence[str], order_by: S
     """Staged rows replace target rows of the same key; the others are added.
 
     NULL keys match nothing.  Without ``order_by`` a key staged twice is an error.  Both sides of
-    the anti join are plain shuffles on the key, so Spark splits a frequent target key by itself
-    and broadcasts a staging side it measured to be small.
+    the anti join are plain shuffles on the key (the reduced staging is written out for that), so
+    Spark splits a frequent target key by itself and broadcasts a staging side it measured to be
+    small.  Give a staging from ``stage`` where its source is expensive to read.
     """
     key = list(key)
     if order_by:
-        staging = latest(staging, key, list(order_by))
+        staging = stage(latest(staging, key, list(order_by)))
     else:
         twice = duplicate_keys(staging.where(_complete(key)), key).first()
         if twice is not None:

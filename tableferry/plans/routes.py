@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tableferry.operators.conform import (conform, derive_pt, keep_partition_keys, native_then_partition,
                                           variants_as_json)
 from tableferry.operators.layout import spread
-from tableferry.operators.load import align, drift, evolve, merge, merge_partitions, staged
+from tableferry.operators.load import align, drift, evolve, merge, merge_partitions, stage, staged
 from tableferry.sinks.catalog import location, recover_partitions, register, replace_table
 from tableferry.sinks.files import overwrite_partitions, relocate, table_path, write_files
 from tableferry.sources.files import NO_FILTER, matching
@@ -60,7 +60,7 @@ def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: st
     parts = [p.lower() for p in spec.partition_columns]
     if parts:
         rows = native_then_partition(rows.withColumns({p: rows[p].cast("string") for p in parts}), parts)
-    path = write_files(rows, dest.path(spec), mode=load.mode, partition_by=parts, load=load)
+    path = write_files(rows, dest.path(spec), mode=load.mode, partition_by=parts, load=load, key=spec.key)
     return _finish(df.sparkSession, dest, spec, path, rows, parts)
 
 
@@ -69,7 +69,7 @@ def mysql_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, where: s
     """MySQL to Hive, partitioned by ``pt`` where the table has an update time, whole otherwise."""
     dated, parts = derive_pt(matching(df, where), pt)
     rows = conform(dated, spec, "hive", on_loss=on_loss, keep=parts)
-    path = write_files(rows, dest.path(spec), mode=load.mode, partition_by=parts, load=load)
+    path = write_files(rows, dest.path(spec), mode=load.mode, partition_by=parts, load=load, key=spec.key)
     return _finish(df.sparkSession, dest, spec, path, rows, parts)
 
 
@@ -121,6 +121,7 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
     drifted = any(drift(target, staging))
     if action == "merge":
         key = list(load.merge_key(spec))
+        staging = stage(staging)
         if parts and set(parts) <= set(key) and not drifted:
             # Files are staged and change places when the job commits, so reading them here is safe.
             overwrite_partitions(merge_partitions(target, staging, key, parts, order_by), location(spark, table), parts)
@@ -135,5 +136,5 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
         rows = staging.select(*target.columns)
         (spread(rows, parts) if parts else rows).write.insertInto(table)
         if inc and inc.compact_after_load:
-            replace_table(spark.table(table), table, root, parts, clustered=True)
+            replace_table(spark.table(table), table, root, parts)
     return action

@@ -47,12 +47,17 @@ def adaptive(spark: SparkSession) -> bool:
     return spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
 
 
-def recommended(cores: int) -> dict[str, str]:
-    """Settings for whoever builds the session; results do not depend on them."""
+def recommended(cores: int, shuffled_bytes: int = 0) -> dict[str, str]:
+    """Settings for whoever builds the session; results do not depend on them.
+
+    ``shuffled_bytes`` is the largest table to be shuffled: partitions of 256 MB fit in memory, and
+    adaptive execution joins the ones that turn out small.
+    """
+    split = 256 * 1024 * 1024
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(max(cores, 1) * (1 if cores <= 64 else 3)),
+        "spark.sql.shuffle.partitions": str(max(cores, -(-shuffled_bytes // split), 1)),
         # Fixed value: input splits of a full unload.
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",

@@ -88,6 +88,7 @@ def drop_expired(spark: SparkSession, table: str, days: int, as_of: str, day_col
     part = F.regexp_extract("partition", rf"(?:^|/){day_column}=([^/]*)", 1)
     old = spark.sql(f"SHOW PARTITIONS {table}").select(part.alias("day")).where(F.col("day") < cutoff).distinct()
     expired = sorted(r["day"] for r in old.toLocalIterator())
-    for day in expired:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day_column} = '{_quoted(day)}')")
+    if expired:
+        specs = ", ".join(f"PARTITION ({day_column} = '{_quoted(day)}')" for day in expired)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     return expired

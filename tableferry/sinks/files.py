@@ -45,7 +45,7 @@ def table_path(root: str, database: str, table: str) -> str:
 
 def write_files(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "error",
                 partition_by: Sequence[str] = (), clustered: bool = False, load: LoadSpec = LoadSpec(),
-                **options: str) -> str:
+                key: Sequence[str] = (), **options: str) -> str:
     """Write a file table and return its path.
 
     ``partition_by`` shuffles once by the partition columns (see ``spread``); ``clustered`` says
@@ -56,7 +56,7 @@ def write_files(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, not {fmt!r}")
     if partition_by and not clustered:
-        df = spread(df, partition_by, load.write_partitions)
+        df = spread(df, partition_by, load.write_partitions, key)
     elif not partition_by:
         df = output_partitions(df, load.read_partitions, load.write_partitions)
     if fmt == "csv":

@@ -105,6 +105,13 @@ def list_tables_query(dialect: str, schema: str = "") -> str:
     raise ValueError(f"{dialect} tables are listed through the catalog")
 
 
+def list_source_tables(spark: SparkSession, source: JdbcSource, schema: str = "") -> list[str]:
+    """The names of all tables of a source; an error stays an error, never an empty list."""
+    query = list_tables_query(source.dialect, schema)
+    names = spark.read.format("jdbc").options(**source.reader_options()).option("query", query).load()
+    return [r[0] for r in names.toLocalIterator()]
+
+
 def split_of(column: str, lower: int, upper: int, partitions: int) -> Column:
     """The number of the equal-width range a whole-number key falls into; NULL keys go first."""
     width = -(-(upper - lower + 1) // partitions)

@@ -23,7 +23,7 @@ def test_buckets_match_the_measure(spark, path):
     p = path()
     write_distributed(df, fresh_table(spark, "t"), p, dist_key="k", buckets=4)
     sizes = [r[0] for r in spark.read.parquet(p).groupBy(F.input_file_name()).count().select("count").collect()]
-    assert bucket_skew(df, "k", 4) == max(sizes) * 4 / 5000
+    assert bucket_skew(df, ["k"], 4) == max(sizes) * 4 / 5000
 
 
 def test_hot_key_is_not_bucketed(spark, path):
@@ -37,11 +37,19 @@ def test_hot_key_is_not_bucketed(spark, path):
     assert spark.table(name).exceptAll(df).count() == 0 and spark.table(name).count() == 30000
 
 
+def test_copies_are_not_gathered(spark, path):
+    """Half the rows are one row repeated: neither buckets nor ranges could split them."""
+    df = spark.range(0, 20000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"))
+    name, p = fresh_table(spark, "t"), path()
+    assert write_distributed(df, name, p, dist_key="k", buckets=16) == "automatic"
+    assert len(files(p)) == 8 and spark.table(name).count() == 20000
+
+
 def test_no_key(spark, path):
     name = fresh_table(spark, "t")
     assert write_distributed(spark.range(10), name, path(), dist_key=None) == "automatic"
     assert spark.table(name).count() == 10
-    assert bucket_skew(spark.range(0), "id", 4) == 0.0
+    assert bucket_skew(spark.range(0), ["id"], 4) == 0.0
 
 
 def test_sorted_files_have_disjoint_ranges(spark, path):
@@ -70,3 +78,16 @@ def test_retention(spark, path):
     fixed = retained(back, 1, as_of="20240301")
     assert min(r["dt"] for r in fixed.collect()) == "20240229"
     assert "PartitionFilters: [isnotnull(dt" in plan(fixed)
+
+
+def test_partitioned_compaction_joins_small_files(spark, path):
+    from tableferry.sinks.catalog import replace_table
+
+    df = spark.range(0, 600, 1, 20).select("id", (F.col("id") % 3).cast("string").alias("dt"))
+    small = path()
+    df.write.partitionBy("dt").parquet(small)
+    assert len(files(small)) == 60
+    name = fresh_table(spark, "t")
+    replace_table(read_written(spark, small, df.schema, ["dt"]), name, path("root"), ["dt"])
+    assert spark.table(name).select(F.input_file_name()).distinct().count() <= 6
+    assert rows(spark.table(name)) == rows(df)

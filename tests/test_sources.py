@@ -134,3 +134,22 @@ def test_catalog(spark, path):
     assert is_external(spark, "source_a.ext") and not is_external(spark, "source_a.managed")
     assert partition_columns(spark, "source_a.ext") == ["dt"]
     assert read_table(spark, "source_a.ext", ["id"], "id > 2").count() == 2
+
+
+def test_probe(spark, path):
+    from tableferry.sources.probe import probe
+    from tableferry.functions.typemaps import target_type
+
+    spark.sql(f"create table probed (i int, s string, v varchar(20), c char(3), n decimal(9,2), b binary, a array<int>, "
+              f"t timestamp_ntz, z timestamp, f boolean) using parquet location '{path()}'")
+    df = spark.table("probed")
+    spec = probe(df, "probed", "mysql", primary_key=("i",))
+    kinds = {c.name: target_type("mysql", "warehouse", c.declared, c.precision, c.scale) for c in spec.columns}
+    assert kinds == {"i": "INT4", "s": "VARCHAR(65535)", "v": "VARCHAR(80)", "c": "VARCHAR(12)", "n": "FLOAT8", "b": None, "a": None,
+                     "t": "TIMESTAMP", "z": "TIMESTAMP", "f": "BOOLEAN"}
+    assert spec.distribution_key == "i"
+    pg = {c.name: target_type("postgres", "warehouse", c.declared, c.precision, c.scale) for c in probe(df, "p", "postgres").columns}
+    assert (pg["v"], pg["c"], pg["n"], pg["b"], pg["z"], pg["a"]) == ("VARCHAR(20)", "VARCHAR(3)", "NUMERIC(9, 2)", "VARCHAR(64)", "TIMESTAMPTZ", None)
+    hive = probe(df, "p", "hive").columns
+    assert [c.declared for c in hive][:2] == ["int", "string"]
+    spark.sql("drop table probed")
