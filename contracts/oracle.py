@@ -137,6 +137,8 @@ select o_orderkey, case when o_orderdate >= date '1999-01-01' then o_orderpriori
     "route_mysql_to_hive": """
 select o_orderkey, o_totalprice, o_orderstatus, cast(o_orderdate as varchar) as last_update_time,
        strftime(o_orderdate, '%Y%m%d') as pt from orders""",
+    "migrate_hive_database": """
+select 'orders' as table_name, count(*) as n from orders union all select 'events', count(*) from events""",
     "migrate_all_tables": " union all ".join(
         f"select '{n}' as table_name, count(*) as n, {c} as n_columns from {n}" for n, c in _KEPT_COLUMNS.items()),
     "route_hive_to_hive": f"select event_id, event_type, value, {_EVENTS_DAY} as dt from events",

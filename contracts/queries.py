@@ -19,7 +19,7 @@ from tableferry.operators.layout import retained, without_deleted, write_distrib
 from tableferry.operators.load import evolve, latest
 from tableferry.plans.batch import for_each_table
 from tableferry.plans.exports import export_hour_range
-from tableferry.plans.routes import (Destination, hive_to_hive, load_table, maxcompute_to_hive, mysql_to_hive,
+from tableferry.plans.routes import (Destination, hive_database_to_hive, hive_to_hive, load_table, maxcompute_to_hive, mysql_to_hive,
                                      to_warehouse)
 from tableferry.session import fresh_path, fresh_table, scratch_root
 from tableferry.sinks.catalog import drop_expired, recover_partitions, register, replace_table
@@ -83,9 +83,14 @@ def export_all_tables(spark, sf):
     return _counts(spark, {o.table: o.path for o in outcomes if o.path})
 
 
-def export_skip_external(spark, sf):
+def _database(spark: SparkSession) -> str:
     database = fresh_table(spark, "source").replace(".", "_")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{fresh_path(spark, 'source')}'")
+    return database
+
+
+def export_skip_external(spark, sf):
+    database = _database(spark)
     for name in ("lineitem", "orders"):
         table(spark, sf, name).write.saveAsTable(f"{database}.{name}")
     for name in ("customer", "part"):
@@ -409,6 +414,17 @@ def route_hive_to_hive(spark, sf):
     return read_written(spark, new, written.schema, ["dt"])
 
 
+def migrate_hive_database(spark, sf):
+    """A partitioned and an unpartitioned table of one database, found through the catalog."""
+    database = _database(spark)
+    for name, df, parts in (("orders", table(spark, sf, "orders"), []),
+                            ("events", _events_by(spark, sf, "dt", day_of), ["dt"])):
+        path = write_files(df, fresh_path(spark, name), partition_by=parts)
+        register(spark, f"{database}.{name}", path, df.schema, parts)
+    outcomes = hive_database_to_hive(spark, database, _destination(spark, "hive_database"))
+    return _counts(spark, {o.table.split(".")[1]: o.path for o in outcomes if o.path})
+
+
 def migrate_all_tables(spark, sf):
     """Every table as it is found: probe its columns, conform, write; report rows and kept columns."""
     dest = _destination(spark, "all_tables")
@@ -478,5 +494,6 @@ QUERIES = {
     "route_maxcompute_to_hive": route_maxcompute_to_hive,
     "route_mysql_to_hive": route_mysql_to_hive,
     "route_hive_to_hive": route_hive_to_hive,
+    "migrate_hive_database": migrate_hive_database,
     "migrate_all_tables": migrate_all_tables,
 }

@@ -13,6 +13,8 @@ from tableferry.session import adaptive
 
 # A bucket is read by one task.  Beyond this many times the mean size the key does not distribute.
 MAX_BUCKET_SKEW = 3.0
+# A bucket of this many rows is no burden for a task, whatever the mean.
+SMALL_BUCKET_ROWS = 1_000_000
 
 
 def _tie_break(df: DataFrame, used: Sequence[str], key: Sequence[str]) -> list[Column]:
@@ -47,30 +49,39 @@ def output_partitions(df: DataFrame, read_partitions: int | None, write_partitio
     return df.repartition(write_partitions)
 
 
-def bucket_skew(df: DataFrame, key: Sequence[str | Column], buckets: int) -> float:
-    """Rows of the largest bucket over the mean, counted exactly; ``buckets`` rows are shuffled."""
+def bucket_sizes(df: DataFrame, key: Sequence[str | Column], buckets: int) -> tuple[int, float]:
+    """Rows of the largest bucket and the mean, counted exactly; ``buckets`` rows are shuffled."""
     # hash() is the function that bucketing uses, so these are the buckets a write would make.
     sizes = df.groupBy(F.pmod(F.hash(*key), F.lit(buckets)).alias("bucket")).count()
-    top, total = sizes.agg(F.max("count"), F.sum("count")).first()
-    return top * buckets / total if total else 0.0
+    largest, total = sizes.agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, (total or 0) / buckets
+
+
+def spreads(df: DataFrame, key: Sequence[str | Column], buckets: int) -> bool:
+    """Whether the key shares the rows out evenly enough for one task per bucket."""
+    largest, mean = bucket_sizes(df, key, buckets)
+    return largest <= max(MAX_BUCKET_SKEW * mean, SMALL_BUCKET_ROWS)
 
 
 def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | None, sort_keys: Sequence[str] = (),
-                      buckets: int = 8, key: Sequence[str] = ()) -> str:
+                      buckets: int | None = None, key: Sequence[str] = ()) -> str:
     """Write a catalog table laid out by its keys; returns ``bucketed``, ``sorted`` or ``automatic``.
 
-    A key that spreads evenly gives buckets, so later joins and groupings on it need no shuffle.
-    Where one value holds too many rows, or there is no key, the rows are range-partitioned by the
-    sort keys instead; a hash at the end of that order, of the unique ``key`` if there is one, splits
-    a run of equal sort values.  Where even whole rows repeat too often for that, and where nothing
-    is to be sorted, each task writes what it reads.
+    A key that spreads evenly gives buckets, as many as the session has shuffle partitions if not
+    said otherwise, so later joins and groupings on it need no shuffle.  Where one value holds too
+    many rows, or there is no key, the rows are range-partitioned by the sort keys instead; a hash at
+    the end of that order, of the unique ``key`` if there is one, splits a run of equal sort values.
+    Where even whole rows repeat too often for that, and where nothing is to be sorted, each task
+    writes what it reads.
     """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = list(sort_keys) or ([dist_key] if dist_key else [])
-    if dist_key and bucket_skew(df, [dist_key], buckets) <= MAX_BUCKET_SKEW:
+    ranges = [*order, *_tie_break(df, order, key)]
+    if dist_key and spreads(df, [dist_key], buckets):
         # The same hash and number as the buckets: one file per bucket.
         writer = df.repartition(buckets, dist_key).write.bucketBy(buckets, dist_key).sortBy(*order)
         layout = "bucketed"
-    elif order and bucket_skew(df, ranges := [*order, *_tie_break(df, order, key)], buckets) <= MAX_BUCKET_SKEW:
+    elif order and spreads(df, ranges, buckets):
         writer = df.repartitionByRange(*ranges).sortWithinPartitions(*order).write
         layout = "sorted"
     else:

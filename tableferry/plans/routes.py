@@ -9,6 +9,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -17,8 +18,10 @@ from tableferry.operators.conform import (conform, derive_pt, keep_partition_key
                                           variants_as_json)
 from tableferry.operators.layout import spread
 from tableferry.operators.load import align, drift, evolve, merge, merge_partitions, stage, staged
+from tableferry.plans.batch import Outcome, for_each_table
 from tableferry.sinks.catalog import location, recover_partitions, register, replace_table
 from tableferry.sinks.files import overwrite_partitions, relocate, table_path, write_files
+from tableferry.sources.catalog import list_tables, partition_columns
 from tableferry.sources.files import NO_FILTER, matching
 from tableferry.specs import LoadSpec, TableSpec
 
@@ -43,7 +46,7 @@ class Destination:
 def _finish(spark: SparkSession, dest: Destination, spec: TableSpec, path: str, df: DataFrame,
             parts: Sequence[str]) -> str:
     if dest.catalog:
-        register(spark, dest.table(spec), path, df.schema, parts,
+        register(spark, dest.table(spec), path, df.schema, parts, comment=spec.comment,
                  properties={"lifecycle": str(spec.lifecycle_days)})
     return path
 
@@ -101,6 +104,17 @@ def hive_to_hive(spark: SparkSession, source: str, schema: T.StructType, spec: T
     return path
 
 
+def hive_database_to_hive(spark: SparkSession, database: str, dest: Destination, at_once: int = 4) -> list[Outcome]:
+    """Every table of a catalog database, one job each; a table that fails is reported, not fatal."""
+
+    def job(table: str) -> str:
+        parts = partition_columns(spark, table)
+        spec = TableSpec(table.split(".")[-1], "hive", (), partition_columns=tuple(parts))
+        return hive_to_hive(spark, location(spark, table), spark.table(table).schema, spec, dest)
+
+    return for_each_table(spark, {t: partial(job, t) for t in list_tables(spark, database)}, at_once)
+
+
 def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load: LoadSpec, *,
                order_by: Sequence[str] = ()) -> str:
     """Load an already conformed source into a catalog table; returns the action taken.

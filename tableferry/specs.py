@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 # Fixed value: the target keeps at most this many sort keys.
 MAX_SORT_KEYS = 2
+# Fixed value: how long a table keeps its partitions unless it says otherwise.
+DEFAULT_LIFECYCLE_DAYS = 366
 
 
 @dataclass(frozen=True)
@@ -30,7 +32,8 @@ class TableSpec:
     dist_key: str | None = None
     partition_columns: tuple[str, ...] = ()
     external: bool = False
-    lifecycle_days: int = 366
+    comment: str = ""
+    lifecycle_days: int = DEFAULT_LIFECYCLE_DAYS
 
     def __post_init__(self) -> None:
         seen: dict[str, str] = {}
