@@ -10,6 +10,10 @@ _LINEITEM = """
 select l_orderkey, l_partkey, cast(l_linenumber as smallint) as l_linenumber, cast(l_quantity as double) as l_quantity,
        cast(l_extendedprice as real) as l_extendedprice, l_returnflag, l_shipdate from lineitem"""
 
+_ORDERS = """
+select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as decimal(12,2)) as o_totalprice,
+       cast(o_orderdate as date) as o_orderdate from orders"""
+
 _CUSTOMER = """
 select cast(c_custkey as integer) as c_custkey, c_name, cast(c_nationkey as smallint) as c_nationkey,
        cast(c_acctbal as decimal(12,2)) as c_acctbal, c_mktsegment from customer"""
@@ -49,9 +53,7 @@ from orders, (values ('parquet'), ('orc'), ('json'), ('csv')) v(f)""",
     "full_refresh": "select o_orderkey, o_totalprice + 1 as o_totalprice from orders",
     "append_load": "select o_orderkey, o_totalprice from orders",
     "conform_mysql_warehouse": _LINEITEM,
-    "conform_pg_warehouse": """
-select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as decimal(12,2)) as o_totalprice,
-       cast(o_orderdate as date) as o_orderdate from orders""",
+    "conform_pg_warehouse": _ORDERS,
     "conform_hologres_warehouse": _CUSTOMER,
     "conform_mysql_hive": """
 select o_orderkey, cast(cast(o_totalprice as decimal(12,2)) as decimal(38,10)) as o_totalprice,
@@ -133,6 +135,7 @@ from orders""",
 select o_orderkey, case when o_orderdate >= date '1999-01-01' then o_orderpriority end as o_orderpriority from orders""",
     "route_mysql_to_warehouse": _LINEITEM,
     "route_hologres_to_warehouse": _CUSTOMER,
+    "route_postgres_to_warehouse": _ORDERS,
     "route_maxcompute_to_hive": f"select event_id, ts, user_id, value, {_EVENTS_DAY} as ds from events",
     "route_mysql_to_hive": """
 select o_orderkey, o_totalprice, o_orderstatus, cast(o_orderdate as varchar) as last_update_time,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,14 +16,15 @@ from tableferry.functions.dates import (HourRange, date_between, date_literal, d
 from tableferry.operators.audit import duplicate_keys, narrowing, varchar_fit, varchar_limits
 from tableferry.operators.conform import (REJECTED, conform, conform_or_reject, derive_pt, json_to_variant,
                                           keep_partition_keys, native_then_partition, variant_field)
-from tableferry.operators.layout import retained, without_deleted, write_distributed
+from tableferry.operators.layout import retained, without_deleted
 from tableferry.operators.load import evolve, latest
 from tableferry.plans.batch import for_each_table
 from tableferry.plans.exports import export_hour_range
 from tableferry.plans.routes import (Destination, hive_database_to_hive, hive_to_hive, load_table, maxcompute_to_hive, mysql_to_hive,
                                      to_warehouse)
-from tableferry.session import fresh_path, fresh_table, scratch_root
-from tableferry.sinks.catalog import drop_expired, recover_partitions, register, replace_table
+from tableferry.session import SCRATCH_DATABASE, fresh_path, fresh_table, scratch_root
+from tableferry.sinks.catalog import (drop_expired, recover_partitions, register, replace_table,
+                                      write_distributed)
 from tableferry.sinks.delimited import read_delimited, write_delimited
 from tableferry.sinks.files import FORMATS, overwrite_partitions, read_written, relocate, write_files
 from tableferry.sources.catalog import list_tables, read_table
@@ -393,6 +395,16 @@ def route_hologres_to_warehouse(spark, sf):
     return spark.read.schema(conform(df, t.CUSTOMER_HOLOGRES).schema).parquet(path)
 
 
+def route_postgres_to_warehouse(spark, sf):
+    """A catalog table laid out by its keys, loaded twice: the second load replaces the first."""
+    name = fresh_table(spark, "orders").split(".")[1]
+    dest = Destination(fresh_path(spark, "postgres"), SCRATCH_DATABASE, catalog=True)
+    spec = replace(t.ORDERS_POSTGRES, name=name)
+    for _ in range(2):
+        to_warehouse(table(spark, sf, "orders"), spec, dest, distributed=True)
+    return read_table(spark, dest.table(spec))
+
+
 def route_maxcompute_to_hive(spark, sf):
     df = _events_by(spark, sf, "ds", day_of)
     path = maxcompute_to_hive(df, t.EVENTS_MAXCOMPUTE, _destination(spark, "maxcompute"))
@@ -491,6 +503,7 @@ QUERIES = {
     "schema_evolve": schema_evolve,
     "route_mysql_to_warehouse": route_mysql_to_warehouse,
     "route_hologres_to_warehouse": route_hologres_to_warehouse,
+    "route_postgres_to_warehouse": route_postgres_to_warehouse,
     "route_maxcompute_to_hive": route_maxcompute_to_hive,
     "route_mysql_to_hive": route_mysql_to_hive,
     "route_hive_to_hive": route_hive_to_hive,

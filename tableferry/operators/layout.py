@@ -17,7 +17,7 @@ MAX_BUCKET_SKEW = 3.0
 SMALL_BUCKET_ROWS = 1_000_000
 
 
-def _tie_break(df: DataFrame, used: Sequence[str], key: Sequence[str]) -> list[Column]:
+def tie_break(df: DataFrame, used: Sequence[str], key: Sequence[str]) -> list[Column]:
     """A hash that cuts a run of rows with equal sort values; the same on every attempt of a task.
 
     Over the key where there is one: ranges are sampled, and that pass reads the columns hashed.
@@ -38,7 +38,7 @@ def spread(df: DataFrame, partition_columns: Sequence[str], tasks: int | None =
     then write the partitions they hold, unshuffled.
     """
     if tasks:
-        return df.repartitionByRange(tasks, *partition_columns, *_tie_break(df, partition_columns, key))
+        return df.repartitionByRange(tasks, *partition_columns, *tie_break(df, partition_columns, key))
     return df.hint("rebalance", *partition_columns) if adaptive(df.sparkSession) else df
 
 
@@ -63,34 +63,6 @@ def spreads(df: DataFrame, key: Sequence[str | Column], buckets: int) -> bool:
     return largest <= max(MAX_BUCKET_SKEW * mean, SMALL_BUCKET_ROWS)
 
 
-def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | None, sort_keys: Sequence[str] = (),
-                      buckets: int | None = None, key: Sequence[str] = ()) -> str:
-    """Write a catalog table laid out by its keys; returns ``bucketed``, ``sorted`` or ``automatic``.
-
-    A key that spreads evenly gives buckets, as many as the session has shuffle partitions if not
-    said otherwise, so later joins and groupings on it need no shuffle.  Where one value holds too
-    many rows, or there is no key, the rows are range-partitioned by the sort keys instead; a hash at
-    the end of that order, of the unique ``key`` if there is one, splits a run of equal sort values.
-    Where even whole rows repeat too often for that, and where nothing is to be sorted, each task
-    writes what it reads.
-    """
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = list(sort_keys) or ([dist_key] if dist_key else [])
-    ranges = [*order, *_tie_break(df, order, key)]
-    if dist_key and spreads(df, [dist_key], buckets):
-        # The same hash and number as the buckets: one file per bucket.
-        writer = df.repartition(buckets, dist_key).write.bucketBy(buckets, dist_key).sortBy(*order)
-        layout = "bucketed"
-    elif order and spreads(df, ranges, buckets):
-        writer = df.repartitionByRange(*ranges).sortWithinPartitions(*order).write
-        layout = "sorted"
-    else:
-        writer = df.write
-        layout = "automatic"
-    writer.mode("overwrite").option("path", path).option("compression", "snappy").format("parquet").saveAsTable(table)
-    return layout
-
-
 def without_deleted(df: DataFrame, deleted: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows whose key was not deleted.  NULL keys stay.
 

@@ -19,7 +19,8 @@ from tableferry.operators.conform import (conform, derive_pt, keep_partition_key
 from tableferry.operators.layout import spread
 from tableferry.operators.load import align, drift, evolve, merge, merge_partitions, stage, staged
 from tableferry.plans.batch import Outcome, for_each_table
-from tableferry.sinks.catalog import location, recover_partitions, register, replace_table
+from tableferry.sinks.catalog import (location, new_version, overwrite_table_partitions, publish, register,
+                                      replace_table, write_distributed)
 from tableferry.sinks.files import overwrite_partitions, relocate, table_path, write_files
 from tableferry.sources.catalog import list_tables, partition_columns
 from tableferry.sources.files import NO_FILTER, matching
@@ -43,28 +44,50 @@ class Destination:
         return f"{self.database}.{spec.name}"
 
 
-def _finish(spark: SparkSession, dest: Destination, spec: TableSpec, path: str, df: DataFrame,
-            parts: Sequence[str]) -> str:
-    if dest.catalog:
-        register(spark, dest.table(spec), path, df.schema, parts, comment=spec.comment,
-                 properties={"lifecycle": str(spec.lifecycle_days)})
-    return path
+def _properties(spec: TableSpec) -> dict[str, str]:
+    return {"lifecycle": str(spec.lifecycle_days)}
+
+
+def _write(rows: DataFrame, spec: TableSpec, dest: Destination, parts: Sequence[str], load: LoadSpec) -> str:
+    """Files alone are written in place; a catalog table gets a new version, or more rows."""
+    spark, table = rows.sparkSession, dest.table(spec)
+    if not dest.catalog:
+        return write_files(rows, dest.path(spec), mode=load.mode, partition_by=parts, load=load, key=spec.key)
+    if load.mode == "append" and spark.catalog.tableExists(table):
+        _insert(rows, table, parts)
+        return location(spark, table)
+    return replace_table(rows, table, dest.root, parts, load=load, key=spec.key, comment=spec.comment,
+                         properties=_properties(spec))
+
+
+def _insert(rows: DataFrame, table: str, parts: Sequence[str]) -> None:
+    rows = rows.select(*rows.sparkSession.table(table).columns)
+    (spread(rows, parts) if parts else rows).write.insertInto(table)
 
 
 def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: str | Column = NO_FILTER,
-                 on_loss: str = "fail", load: LoadSpec = LoadSpec()) -> str:
+                 on_loss: str = "fail", load: LoadSpec = LoadSpec(), distributed: bool = False) -> str:
     """MySQL, PostgreSQL or Hologres to the warehouse: typed Snappy Parquet to load from.
 
     The filter runs on the source columns, so it reaches the scan.  Partition columns of the source
     become text directories.  Semi-structured columns are written as JSON text, which Parquet
-    readers without a variant type understand.
+    readers without a variant type understand.  ``distributed`` lays an unpartitioned catalog table
+    out by the distribution and sort keys of the spec.
     """
     rows = variants_as_json(conform(matching(df, where), spec, "warehouse", on_loss=on_loss))
     parts = [p.lower() for p in spec.partition_columns]
     if parts:
         rows = native_then_partition(rows.withColumns({p: rows[p].cast("string") for p in parts}), parts)
-    path = write_files(rows, dest.path(spec), mode=load.mode, partition_by=parts, load=load, key=spec.key)
-    return _finish(df.sparkSession, dest, spec, path, rows, parts)
+    if not distributed:
+        return _write(rows, spec, dest, parts, load)
+    if parts or not dest.catalog or load.mode != "overwrite":
+        raise ValueError("only the full load of an unpartitioned catalog table is laid out by keys")
+    path = new_version(dest.root, dest.table(spec))
+    key, sort_keys = ([k for k in names if k in rows.columns] for names in (spec.key, spec.sort_keys))
+    dist_key = spec.distribution_key if spec.distribution_key in rows.columns else None
+    write_distributed(rows, dest.table(spec), path, dist_key=dist_key, sort_keys=sort_keys, key=key,
+                      buckets=load.write_partitions)
+    return path
 
 
 def mysql_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, where: str | Column = NO_FILTER,
@@ -72,8 +95,7 @@ def mysql_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, where: s
     """MySQL to Hive, partitioned by ``pt`` where the table has an update time, whole otherwise."""
     dated, parts = derive_pt(matching(df, where), pt)
     rows = conform(dated, spec, "hive", on_loss=on_loss, keep=parts)
-    path = write_files(rows, dest.path(spec), mode=load.mode, partition_by=parts, load=load, key=spec.key)
-    return _finish(df.sparkSession, dest, spec, path, rows, parts)
+    return _write(rows, spec, dest, parts, load)
 
 
 def maxcompute_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, where: str | Column = NO_FILTER,
@@ -87,11 +109,15 @@ def maxcompute_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, whe
         return None
     rows = conform(matching(df, where), spec, "hive", on_loss=on_loss)
     rows, parts = keep_partition_keys(rows, [p.lower() for p in spec.partition_columns])
-    if parts:
-        path = overwrite_partitions(rows, dest.path(spec), parts, clustered=clustered)
-    else:
-        path = write_files(rows, dest.path(spec), mode="overwrite")
-    return _finish(df.sparkSession, dest, spec, path, rows, parts)
+    if not parts:
+        return _write(rows, spec, dest, parts, LoadSpec())
+    spark, table = df.sparkSession, dest.table(spec)
+    if dest.catalog and spark.catalog.tableExists(table):
+        return overwrite_table_partitions(rows, table, parts, clustered=clustered)
+    path = overwrite_partitions(rows, dest.path(spec), parts, clustered=clustered)
+    if dest.catalog:
+        register(spark, table, path, rows.schema, parts, spec.comment, _properties(spec))
+    return path
 
 
 def hive_to_hive(spark: SparkSession, source: str, schema: T.StructType, spec: TableSpec, dest: Destination) -> str:
@@ -100,7 +126,7 @@ def hive_to_hive(spark: SparkSession, source: str, schema: T.StructType, spec: T
     parts = list(spec.partition_columns)
     path = relocate(spark, source, dest.path(spec), schema, parts)
     if dest.catalog:
-        register(spark, dest.table(spec), path, schema, parts)
+        publish(spark, dest.table(spec), path, schema, parts, spec.comment, _properties(spec))
     return path
 
 
@@ -137,18 +163,14 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
         key = list(load.merge_key(spec))
         staging = stage(staging)
         if parts and set(parts) <= set(key) and not drifted:
-            # Files are staged and change places when the job commits, so reading them here is safe.
-            overwrite_partitions(merge_partitions(target, staging, key, parts, order_by), location(spark, table), parts)
-            recover_partitions(spark, table)
-            spark.catalog.refreshTable(table)
+            overwrite_table_partitions(merge_partitions(target, staging, key, parts, order_by), table, parts)
             return action
         replace_table(merge(align(target, staging), staging, key, order_by), table, root, parts)
         return action
     if drifted:
         replace_table(evolve(target, staging), table, root, parts)
     else:
-        rows = staging.select(*target.columns)
-        (spread(rows, parts) if parts else rows).write.insertInto(table)
+        _insert(staging, table, parts)
         if inc and inc.compact_after_load:
             replace_table(spark.table(table), table, root, parts)
     return action

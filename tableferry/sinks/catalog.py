@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.dates import DAY
-from tableferry.sinks.files import table_path, write_files
+from tableferry.operators.layout import spreads, tie_break
+from tableferry.sinks.files import overwrite_partitions, table_path, write_files
 from tableferry.sources.catalog import is_external, partition_columns
 from tableferry.sources.files import partitioned_schema
+from tableferry.specs import LoadSpec
 
 
 def _quoted(text: str) -> str:
@@ -45,37 +47,98 @@ def register(spark: SparkSession, table: str, path: str, schema: T.StructType, p
     return table
 
 
-def publish(spark: SparkSession, table: str, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> str:
+def check_replaceable(spark: SparkSession, table: str) -> bool:
+    """Whether the table exists; dropping a managed one would delete its files, so that is an error."""
+    if not spark.catalog.tableExists(table):
+        return False
+    if not is_external(spark, table):
+        raise ValueError(f"{table} is managed: replacing it would delete its files")
+    return True
+
+
+def publish(spark: SparkSession, table: str, path: str, schema: T.StructType, partition_by: Sequence[str] = (),
+            comment: str = "", properties: dict[str, str] | None = None) -> str:
     """Point a catalog table at freshly written files.
 
     The files are complete before the table moves, and the old files stay, so a failed load leaves
     the old table as it was.  An unpartitioned table of the same columns moves in one catalog call.
     """
-    if not spark.catalog.tableExists(table):
-        return register(spark, table, path, schema, partition_by)
-    if not is_external(spark, table):
-        raise ValueError(f"{table} is managed: replacing it would delete its files")
-    same = [(f.name, f.dataType) for f in spark.table(table).schema.fields] == [(f.name, f.dataType) for f in schema.fields]
-    if same and not partition_by and not partition_columns(spark, table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(path)}'")
-        spark.catalog.refreshTable(table)
-        return table
-    spark.sql(f"DROP TABLE {table}")
-    return register(spark, table, path, schema, partition_by)
+    if check_replaceable(spark, table):
+        old = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+        if old == [(f.name, f.dataType) for f in schema.fields] and not partition_by and not partition_columns(spark, table):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(path)}'")
+            spark.catalog.refreshTable(table)
+            return table
+        spark.sql(f"DROP TABLE {table}")
+    return register(spark, table, path, schema, partition_by, comment, properties)
+
+
+def new_version(root: str, table: str) -> str:
+    """A path for the next version of a table's files."""
+    database, _, name = table.rpartition(".")
+    return f"{table_path(root, database, name)}/{uuid.uuid4().hex}"
 
 
-def replace_table(df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (), clustered: bool = False) -> str:
-    """Full refresh: write a new version of the files, then publish it.
+def replace_table(df: DataFrame, table: str, root: str, partition_by: Sequence[str] = (), *, clustered: bool = False,
+                  load: LoadSpec = LoadSpec(), key: Sequence[str] = (), comment: str = "",
+                  properties: dict[str, str] | None = None) -> str:
+    """Full refresh: write a new version of the files, then publish it; returns its path.
 
     Writing over the files a plan reads would destroy them, so every version has its own path and
     ``df`` may read the table it replaces.
     """
+    path = write_files(df, new_version(root, table), partition_by=partition_by, clustered=clustered, load=load, key=key)
+    publish(df.sparkSession, table, path, df.schema, partition_by, comment, properties)
+    return path
+
+
+def overwrite_table_partitions(df: DataFrame, table: str, partition_by: Sequence[str], *, clustered: bool = False) -> str:
+    """Replace only the partitions of a catalog table that ``df`` holds rows of; returns its path.
+
+    Spark stages the files and changes them over when the job commits, so ``df`` may read the table.
+    """
     spark = df.sparkSession
-    database, _, name = table.rpartition(".")
-    path = f"{table_path(root, database, name)}/version={uuid.uuid4().hex}"
-    schema = df.schema
-    write_files(df, path, partition_by=partition_by, clustered=clustered)
-    return publish(spark, table, path, schema, partition_by)
+    path = overwrite_partitions(df, location(spark, table), partition_by, clustered=clustered)
+    recover_partitions(spark, table)
+    spark.catalog.refreshTable(table)
+    return path
+
+
+def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | None, sort_keys: Sequence[str] = (),
+                      buckets: int | None = None, key: Sequence[str] = ()) -> str:
+    """Write a catalog table laid out by its keys; returns ``bucketed``, ``sorted`` or ``automatic``.
+
+    A key that spreads evenly gives buckets, as many as the session has shuffle partitions if not
+    said otherwise, so later joins and groupings on it need no shuffle.  Where one value holds too
+    many rows, or there is no key, the rows are range-partitioned by the sort keys instead; a hash at
+    the end of that order, of the unique ``key`` if there is one, splits a run of equal sort values.
+    Where even whole rows repeat too often for that, and where nothing is to be sorted, each task
+    writes what it reads.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = list(sort_keys) or ([dist_key] if dist_key else [])
+    ranges = [*order, *tie_break(df, order, key)]
+    if dist_key and spreads(df, [dist_key], buckets):
+        # The same hash and number as the buckets: one file per bucket.
+        writer = df.repartition(buckets, dist_key).write.bucketBy(buckets, dist_key).sortBy(*order)
+        layout = "bucketed"
+    elif order and spreads(df, ranges, buckets):
+        writer = df.repartitionByRange(*ranges).sortWithinPartitions(*order).write
+        layout = "sorted"
+    else:
+        writer = df.write
+        layout = "automatic"
+    writer = writer.option("path", path).option("compression", "snappy").format("parquet")
+    if not check_replaceable(spark, table):
+        writer.saveAsTable(table)
+        return layout
+    # The old table goes when the new one is complete.
+    new = f"{table}_{uuid.uuid4().hex}"
+    writer.saveAsTable(new)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    return layout
 
 
 def drop_expired(spark: SparkSession, table: str, days: int, as_of: str, day_column: str = "dt") -> list[str]:

@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableferry.operators import layout
-from tableferry.operators.layout import bucket_sizes, retained, without_deleted, write_distributed
+from tableferry.operators.layout import bucket_sizes, retained, without_deleted
 from tableferry.session import fresh_table
+from tableferry.sinks.catalog import replace_table, write_distributed
 from tableferry.sinks.files import read_written, write_files
 from tests.helpers import conf, files, plan, rows
 
@@ -88,8 +89,6 @@ def test_retention(spark, path):
 
 
 def test_partitioned_compaction_joins_small_files(spark, path):
-    from tableferry.sinks.catalog import replace_table
-
     df = spark.range(0, 600, 1, 20).select("id", (F.col("id") % 3).cast("string").alias("dt"))
     small = path()
     df.write.partitionBy("dt").parquet(small)
@@ -98,3 +97,15 @@ def test_partitioned_compaction_joins_small_files(spark, path):
     replace_table(read_written(spark, small, df.schema, ["dt"]), name, path("root"), ["dt"])
     assert spark.table(name).select(F.input_file_name()).distinct().count() <= 6
     assert rows(spark.table(name)) == rows(df)
+
+
+def test_layout_is_replaced(spark, path):
+    name = fresh_table(spark, "t")
+    write_distributed(spark.range(10), name, path(), dist_key="id", buckets=2)
+    write_distributed(spark.table(name).selectExpr("id + 1 as id"), name, path(), dist_key="id", buckets=2)
+    assert {r["id"] for r in spark.table(name).collect()} == set(range(1, 11))
+    assert "Exchange" not in plan(spark.table(name).groupBy("id").count())
+    managed = fresh_table(spark, "managed")
+    spark.range(1).write.saveAsTable(managed)
+    with pytest.raises(ValueError, match="managed"):
+        write_distributed(spark.range(1), managed, path(), dist_key="id")

@@ -8,7 +8,7 @@ from tableferry.plans.routes import Destination, hive_to_hive, maxcompute_to_hiv
 from tableferry.session import fresh_path, scratch_root
 from tableferry.sinks.files import read_written, write_files
 from tableferry.specs import SourceColumn as C
-from tableferry.specs import TableSpec
+from tableferry.specs import LoadSpec, TableSpec
 from tests.helpers import conf, files, rows
 
 
@@ -49,8 +49,19 @@ def test_to_warehouse(spark, path):
     dest = Destination(path("out"), "default", catalog=True)
     spec = TableSpec("warehouse_t", "postgres", WAREHOUSE.columns, partition_columns=("Day",))
     p = to_warehouse(df, spec, dest, where="id = 1")
-    assert p.endswith("/default/warehouse_t")
+    assert "/default/warehouse_t/" in p
     assert rows(spark.table("default.warehouse_t")) == [(1, '{"a":1}', "2024-01-02")]
+    # A second full load replaces the first, an append adds to it.
+    to_warehouse(df, spec, dest, where="id = 2")
+    assert rows(spark.table("default.warehouse_t")) == [(2, None, "2024-01-03")]
+    to_warehouse(df, spec, dest, where="id = 1", load=LoadSpec(overwrite=False))
+    assert spark.table("default.warehouse_t").count() == 2
+    props = {r["key"]: r["value"] for r in spark.sql("show tblproperties default.warehouse_t").collect()}
+    assert props["lifecycle"] == "366"
+    with pytest.raises(ValueError, match="laid out by keys"):
+        to_warehouse(df, spec, dest, distributed=True)
+    files_only = Destination(path("files"), "shop")
+    assert to_warehouse(df, spec, files_only).endswith("/shop/warehouse_t")
     spark.sql("drop table default.warehouse_t")
 
 
@@ -65,9 +76,10 @@ def test_maxcompute_reload_replaces_its_partitions(spark, path):
     df = spark.createDataFrame([(1, "d1", "a"), (2, "d1", "b"), (3, "d2", "a")], "id long, ds string, region string")
     p = maxcompute_to_hive(df, spec, dest)
     assert rows(spark.table("default.mc_t")) == [(1, "d1"), (2, "d1"), (3, "d2")]
-    again = Destination(dest.root, "default")
-    maxcompute_to_hive(spark.createDataFrame([(9, "d2", "a")], df.schema), spec, again)
-    assert rows(read_written(spark, p, df.drop("region").select("id", "ds").schema, ["ds"])) == [(1, "d1"), (2, "d1"), (9, "d2")]
+    maxcompute_to_hive(spark.createDataFrame([(9, "d2", "a"), (7, "d3", "a")], df.schema), spec, dest)
+    assert rows(spark.table("default.mc_t")) == [(1, "d1"), (2, "d1"), (7, "d3"), (9, "d2")]
+    maxcompute_to_hive(spark.createDataFrame([(8, "d3", "a")], df.schema), spec, Destination(dest.root, "default"))
+    assert rows(read_written(spark, p, df.drop("region").select("id", "ds").schema, ["ds"])) == [(1, "d1"), (2, "d1"), (8, "d3"), (9, "d2")]
     spark.sql("drop table default.mc_t")
 
 
@@ -92,6 +104,7 @@ def test_hive_to_hive(spark, path):
     old = write_files(df, path("old"), partition_by=["dt"])
     spec = TableSpec("moved", "hive", (), partition_columns=("dt",))
     hive_to_hive(spark, old, df.schema, spec, Destination(path("new"), "default", catalog=True))
+    hive_to_hive(spark, old, df.schema, spec, Destination(path("newer"), "default", catalog=True))
     assert rows(spark.table("default.moved")) == rows(df)
     spark.sql("drop table default.moved")
 
@@ -102,3 +115,16 @@ def test_scratch_is_the_shared_folder(spark):
     with conf(spark, spark__sql__adaptive__enabled="false"):
         from tableferry.session import adaptive
         assert not adaptive(spark)
+
+
+def test_database_move_reports_failures(spark, path):
+    from tableferry.plans.routes import hive_database_to_hive
+
+    spark.sql(f"create database hive_src location '{path('src')}'")
+    spark.range(4).write.saveAsTable("hive_src.good")
+    spark.sql(f"create table hive_src.lost (id long) using parquet location '{path('nowhere')}'")
+    spark.sql("create view hive_src.seen as select 1 as x")
+    outcomes = {o.table: o for o in hive_database_to_hive(spark, "hive_src", Destination(path("dst"), "d"))}
+    assert set(outcomes) == {"hive_src.good", "hive_src.lost"}
+    assert spark.read.parquet(outcomes["hive_src.good"].path).count() == 4
+    assert outcomes["hive_src.lost"].path is None and outcomes["hive_src.lost"].error
