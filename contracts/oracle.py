@@ -28,6 +28,15 @@ from documents group by lang"""
 _KEPT_COLUMNS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
                  "documents": 5, "embeddings": 2, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4}
 
+# Text that may be longer than the longest string of the target.
+_LONG_TEXT = {"documents": "text", "pages": "html", "conversations": "text", "benchmark": "text"}
+
+
+def _fits(name: str) -> str:
+    column = _LONG_TEXT.get(name)
+    return f"coalesce(octet_length(encode({column})), 0) <= 65535" if column else "true"
+
+
 ORACLE = {
     "export_filtered": "select * from orders where o_orderstatus = 'F'",
     "catalog_table_scan": "select o_orderkey, o_custkey, o_orderpriority from orders",
@@ -70,12 +79,14 @@ from orders""",
         _FIT.format(c, n) for c, n in (("text", 4000), ("lang", 8), ("source", 8))),
     "narrowing_audit": """
 select 'big_key' as column_name, 'INT2' as target_type, count(*) as n,
-       cast(count(*) filter (o_orderkey * 100 not between -32768 and 32767) as bigint) as n_lost, cast(0 as bigint) as n_inexact
+       cast(count(*) filter (o_orderkey * 100 not between -32768 and 32767) as bigint) as n_lost,
+       cast(0 as bigint) as n_inexact
 from orders
 union all
 select 'o_totalprice', 'INT2', count(*),
        cast(count(*) filter (trunc(o_totalprice) not between -32768 and 32767) as bigint),
-       cast(count(*) filter (trunc(o_totalprice) between -32768 and 32767 and trunc(o_totalprice) <> o_totalprice) as bigint)
+       cast(count(*) filter (trunc(o_totalprice) between -32768 and 32767
+                             and trunc(o_totalprice) <> o_totalprice) as bigint)
 from orders
 union all
 select 'float_price', 'FLOAT4', count(*), cast(0 as bigint),
@@ -143,6 +154,7 @@ select o_orderkey, o_totalprice, o_orderstatus, cast(o_orderdate as varchar) as
     "migrate_hive_database": """
 select 'orders' as table_name, count(*) as n from orders union all select 'events', count(*) from events""",
     "migrate_all_tables": " union all ".join(
-        f"select '{n}' as table_name, count(*) as n, {c} as n_columns from {n}" for n, c in _KEPT_COLUMNS.items()),
+        f"select '{n}' as table_name, count(*) filter ({_fits(n)}) as n, "
+        f"count(*) filter (not ({_fits(n)})) as n_rejected, {c} as n_columns from {n}" for n, c in _KEPT_COLUMNS.items()),
     "route_hive_to_hive": f"select event_id, event_type, value, {_EVENTS_DAY} as dt from events",
 }

@@ -34,7 +34,8 @@ from tableferry.sources.probe import probe
 from tableferry.specs import IncrementalSpec, LoadSpec, TableSpec
 
 
-def _events_by(spark: SparkSession, sf: str, name: str, part: Callable[[str], Column], *columns: str) -> DataFrame:
+def _events_by(spark: SparkSession, sf: str, name: str, part: Callable[[str], Column],
+               *columns: str | Column) -> DataFrame:
     """Events with a text partition column made from the event time."""
     return table(spark, sf, "events").select(*(columns or ("*",)), part("ts").alias(name))
 
@@ -438,21 +439,17 @@ def migrate_hive_database(spark, sf):
 
 
 def migrate_all_tables(spark, sf):
-    """Every table as it is found: probe its columns, conform, write; report rows and kept columns."""
+    """Every table as it is found: probe its columns, conform, write; rows that do not fit go aside."""
     dest = _destination(spark, "all_tables")
-
-    def job(name):
-        df = table(spark, sf, name)
-        return to_warehouse(df, probe(df, name, "mysql"), dest)
-
-    outcomes = for_each_table(spark, {n: partial(job, n) for n in t.TABLES})
-    out = []
-    for o in outcomes:
-        if o.path:
-            moved = spark.read.parquet(o.path)
-            out.append(moved.agg(F.count("*").alias("n")).select(
-                F.lit(o.table).alias("table_name"), "n", F.lit(len(moved.columns)).alias("n_columns")))
-    return reduce(DataFrame.unionByName, out)
+    frames = {n: table(spark, sf, n) for n in t.TABLES}
+    specs = {n: probe(df, n, "mysql") for n, df in frames.items()}
+    outcomes = for_each_table(spark, {n: partial(to_warehouse, frames[n], specs[n], dest, on_loss="reject") for n in t.TABLES})
+    moved = {o.table: o.path for o in outcomes if o.path}
+    columns = reduce(DataFrame.unionByName, [
+        spark.range(1).select(F.lit(n).alias("table_name"), F.lit(len(spark.read.parquet(p).columns)).alias("n_columns"))
+        for n, p in moved.items()])
+    rejected = _counts(spark, {n: dest.rejected(specs[n]) for n in moved}).withColumnRenamed("n", "n_rejected")
+    return _counts(spark, moved).join(rejected, "table_name").join(columns, "table_name")
 
 
 QUERIES = {

@@ -67,6 +67,19 @@ def is_noop(physical: T.DataType, target: Target) -> bool:
     return target.spark is None or (physical == target.spark and target.max_bytes is None)
 
 
+def always_fits(physical: T.DataType, target: Target) -> bool:
+    """Whether the target type holds every value of the physical one."""
+    want = target.spark
+    if is_noop(physical, target):
+        return True
+    if isinstance(want, T.StringType):
+        return target.max_bytes is None
+    if type(physical) in _WHOLE_BITS:
+        wider = type(want) in _WHOLE_BITS and _WHOLE_BITS[type(physical)] <= _WHOLE_BITS[type(want)]
+        return wider or isinstance(want, T.DoubleType)
+    return isinstance(physical, T.FloatType) and isinstance(want, T.DoubleType)
+
+
 def try_convert(c: Column, physical: T.DataType, target: Target, declared: str = "") -> Column:
     """``c`` in the target type; NULL where the value does not fit.  Built-in expressions only."""
     want = target.spark
@@ -114,7 +127,7 @@ def convert(c: Column, physical: T.DataType, target: Target, name: str, declared
             on_loss: str = "fail") -> Column:
     """The conversion under a policy: ``null`` keeps NULL for a lost value, ``fail`` stops the job."""
     converted = try_convert(c, physical, target, declared)
-    if on_loss == "null" or is_noop(physical, target):
+    if on_loss == "null" or always_fits(physical, target):
         return converted
     message = F.lit(f"column {name}: a value does not fit {target.text}")
     return F.coalesce(converted, F.when(c.isNotNull(), F.raise_error(message).cast(target.spark)))

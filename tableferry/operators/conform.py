@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.functions.casts import convert, is_noop, lost, try_convert
+from tableferry.functions.casts import always_fits, convert, lost, try_convert
 from tableferry.functions.dates import day_of
 from tableferry.functions.typemaps import Target, resolve, target_type
 from tableferry.specs import SourceColumn, TableSpec
@@ -106,7 +106,7 @@ def conform_or_reject(df: DataFrame, spec: TableSpec, target: str = "warehouse",
     columns = _kept(df, spec, target, on_unsupported, reference_types, temporal_as_string)
     checks = []
     for m, f in columns:
-        if not is_noop(f.dataType, m.target):
+        if not always_fits(f.dataType, m.target):
             converted = try_convert(_physical(f), f.dataType, m.target, m.source.declared)
             checks.append((m.name, lost(_physical(f), converted)))
     bad = F.lit(False)
@@ -128,7 +128,8 @@ def native_then_partition(df: DataFrame, partition_columns: Sequence[str]) -> Da
     """Partition columns moved to the end, in their own order."""
     parts = [p.lower() for p in partition_columns]
     fields = _fields(df)
-    return df.select(*[_physical(f) for n, f in fields.items() if n not in parts], *[_physical(fields[p]) for p in parts])
+    native = [_physical(f) for n, f in fields.items() if n not in parts]
+    return df.select(*native, *[_physical(fields[p]) for p in parts])
 
 
 def keep_partition_keys(df: DataFrame, partition_columns: Sequence[str],

@@ -14,8 +14,8 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tableferry.operators.conform import (conform, derive_pt, keep_partition_keys, native_then_partition,
-                                          variants_as_json)
+from tableferry.operators.conform import (conform, conform_or_reject, derive_pt, keep_partition_keys,
+                                          native_then_partition, variants_as_json)
 from tableferry.operators.layout import spread
 from tableferry.operators.load import align, drift, evolve, merge, merge_partitions, stage, staged
 from tableferry.plans.batch import Outcome, for_each_table
@@ -43,6 +43,9 @@ class Destination:
     def table(self, spec: TableSpec) -> str:
         return f"{self.database}.{spec.name}"
 
+    def rejected(self, spec: TableSpec) -> str:
+        return table_path(self.root, self.database, f"{spec.name}_rejected")
+
 
 def _properties(spec: TableSpec) -> dict[str, str]:
     return {"lifecycle": str(spec.lifecycle_days)}
@@ -73,8 +76,17 @@ def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: st
     become text directories.  Semi-structured columns are written as JSON text, which Parquet
     readers without a variant type understand.  ``distributed`` lays an unpartitioned catalog table
     out by the distribution and sort keys of the spec.
+
+    ``on_loss`` may also be ``reject``: rows with a value that does not fit then go, as they are, to
+    ``dest.rejected(spec)``.  That reads the source twice, so stage an expensive one first.
     """
-    rows = variants_as_json(conform(matching(df, where), spec, "warehouse", on_loss=on_loss))
+    source = matching(df, where)
+    if on_loss == "reject":
+        rows, rejected = conform_or_reject(source, spec, "warehouse")
+        write_files(rejected, dest.rejected(spec), mode=load.mode)
+    else:
+        rows = conform(source, spec, "warehouse", on_loss=on_loss)
+    rows = variants_as_json(rows)
     parts = [p.lower() for p in spec.partition_columns]
     if parts:
         rows = native_then_partition(rows.withColumns({p: rows[p].cast("string") for p in parts}), parts)

@@ -51,13 +51,15 @@ def recommended(cores: int, shuffled_bytes: int = 0) -> dict[str, str]:
     """Settings for whoever builds the session; results do not depend on them.
 
     ``shuffled_bytes`` is the largest table to be shuffled: partitions of 256 MB fit in memory, and
-    adaptive execution joins the ones that turn out small.
+    adaptive execution joins the ones that turn out small.  Every map task reports a size per
+    partition, so there is a bound; beyond it partitions spill, and skewed ones are still cut.
     """
     split = 256 * 1024 * 1024
+    partitions = min(-(-shuffled_bytes // split), 20_000)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(max(cores, -(-shuffled_bytes // split), 1)),
+        "spark.sql.shuffle.partitions": str(max(cores, partitions, 1)),
         # Fixed value: input splits of a full unload.
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",

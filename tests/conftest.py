@@ -11,11 +11,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
+    from tableferry.session import recommended
+
     os.environ.setdefault("SPARK_LOCAL_IP", "127.0.0.1")
     base = tmp_path_factory.mktemp("spark")
     session = (
         SparkSession.builder.master("local[8]").appName("tableferry-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config(map=recommended(8))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

@@ -128,3 +128,12 @@ def test_database_move_reports_failures(spark, path):
     assert set(outcomes) == {"hive_src.good", "hive_src.lost"}
     assert spark.read.parquet(outcomes["hive_src.good"].path).count() == 4
     assert outcomes["hive_src.lost"].path is None and outcomes["hive_src.lost"].error
+
+
+def test_rejected_rows_are_kept(spark, path):
+    spec = TableSpec("t", "mysql", (C("id", "BIGINT"), C("s", "CHAR", 1)))
+    df = spark.createDataFrame([(1, "ok"), (2, "too long"), (3, None)], "id long, s string")
+    dest = Destination(path("out"), "d")
+    p = to_warehouse(df, spec, dest, on_loss="reject")
+    assert rows(spark.read.parquet(p)) == [(1, "ok"), (3, None)]
+    assert rows(spark.read.parquet(dest.rejected(spec))) == [(2, "too long", ["s"])]
