@@ -421,10 +421,10 @@ def route_mysql_to_hive(spark, sf):
 
 
 def route_hive_to_hive(spark, sf):
-    path, written = _by_day(spark, sf, "hive_old", "event_id", "event_type", "value")
+    _, old = _by_day(spark, sf, "hive_old", "event_id", "event_type", "value")
     spec = TableSpec("events", "hive", (), partition_columns=("dt",))
-    new = hive_to_hive(spark, path, written.schema, spec, _destination(spark, "hive_new"))
-    return read_written(spark, new, written.schema, ["dt"])
+    new = hive_to_hive(old, spec, _destination(spark, "hive_new"))
+    return read_written(spark, new, old.schema, ["dt"])
 
 
 def migrate_hive_database(spark, sf):

@@ -12,16 +12,15 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from tableferry.operators.conform import (conform, conform_or_reject, derive_pt, keep_partition_keys,
-                                          native_then_partition, variants_as_json)
+                                          lower_names, native_then_partition, variants_as_json)
 from tableferry.operators.layout import spread
 from tableferry.operators.load import align, drift, evolve, merge, merge_partitions, stage, staged
 from tableferry.plans.batch import Outcome, for_each_table
 from tableferry.sinks.catalog import (location, new_version, overwrite_table_partitions, publish, register,
                                       replace_table, write_distributed)
-from tableferry.sinks.files import overwrite_partitions, relocate, table_path, write_files
+from tableferry.sinks.files import overwrite_partitions, table_path, write_files
 from tableferry.sources.catalog import list_tables, partition_columns
 from tableferry.sources.files import NO_FILTER, matching
 from tableferry.specs import LoadSpec, TableSpec
@@ -132,13 +131,18 @@ def maxcompute_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, whe
     return path
 
 
-def hive_to_hive(spark: SparkSession, source: str, schema: T.StructType, spec: TableSpec, dest: Destination) -> str:
-    """Hive to another Hive: the files move to the new root with their partitions, then the catalog
-    recovers them."""
-    parts = list(spec.partition_columns)
-    path = relocate(spark, source, dest.path(spec), schema, parts)
+def hive_to_hive(df: DataFrame, spec: TableSpec, dest: Destination) -> str:
+    """Hive to another Hive: the same rows, types and partitions as Parquet under the new root.
+
+    ``df`` is the source table as the catalog or ``read_files`` gives it, in whatever format it is
+    stored.  It lies in files per partition already, so nothing is shuffled.
+    """
+    parts = [p.lower() for p in spec.partition_columns]
+    rows = lower_names(df)
+    rows = native_then_partition(rows.withColumns({p: rows[p].cast("string") for p in parts}) if parts else rows, parts)
+    path = write_files(rows, dest.path(spec), mode="overwrite", partition_by=parts, clustered=True)
     if dest.catalog:
-        publish(spark, dest.table(spec), path, schema, parts, spec.comment, _properties(spec))
+        publish(df.sparkSession, dest.table(spec), path, rows.schema, parts, spec.comment, _properties(spec))
     return path
 
 
@@ -146,9 +150,8 @@ def hive_database_to_hive(spark: SparkSession, database: str, dest: Destination,
     """Every table of a catalog database, one job each; a table that fails is reported, not fatal."""
 
     def job(table: str) -> str:
-        parts = partition_columns(spark, table)
-        spec = TableSpec(table.split(".")[-1], "hive", (), partition_columns=tuple(parts))
-        return hive_to_hive(spark, location(spark, table), spark.table(table).schema, spec, dest)
+        spec = TableSpec(table.split(".")[-1], "hive", (), partition_columns=tuple(partition_columns(spark, table)))
+        return hive_to_hive(spark.table(table), spec, dest)
 
     return for_each_table(spark, {t: partial(job, t) for t in list_tables(spark, database)}, at_once)
 

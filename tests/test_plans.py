@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,10 +103,11 @@ def test_mysql_to_hive_with_given_partition(spark, path):
 
 def test_hive_to_hive(spark, path):
     df = spark.range(9).select("id", F.concat(F.lit("d"), F.col("id") % 3).alias("dt"))
-    old = write_files(df, path("old"), partition_by=["dt"])
+    old = read_written(spark, write_files(df, path("old"), partition_by=["dt"]), df.schema, ["dt"])
     spec = TableSpec("moved", "hive", (), partition_columns=("dt",))
-    hive_to_hive(spark, old, df.schema, spec, Destination(path("new"), "default", catalog=True))
-    hive_to_hive(spark, old, df.schema, spec, Destination(path("newer"), "default", catalog=True))
+    hive_to_hive(old, spec, Destination(path("new"), "default", catalog=True))
+    assert rows(spark.table("default.moved")) == rows(df)
+    hive_to_hive(old, spec, Destination(path("newer"), "default", catalog=True))
     assert rows(spark.table("default.moved")) == rows(df)
     spark.sql("drop table default.moved")
 
@@ -118,16 +121,24 @@ def test_scratch_is_the_shared_folder(spark):
 
 
 def test_database_move_reports_failures(spark, path):
+    """Tables of any format move; one with a damaged file is reported."""
     from tableferry.plans.routes import hive_database_to_hive
 
     spark.sql(f"create database hive_src location '{path('src')}'")
     spark.range(4).write.saveAsTable("hive_src.good")
-    spark.sql(f"create table hive_src.lost (id long) using parquet location '{path('nowhere')}'")
+    spark.range(5).select("id", (F.col("id") % 2).cast("int").alias("Part")).write.partitionBy("Part").format("orc").saveAsTable("hive_src.stored_as_orc")
+    damaged = path("damaged").removeprefix("file:")
+    os.makedirs(damaged)
+    with open(f"{damaged}/part-0.snappy.parquet", "w") as f:
+        f.write("not parquet")
+    spark.sql(f"create table hive_src.damaged (id long) using parquet location '{damaged}'")
     spark.sql("create view hive_src.seen as select 1 as x")
     outcomes = {o.table: o for o in hive_database_to_hive(spark, "hive_src", Destination(path("dst"), "d"))}
-    assert set(outcomes) == {"hive_src.good", "hive_src.lost"}
+    assert set(outcomes) == {"hive_src.good", "hive_src.stored_as_orc", "hive_src.damaged"}
     assert spark.read.parquet(outcomes["hive_src.good"].path).count() == 4
-    assert outcomes["hive_src.lost"].path is None and outcomes["hive_src.lost"].error
+    moved = spark.read.schema("id long, part string").parquet(outcomes["hive_src.stored_as_orc"].path)
+    assert rows(moved) == [(0, "0"), (1, "1"), (2, "0"), (3, "1"), (4, "0")]
+    assert outcomes["hive_src.damaged"].path is None and outcomes["hive_src.damaged"].error
 
 
 def test_rejected_rows_are_kept(spark, path):
