@@ -23,6 +23,22 @@ def interval_micros(c: Column) -> Column:
     return (seconds * 1000000).cast("bigint")
 
 
+def interval_text_micros(c: Column) -> Column:
+    """An interval as PostgreSQL prints it (``3 days 04:05:06.5``), or a bare number, as microseconds.
+
+    Months and years have no fixed length: such an interval does not fit.
+    """
+    pattern = r"^(?=.)(?:([+-]?\d+) days?)? ?(?:([+-]?)(\d+):(\d\d):(\d\d(?:\.\d{1,6})?))?$"
+
+    def part(group: int, kind: str) -> Column:
+        return F.coalesce(F.nullif(F.regexp_extract(c, pattern, group), F.lit("")), F.lit("0")).try_cast(kind)
+
+    seconds = (part(3, "decimal(12,0)") * 3600 + part(4, "int") * 60) + part(5, "decimal(8,6)")
+    time = (seconds * 1000000).try_cast("bigint") * F.when(F.regexp_extract(c, pattern, 2) == "-", -1).otherwise(1)
+    micros = F.try_add(F.try_multiply(part(1, "bigint"), F.lit(86400000000)), time)
+    return F.when(c.rlike(r"^[+-]?\d+$"), c.try_cast("bigint")).when(c.rlike(pattern), micros)
+
+
 def _text(c: Column, physical: T.DataType) -> Column:
     if isinstance(physical, T.BinaryType):
         # \x followed by lower-case hex digits, the text form PostgreSQL gives bytes.
@@ -92,6 +108,8 @@ def try_convert(c: Column, physical: T.DataType, target: Target, declared: str =
         return F.try_parse_json(c if isinstance(physical, T.StringType) else F.to_json(c))
     if isinstance(physical, T.DayTimeIntervalType) and isinstance(want, T.LongType):
         return interval_micros(c)
+    if isinstance(physical, T.StringType) and declared.upper() == "INTERVAL":
+        return interval_text_micros(c)
     if isinstance(physical, T.DateType) and isinstance(want, T.IntegerType):
         return F.year(c)
     if isinstance(physical, T.StringType) and declared.upper() == "TIME":

@@ -47,6 +47,15 @@ def test_conversions(spark, value, physical, target, want):
         assert _one(spark, value, physical, target) == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("3 days 04:05:06.5", 3 * 86400000000 + 14706500000), ("04:05:06", 14706000000), ("-1 days +02:00:00", -86400000000 + 7200000000),
+    ("1 day", 86400000000), ("-00:00:01.000001", -1000001), ("17", 17), ("1 mon 2 days", None), ("2 years", None), ("", None),
+    ("abc", None), ("99999999999999 days", None), ("3 days04:05", None),
+])
+def test_interval_text(spark, text, want):
+    assert _one(spark, text, T.StringType(), "INT8", "INTERVAL") == want
+
+
 D = Decimal
 
 
