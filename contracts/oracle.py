@@ -45,6 +45,7 @@ with w as (select min(l_orderkey) as lo, (max(l_orderkey) - min(l_orderkey) + 16
 select cast((l_orderkey - lo) // width as integer) as split, count(*) as n,
        min(l_orderkey) as first_key, max(l_orderkey) as last_key
 from lineitem, w group by 1""",
+    "split_predicates": "select count(*) as n, count(*) as n_once from lineitem",
     "export_all_tables": " union all ".join(f"select '{n}' as table_name, count(*) as n from {n}" for n in TABLES),
     "export_skip_external": """
 select 'lineitem' as table_name, count(*) as n from lineitem union all select 'orders', count(*) from orders""",

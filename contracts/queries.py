@@ -29,7 +29,7 @@ from tableferry.sinks.delimited import read_delimited, write_delimited
 from tableferry.sinks.files import FORMATS, overwrite_partitions, read_written, relocate, write_files
 from tableferry.sources.catalog import list_tables, read_table
 from tableferry.sources.files import matching
-from tableferry.sources.jdbc import split_sizes
+from tableferry.sources.jdbc import quantile_cuts, range_predicates, split_sizes
 from tableferry.sources.probe import probe
 from tableferry.specs import IncrementalSpec, LoadSpec, TableSpec
 
@@ -78,6 +78,14 @@ def parallel_split(spark, sf):
     return split_sizes(table(spark, sf, "lineitem"), "l_orderkey", 16)
 
 
+def split_predicates(spark, sf):
+    """Conditions cut at quantiles of the key: how many rows satisfy exactly one of them."""
+    lines = table(spark, sf, "lineitem").select("l_partkey")
+    conditions = range_predicates("l_partkey", quantile_cuts(lines, "l_partkey", 16))
+    hits = reduce(Column.__add__, [F.when(F.expr(c), 1).otherwise(0) for c in conditions])
+    return lines.agg(F.count("*").alias("n"), F.count_if(hits == 1).alias("n_once"))
+
+
 def export_all_tables(spark, sf):
     def job(name):
         return write_files(table(spark, sf, name), fresh_path(spark, f"all-{name}"))
@@ -456,6 +464,7 @@ QUERIES = {
     "export_filtered": export_filtered,
     "catalog_table_scan": catalog_table_scan,
     "parallel_split": parallel_split,
+    "split_predicates": split_predicates,
     "export_all_tables": export_all_tables,
     "export_skip_external": export_skip_external,
     "unload_parquet": unload_parquet,

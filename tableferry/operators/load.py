@@ -127,6 +127,9 @@ def merge_partitions(target: DataFrame, staging: DataFrame, key: Sequence[str],
     outside = [p for p in partition_columns if p not in key]
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the merge key")
+    # Directories hold no empty text: it is written to, and read from, the NULL partition.
+    texts = [p for p in partition_columns if isinstance(staging.schema[p].dataType, T.StringType)]
+    staging = staging.withColumns({p: F.nullif(F.col(p), F.lit("")) for p in texts})
     return merge(touched_partitions(target, staging, partition_columns), staging, key, order_by)
 
 

@@ -169,14 +169,19 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
     action = load.action(spec)
     staging = staged(source, inc) if inc else source
     parts = [p.lower() for p in spec.partition_columns]
-    if not spark.catalog.tableExists(table) or action == "overwrite":
+    exists = spark.catalog.tableExists(table)
+    key = list(load.merge_key(spec))
+    if action == "merge":
+        staging = stage(staging)
+        if not exists:
+            # The first increment may hold a key twice as well.
+            staging = merge(spark.createDataFrame([], staging.schema), staging, key, order_by)
+    if not exists or action == "overwrite":
         replace_table(staging, table, root, parts)
         return "overwrite"
     target = spark.table(table)
     drifted = any(drift(target, staging))
     if action == "merge":
-        key = list(load.merge_key(spec))
-        staging = stage(staging)
         if parts and set(parts) <= set(key) and not drifted:
             overwrite_table_partitions(merge_partitions(target, staging, key, parts, order_by), table, parts)
             return action

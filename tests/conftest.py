@@ -20,7 +20,7 @@ def spark(tmp_path_factory):
         .config(map=recommended(8))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", f"file:{base}/shared")
         .config("spark.sql.warehouse.dir", f"{base}/warehouse")
         .getOrCreate()

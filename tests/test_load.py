@@ -98,6 +98,9 @@ def test_merge_touches_only_named_partitions(spark, path, monkeypatch, listed):
     # A NULL partition would be overwritten too, so its rows must come along.
     with_null = merge_partitions(target, _events(spark, [(8, "b", None)]), ["id", "dt"], ["dt"])
     assert rows(with_null) == [(4, "a", None), (8, "b", None)]
+    # Empty text shares the directory of NULL.
+    with_empty = merge_partitions(target, _events(spark, [(7, "b", "")]), ["id", "dt"], ["dt"])
+    assert rows(with_empty) == [(4, "a", None), (7, "b", None)]
     with pytest.raises(ValueError, match="part of the merge key"):
         merge_partitions(target, staging, ["id"], ["dt"])
 
@@ -152,6 +155,17 @@ def test_full_then_append_then_merge(spark, path):
     assert rows(spark.table(name)) == rows(df)
 
 
+def test_first_merge_checks_its_increment(spark, path):
+    name, root = fresh_table(spark, "t"), path("root")
+    twice = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 1, "c")], SCHEMA)
+    load = LoadSpec(incremental=IncrementalSpec("true", merge=True))
+    with pytest.raises(DuplicateKeys):
+        load_table(twice, SPEC, name, root, load)
+    assert not spark.catalog.tableExists(name)
+    load_table(twice, SPEC, name, root, load, order_by=["o"])
+    assert rows(spark.table(name)) == [(1, 2, "b"), (None, 1, "c")]
+
+
 @pytest.mark.parametrize("merge_it", [True, False])
 def test_drifted_load(spark, path, merge_it):
     name, root = fresh_table(spark, "t"), path("root")
