@@ -22,7 +22,7 @@ def tie_break(df: DataFrame, used: Sequence[str], key: Sequence[str]) -> list[Co
 
     Over the key where there is one: ranges are sampled, and that pass reads the columns hashed.
     """
-    columns = list(key) or [f.name for f in df.schema.fields
+    columns = [k for k in key if k in df.columns] or [f.name for f in df.schema.fields
                             if f.name not in used and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     return [F.xxhash64(*[f"`{c}`" for c in columns])] if columns else []
 

@@ -171,13 +171,14 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
     parts = [p.lower() for p in spec.partition_columns]
     exists = spark.catalog.tableExists(table)
     key = list(load.merge_key(spec))
+    replace = partial(replace_table, table=table, root=root, partition_by=parts, load=load, key=spec.key)
     if action == "merge":
         staging = stage(staging)
         if not exists:
             # The first increment may hold a key twice as well.
             staging = merge(spark.createDataFrame([], staging.schema), staging, key, order_by)
     if not exists or action == "overwrite":
-        replace_table(staging, table, root, parts)
+        replace(staging)
         return "overwrite"
     target = spark.table(table)
     drifted = any(drift(target, staging))
@@ -185,12 +186,12 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
         if parts and set(parts) <= set(key) and not drifted:
             overwrite_table_partitions(merge_partitions(target, staging, key, parts, order_by), table, parts)
             return action
-        replace_table(merge(align(target, staging), staging, key, order_by), table, root, parts)
+        replace(merge(align(target, staging), staging, key, order_by))
         return action
     if drifted:
-        replace_table(evolve(target, staging), table, root, parts)
+        replace(evolve(target, staging))
     else:
         _insert(staging, table, parts)
         if inc and inc.compact_after_load:
-            replace_table(spark.table(table), table, root, parts)
+            replace(spark.table(table))
     return action

@@ -133,6 +133,14 @@ PARTED = TableSpec("t", "mysql", (SourceColumn("id", "INT"), SourceColumn("v", "
                    primary_key=("id", "dt"), partition_columns=("dt",))
 
 
+def test_write_parallelism_of_a_load(spark, path):
+    name = fresh_table(spark, "t")
+    df = spark.range(0, 400, 1, 2).select(F.col("id").cast("int").alias("id"), F.lit("a").alias("v"), (F.col("id") % 100).cast("string").alias("dt"))
+    load_table(df, PARTED, name, path("root"), LoadSpec(write_partitions=4))
+    assert spark.table(name).select("dt").distinct().count() == 100
+    assert rows(spark.table(name)) == rows(df)
+
+
 def test_staging(spark):
     df = spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], SCHEMA)
     inc = IncrementalSpec("k > 1", select_from_staging=("k", "upper(v) as v"))
