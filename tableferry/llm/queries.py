@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import huffman, language, quality, token_counts
+from tableferry.llm import huffman, language, quality, sentences, surrogates, token_counts
 from tableferry.llm.ship import ship
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 TOKEN_LIMIT = 512
+#: The key of the registered query; it is part of the code and so protects nothing.  Users pass their own.
+EXAMPLE_KEY = b"example key, not a secret"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,16 +50,27 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_ids(spark, huffman.store(docs, _tokenizer(BYTE_BPE)))
 
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentences.summary(_table(spark, sf_dir, "documents"), _tokenizer(PIECE_BPE))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer(BYTE_BPE))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace(docs, EXAMPLE_KEY, count_column="n_replaced")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
     "op5_token_ids": op5_token_ids,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_token_counts": op7_token_counts,
+    "op10_pii_surrogates": op10_pii_surrogates,
 }
 
 #: The SQL of the queries that SQL can express on whole tables.

@@ -10,7 +10,7 @@ import numpy as np
 #: Pieces encoded in one call: their text is joined, as a blank before each keeps them apart.
 TOGETHER = 300
 #: Pieces whose ids a worker keeps; then it begins anew.
-KEPT = 1_500_000
+KEPT = 600_000
 
 
 class Encoder:
@@ -22,7 +22,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def _encode(self, pieces: list[str]) -> None:
         blank = [x for x in pieces if len(x) > 1 and x[0] == " " and not x[1].isspace()]
@@ -31,10 +31,10 @@ class Encoder:
             ids = np.array(found.ids, np.uint32)
             cuts = np.searchsorted(np.array(found.word_ids), np.arange(len(group) + 1))
             for i, x in enumerate(group):
-                self.known[x] = ids[cuts[i]:cuts[i + 1]]
+                self.known[x] = ids[cuts[i]:cuts[i + 1]].tobytes()
         rest = [x for x in pieces if not (len(x) > 1 and x[0] == " " and not x[1].isspace())]
         for x, found in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
-            self.known[x] = np.array(found.ids, np.uint32)
+            self.known[x] = np.array(found.ids, np.uint32).tobytes()
 
     def ids(self, pieces: list[str]) -> list[np.ndarray]:
         """The ids of each of these distinct pieces."""
@@ -43,7 +43,7 @@ class Encoder:
         missing = [x for x in pieces if x not in self.known]
         if missing:
             self._encode(missing)
-        return [self.known[x] for x in pieces]
+        return [np.frombuffer(self.known[x], np.uint32) for x in pieces]
 
 
 @cache
