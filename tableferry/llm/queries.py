@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import huffman, language, quality, sentences, surrogates, token_counts
+from tableferry.llm import huffman, language, leaks, pages, quality, sentences, surrogates, token_counts
 from tableferry.llm.ship import ship
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -59,6 +59,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "pages")
+    return pages.extract(table, pages.train(table))
+
+
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return surrogates.replace(docs, EXAMPLE_KEY, count_column="n_replaced")
@@ -70,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_ids": op5_token_ids,
     "op6_sentence_pieces": op6_sentence_pieces,
     "op7_token_counts": op7_token_counts,
+    "op8_decontamination": op8_decontamination,
+    "op9_main_text": op9_main_text,
     "op10_pii_surrogates": op10_pii_surrogates,
 }
 
