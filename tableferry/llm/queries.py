@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import huffman, language, leaks, near_duplicates, pages, quality, sentences, surrogates, token_counts
+from tableferry.llm import huffman, language, leaks, near_duplicates, pages, quality, sentences, substrings, surrogates, token_counts
 from tableferry.llm.ship import ship
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -45,6 +45,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(_table(spark, sf_dir, "documents"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.report(_table(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_token_ids": op5_token_ids,
     "op6_sentence_pieces": op6_sentence_pieces,

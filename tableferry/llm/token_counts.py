@@ -24,7 +24,7 @@ from tableferry.llm.vocabulary import Encoder, encoder
 from tableferry.llm.words import joined, raw_of, slices
 
 #: Bytes of text whose pre-tokens meet in one group, about, and of those that are cut before they are given on.
-GROUP_BYTES, TASK_BYTES = 24 << 20, 32 << 20
+GROUP_BYTES, TASK_BYTES = 24 << 20, 12 << 20
 
 _FREQUENCIES = "groups long, batch long, heads array<long>, ids array<long>, bytes array<long>, words array<string>, n array<int>, steps array<int>, times array<int>"
 
