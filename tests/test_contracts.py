@@ -8,10 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from contracts.oracle import ORACLE
+from contracts.queries import QUERIES
 from contracts.tables import TABLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
+
 
 # DuckDB type names by Spark type name.
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "float": "FLOAT",
