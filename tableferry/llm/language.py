@@ -4,7 +4,7 @@ Texts are lower-cased and reduced to letters.  A text is compressed in pieces of
 what it holds itself doesn't stand in for the dictionary in long texts; the pieces of all of it are summed.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, also where nothing could be learned;
-equal sizes go to the language with more learned text, then to the first by name; an empty table gives an empty result.  The score is the share
+equal sizes go to the language with more rows to learn from, then to the first by name; an empty table gives an empty result.  The score is the share
 of bytes saved against the second-best language, or 1 if there is one language only.
 """
 
@@ -27,6 +27,8 @@ MAX_LANGUAGES = 256
 PIECE = 1024
 #: Short matches matter, as words of related languages share long ones; chosen by accuracy on rows that are not learned from.
 SEARCH = {"strategy": zstandard.STRATEGY_GREEDY, "min_match": 4, "search_log": 4, "hash_log": 17, "chain_log": 17, "window_log": 18}
+#: Shorter texts are written several times over: alone they would be stored as they are, and all sizes be equal.
+SHORT, TIMES = 200, 8
 #: A narrower margin (the score) is rejected.
 MARGIN = 0.01
 UNKNOWN = "und"
@@ -46,7 +48,8 @@ def _compressor(raw: bytes) -> zstandard.ZstdCompressor:
 
 
 def learn(docs: DataFrame, documents: int = DOCUMENTS) -> dict[str, bytes]:
-    """The dictionary of each non-null ``lang`` of (``lang``, ``text``), from about ``documents`` rows of each."""
+    """The dictionary of each non-null ``lang`` of (``lang``, ``text``), from about ``documents`` rows of each; the
+    language with most rows is first."""
     known = docs.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("rank"))
     # A count by language is one row each; a hot language needs no other handling.
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
@@ -67,7 +70,8 @@ def learn(docs: DataFrame, documents: int = DOCUMENTS) -> dict[str, bytes]:
 
     # Bounded: MAX_LANGUAGES dictionaries of DICTIONARY_BYTES.
     found = chosen.groupBy("lang").applyInPandas(gather, "lang string, raw binary").collect()
-    return {row["lang"]: bytes(row["raw"]) for row in sorted(found) if len(row["raw"]) > 8}
+    rows = {row["lang"]: row["n"] for row in sizes}
+    return {row["lang"]: bytes(row["raw"]) for row in sorted(found, key=lambda x: (-rows[x["lang"]], x["lang"])) if len(row["raw"]) > 8}
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_column: str = "text", into: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
@@ -78,7 +82,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_column: str =
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        names = sorted(shared.value, key=lambda x: (-len(shared.value[x]), x))
+        names = list(shared.value)
         tools = [_compressor(shared.value[x]) for x in names]
         for texts in batches:
             out = []
@@ -87,6 +91,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text_column: str =
                 if not raw or not names:
                     out.append((UNKNOWN, 0.0, True))
                     continue
+                if len(raw) < SHORT:
+                    raw = (raw + b" ") * TIMES
                 pieces = [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
                 sizes = [sum(len(tool.compress(x)) for x in pieces) for tool in tools]
                 best = int(np.argmin(sizes))
