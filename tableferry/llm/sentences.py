@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
@@ -251,17 +252,12 @@ def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
 def decoded(ids: Column, model: str) -> Column:
     """The text of an array of ids."""
 
-    def run(batches: Iterator) -> Iterator:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tool = pieces_of(model)
         for rows in batches:
             yield rows.map(lambda x: None if x is None else tool.decode(x.tolist()))
 
-    import pandas as pd
-
-    def typed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        return run(batches)
-
-    return F.pandas_udf(typed, "string")(ids)
+    return F.pandas_udf(run, "string")(ids)
 
 
 def summary(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -1,0 +1,103 @@
+import re
+from collections import defaultdict
+
+import pytest
+
+from tableferry.llm import surrogates
+from tableferry.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+KEY = b"test"
+TEXT = ('Mail Bob.X@Foo-bar.example.com or bob.x@foo-bar.example.com, +1 (377) 555-0271, +1 377 555 0271 from 192.168.1.77. Card 4111 1111 1111 1111, number 2669109448945250, '
+        'Herr Anton Meyer met Frau Erika Meyer. Meyer left; MEYER too. token = "061e3551a60fa07e990e" 123-45-6789 DE89 3704 0044 0532 0130 00, господин Иванов, 2b4fd8f0a1b2c3d4e5f60718293a4b5c.')
+
+
+def entities(text):
+    return [(x.kind, x.entity) for x in surrogates.find(text)]
+
+
+def test_finding():
+    kinds = [k for k, _ in entities(TEXT)]
+    assert kinds == ["email", "email", "phone1", "phone1", "ip", "card_checked", "card", "given_m_latin", "surname_m_latin", "given_f_latin", "surname_f_latin", "surname_f_latin",
+                     "secret", "ssn", "iban", "surname_m_cyrillic", "secret"]
+    found = entities(TEXT)
+    assert found[0] == found[1] and found[2] == found[3]
+    for clean in ("A. 12 of 345, 1.2.3 and 3.14159, version 10.2.3.4.5, 300.1.2.3, in 2024-01-02", "no 12345678901234567890123 here", "ratio 1/2 @ home", "", None):
+        assert entities(clean) == []
+
+
+def test_forms():
+    for x in surrogates.find(TEXT):
+        surface = TEXT[x.start:x.end]
+        drawn = surrogates.surrogate(KEY, x.kind, x.entity, 0)
+        assert drawn == surrogates.surrogate(KEY, x.kind, x.entity, 0) != surrogates.surrogate(b"other", x.kind, x.entity, 0)
+        new = surrogates.written(x.kind, surface, drawn)
+        assert new != surface
+        if x.kind in ("card", "card_checked", "ssn", "iban", "secret", "email") or x.kind.startswith("phone"):
+            shape = [re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", s))) for s in (surface, new)]
+            assert x.kind in ("iban", "secret") or shape[0] == shape[1]
+            assert len(new) == len(surface)
+        if x.kind == "card_checked":
+            assert surrogates.luhn("".join(c for c in new if c.isdigit()))
+        if x.kind == "phone1":
+            assert new.startswith("+1")
+        if x.kind == "ip":
+            assert new.startswith("192.168.")
+        if x.kind == "surname_m_cyrillic":
+            assert re.fullmatch("[А-Я][а-я]+", new)
+        if x.kind == "iban":
+            assert new.startswith("DE")
+
+
+def test_one_to_one_over_a_corpus(spark):
+    """Formats with little room, so that draws do collide."""
+    texts = [f"Herr Name{chr(97 + i // 26)}{chr(97 + i % 26)} called" for i in range(600)] + [f"host 10.{i}.{j}.1" for i in range(20) for j in range(20)] + [f"{i:03d}-00-0000" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.replace(docs, KEY).collect()}
+    ahead, back, real = {}, {}, defaultdict(set)
+    pairs = []
+    for i, old in enumerate(texts):
+        for (kind, entity), (_, drawn) in zip(entities(old), [(x.kind, x.entity) for x in surrogates.find(got[i])], strict=True):
+            pairs.append((kind, entity, drawn))
+            real[kind].add(entity)
+    assert len(pairs) >= 1200
+    for kind, entity, drawn in pairs:
+        assert ahead.setdefault((kind, entity), drawn) == drawn and back.setdefault((kind, drawn), entity) == entity
+        assert drawn not in real[kind]
+
+
+def test_no_room_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "MAX_DRAWS", 2)
+    monkeypatch.setattr(surrogates, "surrogate", lambda key, kind, entity, number: "10.0.0.9")
+    import tableferry.llm.surrogates as module
+
+    found = spark.createDataFrame([("ip", f"10.0.0.{i}") for i in range(3)], "kind string, entity string")
+    with pytest.raises(ValueError, match="more entities"):
+        module.assign(found, KEY)
+
+
+def test_the_whole_table(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = QUERIES["op10_pii_surrogates"](spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    real, places = {e for t in docs.values() for e in entities(t)}, 0
+    for r in got:
+        old = entities(docs[r.doc_id])
+        new = entities(r.text)
+        assert r.n_replaced == len(old) == len(new)
+        assert [k for k, _ in old] == [k for k, _ in new]
+        assert not set(new) & real
+        if not old:
+            assert r.text == docs[r.doc_id]
+        places += len(old)
+    assert places > 50
+
+
+def test_odd_texts(spark, odd, none):
+    got = surrogates.replace(odd, KEY, count_column="n")
+    assert got.columns == [*odd.columns, "n"]
+    assert sorted(map(str, (r.text for r in got.collect()))) == sorted(map(str, (r.text for r in odd.collect())))
+    assert surrogates.replace(none, KEY).collect() == []
+    some = spark.createDataFrame([(1, "x@y.example.com", "k"), (1, "x@y.example.com", "k"), (None, "to x@y.example.com", None)], "doc_id long, text string, content string")
+    rows = surrogates.replace(some, KEY).collect()
+    assert len(rows) == 3 and len({r.text.split()[-1] for r in rows}) == 1 and "x@y" not in rows[0].text
