@@ -8,7 +8,7 @@ from tableferry.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 KEY = b"test"
-TEXT = ('Mail Bob.X@Foo-bar.example.com or bob.x@foo-bar.example.com, +1 (377) 555-0271, +1 377 555 0271 from 192.168.1.77. Card 4111 1111 1111 1111, number 2669109448945250, '
+TEXT = ('Mail Bob.X@Foo-bar.example.com or bob.x@foo-bar.example.com, +1 (377) 555-0271, +1 377 555 0271 from 192.168.1.77. Card 4111 1111 1111 1111, number 2669109448945251, '
         'Herr Anton Meyer met Frau Erika Meyer. Meyer left; MEYER too. token = "061e3551a60fa07e990e" 123-45-6789 DE89 3704 0044 0532 0130 00, господин Иванов, 2b4fd8f0a1b2c3d4e5f60718293a4b5c.')
 
 
