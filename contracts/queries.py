@@ -29,7 +29,7 @@ from tableferry.sinks.delimited import read_delimited, write_delimited
 from tableferry.sinks.files import FORMATS, overwrite_partitions, read_written, relocate, write_files
 from tableferry.sources.catalog import list_tables, read_table
 from tableferry.sources.files import matching
-from tableferry.sources.jdbc import quantile_cuts, range_predicates, split_sizes
+from tableferry.sources.jdbc import equal_cuts, quantile_cuts, range_predicates, split_sizes
 from tableferry.sources.probe import probe
 from tableferry.specs import IncrementalSpec, LoadSpec, TableSpec
 
@@ -75,7 +75,10 @@ def catalog_table_scan(spark, sf):
 
 
 def parallel_split(spark, sf):
-    return split_sizes(table(spark, sf, "lineitem"), "l_orderkey", 16)
+    """The rows that each condition of a read split by key ranges would carry."""
+    lines = table(spark, sf, "lineitem")
+    lower, upper = lines.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    return split_sizes(lines, "l_orderkey", range_predicates("l_orderkey", equal_cuts(lower, upper, 16)))
 
 
 def split_predicates(spark, sf):

@@ -112,22 +112,26 @@ class HourRange:
                             self.include_end if last else True)
 
 
-def hour_range_filter(partition_columns: Sequence[str], hours: HourRange) -> Column:
-    """The range on an hour-partitioned (``dh``) or day-partitioned (``dt``) table.
+def hour_range_filter(partition_columns: Sequence[str], hours: HourRange, whole_table: bool = False) -> Column:
+    """The range on an hour-partitioned (``dh``) or day-partitioned (``dt``, ``ds``) table.
 
-    A table with neither is copied whole.  The first partition column counts like any other.
+    A table with none of them is an error, or copied whole where ``whole_table`` says so.  The first
+    partition column counts like any other.
     """
     names = {p.lower() for p in partition_columns}
     if "dh" in names:
         return hours.on_hours(F.col("dh"))
-    if "dt" in names:
-        return hours.on_days(F.col("dt"))
-    return F.lit(True)
+    for day in ("dt", "ds"):
+        if day in names:
+            return hours.on_days(F.col(day))
+    if whole_table:
+        return F.lit(True)
+    raise ValueError(f"no hours or days among the partition columns {list(partition_columns)}; whole_table=True copies all rows")
 
 
-def hour_filter(partition_columns: Sequence[str], hour: str) -> Column:
+def hour_filter(partition_columns: Sequence[str], hour: str, whole_table: bool = False) -> Column:
     """One hour, coarsened to its day where the table is partitioned by day."""
-    return hour_range_filter(partition_columns, HourRange(hour, hour))
+    return hour_range_filter(partition_columns, HourRange(hour, hour), whole_table)
 
 
 def day_strings(first: str, last: str) -> list[str]:

@@ -151,11 +151,13 @@ def keep_partition_keys(df: DataFrame, partition_columns: Sequence[str],
 def derive_pt(df: DataFrame, value: str | None = None, column: str = UPDATE_TIME, name: str = "pt") -> tuple[DataFrame, list[str]]:
     """A partition column for tables with an update time: the given value, else the update day.
 
-    Tables without the update time stay unpartitioned.
+    Tables without the update time stay unpartitioned.  A source column of that name is an error.
     """
     f = _fields(df).get(column)
     if f is None:
         return df, []
+    if name in _fields(df):
+        raise ValueError(f"the source has a column {name!r} of its own; derive another name")
     return df.withColumn(name, F.lit(value) if value else day_of(_physical(f))), [name]
 
 

@@ -11,10 +11,8 @@ from pyspark.sql import types as T
 from tableferry.functions.dates import DAY
 from tableferry.session import adaptive
 
-# A bucket is read by one task.  Beyond this many times the mean size the key does not distribute.
-MAX_BUCKET_SKEW = 3.0
-# A bucket of this many rows is no burden for a task, whatever the mean.
-SMALL_BUCKET_ROWS = 1_000_000
+# A bucket is read by one task: it should hold about this much.
+BUCKET_BYTES = 256 * 1024 * 1024
 
 
 def tie_break(df: DataFrame, used: Sequence[str], key: Sequence[str]) -> list[Column]:
@@ -57,12 +55,6 @@ def bucket_sizes(df: DataFrame, key: Sequence[str | Column], buckets: int) -> tu
     return largest or 0, (total or 0) / buckets
 
 
-def spreads(df: DataFrame, key: Sequence[str | Column], buckets: int) -> bool:
-    """Whether the key shares the rows out evenly enough for one task per bucket."""
-    largest, mean = bucket_sizes(df, key, buckets)
-    return largest <= max(MAX_BUCKET_SKEW * mean, SMALL_BUCKET_ROWS)
-
-
 def without_deleted(df: DataFrame, deleted: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows whose key was not deleted.  NULL keys stay.
 
@@ -76,10 +68,11 @@ def retained(df: DataFrame, days: int, day_column: str = "dt", as_of: str | None
     """Partitions not older than ``days`` before ``as_of`` (yyyyMMdd), or before the newest one.
 
     The comparison is on the partition column itself and prunes directories before any is read.
+    Rows without a day have no age and stay, as in ``drop_expired``.
     """
     if as_of is None:
         newest = df.select(F.max(day_column).alias("d")).select(
             F.date_format(F.date_sub(F.to_date("d", DAY), days), DAY)).scalar()
     else:
         newest = F.date_format(F.date_sub(F.to_date(F.lit(as_of), DAY), days), DAY)
-    return df.where(F.col(day_column) >= newest)
+    return df.where((F.col(day_column) >= newest) | F.col(day_column).isNull())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,10 +14,7 @@ from tableferry.session import fresh_path
 from tableferry.sinks.files import write_files
 from tableferry.specs import IncrementalSpec
 
-
-# Partition values sent to the driver to make a filter of; a merge touching more uses a join.
-MAX_LISTED_PARTITIONS = 1000
-
+log = logging.getLogger(__name__)
 
 class DuplicateKeys(ValueError):
     """The staged rows hold a merge key twice and nothing says which row is the newer one."""
@@ -91,30 +89,53 @@ def merge(target: DataFrame, staging: DataFrame, key: Sequence[str], order_by: S
     return target.join(staging.select(*key), key, "left_anti").select(*target.columns).unionByName(staging)
 
 
+def in_partitions(target: DataFrame, values: Sequence[Sequence], partition_columns: Sequence[str]) -> DataFrame:
+    """The target rows in the given partitions; NULL counts as a value.
+
+    Each column is compared with a list, which prunes directories while the query is planned however
+    many there are; where there are several columns, a join then picks the combinations.
+    """
+    for i, p in enumerate(partition_columns):
+        column = target.schema[p]
+        found = {v[i] for v in values}
+        wanted = F.col(f"`{p}`").isin([F.lit(v).cast(column.dataType) for v in sorted(found - {None}, key=str)])
+        target = target.where(wanted | F.col(f"`{p}`").isNull() if None in found else wanted)
+    if len(partition_columns) < 2:
+        return target
+    kinds = T.StructType([T.StructField(p, target.schema[p].dataType) for p in partition_columns])
+    listed = target.sparkSession.createDataFrame([tuple(v) for v in values], kinds)
+    same = F.lit(True)
+    for p in partition_columns:
+        same = same & F.col(f"t.`{p}`").eqNullSafe(F.col(f"s.`{p}`"))
+    return target.alias("t").join(listed.alias("s"), same, "left_semi").select(*target.columns)
+
+
+def partition_values(rows: DataFrame, partition_columns: Sequence[str]) -> list[tuple]:
+    """The distinct partition values of some rows: one row for each directory they belong to."""
+    return [tuple(r) for r in rows.select(*partition_columns).distinct().collect()]
+
+
 def touched_partitions(target: DataFrame, staging: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
-    """The target rows in partitions that staging holds rows of; NULL counts as a partition.
+    """The target rows in partitions that staging holds rows of; NULL counts as a partition."""
+    return in_partitions(target, partition_values(staging, partition_columns), partition_columns)
+
+
+def affected_partitions(target: DataFrame, staging: DataFrame, key: Sequence[str], partition_columns: Sequence[str]) -> tuple[list[tuple], list[tuple]]:
+    """The partitions that a merge by ``key`` changes, and those of them that it leaves without rows.
 
-    Few partitions become a literal filter, which prunes directories while the query is planned.
-    Beyond that bound a semi join gives the same rows.
+    For a key that doesn't hold the partition columns: rows may move from one partition to another.
+    Only the key and the partition columns of the target are read.
     """
-    values = staging.select(*partition_columns).distinct()
-    few = values.take(MAX_LISTED_PARTITIONS + 1)
-    if len(few) > MAX_LISTED_PARTITIONS:
-        same = F.lit(True)
-        for p in partition_columns:
-            same = same & F.col(f"t.{p}").eqNullSafe(F.col(f"s.{p}"))
-        return target.alias("t").join(values.alias("s"), same, "left_semi").select(*target.columns)
-    if len(partition_columns) == 1:
-        p = partition_columns[0]
-        wanted = F.col(p).isin([r[0] for r in few if r[0] is not None])
-        return target.where(wanted | F.col(p).isNull() if any(r[0] is None for r in few) else wanted)
-    wanted = F.lit(False)
-    for r in few:
-        one = F.lit(True)
-        for p, v in zip(partition_columns, r):
-            one = one & (F.col(p).isNull() if v is None else F.col(p) == v)
-        wanted = wanted | one
-    return target.where(wanted)
+    columns = list(dict.fromkeys([*key, *partition_columns]))
+    slim, keys = target.select(*columns), staging.select(*key).distinct()
+    left_behind = set(partition_values(slim.join(keys, list(key), "left_semi"), partition_columns))
+    staged_into = set(partition_values(staging, partition_columns))
+    maybe_empty = sorted(left_behind - staged_into, key=str)
+    if maybe_empty:
+        rest = in_partitions(slim, maybe_empty, partition_columns).join(keys, list(key), "left_anti")
+        kept = set(partition_values(rest, partition_columns))
+        maybe_empty = [v for v in maybe_empty if v not in kept]
+    return sorted(left_behind | staged_into, key=str), maybe_empty
 
 
 def merge_partitions(target: DataFrame, staging: DataFrame, key: Sequence[str], partition_columns: Sequence[str],
@@ -144,6 +165,44 @@ def drift(target: DataFrame, staging: DataFrame, custom_fields: Sequence[str] =
     return [c for c in want if c not in have], [c for c in have if c not in want and c not in custom]
 
 
+# Types that a file of the first can be read as, each in order of size.
+_WIDER = ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType))
+
+
+def common_type(name: str, old: T.DataType, new: T.DataType) -> T.DataType:
+    """The wider of two types of a column; an error where neither holds the other."""
+    if old == new:
+        return old
+    for order in _WIDER:
+        if type(old) in order and type(new) in order:
+            return max(old, new, key=lambda t: order.index(type(t)))
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType) and old.scale == new.scale:
+        return max(old, new, key=lambda t: t.precision)
+    raise ValueError(f"column {name}: {new.simpleString()} is staged for {old.simpleString()}")
+
+
+def evolved_schema(target: T.StructType, staging: T.StructType, custom_fields: Sequence[str] = (), on_gone: str = "fail") -> T.StructType:
+    """The columns of a table after an increment: wider types, new columns before none, gone ones by ``on_gone``."""
+    have = {f.name.lower(): f for f in target.fields}
+    want = {f.name.lower(): f for f in staging.fields}
+    custom = {c.lower() for c in custom_fields}
+    if unknown := sorted(custom - have.keys() - want.keys()):
+        raise ValueError(f"custom fields {unknown} have no type: neither side holds them")
+    gone = [n for n in have if n not in want and n not in custom]
+    if gone and on_gone == "fail":
+        raise ValueError(f"the increment lacks the columns {gone}; name them as custom_fields, or set on_gone to drop")
+    if gone:
+        log.warning("columns %s go from the table", gone)
+    kept = [T.StructField(n, common_type(n, f.dataType, want[n].dataType) if n in want else f.dataType) for n, f in have.items() if n not in gone]
+    return T.StructType(kept + [T.StructField(n, f.dataType) for n, f in want.items() if n not in have])
+
+
+def under(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows under wider columns; missing ones are NULL."""
+    have = {c.lower(): c for c in rows.columns}
+    return rows.select(*[(F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def align(target: DataFrame, staging: DataFrame, custom_fields: Sequence[str] = ()) -> DataFrame:
     """The target without the columns that are gone and with the new ones, NULL."""
     new, gone = drift(target, staging, custom_fields)

@@ -11,14 +11,16 @@ from tableferry.sinks.files import overwrite_partitions
 
 
 def export_hour_range(df: DataFrame, path: str, partition_by: Sequence[str], hours: HourRange,
-                      max_days_per_job: int | None = None) -> str:
+                      max_days_per_job: int | None = None, whole_table: bool = False) -> str:
     """Export the hours of a partitioned table, replacing the partitions written.
 
     One job does the whole range: tasks are the unit of work and a lost one is repeated alone.
     ``max_days_per_job`` cuts the range at midnight where jobs must stay short; the result is equal.
+    ``whole_table`` copies a table without hours or days, in one job.
     """
-    windows = hours.windows(max_days_per_job) if max_days_per_job else [hours]
+    dated = {"dh", "dt", "ds"} & {p.lower() for p in partition_by}
+    windows = hours.windows(max_days_per_job) if max_days_per_job and dated else [hours]
     for window in windows:
-        rows = df.where(hour_range_filter(partition_by, window))
+        rows = df.where(hour_range_filter(partition_by, window, whole_table))
         overwrite_partitions(rows, path, partition_by, clustered=True)
     return path

@@ -12,15 +12,19 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.operators.conform import (conform, conform_or_reject, derive_pt, keep_partition_keys,
                                           lower_names, native_then_partition, variants_as_json)
-from tableferry.operators.layout import spread
-from tableferry.operators.load import align, drift, evolve, merge, merge_partitions, stage, staged
+from tableferry.operators.layout import output_partitions, spread
+from tableferry.operators.load import affected_partitions, evolved_schema, in_partitions, merge, stage, staged, under
 from tableferry.plans.batch import Outcome, for_each_table
-from tableferry.sinks.catalog import (location, new_version, overwrite_table_partitions, publish, register,
-                                      replace_table, write_distributed)
-from tableferry.sinks.files import overwrite_partitions, table_path, write_files
+from tableferry.sinks.catalog import (drop_partitions, in_table_order, location, new_version, NULL_PARTITION,
+                                      overwrite_table_partitions, partition_folder, publish, register, replace_table,
+                                      write_distributed)
+from tableferry.sinks.files import (check_apart, delete_path, folders_of, overwrite_partitions, replace_files, table_path,
+                                    write_files)
 from tableferry.sources.catalog import list_tables, partition_columns
 from tableferry.sources.files import NO_FILTER, matching
 from tableferry.specs import LoadSpec, TableSpec
@@ -51,20 +55,25 @@ def _properties(spec: TableSpec) -> dict[str, str]:
 
 
 def _write(rows: DataFrame, spec: TableSpec, dest: Destination, parts: Sequence[str], load: LoadSpec) -> str:
-    """Files alone are written in place; a catalog table gets a new version, or more rows."""
+    """A folder is replaced when the new files are complete, a catalog table gets a new version; both may get more rows."""
     spark, table = rows.sparkSession, dest.table(spec)
     if not dest.catalog:
-        return write_files(rows, dest.path(spec), mode=load.mode, partition_by=parts, load=load, key=spec.key)
+        if load.mode == "append":
+            return write_files(rows, dest.path(spec), mode="append", partition_by=parts, load=load, key=spec.key)
+        check_apart(spark, folders_of(rows), dest.path(spec))
+        return replace_files(rows, dest.path(spec), partition_by=parts, load=load, key=spec.key)
     if load.mode == "append" and spark.catalog.tableExists(table):
-        _insert(rows, table, parts)
+        _insert(rows, table, parts, load, spec.key)
         return location(spark, table)
     return replace_table(rows, table, dest.root, parts, load=load, key=spec.key, comment=spec.comment,
                          properties=_properties(spec))
 
 
-def _insert(rows: DataFrame, table: str, parts: Sequence[str]) -> None:
-    rows = rows.select(*rows.sparkSession.table(table).columns)
-    (spread(rows, parts) if parts else rows).write.insertInto(table)
+def _insert(rows: DataFrame, table: str, parts: Sequence[str], load: LoadSpec = LoadSpec(), key: Sequence[str] = ()) -> None:
+    """More rows for a table, which must have its columns and types."""
+    rows = in_table_order(rows, table)
+    rows = spread(rows, parts, load.write_partitions, key) if parts else output_partitions(rows, load.read_partitions, load.write_partitions)
+    rows.write.insertInto(table)
 
 
 def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: str | Column = NO_FILTER,
@@ -77,10 +86,13 @@ def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: st
     out by the distribution and sort keys of the spec.
 
     ``on_loss`` may also be ``reject``: rows with a value that does not fit then go, as they are, to
-    ``dest.rejected(spec)``.  That reads the source twice, so stage an expensive one first.
+    ``dest.rejected(spec)``.  The source is staged for that where it is not files, so that both
+    parts are of one state of it.
     """
     source = matching(df, where)
     if on_loss == "reject":
+        if not df.inputFiles():
+            source = stage(source)
         rows, rejected = conform_or_reject(source, spec, "warehouse")
         write_files(rejected, dest.rejected(spec), mode=load.mode)
     else:
@@ -135,15 +147,16 @@ def hive_to_hive(df: DataFrame, spec: TableSpec, dest: Destination) -> str:
     """Hive to another Hive: the same rows, types and partitions as Parquet under the new root.
 
     ``df`` is the source table as the catalog or ``read_files`` gives it, in whatever format it is
-    stored.  It lies in files per partition already, so nothing is shuffled.
+    stored.  It lies in files per partition already, so nothing is shuffled.  A destination in, above
+    or at the source is an error; what is published there stays until the copy is complete.
     """
     parts = [p.lower() for p in spec.partition_columns]
+    check_apart(df.sparkSession, folders_of(df), dest.path(spec))
     rows = lower_names(df)
     rows = native_then_partition(rows.withColumns({p: rows[p].cast("string") for p in parts}) if parts else rows, parts)
-    path = write_files(rows, dest.path(spec), mode="overwrite", partition_by=parts, clustered=True)
     if dest.catalog:
-        publish(df.sparkSession, dest.table(spec), path, rows.schema, parts, spec.comment, _properties(spec))
-    return path
+        return replace_table(rows, dest.table(spec), dest.root, parts, clustered=True, comment=spec.comment, properties=_properties(spec))
+    return replace_files(rows, dest.path(spec), partition_by=parts, clustered=True)
 
 
 def hive_database_to_hive(spark: SparkSession, database: str, dest: Destination, at_once: int = 4) -> list[Outcome]:
@@ -156,14 +169,45 @@ def hive_database_to_hive(spark: SparkSession, database: str, dest: Destination,
     return for_each_table(spark, {t: partial(job, t) for t in list_tables(spark, database)}, at_once)
 
 
+def _evolve_table(spark: SparkSession, table: str, schema: T.StructType, parts: Sequence[str], spec: TableSpec) -> None:
+    """Give a table other columns over the same files: none is read or written.
+
+    Old files lack new columns, which read as NULL, keep columns that are gone, which are passed over,
+    and hold narrower numbers, which read as the wider type.
+    """
+    publish(spark, table, location(spark, table), schema, parts, spec.comment, _properties(spec))
+
+
+def _merge_by_partition(staging: DataFrame, table: str, key: Sequence[str], parts: Sequence[str], order_by: Sequence[str],
+                        load: LoadSpec, spec: TableSpec) -> None:
+    """Merge into the partitions that hold staged keys or get staged rows; the others are not touched."""
+    spark, target = staging.sparkSession, staging.sparkSession.table(table)
+    # Directories hold no empty text: it is written to, and read from, the NULL partition.
+    texts = [p for p in parts if isinstance(staging.schema[p].dataType, T.StringType)]
+    staging = staging.withColumns({p: F.nullif(F.col(p), F.lit("")) for p in texts})
+    changed, emptied = affected_partitions(target, staging, key, parts)
+    merged = merge(in_partitions(target, changed, parts), staging, key, order_by)
+    overwrite_table_partitions(merged, table, parts, load=load, key=spec.key)
+    if emptied:
+        # A dynamic overwrite leaves partitions alone that get no rows.
+        specs = [{p: NULL_PARTITION if v is None else str(v) for p, v in zip(parts, values, strict=True)} for values in emptied]
+        root = location(spark, table)
+        for values in emptied:
+            delete_path(spark, f"{root}/{partition_folder(dict(zip(parts, values, strict=True)))}")
+        drop_partitions(spark, table, specs)
+        spark.catalog.refreshTable(table)
+
+
 def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load: LoadSpec, *,
                order_by: Sequence[str] = ()) -> str:
     """Load an already conformed source into a catalog table; returns the action taken.
 
-    A full load replaces the table, an increment is appended or merged.  Columns that appeared or
-    went away in the source change the target first.  Every rewrite goes to a new version of the
-    files, except a merge by a key that holds the partition columns: it replaces just the
-    partitions it touches.
+    A full load replaces the table, an increment is appended or merged.  New columns and wider types
+    change the table's definition and no file; columns that are missing from the increment are an
+    error unless it says otherwise.  A merge into a partitioned table rewrites the partitions that
+    hold staged keys or get staged rows, by any key; into an unpartitioned one it writes a new version.
+    A staged row replaces the target's row of its key even where ``order_by`` is given: that order is
+    among the staged rows.  Staged data is removed when the load has committed.
     """
     spark, inc = source.sparkSession, load.incremental
     action = load.action(spec)
@@ -172,26 +216,32 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
     exists = spark.catalog.tableExists(table)
     key = list(load.merge_key(spec))
     replace = partial(replace_table, table=table, root=root, partition_by=parts, load=load, key=spec.key)
+    folders: set[str] = set()
     if action == "merge":
         staging = stage(staging)
-        if not exists:
+        folders = folders_of(staging)
+    try:
+        if not exists and action == "merge":
             # The first increment may hold a key twice as well.
             staging = merge(spark.createDataFrame([], staging.schema), staging, key, order_by)
-    if not exists or action == "overwrite":
-        replace(staging)
-        return "overwrite"
-    target = spark.table(table)
-    drifted = any(drift(target, staging))
-    if action == "merge":
-        if parts and set(parts) <= set(key) and not drifted:
-            overwrite_table_partitions(merge_partitions(target, staging, key, parts, order_by), table, parts)
-            return action
-        replace(merge(align(target, staging), staging, key, order_by))
+        if not exists or action == "overwrite":
+            replace(staging)
+            return "overwrite"
+        target = spark.table(table).schema
+        schema = evolved_schema(target, staging.schema, inc.custom_fields if inc else (), inc.on_gone if inc else "fail")
+        schema = T.StructType([f for f in schema.fields if f.name not in parts] + [f for f in schema.fields if f.name in parts])
+        if [(f.name.lower(), f.dataType) for f in target.fields] != [(f.name, f.dataType) for f in schema.fields]:
+            _evolve_table(spark, table, schema, parts, spec)
+        staging = under(staging, schema)
+        if action == "append":
+            _insert(staging, table, parts, load, spec.key)
+            if inc and inc.compact_after_load:
+                replace(spark.table(table))
+        elif parts:
+            _merge_by_partition(staging, table, key, parts, order_by, load, spec)
+        else:
+            replace(merge(spark.table(table), staging, key, order_by))
         return action
-    if drifted:
-        replace(evolve(target, staging))
-    else:
-        _insert(staging, table, parts)
-        if inc and inc.compact_after_load:
-            replace(spark.table(table))
-    return action
+    finally:
+        for folder in folders:
+            delete_path(spark, folder)

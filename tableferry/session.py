@@ -19,8 +19,8 @@ def _local_scratch() -> str:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 
-    A machine-local folder is used only in local mode with nothing configured: executors of a
-    cluster could not read each other's files there.
+    A machine-local folder is used only in local mode with nothing configured, as in tests: executors
+    of a cluster could not read each other's files there, so a cluster without the setting is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
@@ -51,11 +51,11 @@ def recommended(cores: int, shuffled_bytes: int = 0) -> dict[str, str]:
     """Settings for whoever builds the session; results do not depend on them.
 
     ``shuffled_bytes`` is the largest table to be shuffled: partitions of 256 MB fit in memory, and
-    adaptive execution joins the ones that turn out small.  Every map task reports a size per
-    partition, so there is a bound; beyond it partitions spill, and skewed ones are still cut.
+    adaptive execution joins the ones that turn out small.  The number grows with the data: 100 TB
+    give 400,000 partitions, for which the driver needs memory for the sizes that map tasks report.
     """
     split = 256 * 1024 * 1024
-    partitions = min(-(-shuffled_bytes // split), 20_000)
+    partitions = -(-shuffled_bytes // split)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

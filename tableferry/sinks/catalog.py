@@ -2,20 +2,32 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Sequence
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.dates import DAY
-from tableferry.operators.layout import spreads, tie_break
-from tableferry.sinks.files import overwrite_partitions, table_path, write_files
+from tableferry.operators.layout import BUCKET_BYTES, bucket_sizes
+from tableferry.session import fresh_path
+from tableferry.sinks.files import _path, delete_path, overwrite_partitions, stored_bytes, table_path, write_files
 from tableferry.sources.catalog import is_external, partition_columns
 from tableferry.sources.files import partitioned_schema
 from tableferry.specs import LoadSpec
 
+log = logging.getLogger(__name__)
+
+# Beyond this many times the mean size of a bucket the distribution key is skewed.
+MAX_BUCKET_SKEW = 3.0
+# Partitions named in one statement to the catalog.
+PARTITIONS_AT_ONCE = 500
+# Fixed value: the directory of NULL partition values.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
@@ -28,8 +40,10 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
 
 def location(spark: SparkSession, table: str) -> str:
     """Where the files of a catalog table are."""
-    facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return facts.where("col_name = 'Location'").first()["data_type"]
+    # A line per column and fact; a column may be called like a fact, so only the facts count.
+    facts = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    begin = max(i for i, (name, _) in enumerate(facts) if name == "# Detailed Table Information")
+    return dict(facts[begin:])["Location"]
 
 
 def register(spark: SparkSession, table: str, path: str, schema: T.StructType, partition_by: Sequence[str] = (),
@@ -69,10 +83,64 @@ def publish(spark: SparkSession, table: str, path: str, schema: T.StructType, pa
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(path)}'")
             spark.catalog.refreshTable(table)
             return table
-        spark.sql(f"DROP TABLE {table}")
+        # The new table is complete, partitions included, before the names change.
+        new = register(spark, f"{table}_{uuid.uuid4().hex}", path, schema, partition_by, comment, properties)
+        swap_in(spark, table, new)
+        return table
     return register(spark, table, path, schema, partition_by, comment, properties)
 
 
+def swap_in(spark: SparkSession, table: str, new: str) -> None:
+    """Give a complete external table the name of another, which is dropped; the files of both stay.
+
+    The catalog has no exchange of names: between two renames, readers find no table of the name,
+    but never an incomplete one.
+    """
+    old = f"{table}_{uuid.uuid4().hex}"
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+    spark.catalog.refreshTable(table)
+
+
+def in_table_order(rows: DataFrame, table: str) -> DataFrame:
+    """The rows under the columns of a catalog table, which must be the same by name and type.
+
+    A table's files all have to have its types; a column too many would be lost, one of another type
+    would make the table unreadable.
+    """
+    have = {f.name.lower(): f for f in rows.schema.fields}
+    want = rows.sparkSession.table(table).schema.fields
+    other = [f"{f.name} is not in the rows" for f in want if f.name.lower() not in have]
+    other += [f"{n} is not in the table" for n in have if n not in {f.name.lower() for f in want}]
+    other += [f"{f.name} is {f.dataType.simpleString()}, not {have[f.name.lower()].dataType.simpleString()}" for f in want
+              if f.name.lower() in have and have[f.name.lower()].dataType != f.dataType]
+    if other:
+        raise ValueError(f"{table}: {'; '.join(other)}")
+    return rows.select(*[F.col(f"`{have[f.name.lower()].name}`").alias(f.name) for f in want])
+
+
+def drop_old_versions(spark: SparkSession, table: str, root: str, keep: int = 1) -> list[str]:
+    """Delete the versions of a table's files that it no longer points at, but for the newest ``keep``.
+
+    Call it when no reader of an older version is left; returns the deleted folders.
+    """
+    database, _, name = table.rpartition(".")
+    folder, system = _path(spark, table_path(root, database, name))
+    current = _path(spark, location(spark, table))[0].toString()
+    if not system.exists(folder):
+        return []
+    found = [(s.getModificationTime(), s.getPath().toString()) for s in system.listStatus(folder) if s.isDirectory() and "=" not in s.getPath().getName()]
+    old = [p for _, p in sorted(found, reverse=True) if p != current][keep:]
+    for path in old:
+        delete_path(spark, path)
+    return old
+
+
 def new_version(root: str, table: str) -> str:
     """A path for the next version of a table's files."""
     database, _, name = table.rpartition(".")
@@ -92,66 +160,98 @@ def replace_table(df: DataFrame, table: str, root: str, partition_by: Sequence[s
     return path
 
 
-def overwrite_table_partitions(df: DataFrame, table: str, partition_by: Sequence[str], *, clustered: bool = False) -> str:
+def overwrite_table_partitions(df: DataFrame, table: str, partition_by: Sequence[str], *, clustered: bool = False,
+                               load: LoadSpec = LoadSpec(), key: Sequence[str] = ()) -> str:
     """Replace only the partitions of a catalog table that ``df`` holds rows of; returns its path.
 
-    Spark stages the files and changes them over when the job commits, so ``df`` may read the table.
+    The columns must be those of the table.  Spark stages the files and changes them over when the
+    job commits, so ``df`` may read the table.
     """
     spark = df.sparkSession
-    path = overwrite_partitions(df, location(spark, table), partition_by, clustered=clustered)
+    rows = in_table_order(df, table)
+    path = overwrite_partitions(rows, location(spark, table), partition_by, clustered=clustered, load=load, key=key)
     recover_partitions(spark, table)
     spark.catalog.refreshTable(table)
     return path
 
 
 def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | None, sort_keys: Sequence[str] = (),
-                      buckets: int | None = None, key: Sequence[str] = ()) -> str:
+                      buckets: int | None = None, key: Sequence[str] = (), on_skew: str = "bucket") -> str:
     """Write a catalog table laid out by its keys; returns ``bucketed``, ``sorted`` or ``automatic``.
 
-    A key that spreads evenly gives buckets, as many as the session has shuffle partitions if not
-    said otherwise, so later joins and groupings on it need no shuffle.  Where one value holds too
-    many rows, or there is no key, the rows are range-partitioned by the sort keys instead; a hash at
-    the end of that order, of the unique ``key`` if there is one, splits a run of equal sort values.
-    Where even whole rows repeat too often for that, and where nothing is to be sorted, each task
-    writes what it reads.
+    The rows are staged first, so that an expensive source is asked once and the size is known: the
+    key gives as many buckets as hold ``BUCKET_BYTES`` each, if not said otherwise, so later joins
+    and groupings on it need no shuffle.  ``on_skew`` says what happens when the largest bucket is
+    ``MAX_BUCKET_SKEW`` times the mean: ``bucket`` keeps the declared layout and logs a warning,
+    ``sort`` writes ranges of the sort keys, ``fail`` raises.  Without a distribution key rows are
+    range-partitioned and sorted by the sort keys; a running number at the end of that order splits
+    any run of equal values.  Without either, each task writes what it reads.
     """
-    spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = list(sort_keys) or ([dist_key] if dist_key else [])
-    ranges = [*order, *tie_break(df, order, key)]
-    if dist_key and spreads(df, [dist_key], buckets):
+    if on_skew not in ("bucket", "sort", "fail"):
+        raise ValueError(f"on_skew must be bucket, sort or fail, not {on_skew!r}")
+    spark, schema = df.sparkSession, df.schema
+    staging = write_files(df, fresh_path(spark, "distribute"))
+    df = spark.read.schema(schema).parquet(staging)
+    order, layout = list(sort_keys) or ([dist_key] if dist_key else []), "automatic"
+    if order:
+        layout = "bucketed" if dist_key else "sorted"
+    if dist_key:
+        buckets = buckets or max(1, -(-stored_bytes(spark, staging) // BUCKET_BYTES))
+        largest, mean = bucket_sizes(df, [dist_key], buckets)
+        if largest > MAX_BUCKET_SKEW * mean:
+            told = f"{table}: the largest of {buckets} buckets by {dist_key} has {largest} rows, the mean is {mean:.0f}"
+            if on_skew == "fail":
+                raise ValueError(told)
+            log.warning("%s", told)
+            layout = "sorted" if on_skew == "sort" else layout
+    if layout == "bucketed":
         # The same hash and number as the buckets: one file per bucket.
         writer = df.repartition(buckets, dist_key).write.bucketBy(buckets, dist_key).sortBy(*order)
-        layout = "bucketed"
-    elif order and spreads(df, ranges, buckets):
-        writer = df.repartitionByRange(*ranges).sortWithinPartitions(*order).write
-        layout = "sorted"
+    elif layout == "sorted":
+        # The staged files don't change, so neither do the numbers when a task is repeated.
+        number = "number_" + uuid.uuid4().hex
+        ranged = df.withColumn(number, F.monotonically_increasing_id())
+        writer = ranged.repartitionByRange(*([buckets] if buckets else []), *order, number).sortWithinPartitions(*order).drop(number).write
     else:
         writer = df.write
-        layout = "automatic"
     writer = writer.option("path", path).option("compression", "snappy").format("parquet")
-    if not check_replaceable(spark, table):
+    if check_replaceable(spark, table):
+        # The old table goes when the new one is complete.
+        new = f"{table}_{uuid.uuid4().hex}"
+        writer.saveAsTable(new)
+        swap_in(spark, table, new)
+    else:
         writer.saveAsTable(table)
-        return layout
-    # The old table goes when the new one is complete.
-    new = f"{table}_{uuid.uuid4().hex}"
-    writer.saveAsTable(new)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    delete_path(spark, staging)
     return layout
 
 
+def partition_specs(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    """The partitions of a catalog table, all levels; names only."""
+    found = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return [{k: unquote(v) for k, v in (level.split("=", 1) for level in r["partition"].split("/"))} for r in found]
+
+
+def drop_partitions(spark: SparkSession, table: str, specs: Sequence[dict[str, str]]) -> None:
+    """Drop partitions, given by all their levels, from the catalog; the files of external tables stay."""
+    for at in range(0, len(specs), PARTITIONS_AT_ONCE):
+        named = ", ".join("PARTITION (" + ", ".join(f"`{k}` = '{_quoted(v)}'" for k, v in spec.items()) + ")" for spec in specs[at:at + PARTITIONS_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {named}")
+
+
+def partition_folder(spec: dict[str, str | None]) -> str:
+    """The folder of a partition below its table."""
+    return "/".join(f"{k}={NULL_PARTITION if v in (None, '') else quote(str(v), safe=' !$&()+,-.;<>@_`|~')}" for k, v in spec.items())
+
+
 def drop_expired(spark: SparkSession, table: str, days: int, as_of: str, day_column: str = "dt") -> list[str]:
     """Drop the catalog partitions older than ``days`` before ``as_of``; no file is read.
 
-    Returns their days.  An external table keeps the files; only a listing of partitions, one row
-    per partition, reaches the driver.
+    Returns the days that are gone.  Partitions without a day stay.  An external table keeps the
+    files; only a listing of partitions, one row per partition, reaches the driver.
     """
-    cutoff = F.date_format(F.date_sub(F.to_date(F.lit(as_of), DAY), days), DAY)
-    part = F.regexp_extract("partition", rf"(?:^|/){day_column}=([^/]*)", 1)
-    old = spark.sql(f"SHOW PARTITIONS {table}").select(part.alias("day")).where(F.col("day") < cutoff).distinct()
-    expired = sorted(r["day"] for r in old.toLocalIterator())
-    if expired:
-        specs = ", ".join(f"PARTITION ({day_column} = '{_quoted(day)}')" for day in expired)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-    return expired
+    cutoff = spark.range(1).select(F.date_format(F.date_sub(F.to_date(F.lit(as_of), DAY), days), DAY)).first()[0]
+    old = [p for p in partition_specs(spark, table) if p[day_column] != NULL_PARTITION and p[day_column] < cutoff]
+    drop_partitions(spark, table, old)
+    left = {p[day_column] for p in partition_specs(spark, table)}
+    return sorted({p[day_column] for p in old} - left)

@@ -37,11 +37,22 @@ def write_delimited(df: DataFrame, path: str, mode: str = "error", compression:
     return path
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType, strict: bool = True) -> DataFrame:
+    """The rows of a delimited file.  A line with another number of fields, or a value that is not of
+    its column's type, stops the job; without ``strict``, missing fields and such values are NULL and
+    further fields are passed over."""
     lines = spark.read.option("lineSep", "\n").text(path)
     cells = lines.select(F.split("value", SEPARATOR, -1).alias("c"))
+    wanted = len(schema.fields)
+    if strict:
+        message = F.concat(F.lit(f"a line has not {wanted} fields but "), F.size("c").cast("string"))
+        cells = cells.select(F.when(F.size("c") == wanted, F.col("c")).otherwise(F.raise_error(message).cast("array<string>")).alias("c"))
     out = []
     for i, f in enumerate(schema.fields):
         cell = F.nullif(F.get("c", F.lit(i)), F.lit(NULL))
-        out.append((F.unbase64(cell) if isinstance(f.dataType, T.BinaryType) else cell.cast(f.dataType)).alias(f.name))
+        value = F.unbase64(cell) if isinstance(f.dataType, T.BinaryType) else cell.try_cast(f.dataType)
+        if strict and not isinstance(f.dataType, (T.BinaryType, T.StringType)):
+            message = F.concat(F.lit(f"column {f.name}: not of its type: "), cell)
+            value = F.coalesce(value, F.when(cell.isNotNull(), F.raise_error(message).cast(f.dataType)))
+        out.append(value.alias(f.name))
     return cells.select(*out)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,16 +28,53 @@ _WRITE_OPTIONS = {
     "json": _MICROS,
     "csv": _CSV | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
 }
-# A quoted line end belongs to its value; such files are read whole, so use Parquet for large ones.
-_READ_OPTIONS = {"json": _MICROS, "csv": _CSV | {"multiLine": "true"}}
+# One row per line, so that many tasks can read a file.  ``multiLine`` on both sides allows line ends
+# in values; each file is then read whole by one task.
+_READ_OPTIONS = {"json": _MICROS, "csv": _CSV}
 
 
-def _no_null_marks(df: DataFrame) -> DataFrame:
-    """Stop at text that would read back as NULL."""
-    message = F.lit(f"a value is {CSV_NULL}, the NULL mark")
+def _csv_text(df: DataFrame, lines: bool) -> DataFrame:
+    """Stop at text that would read back as NULL, or as several rows."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({n: F.when(F.col(f"`{n}`") == CSV_NULL, F.raise_error(message).cast("string"))
-                           .otherwise(F.col(f"`{n}`")) for n in texts})
+    broken = {}
+    for n in texts:
+        c = F.col(f"`{n}`")
+        bad = c == CSV_NULL if lines else (c == CSV_NULL) | F.contains(c, F.lit("\n")) | F.contains(c, F.lit("\r"))
+        message = F.lit(f"column {n}: a value is {CSV_NULL}, the NULL mark, or holds a line end (see multiLine)")
+        broken[n] = F.when(bad, F.raise_error(message).cast("string")).otherwise(c)
+    return df.withColumns(broken)
+
+
+def _path(spark: SparkSession, path: str):
+    """A path of the file system it is in, and that file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(found), system
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The size of a written folder; nothing is read."""
+    found, system = _path(spark, path)
+    return system.getContentSummary(found).getLength()
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    found, system = _path(spark, path)
+    return system.delete(found, True)
+
+
+def check_apart(spark: SparkSession, sources: Iterable[str], destination: str) -> None:
+    """Stop where a write to ``destination`` would remove what is read from ``sources``: either in the other."""
+    to = _path(spark, destination)[0].toString().rstrip("/")
+    for source in sources:
+        at = _path(spark, source)[0].toString().rstrip("/")
+        if f"{at}/".startswith(f"{to}/") or f"{to}/".startswith(f"{at}/"):
+            raise ValueError(f"{destination} is read and written at once: {source}")
+
+
+def folders_of(df: DataFrame) -> set[str]:
+    """The folders of the files that a plan reads; names only."""
+    return {f.rsplit("/", 1)[0] for f in df.inputFiles()}
 
 
 def table_path(root: str, database: str, table: str) -> str:
@@ -60,7 +98,7 @@ def write_files(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     elif not partition_by:
         df = output_partitions(df, load.read_partitions, load.write_partitions)
     if fmt == "csv":
-        df = _no_null_marks(df)
+        df = _csv_text(df, options.get("multiLine", "false") == "true")
     writer = df.write.format(fmt).mode(mode).options(**(_WRITE_OPTIONS[fmt] | options))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -68,21 +106,48 @@ def write_files(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     return path
 
 
+def replace_files(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), clustered: bool = False,
+                  load: LoadSpec = LoadSpec(), key: Sequence[str] = ()) -> str:
+    """Replace a folder of files: written beside it in full, then changed over by renaming.
+
+    A write that fails leaves the old files as they were.  Renaming is quick on a file system; an
+    object store copies, so register a table there and replace its version instead.
+    """
+    spark = df.sparkSession
+    final, system = _path(spark, path)
+    if not system.exists(final):
+        return write_files(df, path, partition_by=partition_by, clustered=clustered, load=load, key=key)
+    fresh, old = (f"{path.rstrip('/')}__{name}_{uuid.uuid4().hex}" for name in ("new", "old"))
+    write_files(df, fresh, partition_by=partition_by, clustered=clustered, load=load, key=key)
+    if not system.rename(final, _path(spark, old)[0]):
+        raise OSError(f"{path} could not be moved aside; the new files are in {fresh}")
+    if not system.rename(_path(spark, fresh)[0], final):
+        system.rename(_path(spark, old)[0], final)
+        raise OSError(f"{fresh} could not be moved to {path}; the old files are back")
+    delete_path(spark, old)
+    return path
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], *, clustered: bool = False,
-                         fmt: str = "parquet") -> str:
+                         fmt: str = "parquet", load: LoadSpec = LoadSpec(), key: Sequence[str] = ()) -> str:
     """Replace only the partitions present in ``df``.  One writer at a time per table."""
     return write_files(df, path, fmt=fmt, mode="overwrite", partition_by=partition_by, clustered=clustered,
-                       partitionOverwriteMode="dynamic")
+                       load=load, key=key, partitionOverwriteMode="dynamic")
 
 
 def read_written(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = (),
-                 fmt: str = "parquet") -> DataFrame:
+                 fmt: str = "parquet", **options: str) -> DataFrame:
     """Read back what ``write_files`` wrote; partition columns come last and are text."""
-    return read_files(spark, path, schema, partition_by, fmt, **_READ_OPTIONS.get(fmt, {}))
+    return read_files(spark, path, schema, partition_by, fmt, **(_READ_OPTIONS.get(fmt, {}) | options))
 
 
 def relocate(spark: SparkSession, source: str, destination: str, schema: T.StructType,
              partition_by: Sequence[str] = ()) -> str:
-    """Copy a table to another storage root with the same partitions, without a shuffle."""
+    """Copy a table to another storage root with the same partitions, without a shuffle.
+
+    A destination in, above or at the source is an error, and files that are there already are
+    replaced only when the copy is complete.
+    """
+    check_apart(spark, [source], destination)
     rows = read_written(spark, source, schema, partition_by)
-    return write_files(rows, destination, mode="overwrite", partition_by=partition_by, clustered=True)
+    return replace_files(rows, destination, partition_by=partition_by, clustered=True)

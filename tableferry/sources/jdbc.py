@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.sources.files import NO_FILTER
@@ -13,27 +14,33 @@ from tableferry.specs import LoadSpec
 
 # The address form and the driver class of each source.
 _URLS = {
-    "mysql": "jdbc:mysql://{host}:{port}/{database}?useSSL=false",
+    "mysql": "jdbc:mysql://{host}:{port}/{database}?useSSL=false&tinyInt1isBit=false&zeroDateTimeBehavior=convertToNull",
     "postgres": "jdbc:postgresql://{host}:{port}/{database}",
     "hologres": "jdbc:postgresql://{host}:{port}/{database}",
-    "maxcompute": "jdbc:odps:{host}?project={database}",
+    "redshift": "jdbc:redshift://{host}:{port}/{database}",
+    "maxcompute": "jdbc:odps:{host}?project={database}&useProjectTimeZone=true",
     "hive": "jdbc:hive2://{host}:{port}/{database}",
 }
 _DRIVERS = {
     "mysql": "com.mysql.cj.jdbc.Driver",
     "postgres": "org.postgresql.Driver",
     "hologres": "org.postgresql.Driver",
+    "redshift": "com.amazon.redshift.jdbc42.Driver",
     "maxcompute": "com.aliyun.odps.jdbc.OdpsDriver",
     "hive": "org.apache.hive.jdbc.HiveDriver",
 }
 
-# Every read partition holds a connection open; more of them endanger the source, not the result.
-MAX_CONNECTIONS = 64
+# Read partitions of a table that is split without a number given.
+DEFAULT_PARTITIONS = 16
 
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """Where the source is.  The password is kept out of the URL and out of the representation."""
+    """Where the source is.  The password is kept out of the URL and out of the representation.
+
+    Every read partition holds a connection open.  A read that asks for more than
+    ``max_connections`` is an error: fewer would be slower than asked for, more endanger the source.
+    """
 
     dialect: str
     host: str
@@ -42,6 +49,12 @@ class JdbcSource:
     user: str = ""
     password: str = field(default="", repr=False)
     options: tuple[tuple[str, str], ...] = ()
+    max_connections: int = 64
+
+    def checked(self, partitions: int) -> int:
+        if not 1 <= partitions <= self.max_connections:
+            raise ValueError(f"{partitions} read partitions; max_connections is {self.max_connections}")
+        return partitions
 
     @property
     def url(self) -> str:
@@ -66,32 +79,44 @@ class KeySplit:
 
     def reader_options(self) -> dict[str, str]:
         return {"partitionColumn": self.column, "lowerBound": str(self.lower), "upperBound": str(self.upper),
-                "numPartitions": str(max(1, min(self.partitions, MAX_CONNECTIONS)))}
+                "numPartitions": str(self.partitions)}
 
 
 def key_bounds(spark: SparkSession, source: JdbcSource, table: str, column: str) -> tuple:
     """The smallest and largest key; the source computes them and sends one row."""
-    query = f"select min({column}) as lo, max({column}) as hi from {table}"
+    name = quoted(column, source.dialect)
+    query = f"select min({name}) as lo, max({name}) as hi from {table}"
     row = spark.read.format("jdbc").options(**source.reader_options()).option("query", query).load().first()
     return (row["lo"], row["hi"])
 
 
 def read_jdbc(spark: SparkSession, source: JdbcSource, table: str, *, split: KeySplit | None = None,
-              predicates: Sequence[str] = (), where: str = NO_FILTER, load: LoadSpec = LoadSpec()) -> DataFrame:
+              predicates: Sequence[str] = (), where: str = NO_FILTER, load: LoadSpec = LoadSpec(),
+              key: Sequence[str] = ()) -> DataFrame:
     """A relational table, read in parallel by key ranges or by ready-made conditions.
 
+    ``load.split`` is on unless turned off: without a ``split`` one is made from the single column of
+    the primary ``key`` and its bounds, and a table without such a key is an error, as one connection
+    would read all of it.
+
     ``predicates`` gives one read partition per condition (see ``range_predicates``).  The filter
     and the columns selected later are pushed to the source by Spark.
     """
     options = source.reader_options()
+    if load.split and not predicates and split is None:
+        if len(key) != 1:
+            raise ValueError(f"{table}: no single-column key to split the read by; give split or predicates, or turn load.split off")
+        lower, upper = key_bounds(spark, source, table, key[0])
+        # An empty table has no bounds, and nothing to split.
+        split = KeySplit(key[0], lower, upper, load.read_partitions or DEFAULT_PARTITIONS) if lower is not None else None
     if predicates and load.split:
+        source.checked(len(predicates))
         url, properties = options.pop("url"), options
         df = spark.read.jdbc(url, table, predicates=list(predicates), properties=properties)
     else:
         if split is not None and load.split:
             options |= split.reader_options()
-            if load.read_partitions:
-                options["numPartitions"] = str(min(load.read_partitions, MAX_CONNECTIONS))
+            options["numPartitions"] = str(source.checked(load.read_partitions or split.partitions))
         df = spark.read.format("jdbc").options(**options).option("dbtable", table).load()
     return df.where(F.expr(where))
 
@@ -99,12 +124,24 @@ def read_jdbc(spark: SparkSession, source: JdbcSource, table: str, *, split: Key
 def list_tables_query(dialect: str, schema: str = "") -> str:
     """A query whose first column holds the names of all tables of the source."""
     if dialect in ("postgres", "hologres"):
-        return f"select tablename from pg_tables where schemaname = '{schema}'"
+        return f"select tablename from pg_tables where schemaname = {literal(schema)}"
     if dialect == "mysql":
         return "select table_name from information_schema.tables where table_schema = database()"
     raise ValueError(f"{dialect} tables are listed through the catalog")
 
 
+def literal(value: object) -> str:
+    """A value in an SQL text: numbers as they are, quotes doubled in everything else."""
+    return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
+
+
+def quoted(column: str, dialect: str = "") -> str:
+    """A column name in an SQL text; without a dialect as Spark reads it."""
+    if dialect in ("postgres", "hologres", "redshift"):
+        return '"' + column.replace('"', '""') + '"'
+    return "`" + column.replace("`", "``") + "`"
+
+
 def list_source_tables(spark: SparkSession, source: JdbcSource, schema: str = "") -> list[str]:
     """The names of all tables of a source; an error stays an error, never an empty list."""
     query = list_tables_query(source.dialect, schema)
@@ -112,23 +149,24 @@ def list_source_tables(spark: SparkSession, source: JdbcSource, schema: str = ""
     return [r[0] for r in names.toLocalIterator()]
 
 
-def split_of(column: str, lower: int, upper: int, partitions: int) -> Column:
-    """The number of the equal-width range a whole-number key falls into; NULL keys go first."""
-    width = -(-(upper - lower + 1) // partitions)
-    number = F.expr(f"(`{column}` - {lower}) div {width}")
-    return F.coalesce(F.least(F.greatest(number, F.lit(0)), F.lit(partitions - 1)), F.lit(0)).cast("int")
+def equal_cuts(lower: int | date, upper: int | date, partitions: int) -> list:
+    """Cut points of equally wide ranges between the bounds of a whole-number or date key."""
+    whole = upper - lower
+    steps = (whole.days if isinstance(whole, timedelta) else whole) + 1
+    width = -(-steps // partitions)
+    step = timedelta(days=1) if isinstance(whole, timedelta) else 1
+    return [lower + i * width * step for i in range(1, partitions) if i * width < steps]
 
 
-def split_sizes(df: DataFrame, column: str, partitions: int) -> DataFrame:
-    """How many rows each of ``partitions`` equal-width ranges would carry.
+def split_sizes(df: DataFrame, column: str, conditions: Sequence[str]) -> DataFrame:
+    """How many rows each of the conditions of a read would carry, and their first and last key.
 
-    Run it on an earlier copy before a large read: ranges far apart in size call for
-    ``range_predicates``.  At most one row per range leaves a task.
+    Run it on an earlier copy before a large read: conditions far apart in size call for
+    ``quantile_cuts``.  The conditions are the ones the reader is given, so there is no second
+    formula.  At most one row per condition leaves a task.
     """
-    lower, upper = df.agg(F.min(column), F.max(column)).first()
-    if lower is None:
-        lower, upper = 0, 0
-    return (df.groupBy(split_of(column, lower, upper, partitions).alias("split"))
+    number = F.coalesce(*[F.when(F.expr(c), F.lit(i)) for i, c in enumerate(conditions)])
+    return (df.groupBy(number.alias("split"))
             .agg(F.count("*").alias("n"), F.min(column).alias("first_key"), F.max(column).alias("last_key")))
 
 
@@ -139,10 +177,10 @@ def quantile_cuts(df: DataFrame, column: str, partitions: int) -> list:
     return sorted(set(found))
 
 
-def range_predicates(column: str, cuts: Sequence) -> list[str]:
+def range_predicates(column: str, cuts: Sequence, dialect: str = "") -> list[str]:
     """SQL conditions of which every row, NULL keys included, satisfies exactly one."""
     if not cuts:
         return [NO_FILTER]
-    points = [str(c) if isinstance(c, (int, float)) else f"'{c}'" for c in cuts]
-    middle = [f"{column} >= {a} and {column} < {b}" for a, b in zip(points, points[1:])]
-    return [f"{column} < {points[0]} or {column} is null", *middle, f"{column} >= {points[-1]}"]
+    name, points = quoted(column, dialect), [literal(c) for c in cuts]
+    middle = [f"{name} >= {a} and {name} < {b}" for a, b in zip(points, points[1:])]
+    return [f"{name} < {points[0]} or {name} is null", *middle, f"{name} >= {points[-1]}"]

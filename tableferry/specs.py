@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
-# Fixed value: the target keeps at most this many sort keys.
+log = logging.getLogger(__name__)
+
+# Fixed value: the target keeps at most this many sort keys unless a table says otherwise.
 MAX_SORT_KEYS = 2
 # Fixed value: how long a table keeps its partitions unless it says otherwise.
 DEFAULT_LIFECYCLE_DAYS = 366
@@ -22,7 +25,10 @@ class SourceColumn:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A source table: its dialect, declared columns, keys and partition columns."""
+    """A source table: its dialect, declared columns, keys and partition columns.
+
+    ``max_sort_keys`` of the indexed columns become sort keys; those left out are logged.
+    """
 
     name: str
     dialect: str
@@ -34,6 +40,7 @@ class TableSpec:
     external: bool = False
     comment: str = ""
     lifecycle_days: int = DEFAULT_LIFECYCLE_DAYS
+    max_sort_keys: int = MAX_SORT_KEYS
 
     def __post_init__(self) -> None:
         seen: dict[str, str] = {}
@@ -55,7 +62,10 @@ class TableSpec:
     @property
     def sort_keys(self) -> tuple[str, ...]:
         """The first indexed columns: they become the sort order of the target."""
-        return self._known(self.indexed)[:MAX_SORT_KEYS]
+        known = self._known(self.indexed)
+        if len(known) > self.max_sort_keys:
+            log.warning("%s: sorted by %s, not by %s", self.name, known[:self.max_sort_keys], known[self.max_sort_keys:])
+        return known[:self.max_sort_keys]
 
     @property
     def distribution_key(self) -> str | None:
@@ -72,6 +82,9 @@ class IncrementalSpec:
     ``where`` is a Spark SQL condition on the source.  ``merge_key`` defaults to the primary key.
     ``select_from_staging`` holds select expressions applied to the increment before the load.
     ``append_only`` forbids a merge even where ``merge`` is set.
+    ``custom_fields`` are columns that only the target has and that are kept on purpose.
+    ``on_gone`` says what happens when the increment lacks other columns of the target: ``fail``, or
+    ``drop`` them from the table.
     """
 
     where: str
@@ -80,8 +93,12 @@ class IncrementalSpec:
     compact_after_load: bool = False
     select_from_staging: tuple[str, ...] = ()
     append_only: bool = False
+    custom_fields: tuple[str, ...] = ()
+    on_gone: str = "fail"
 
     def __post_init__(self) -> None:
+        if self.on_gone not in ("fail", "drop"):
+            raise ValueError(f"on_gone must be fail or drop, not {self.on_gone!r}")
         if not self.where.strip():
             raise ValueError("an incremental load needs a where condition")
 

@@ -47,7 +47,11 @@ def _kept(spark, part, condition):
 def test_one_hour(spark):
     assert _kept(spark, "dh", hour_filter(["dh"], "2024010510")) == ["2024010510"]
     assert _kept(spark, "dt", hour_filter(["region", "dt"], "2024010510")) == ["20240105"]
-    assert len(_kept(spark, "dt", hour_filter(["region"], "2024010510"))) == 6
+    assert len(_kept(spark, "dt", hour_filter(["region"], "2024010510", whole_table=True))) == 6
+    with pytest.raises(ValueError, match="whole_table"):
+        hour_filter(["region"], "2024010510")
+    days = spark.createDataFrame([("20240104",), ("20240105",)], "ds string")
+    assert [r.ds for r in days.where(hour_filter(["ds"], "2024010510")).collect()] == ["20240105"]
 
 
 def test_first_partition_column_counts(spark):

@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tableferry.operators import layout
 from tableferry.operators.layout import bucket_sizes, retained, without_deleted
 from tableferry.session import fresh_table
 from tableferry.sinks.catalog import replace_table, write_distributed
@@ -9,12 +8,6 @@ from tableferry.sinks.files import read_written, write_files
 from tests.helpers import conf, files, plan, rows
 
 
-@pytest.fixture
-def every_size_counts(monkeypatch):
-    """Test tables are small; judge their buckets as if they were not."""
-    monkeypatch.setattr(layout, "SMALL_BUCKET_ROWS", 0)
-
-
 def test_bucketed_grouping_needs_no_shuffle(spark, path):
     name = fresh_table(spark, "t")
     df = spark.range(1000).select("id", (F.col("id") % 100).alias("k"))
@@ -34,23 +27,39 @@ def test_buckets_match_the_measure(spark, path):
     assert bucket_sizes(df, ["k"], 4) == (max(sizes), 1250)
 
 
-def test_hot_key_is_not_bucketed(spark, path, every_size_counts):
+def test_hot_key_by_policy(spark, path, caplog):
     name, p = fresh_table(spark, "t"), path()
     df = spark.range(0, 30000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"))
     with conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
               spark__sql__adaptive__coalescePartitions__minPartitionSize="16k"):
-        assert write_distributed(df, name, p, dist_key="k", sort_keys=["k"], buckets=16) == "sorted"
+        assert write_distributed(df, name, p, dist_key="k", sort_keys=["k"], buckets=16, on_skew="sort") == "sorted"
     per_file = spark.read.parquet(p).groupBy(F.input_file_name()).count()
     assert per_file.agg(F.max("count")).first()[0] < 30000 / 4
     assert spark.table(name).exceptAll(df).count() == 0 and spark.table(name).count() == 30000
+    # As declared, with a warning; or an error.
+    assert write_distributed(df, name, path(), dist_key="k", sort_keys=["k"], buckets=16) == "bucketed"
+    assert "largest of 16 buckets" in caplog.text and spark.table(name).count() == 30000
+    with pytest.raises(ValueError, match="largest of 16 buckets"):
+        write_distributed(df, name, path(), dist_key="k", buckets=16, on_skew="fail")
 
 
-def test_copies_are_not_gathered(spark, path, every_size_counts):
-    """Half the rows are one row repeated: neither buckets nor ranges could split them."""
+def test_copies_are_not_gathered(spark, path):
+    """Half the rows are one row repeated: no hash of its columns could split them."""
     df = spark.range(0, 20000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"))
     name, p = fresh_table(spark, "t"), path()
-    assert write_distributed(df, name, p, dist_key="k", buckets=16) == "automatic"
-    assert len(files(p)) == 8 and spark.table(name).count() == 20000
+    with conf(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        assert write_distributed(df, name, p, dist_key="k", buckets=16, on_skew="sort") == "sorted"
+    per_file = spark.read.parquet(p).groupBy(F.input_file_name()).count()
+    assert per_file.agg(F.max("count")).first()[0] < 20000 / 8 and spark.table(name).count() == 20000
+
+
+def test_buckets_come_from_the_size(spark, path, monkeypatch):
+    from tableferry.sinks import catalog
+
+    monkeypatch.setattr(catalog, "BUCKET_BYTES", 16 * 1024)
+    p = path()
+    write_distributed(spark.range(20000), fresh_table(spark, "t"), p, dist_key="id", sort_keys=["id"])
+    assert len(files(p)) > 3
 
 
 def test_no_key(spark, path):
@@ -85,7 +94,9 @@ def test_retention(spark, path):
     assert sorted(r["dt"] for r in newest.collect()) == ["20240307", "20240308", "20240309", "20240310"]
     fixed = retained(back, 1, as_of="20240301")
     assert min(r["dt"] for r in fixed.collect()) == "20240229"
-    assert "PartitionFilters: [isnotnull(dt" in plan(fixed)
+    assert "PartitionFilters: [((dt" in plan(fixed)
+    none = spark.createDataFrame([(1, None), (2, "20240101")], "id int, dt string")
+    assert [r.id for r in retained(none, 1, as_of="20240301").collect()] == [1]
 
 
 def test_partitioned_compaction_joins_small_files(spark, path):

@@ -3,14 +3,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-import tableferry.operators.load as load_module
 from tableferry.operators.load import (DuplicateKeys, align, append, drift, evolve, latest, merge, merge_partitions,
                                        staged, touched_partitions)
 from tableferry.plans.routes import load_table
 from tableferry.session import fresh_table
 from tableferry.sinks.files import read_written, write_files
 from tableferry.specs import IncrementalSpec, LoadSpec, SourceColumn, TableSpec
-from tests.helpers import conf, plan, rows
+from tests.helpers import conf, files, plan, rows
 
 SCHEMA = "k int, o int, v string"
 ROW = st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 9), st.sampled_from("abc"))
@@ -85,16 +84,13 @@ def _events(spark, values):
     return spark.createDataFrame(values, "id int, v string, dt string")
 
 
-@pytest.mark.parametrize("listed", [1000, 0])
-def test_merge_touches_only_named_partitions(spark, path, monkeypatch, listed):
-    monkeypatch.setattr(load_module, "MAX_LISTED_PARTITIONS", listed)
+def test_merge_touches_only_named_partitions(spark, path):
     base = _events(spark, [(1, "a", "d1"), (2, "a", "d1"), (3, "a", "d2"), (4, "a", None)])
     target = read_written(spark, write_files(base, path(), partition_by=["dt"]), base.schema, ["dt"])
     staging = _events(spark, [(1, "b", "d1"), (9, "b", "d3")])
     out = merge_partitions(target, staging, ["id", "dt"], ["dt"])
     assert rows(out) == [(1, "b", "d1"), (2, "a", "d1"), (9, "b", "d3")]
-    if listed:
-        assert "PartitionFilters: [dt" in plan(out) or "PartitionFilters: [isnotnull(dt" in plan(out)
+    assert "PartitionFilters: [dt" in plan(out) or "PartitionFilters: [isnotnull(dt" in plan(out)
     # A NULL partition would be overwritten too, so its rows must come along.
     with_null = merge_partitions(target, _events(spark, [(8, "b", None)]), ["id", "dt"], ["dt"])
     assert rows(with_null) == [(4, "a", None), (8, "b", None)]
@@ -105,9 +101,16 @@ def test_merge_touches_only_named_partitions(spark, path, monkeypatch, listed):
         merge_partitions(target, staging, ["id"], ["dt"])
 
 
-@pytest.mark.parametrize("listed", [1000, 0])
-def test_touched_by_two_columns(spark, monkeypatch, listed):
-    monkeypatch.setattr(load_module, "MAX_LISTED_PARTITIONS", listed)
+def test_many_staged_partitions_prune(spark, path):
+    base = _events(spark, [(i, "a", f"d{i}") for i in range(20)])
+    target = read_written(spark, write_files(base, path(), partition_by=["dt"]), base.schema, ["dt"])
+    staging = _events(spark, [(i, "b", f"d{i}") for i in range(10, 1510)])
+    found = touched_partitions(target, staging, ["dt"])
+    assert sorted(r.id for r in found.collect()) == list(range(10, 20))
+    assert "PartitionFilters: [dt" in plan(found) and "Join" not in plan(found)
+
+
+def test_touched_by_two_columns(spark):
     t = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 1, 3), (None, 1, 4)], "p string, q int, v int")
     s = spark.createDataFrame([("a", 2, 0), (None, 1, 0)], "p string, q int, v int")
     assert {r["v"] for r in touched_partitions(t, s, ["p", "q"]).collect()} == {2, 4}
@@ -179,11 +182,49 @@ def test_drifted_load(spark, path, merge_it):
     name, root = fresh_table(spark, "t"), path("root")
     load_table(spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], SCHEMA), SPEC, name, root, LoadSpec())
     new = spark.createDataFrame([(2, "B", 1.5)], "k int, v string, w double")
-    load_table(new, SPEC, name, root, LoadSpec(incremental=IncrementalSpec("true", merge=merge_it)))
+    with pytest.raises(ValueError, match="lacks the columns .'o'"):
+        load_table(new, SPEC, name, root, LoadSpec(incremental=IncrementalSpec("true", merge=merge_it)))
+    load_table(new, SPEC, name, root, LoadSpec(incremental=IncrementalSpec("true", merge=merge_it, on_gone="drop")))
     want = [(1, "a", None), (2, "B", 1.5)] if merge_it else [(1, "a", None), (2, "B", 1.5), (2, "b", None)]
     assert spark.table(name).columns == ["k", "v", "w"] and rows(spark.table(name)) == want
 
 
+def test_columns_change_without_rewriting_files(spark, path):
+    name, root = fresh_table(spark, "t"), path("root")
+    load_table(_events(spark, [(1, "a", "d1"), (2, "a", "d2")]), PARTED, name, root, LoadSpec())
+    before = files(root)
+    new = spark.createDataFrame([(2**40, 1.5, "d1")], "id long, fresh double, dt string")
+    load_table(new, PARTED, name, root, LoadSpec(incremental=IncrementalSpec("true", custom_fields=("v",))))
+    assert spark.table(name).dtypes == [("id", "bigint"), ("v", "string"), ("fresh", "double"), ("dt", "string")]
+    assert rows(spark.table(name)) == [(1, "a", None, "d1"), (2**40, None, 1.5, "d1"), (2, "a", None, "d2")]
+    assert set(before) < set(files(root))
+    with pytest.raises(ValueError, match="is staged for"):
+        load_table(spark.createDataFrame([("x", "a", 1.0, "d1")], "id string, v string, fresh double, dt string"), PARTED, name, root, LoadSpec(incremental=IncrementalSpec("true")))
+
+
+def test_merge_widens_a_type(spark, path):
+    """Files of the narrower type stay in partitions that the merge doesn't touch."""
+    name, root = fresh_table(spark, "t"), path("root")
+    spec = TableSpec("t", "mysql", PARTED.columns, primary_key=PARTED.primary_key, partition_columns=PARTED.partition_columns)
+    load_table(spark.createDataFrame([(1, 5, "d1"), (2, 6, "d2")], "id int, v int, dt string"), spec, name, root, LoadSpec())
+    load_table(spark.createDataFrame([(1, 2**40, "d1")], "id int, v long, dt string"), spec, name, root, LoadSpec(incremental=IncrementalSpec("true", merge=True)))
+    assert rows(spark.table(name)) == [(1, 2**40, "d1"), (2, 6, "d2")] and dict(spark.table(name).dtypes)["v"] == "bigint"
+
+
+def test_merge_moves_rows_between_partitions(spark, path):
+    name, root = fresh_table(spark, "t"), path("root")
+    spec = TableSpec("t", "mysql", (SourceColumn("id", "INT"),), primary_key=("id",), partition_columns=("dt",))
+    load_table(_events(spark, [(1, "a", "d1"), (2, "a", "d2"), (3, "a", "d2"), (4, "a", "d=4/x"), (5, "a", None), (6, "a", "d6")]), spec, name, root, LoadSpec())
+    kept = [f for f in files(root) if "dt=d6" in f]
+    moved = _events(spark, [(1, "b", "d2"), (4, "b", "d9"), (5, "b", "d1"), (7, "b", None)])
+    load_table(moved, spec, name, root, LoadSpec(incremental=IncrementalSpec("true", merge=True)))
+    want = sorted([(1, "b", "d2"), (2, "a", "d2"), (3, "a", "d2"), (4, "b", "d9"), (5, "b", "d1"), (6, "a", "d6"), (7, "b", None)], key=repr)
+    assert rows(spark.table(name)) == want
+    assert [f for f in files(root) if "dt=d6" in f] == kept
+    spark.catalog.recoverPartitions(name)
+    assert rows(spark.table(name)) == want
+
+
 def test_partitioned_loads(spark, path):
     name, root = fresh_table(spark, "t"), path("root")
     base = _events(spark, [(1, "a", "d1"), (2, "a", "d1"), (3, "a", "d2"), (4, "a", None)])

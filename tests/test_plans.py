@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tableferry.functions.dates import HourRange
@@ -39,8 +40,11 @@ def test_day_jobs_equal_one_job(spark, path, part, hours):
 
 def test_unpartitioned_range_exports_all(spark, path):
     df = spark.range(5).select("id", F.lit("x").alias("region"))
-    p = export_hour_range(df, path(), ["region"], HourRange("2024010103", "2024010412"))
+    hours = HourRange("2024010103", "2024010412")
+    p = export_hour_range(df, path(), ["region"], hours, max_days_per_job=1, whole_table=True)
     assert read_written(spark, p, df.schema, ["region"]).count() == 5
+    with pytest.raises(ValueError, match="whole_table"):
+        export_hour_range(df, path(), ["region"], hours)
 
 
 WAREHOUSE = TableSpec("t", "postgres", (C("ID", "INT8"), C("doc", "JSON"), C("Day", "DATE"), C("odd", "TSVECTOR")), partition_columns=("Day",))
@@ -112,6 +116,41 @@ def test_hive_to_hive(spark, path):
     spark.sql("drop table default.moved")
 
 
+@pytest.mark.parametrize("catalog", [True, False])
+def test_hive_to_hive_keeps_what_it_reads_and_replaces(spark, path, catalog):
+    df = spark.range(9).select("id", F.concat(F.lit("d"), F.col("id") % 3).alias("dt"))
+    root, spec = path("root"), TableSpec("kept", "hive", (), partition_columns=("dt",))
+    own = Destination(root, "default", catalog=False)
+    source = write_files(df, own.path(spec), partition_by=["dt"])
+    old = read_written(spark, source, df.schema, ["dt"])
+    before = files(source)
+    for dest in (own, Destination(root, "default", catalog=True), Destination(own.path(spec), "dt=d1")):
+        with pytest.raises(ValueError, match="read and written"):
+            hive_to_hive(old, spec, dest)
+    assert files(source) == before
+    dest = Destination(path("new"), "default", catalog=catalog)
+    p = hive_to_hive(old, spec, dest)
+    broken = old.withColumn("id", F.when(F.col("id") == 8, F.raise_error(F.lit("boom")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(PySparkException):
+        hive_to_hive(broken, spec, dest)
+    assert rows(spark.table("default.kept") if catalog else read_written(spark, p, df.schema, ["dt"])) == rows(df)
+    p = hive_to_hive(old.where("dt <> 'd1'"), spec, dest)
+    assert rows(spark.table("default.kept") if catalog else read_written(spark, p, df.schema, ["dt"])) == rows(df.where("dt <> 'd1'"))
+    spark.sql("drop table if exists default.kept")
+
+
+def test_files_are_replaced_when_complete(spark, path):
+    dest, spec = Destination(path("out"), "d"), TableSpec("t", "mysql", (C("id", "BIGINT"),))
+    p = mysql_to_hive(spark.range(5), spec, dest)
+    broken = spark.range(5).select(F.raise_error(F.lit("boom")).cast("long").alias("id"))
+    with pytest.raises(PySparkException):
+        mysql_to_hive(broken, spec, dest)
+    assert spark.read.parquet(p).count() == 5
+    with pytest.raises(ValueError, match="read and written"):
+        mysql_to_hive(spark.read.parquet(p), spec, dest)
+    assert mysql_to_hive(spark.range(3), spec, dest) == p and spark.read.parquet(p).count() == 3
+
+
 def test_scratch_is_the_shared_folder(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert fresh_path(spark, "a") != fresh_path(spark, "a")

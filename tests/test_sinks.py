@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.session import fresh_table
+from tableferry.sinks import catalog
 from tableferry.sinks.catalog import drop_expired, location, publish, recover_partitions, register, replace_table
 from tableferry.sinks.delimited import read_delimited, write_delimited
 from tableferry.sinks.files import (FORMATS, overwrite_partitions, read_written, relocate, table_path, write_files)
@@ -121,11 +122,22 @@ def test_formats_round_trip(spark, path, fmt):
         (2, "", 1e300, dt.datetime(1900, 1, 1), dt.datetime(2024, 6, 1), False, Decimal("-0.01"), dt.date(1900, 1, 1)),
         (3, None, None, None, None, None, None, None),
         (4, "ünï\\ x", -0.0, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1), None, None, None)], ROW)
-    back = read_written(spark, write_files(df, path(), fmt=fmt), df.schema, fmt=fmt)
+    lines = {"multiLine": "true"} if fmt == "csv" else {}
+    back = read_written(spark, write_files(df, path(), fmt=fmt, **lines), df.schema, fmt=fmt, **lines)
     assert back.schema.simpleString() == df.schema.simpleString()
     assert rows(back) == rows(df)
 
 
+def test_csv_is_read_by_several_tasks(spark, path):
+    df = spark.range(20_000).select("id", F.concat(F.lit('a "b", '), F.col("id")).alias("s"))
+    p = write_files(df.coalesce(1), path(), fmt="csv")
+    with conf(spark, spark__sql__files__maxPartitionBytes="64k", spark__sql__files__openCostInBytes="1k"):
+        back = read_written(spark, p, df.schema, fmt="csv")
+        assert back.rdd.getNumPartitions() > 3 and back.exceptAll(df).isEmpty() and back.count() == 20_000
+    with pytest.raises(PySparkException, match="line end"):
+        write_files(spark.createDataFrame([("a\nb",)], "s string"), path(), fmt="csv")
+
+
 def test_csv_stops_at_the_null_mark(spark, path):
     with pytest.raises(PySparkException, match="NULL mark"):
         write_files(spark.createDataFrame([("\\N",)], "a string"), path(), fmt="csv")
@@ -205,6 +217,63 @@ def test_managed_table_is_not_replaced(spark, path):
         publish(spark, name, path(), spark.range(1).schema)
 
 
+def test_replacing_a_partitioned_table(spark, path):
+    """The new table has its partitions before it gets the name; a name that can't be given goes back."""
+    name, root = fresh_table(spark, "t"), path("root")
+    replace_table(_days(spark), name, root, ["dt"])
+    n = spark.table(name).count()
+    seen, register_ = [], catalog.register
+
+    def watched(spark, table, *args, **named):
+        out = register_(spark, table, *args, **named)
+        seen.append((table != name, spark.table(name).count(), spark.table(table).count()))
+        return out
+
+    catalog.register = watched
+    try:
+        replace_table(_days(spark).where("dt > '20240101'"), name, root, ["dt"])
+    finally:
+        catalog.register = register_
+    assert seen == [(True, n, spark.table(name).count())] and 0 < spark.table(name).count() < n
+    with pytest.raises(PySparkException):
+        catalog.swap_in(spark, name, "no_such_table_at_all")
+    assert spark.table(name).count() > 0
+
+
+def test_old_versions_are_dropped(spark, path):
+    name, root = fresh_table(spark, "t"), path("root")
+    for n in (1, 2, 3, 4):
+        replace_table(spark.range(n), name, root)
+    assert len(catalog.drop_old_versions(spark, name, root, keep=1)) == 2
+    assert len(catalog.drop_old_versions(spark, name, root, keep=0)) == 1
+    assert catalog.drop_old_versions(spark, name, root, keep=0) == [] and spark.table(name).count() == 4
+
+
+def test_rows_must_have_the_columns_of_the_table(spark, path):
+    df, name = _days(spark), fresh_table(spark, "t")
+    replace_table(df, name, path("root"), ["dt"])
+    for other in (df.withColumn("more", F.lit(1)), df.withColumn(df.columns[0], F.col(df.columns[0]).cast("string")), df.drop(df.columns[0])):
+        with pytest.raises(ValueError, match="not in the table|not in the rows|, not "):
+            catalog.overwrite_table_partitions(other, name, ["dt"])
+    assert spark.table(name).count() == df.count()
+
+
+def test_location_is_not_a_column(spark, path):
+    name, p = fresh_table(spark, "t"), path()
+    df = spark.createDataFrame([("x", 1)], "Location string, v int")
+    register(spark, name, write_files(df, p), df.schema)
+    assert location(spark, name).rstrip("/").endswith(p.removeprefix("file:").rstrip("/"))
+
+
+def test_drop_expired_on_two_levels(spark, path):
+    df = spark.createDataFrame([(i, day, hour) for i, (day, hour) in enumerate([("20240101", "01"), ("20240101", "02"), ("20240102", "01"), ("20240103", None), (None, "01")])], "id int, dt string, dh string")
+    p = write_files(df, path(), partition_by=["dt", "dh"])
+    name = register(spark, fresh_table(spark, "t"), p, df.schema, ["dt", "dh"])
+    assert drop_expired(spark, name, 1, "20240103") == ["20240101"]
+    assert rows(spark.table(name).select("id")) == [(2,), (3,), (4,)]
+    assert drop_expired(spark, name, 1, "20240103") == []
+
+
 def test_drop_expired(spark, path):
     df = _days(spark)
     p = write_files(df, path(), partition_by=["dt"])

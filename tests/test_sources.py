@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -5,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tableferry.sources.catalog import is_external, list_tables, partition_columns, read_table
 from tableferry.sources.files import matching, read_files
-from tableferry.sources.jdbc import (JdbcSource, KeySplit, list_tables_query, quantile_cuts, range_predicates, read_jdbc,
+from tableferry.sources import jdbc
+from tableferry.sources.jdbc import (JdbcSource, KeySplit, equal_cuts, list_tables_query, quantile_cuts, range_predicates, read_jdbc,
                                      split_sizes)
 from tableferry.specs import LoadSpec
 from tests.helpers import plan
@@ -51,19 +54,35 @@ def test_password_is_not_shown():
     assert SOURCE.reader_options()["password"] == "secret"
 
 
-@pytest.mark.parametrize("dialect,start", [("mysql", "jdbc:mysql://db:1/x?useSSL=false"), ("postgres", "jdbc:postgresql://db:1/x"),
+@pytest.mark.parametrize("dialect,start", [("mysql", "jdbc:mysql://db:1/x?useSSL=false&tinyInt1isBit=false&zeroDateTimeBehavior=convertToNull"), ("redshift", "jdbc:redshift://db:1/x"),
+                                           ("maxcompute", "jdbc:odps:db?project=x&useProjectTimeZone=true"), ("postgres", "jdbc:postgresql://db:1/x"),
                                            ("hologres", "jdbc:postgresql://db:1/x"), ("hive", "jdbc:hive2://db:1/x")])
 def test_urls(dialect, start):
     assert JdbcSource(dialect, "db", 1, "x").url == start
 
 
 def test_split_read(recorder):
-    got = read_jdbc(recorder, SOURCE, "orders", split=KeySplit("id", 1, 900, 500))
-    assert got["partitionColumn"] == "id" and got["numPartitions"] == "64"
+    got = read_jdbc(recorder, SOURCE, "orders", split=KeySplit("id", 1, 900, 50))
+    assert got["partitionColumn"] == "id" and got["numPartitions"] == "50"
+    with pytest.raises(ValueError, match="max_connections"):
+        read_jdbc(recorder, SOURCE, "orders", split=KeySplit("id", 1, 900, 500))
+    with pytest.raises(ValueError, match="max_connections"):
+        read_jdbc(recorder, SOURCE, "orders", predicates=["1=1"] * 65)
+    more = JdbcSource("mysql", "db", 1, "x", max_connections=500)
+    assert read_jdbc(recorder, more, "orders", split=KeySplit("id", 1, 900, 500))["numPartitions"] == "500"
     assert (got["lowerBound"], got["upperBound"], got["dbtable"]) == ("1", "900", "orders")
     assert got["connectTimeout"] == "5000" and got["driver"].startswith("com.mysql")
 
 
+def test_split_by_default(recorder, monkeypatch):
+    monkeypatch.setattr(jdbc, "key_bounds", lambda *a: (3, 700))
+    got = read_jdbc(recorder, SOURCE, "orders", key=["id"])
+    assert (got["partitionColumn"], got["lowerBound"], got["upperBound"], got["numPartitions"]) == ("id", "3", "700", "16")
+    for key in ([], ["a", "b"]):
+        with pytest.raises(ValueError, match="load.split"):
+            read_jdbc(recorder, SOURCE, "orders", key=key)
+
+
 def test_read_partitions_win(recorder):
     got = read_jdbc(recorder, SOURCE, "orders", split=KeySplit("id", 1, 900, 8), load=LoadSpec(read_partitions=3))
     assert got["numPartitions"] == "3"
@@ -76,7 +95,8 @@ def test_unsplit_read(recorder):
 
 def test_predicate_read(recorder):
     got = read_jdbc(recorder, SOURCE, "orders", predicates=range_predicates("id", [5, 9]))
-    assert got["predicates"] == ["id < 5 or id is null", "id >= 5 and id < 9", "id >= 9"]
+    assert got["predicates"] == ["`id` < 5 or `id` is null", "`id` >= 5 and `id` < 9", "`id` >= 9"]
+    assert range_predicates('odd "id', ["O'Brien"], "postgres")[1] == '"odd ""id" >= \'O\'\'Brien\''
     assert got["url"] == SOURCE.url
 
 
@@ -93,7 +113,7 @@ def test_predicates_take_each_row_once(spark, cuts):
 def test_cuts_even_out_skewed_keys(spark):
     """Most keys are small: equal widths give one giant range, quantiles do not."""
     df = spark.range(1000).select(F.when(F.col("id") < 990, F.col("id")).otherwise(F.col("id") * 100000).alias("k"))
-    widths = [r["n"] for r in split_sizes(df, "k", 4).collect()]
+    widths = [r["n"] for r in split_sizes(df, "k", range_predicates("k", equal_cuts(0, 99900000, 4))).collect()]
     assert max(widths) >= 990
     parts = [df.where(p).count() for p in range_predicates("k", quantile_cuts(df, "k", 4))]
     assert sum(parts) == 1000 and max(parts) <= 260
@@ -101,11 +121,14 @@ def test_cuts_even_out_skewed_keys(spark):
 
 def test_split_sizes_edges(spark):
     empty = spark.range(0).select(F.col("id").alias("k"))
-    assert split_sizes(empty, "k", 4).count() == 0
+    assert split_sizes(empty, "k", range_predicates("k", [])).count() == 0
     df = spark.createDataFrame([(None,), (7,), (7,)], "k bigint")
-    assert [(r["split"], r["n"]) for r in split_sizes(df, "k", 4).collect()] == [(0, 3)]
+    assert [(r["split"], r["n"]) for r in split_sizes(df, "k", range_predicates("k", equal_cuts(7, 7, 4))).collect()] == [(0, 3)]
     big = spark.createDataFrame([(2**62,), (2**62 + 1,)], "k bigint")
-    assert [r["n"] for r in split_sizes(big, "k", 2).orderBy("split").collect()] == [1, 1]
+    assert [r["n"] for r in split_sizes(big, "k", range_predicates("k", equal_cuts(2**62, 2**62 + 1, 2))).orderBy("split").collect()] == [1, 1]
+    days = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-10')) as k")
+    cuts = equal_cuts(dt.date(2024, 1, 1), dt.date(2024, 1, 10), 5)
+    assert [r["n"] for r in split_sizes(days, "k", range_predicates("k", cuts)).orderBy("split").collect()] == [2] * 5
 
 
 def test_table_listing_queries():
