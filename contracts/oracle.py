@@ -7,12 +7,13 @@ from contracts.tables import TABLES
 _EVENTS_DAY = "strftime(ts, '%Y%m%d')"
 
 _LINEITEM = """
-select l_orderkey, l_partkey, cast(l_linenumber as smallint) as l_linenumber, cast(l_quantity as double) as l_quantity,
-       cast(l_extendedprice as real) as l_extendedprice, l_returnflag, l_shipdate from lineitem"""
+select l_orderkey, l_partkey, cast(l_suppkey as integer) as l_suppkey, cast(l_linenumber as smallint) as l_linenumber,
+       cast(l_quantity as double) as l_quantity, cast(l_extendedprice as real) as l_extendedprice, l_discount, l_tax, l_returnflag,
+       l_linestatus, l_shipdate from lineitem"""
 
 _ORDERS = """
 select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as decimal(12,2)) as o_totalprice,
-       cast(o_orderdate as date) as o_orderdate from orders"""
+       cast(o_orderdate as date) as o_orderdate, o_orderpriority from orders"""
 
 _CUSTOMER = """
 select cast(c_custkey as integer) as c_custkey, c_name, cast(c_nationkey as smallint) as c_nationkey,
@@ -50,27 +51,33 @@ from lineitem, w group by 1""",
     "export_skip_external": """
 select 'lineitem' as table_name, count(*) as n from lineitem union all select 'orders', count(*) from orders""",
     "unload_parquet": "select * from lineitem",
-    "export_partitioned": f"select event_id, user_id, {_EVENTS_DAY} as dt from events",
+    "export_partitioned": f"select *, {_EVENTS_DAY} as dt from events",
     "dynamic_partition_overwrite": f"""
-select event_id, case when {_EVENTS_DAY} = '20240105' then value * 2 else value end as value, {_EVENTS_DAY} as dt
+select * replace (case when {_EVENTS_DAY} = '20240105' then value * 2 else value end as value), {_EVENTS_DAY} as dt
 from events""",
     "export_format_matrix": """
-select f as format, o_orderkey, o_totalprice, o_orderdate, o_orderpriority
-from orders, (values ('parquet'), ('orc'), ('json'), ('csv')) v(f)""",
+select f as format, l.*, null::bigint as doc_id, null::varchar as text, null::varchar as lang, null::varchar as source, null::bigint as n_chars
+from lineitem l, (values ('parquet'), ('orc'), ('json'), ('csv')) v(f)
+union all by name
+select f as format, d.* from documents d, (values ('parquet'), ('orc'), ('json'), ('csv')) v(f)""",
     "export_delimited_text": "select * from orders",
     "partition_recovery": f"select {_EVENTS_DAY} as dt, count(*) as n from events group by 1",
-    "relocate_table": f"select event_id, event_type, {_EVENTS_DAY} as dt from events",
-    "full_refresh": "select o_orderkey, o_totalprice + 1 as o_totalprice from orders",
-    "append_load": "select o_orderkey, o_totalprice from orders",
+    "relocate_table": f"select *, {_EVENTS_DAY} as dt from events",
+    "full_refresh": "select * replace (o_totalprice + 1 as o_totalprice) from orders",
+    "append_load": "select * from orders",
     "conform_mysql_warehouse": _LINEITEM,
     "conform_pg_warehouse": _ORDERS,
     "conform_hologres_warehouse": _CUSTOMER,
     "conform_mysql_hive": """
-select o_orderkey, cast(cast(o_totalprice as decimal(12,2)) as decimal(38,10)) as o_totalprice,
-       cast(o_orderdate as varchar) as o_orderdate, o_orderstatus from orders""",
-    "conform_datetime_timestamp": "select event_id, ts from events",
+select o_orderkey, o_custkey, cast(cast(o_totalprice as decimal(12,2)) as decimal(38,10)) as o_totalprice,
+       cast(o_orderdate as varchar) as o_orderdate, o_orderstatus, o_orderpriority from orders""",
+    "conform_datetime_timestamp": "select * from events",
+    "conform_maxcompute_varchar": """
+select doc_id, text, lang, 'é' || substr(source, 1, 4) as source, cast(n_chars as integer) as n_chars from documents""",
+    "conform_pg_json": """
+select event_id, ts, cast(user_id as integer) as user_id, event_type, value, cast(json(props) as varchar) as props from events""",
     "conform_rejects": """
-select o_orderkey,
+select o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
        case when trunc(o_totalprice) between -32768 and 32767 and octet_length(encode(o_orderpriority)) <= 8
             then trunc(o_totalprice) else o_totalprice end as o_totalprice,
        concat_ws(',', case when trunc(o_totalprice) not between -32768 and 32767 then 'o_totalprice' end,
@@ -97,10 +104,10 @@ select 'serial_key', 'FLOAT4', count(*), cast(0 as bigint),
        cast(count(*) filter (cast(cast(o_orderkey * 10007 as real) as bigint) <> o_orderkey * 10007) as bigint) from orders""",
     "drop_unsupported_columns": "select vec_id, label from embeddings",
     "json_to_variant": "select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k from events",
-    "temporal_as_string": "select event_id, cast(ts as varchar) as ts from events",
+    "temporal_as_string": "select * replace (cast(ts as varchar) as ts) from events",
     "project_native_then_partition": """
 select o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y%m%d') as ds from orders""",
-    "partition_key_allowlist": f"select event_id, user_id, value, {_EVENTS_DAY} as ds from events",
+    "partition_key_allowlist": f"select * exclude (event_type), {_EVENTS_DAY} as ds from events",
     "derive_pt": """
 select o_orderkey, o_orderdate as last_update_time, strftime(o_orderdate, '%Y%m%d') as pt from orders""",
     "date_between": """
@@ -111,32 +118,41 @@ select o_orderkey, cast(o_orderdate - interval 93 day as date) as minus_93_day,
        cast(o_orderdate + interval 1 month as date) as plus_1_month,
        cast(o_orderdate - interval 1 year as date) as minus_1_year from orders""",
     "date_literal_filter": "select o_orderkey, o_orderdate from orders where o_orderdate >= date '1998-08-01'",
-    "hour_to_day_filter": f"select event_id, {_EVENTS_DAY} as dt from events where {_EVENTS_DAY} = '20240105'",
+    "hour_to_day_filter": f"select *, {_EVENTS_DAY} as dt from events where {_EVENTS_DAY} = '20240105'",
     "hour_range_export": """
-select event_id, strftime(ts, '%Y%m%d%H') as dh from events
+select *, strftime(ts, '%Y%m%d%H') as dh from events
 where strftime(ts, '%Y%m%d%H') > '2024010200' and strftime(ts, '%Y%m%d%H') < '2024010512'""",
+    "hour_range_export_ds": f"select *, {_EVENTS_DAY} as ds from events where {_EVENTS_DAY} between '20240102' and '20240106'",
     "day_series": f"""
 select d.day, count(e.event_id) as n from
  (select strftime(g, '%Y%m%d') as day from generate_series(
     (select min(ts)::date from events)::timestamp, (select max(ts)::date from events)::timestamp, interval 1 day) t(g)) d
  left join events e on strftime(e.ts, '%Y%m%d') = d.day group by d.day""",
     "pk_audit": "select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1",
-    "dist_sort_layout": "select user_id, count(*) as n, min(ts) as first_ts from events group by user_id",
+    "dist_sort_layout": "select *, 0 as out_of_order from events",
     "compact_table": """
-select o_orderkey, o_custkey, o_totalprice from orders
+select * from orders
 where not exists (select 1 from customer where c_custkey = o_custkey and c_acctbal < 0)""",
     "retention_prune": f"""
-select event_id, {_EVENTS_DAY} as dt from events
+select *, {_EVENTS_DAY} as dt from events
 where cast(ts as date) >= (select cast(max(ts) as date) from events) - 7""",
-    "retention_drop": f"select event_id, {_EVENTS_DAY} as dt from events where ts >= timestamp '2024-01-23'",
-    "incremental_append": "select o_orderkey, o_orderdate, o_totalprice from orders",
+    "retention_drop": f"""
+select *, {_EVENTS_DAY} as dt, strftime(ts, '%Y%m%d%H') as dh from events where ts >= timestamp '2024-01-23'""",
+    "incremental_append": "select * from orders",
     "incremental_merge": """
-select o_orderkey, o_custkey, case when o_orderdate >= date '1998-01-01' then 'X' else o_orderstatus end as o_orderstatus,
-       case when o_orderdate >= date '1998-01-01' then o_totalprice + 1 else o_totalprice end as o_totalprice, o_orderdate
+select * replace (case when o_orderdate >= date '1998-01-01' then 'X' else o_orderstatus end as o_orderstatus,
+                  case when o_orderdate >= date '1998-01-01' then o_totalprice + 1 else o_totalprice end as o_totalprice)
 from orders""",
     "merge_touched_partitions": f"""
-select event_id, case when {_EVENTS_DAY} >= '20240118' then value + 1 else value end as value, {_EVENTS_DAY} as dt
+select * replace (case when {_EVENTS_DAY} >= '20240118' then value + 1 else value end as value), {_EVENTS_DAY} as dt
 from events""",
+    "merge_moved_partition": f"""
+select *, case when {_EVENTS_DAY} <= '20240103' then strftime(ts + interval 1 day, '%Y%m%d') else {_EVENTS_DAY} end as dt from events""",
+    "merge_widened_type": f"""
+select * replace (case when {_EVENTS_DAY} >= '20240125' then user_id + 1099511627776 else user_id end as user_id), {_EVENTS_DAY} as dt from events""",
+    "schema_evolve_catalog": """
+select o_orderkey, case when o_orderdate < timestamp '1999-01-01' then o_custkey end as o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       case when o_orderdate >= timestamp '1999-01-01' then o_orderpriority end as o_orderpriority from orders""",
     "merge_latest": """
 select user_id, ts, event_id, event_type, value from events
 qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
@@ -148,14 +164,17 @@ select o_orderkey, case when o_orderdate >= date '1999-01-01' then o_orderpriori
     "route_mysql_to_warehouse": _LINEITEM,
     "route_hologres_to_warehouse": _CUSTOMER,
     "route_postgres_to_warehouse": _ORDERS,
-    "route_maxcompute_to_hive": f"select event_id, ts, user_id, value, {_EVENTS_DAY} as ds from events",
+    "route_maxcompute_to_hive": f"select * exclude (event_type), {_EVENTS_DAY} as ds from events",
+    "reload_added_column": f"""
+select * exclude (event_type) replace (case when {_EVENTS_DAY} >= '20240120' then props end as props), {_EVENTS_DAY} as ds from events""",
     "route_mysql_to_hive": """
-select o_orderkey, o_totalprice, o_orderstatus, cast(o_orderdate as varchar) as last_update_time,
+select o_orderkey, o_custkey, o_totalprice, o_orderstatus, cast(o_orderdate as varchar) as last_update_time, o_orderpriority,
        strftime(o_orderdate, '%Y%m%d') as pt from orders""",
     "migrate_hive_database": """
 select 'orders' as table_name, count(*) as n from orders union all select 'events', count(*) from events""",
     "migrate_all_tables": " union all ".join(
         f"select '{n}' as table_name, count(*) filter ({_fits(n)}) as n, "
         f"count(*) filter (not ({_fits(n)})) as n_rejected, {c} as n_columns from {n}" for n, c in _KEPT_COLUMNS.items()),
-    "route_hive_to_hive": f"select event_id, event_type, value, {_EVENTS_DAY} as dt from events",
+    "route_hive_to_hive": f"select *, {_EVENTS_DAY} as dt from events",
+    "hive_to_hive_twice": f"select * replace (value + 1 as value), {_EVENTS_DAY} as dt from events where {_EVENTS_DAY} <> '20240105'",
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contracts import tables as t
@@ -15,7 +15,7 @@ from tableferry.functions.dates import (HourRange, date_between, date_literal, d
                                         hour_filter, hour_of)
 from tableferry.operators.audit import duplicate_keys, narrowing, varchar_fit, varchar_limits
 from tableferry.operators.conform import (REJECTED, conform, conform_or_reject, derive_pt, json_to_variant,
-                                          keep_partition_keys, native_then_partition, variant_field)
+                                          keep_partition_keys, native_then_partition, variant_field, variants_as_json)
 from tableferry.operators.layout import retained, without_deleted
 from tableferry.operators.load import evolve, latest
 from tableferry.plans.batch import for_each_table
@@ -124,22 +124,30 @@ def unload_parquet(spark, sf):
 
 
 def export_partitioned(spark, sf):
-    return _by_day(spark, sf, "export_partitioned")[1].select("event_id", "user_id", "dt")
+    return _by_day(spark, sf, "export_partitioned")[1]
 
 
 def dynamic_partition_overwrite(spark, sf):
-    path, written = _by_day(spark, sf, "dynamic_overwrite", "event_id", "value")
-    doubled = _events_by(spark, sf, "dt", day_of, "event_id", (F.col("value") * 2).alias("value"))
+    path, written = _by_day(spark, sf, "dynamic_overwrite")
+    doubled = _events_by(spark, sf, "dt", day_of).withColumn("value", F.col("value") * 2)
     overwrite_partitions(doubled.where("dt = '20240105'"), path, ["dt"])
     return read_written(spark, path, written.schema, ["dt"])
 
 
 def export_format_matrix(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    """Order lines, and documents with their commas, quotes and line ends (escaped: CSV is read by lines)."""
+    lines = table(spark, sf, "lineitem")
+    docs = table(spark, sf, "documents")
     out = []
     for fmt in FORMATS:
-        path = write_files(orders, fresh_path(spark, f"format-{fmt}"), fmt=fmt)
-        out.append(read_written(spark, path, orders.schema, fmt=fmt).select(F.lit(fmt).alias("format"), "*"))
+        path = write_files(lines, fresh_path(spark, f"format-{fmt}"), fmt=fmt)
+        back = read_written(spark, path, lines.schema, fmt=fmt)
+        held = docs.withColumn("text", F.replace("text", F.lit("\n"), F.lit("\\n"))) if fmt == "csv" else docs
+        path = write_files(held, fresh_path(spark, f"text-{fmt}"), fmt=fmt)
+        texts = read_written(spark, path, docs.schema, fmt=fmt)
+        if fmt == "csv":
+            texts = texts.withColumn("text", F.replace("text", F.lit("\\n"), F.lit("\n")))
+        out.append(back.select(F.lit(fmt).alias("format"), "*").unionByName(texts.select(F.lit(fmt).alias("format"), "*"), allowMissingColumns=True))
     return reduce(DataFrame.unionByName, out)
 
 
@@ -159,14 +167,14 @@ def partition_recovery(spark, sf):
 
 
 def relocate_table(spark, sf):
-    path, written = _by_day(spark, sf, "old_root", "event_id", "event_type")
+    path, written = _by_day(spark, sf, "old_root")
     new = relocate(spark, path, fresh_path(spark, "new_root"), written.schema, ["dt"])
     return read_written(spark, new, written.schema, ["dt"])
 
 
 def full_refresh(spark, sf):
     name, root = fresh_table(spark, "orders"), scratch_root(spark)
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    orders = table(spark, sf, "orders")
     replace_table(orders, name, root)
     # The new version is computed from the table it replaces.
     replace_table(read_table(spark, name).withColumn("o_totalprice", F.col("o_totalprice") + 1), name, root)
@@ -179,12 +187,12 @@ _ORDERS = TableSpec("orders", "mysql", t.ORDERS_MYSQL.columns, primary_key=("o_o
 
 def append_load(spark, sf):
     """A full load overwrites, the load with incremental settings appends."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    orders = table(spark, sf, "orders")
     path = fresh_path(spark, "append_load")
     write_files(orders.where(_HISTORY), path, mode=LoadSpec().mode)
     increment = LoadSpec(incremental=IncrementalSpec(_INCREMENT))
     write_files(orders.where(_INCREMENT), path, mode=increment.mode, load=increment)
-    return read_written(spark, path, orders.schema).select("o_orderkey", "o_totalprice")
+    return read_written(spark, path, orders.schema)
 
 
 # --- projections -----------------------------------------------------------------------------
@@ -207,15 +215,25 @@ def conform_mysql_hive(spark, sf):
 
 
 def conform_datetime_timestamp(spark, sf):
-    spec = TableSpec("events", "maxcompute", t.EVENTS_MAXCOMPUTE.columns[:2])
+    spec = TableSpec("events", "maxcompute", t.EVENTS_MAXCOMPUTE.columns[:-1])
     return conform(table(spark, sf, "events").withColumn("ts", F.col("ts").cast("string")), spec, "hive")
 
 
+def conform_maxcompute_varchar(spark, sf):
+    """Bounded strings of Hive count characters, which may be more bytes."""
+    docs = table(spark, sf, "documents").withColumn("source", F.concat(F.lit("é"), F.substring("source", 1, 4)))
+    return conform(docs, t.DOCUMENTS_MAXCOMPUTE, "hive")
+
+
+def conform_pg_json(spark, sf):
+    """JSON to the warehouse's variant, and back to text where it is written."""
+    return variants_as_json(conform(table(spark, sf, "events"), t.EVENTS_POSTGRES))
+
+
 def conform_rejects(spark, sf):
     accepted, rejected = conform_or_reject(table(spark, sf, "orders"), t.ORDERS_SMALL_PRICE)
-    return (accepted.select("o_orderkey", F.col("o_totalprice").cast("double"), F.lit("").alias("rejected_columns"))
-            .unionByName(rejected.select("o_orderkey", "o_totalprice",
-                                         F.array_join(REJECTED, ",").alias("rejected_columns"))))
+    fits = accepted.withColumns({"o_totalprice": F.col("o_totalprice").cast("double"), "rejected_columns": F.lit("")})
+    return fits.unionByName(rejected.withColumn("rejected_columns", F.array_join(REJECTED, ",")).drop(REJECTED))
 
 
 def varchar_fit_audit(spark, sf):
@@ -239,7 +257,8 @@ def json_as_variant(spark, sf):
 
 
 def temporal_as_string(spark, sf):
-    spec = TableSpec("events", "mysql", (t.C("event_id", "BIGINT"), t.C("ts", "DATETIME")))
+    spec = TableSpec("events", "mysql", (t.C("event_id", "BIGINT"), t.C("ts", "DATETIME"), t.C("user_id", "BIGINT"),
+                                         t.C("event_type", "VARCHAR", 20), t.C("value", "DOUBLE"), t.C("props", "TEXT")))
     return conform(table(spark, sf, "events"), spec, temporal_as_string=True)
 
 
@@ -249,7 +268,7 @@ def project_native_then_partition(spark, sf):
 
 
 def partition_key_allowlist(spark, sf):
-    events = _events_by(spark, sf, "ds", day_of, "event_id", "user_id", "value", "event_type")
+    events = _events_by(spark, sf, "ds", day_of)
     rows, parts = keep_partition_keys(events, ["ds", "event_type"])
     return _written(rows, "allowlist", tuple(parts))[1]
 
@@ -280,18 +299,26 @@ def date_literal_filter(spark, sf):
 
 
 def hour_to_day_filter(spark, sf):
-    events = _by_day(spark, sf, "by_day", "event_id")[1]
+    events = _by_day(spark, sf, "by_day")[1]
     return events.where(hour_filter(["dt"], "2024010510"))
 
 
 def hour_range_export(spark, sf):
-    by_hour = _events_by(spark, sf, "dh", hour_of, "event_id")
+    by_hour = _events_by(spark, sf, "dh", hour_of)
     events = _written(by_hour, "by_hour", ("dh",), load=_all_tasks(spark))[1]
     hours = HourRange("2024010200", "2024010512", include_start=False, include_end=False)
     path = export_hour_range(events, fresh_path(spark, "hour_range"), ["dh"], hours)
     return read_written(spark, path, events.schema, ["dh"])
 
 
+def hour_range_export_ds(spark, sf):
+    """A table by day called ``ds``: the range is coarsened to its days, one job for each two of them."""
+    events = _written(_events_by(spark, sf, "ds", day_of), "by_ds", ("ds",))[1]
+    hours = HourRange("2024010207", "2024010612")
+    path = export_hour_range(events, fresh_path(spark, "hour_range_ds"), ["ds"], hours, max_days_per_job=2)
+    return read_written(spark, path, events.schema, ["ds"])
+
+
 def day_counts(spark, sf):
     """Every day between the first and the last event, with its number of events."""
     events = table(spark, sf, "events")
@@ -307,28 +334,33 @@ def pk_audit(spark, sf):
 
 
 def dist_sort_layout(spark, sf):
-    name = fresh_table(spark, "events")
-    write_distributed(table(spark, sf, "events"), name, fresh_path(spark, "bucketed"), dist_key="user_id", sort_keys=["ts"])
-    return read_table(spark, name).groupBy("user_id").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"))
+    """All events, with the number of rows out of order in the files of their buckets: none."""
+    name, path = fresh_table(spark, "events"), fresh_path(spark, "bucketed")
+    write_distributed(table(spark, sf, "events"), name, path, dist_key="user_id", sort_keys=["ts"])
+    rows = read_table(spark, name, ("*", "_metadata.file_name", "_metadata.file_block_start"))
+    rows = rows.withColumn("place", F.monotonically_increasing_id())
+    before = F.lag("ts").over(Window.partitionBy("file_name").orderBy("file_block_start", "place"))
+    return rows.withColumn("out_of_order", F.coalesce(before > F.col("ts"), F.lit(False)).cast("int")).drop("file_name", "file_block_start", "place")
 
 
 def compact_table(spark, sf):
     """Orders of customers in debt were deleted; the table is rewritten without them."""
     name, root = fresh_table(spark, "orders"), scratch_root(spark)
-    replace_table(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), name, root)
+    replace_table(table(spark, sf, "orders"), name, root)
     deleted = table(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
     replace_table(without_deleted(read_table(spark, name), deleted, ["o_custkey"]), name, root)
     return read_table(spark, name)
 
 
 def retention_prune(spark, sf):
-    return retained(_by_day(spark, sf, "retention", "event_id")[1], 7)
+    return retained(_by_day(spark, sf, "retention")[1], 7)
 
 
 def retention_drop(spark, sf):
-    events = _events_by(spark, sf, "dt", day_of, "event_id")
-    path, _ = _written(events, "retention", ("dt",))
-    name = register(spark, fresh_table(spark, "events"), path, events.schema, ["dt"])
+    """Days and hours as two partition levels."""
+    events = _events_by(spark, sf, "dt", day_of).withColumn("dh", hour_of("ts"))
+    path, _ = _written(events, "retention", ("dt", "dh"), load=_all_tasks(spark))
+    name = register(spark, fresh_table(spark, "events"), path, events.schema, ["dt", "dh"])
     drop_expired(spark, name, 7, "20240130")
     return read_table(spark, name)
 
@@ -337,7 +369,7 @@ def retention_drop(spark, sf):
 
 def incremental_append(spark, sf):
     name, root = fresh_table(spark, "orders"), scratch_root(spark)
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    orders = table(spark, sf, "orders")
     load_table(orders.where(_HISTORY), _ORDERS, name, root, LoadSpec())
     load_table(orders, _ORDERS, name, root, LoadSpec(incremental=IncrementalSpec(_INCREMENT)))
     return read_table(spark, name)
@@ -349,7 +381,7 @@ _LOOKBACK = "o_orderdate >= timestamp_ntz'1998-01-01'"
 def incremental_merge(spark, sf):
     """The increment starts a year before the target ends: those orders change, later ones are new."""
     name, root = fresh_table(spark, "orders"), scratch_root(spark)
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    orders = table(spark, sf, "orders")
     load_table(orders.where(_HISTORY), _ORDERS, name, root, LoadSpec())
     changed = orders.withColumns({"o_orderstatus": F.lit("X"), "o_totalprice": F.col("o_totalprice") + 1})
     load_table(changed, _ORDERS, name, root, LoadSpec(incremental=IncrementalSpec(_LOOKBACK, merge=True)))
@@ -361,7 +393,7 @@ def merge_touched_partitions(spark, sf):
     spec = TableSpec("events", "mysql", (t.C("event_id", "BIGINT"), t.C("dt", "CHAR", 8)),
                      primary_key=("event_id", "dt"), partition_columns=("dt",))
     name, root = fresh_table(spark, "events"), scratch_root(spark)
-    events = _events_by(spark, sf, "dt", day_of, "event_id", "value")
+    events = _events_by(spark, sf, "dt", day_of)
     load_table(events.where("dt <= '20240120'"), spec, name, root, LoadSpec())
     changed = events.withColumn("value", F.col("value") + 1)
     inc = IncrementalSpec("dt >= '20240118'", merge=True)
@@ -369,6 +401,38 @@ def merge_touched_partitions(spark, sf):
     return read_table(spark, name)
 
 
+def merge_moved_partition(spark, sf):
+    """Late events come a day later: rows move to another partition, and the first day ends empty."""
+    spec = TableSpec("events", "mysql", (t.C("event_id", "BIGINT"), t.C("dt", "CHAR", 8)), primary_key=("event_id",), partition_columns=("dt",))
+    name, root = fresh_table(spark, "events"), scratch_root(spark)
+    events = _events_by(spark, sf, "dt", day_of)
+    load_table(events, spec, name, root, LoadSpec())
+    moved = events.where("dt <= '20240103'").withColumn("dt", day_of(F.col("ts") + F.expr("interval 1 day")))
+    load_table(moved, spec, name, root, LoadSpec(incremental=IncrementalSpec("true", merge=True)))
+    return read_table(spark, name)
+
+
+def merge_widened_type(spark, sf):
+    """A column grows from 32 to 64 bits with the second load; untouched partitions keep their files."""
+    spec = TableSpec("events", "mysql", (t.C("event_id", "BIGINT"), t.C("dt", "CHAR", 8)), primary_key=("event_id", "dt"), partition_columns=("dt",))
+    name, root = fresh_table(spark, "events"), scratch_root(spark)
+    events = _events_by(spark, sf, "dt", day_of)
+    load_table(events.withColumn("user_id", F.col("user_id").cast("int")), spec, name, root, LoadSpec())
+    wide = events.where("dt >= '20240125'").withColumn("user_id", F.col("user_id") + F.lit(2**40))
+    load_table(wide, spec, name, root, LoadSpec(incremental=IncrementalSpec("true", merge=True)))
+    return read_table(spark, name)
+
+
+def schema_evolve_catalog(spark, sf):
+    """An appended increment brings a column and keeps one that only the table has; no file is rewritten."""
+    name, root = fresh_table(spark, "orders"), scratch_root(spark)
+    orders = table(spark, sf, "orders")
+    load_table(orders.where(_HISTORY).drop("o_orderpriority"), _ORDERS, name, root, LoadSpec())
+    inc = IncrementalSpec(_INCREMENT, custom_fields=("o_custkey",))
+    load_table(orders.drop("o_custkey"), _ORDERS, name, root, LoadSpec(incremental=inc))
+    return read_table(spark, name)
+
+
 def merge_latest(spark, sf):
     """The newest event of every user, ties by event id."""
     events = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
@@ -424,6 +488,17 @@ def route_maxcompute_to_hive(spark, sf):
     return read_written(spark, path, schema, ["ds"])
 
 
+def reload_added_column(spark, sf):
+    """A day is loaded again with a column more; the days before have it empty."""
+    dest = Destination(fresh_path(spark, "reload"), SCRATCH_DATABASE, catalog=True)
+    spec = replace(t.EVENTS_MAXCOMPUTE, name=fresh_table(spark, "events").split(".")[1])
+    events = _events_by(spark, sf, "ds", day_of)
+    without = replace(spec, columns=tuple(c for c in spec.columns if c.name != "props"))
+    maxcompute_to_hive(events.drop("props"), without, dest)
+    maxcompute_to_hive(events.where("ds >= '20240120'"), spec, dest)
+    return read_table(spark, dest.table(spec))
+
+
 def route_mysql_to_hive(spark, sf):
     df = table(spark, sf, "orders").withColumnRenamed("o_orderdate", "last_update_time")
     path = mysql_to_hive(df, t.ORDERS_UPDATED_MYSQL, _destination(spark, "mysql_hive"), load=_all_tasks(spark))
@@ -432,12 +507,22 @@ def route_mysql_to_hive(spark, sf):
 
 
 def route_hive_to_hive(spark, sf):
-    _, old = _by_day(spark, sf, "hive_old", "event_id", "event_type", "value")
+    _, old = _by_day(spark, sf, "hive_old")
     spec = TableSpec("events", "hive", (), partition_columns=("dt",))
     new = hive_to_hive(old, spec, _destination(spark, "hive_new"))
     return read_written(spark, new, old.schema, ["dt"])
 
 
+def hive_to_hive_twice(spark, sf):
+    """The same destination in the catalog; the second load has other values and fewer days."""
+    _, old = _by_day(spark, sf, "hive_twice")
+    dest = Destination(fresh_path(spark, "hive_twice_new"), SCRATCH_DATABASE, catalog=True)
+    spec = TableSpec(fresh_table(spark, "events").split(".")[1], "hive", (), partition_columns=("dt",))
+    hive_to_hive(old, spec, dest)
+    hive_to_hive(old.where("dt <> '20240105'").withColumn("value", F.col("value") + 1), spec, dest)
+    return read_table(spark, dest.table(spec))
+
+
 def migrate_hive_database(spark, sf):
     """A partitioned and an unpartitioned table of one database, found through the catalog."""
     database = _database(spark)
@@ -516,6 +601,14 @@ QUERIES = {
     "route_maxcompute_to_hive": route_maxcompute_to_hive,
     "route_mysql_to_hive": route_mysql_to_hive,
     "route_hive_to_hive": route_hive_to_hive,
+    "hive_to_hive_twice": hive_to_hive_twice,
+    "reload_added_column": reload_added_column,
+    "merge_widened_type": merge_widened_type,
+    "merge_moved_partition": merge_moved_partition,
+    "schema_evolve_catalog": schema_evolve_catalog,
+    "conform_maxcompute_varchar": conform_maxcompute_varchar,
+    "conform_pg_json": conform_pg_json,
+    "hour_range_export_ds": hour_range_export_ds,
     "migrate_hive_database": migrate_hive_database,
     "migrate_all_tables": migrate_all_tables,
 }

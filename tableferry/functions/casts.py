@@ -39,7 +39,7 @@ def interval_text_micros(c: Column) -> Column:
     return F.when(c.rlike(r"^[+-]?\d+$"), c.try_cast("bigint")).when(c.rlike(pattern), micros)
 
 
-def _text(c: Column, physical: T.DataType) -> Column:
+def as_text(c: Column, physical: T.DataType) -> Column:
     if isinstance(physical, T.BinaryType):
         # \x followed by lower-case hex digits, the text form PostgreSQL gives bytes.
         return F.concat(F.lit("\\x"), F.lower(F.hex(c)))
@@ -80,7 +80,7 @@ def _decimal(c: Column, physical: T.DataType, want: T.DecimalType) -> Column:
 
 
 def is_noop(physical: T.DataType, target: Target) -> bool:
-    return target.spark is None or (physical == target.spark and target.max_bytes is None)
+    return target.spark is None or (physical == target.spark and not target.bounded)
 
 
 def always_fits(physical: T.DataType, target: Target) -> bool:
@@ -89,7 +89,7 @@ def always_fits(physical: T.DataType, target: Target) -> bool:
     if is_noop(physical, target):
         return True
     if isinstance(want, T.StringType):
-        return target.max_bytes is None
+        return not target.bounded
     if type(physical) in _WHOLE_BITS:
         wider = type(want) in _WHOLE_BITS and _WHOLE_BITS[type(physical)] <= _WHOLE_BITS[type(want)]
         return wider or isinstance(want, T.DoubleType)
@@ -102,7 +102,9 @@ def try_convert(c: Column, physical: T.DataType, target: Target, declared: str =
     if is_noop(physical, target):
         return c
     if isinstance(want, T.StringType):
-        text = _text(c, physical)
+        text = as_text(c, physical)
+        if target.max_chars is not None:
+            return F.when(F.char_length(text) <= target.max_chars, text)
         return text if target.max_bytes is None else F.when(F.octet_length(text) <= target.max_bytes, text)
     if isinstance(want, T.VariantType):
         return F.try_parse_json(c if isinstance(physical, T.StringType) else F.to_json(c))

@@ -49,7 +49,7 @@ MYSQL_TO_WAREHOUSE = {
     "YEAR": "INT",
 }
 
-# In the order of the source's type documentation (bigint, bigserial, bit, ...).
+# Fixed values as well.
 POSTGRES_TO_WAREHOUSE = {
     "INT8": "INT8",
     "BIGSERIAL": "INT8",
@@ -180,6 +180,11 @@ class Target:
     text: str
     spark: T.DataType | None
     max_bytes: int | None = None
+    max_chars: int | None = None
+
+    @property
+    def bounded(self) -> bool:
+        return self.max_bytes is not None or self.max_chars is not None
 
     @property
     def temporal(self) -> bool:
@@ -200,13 +205,14 @@ _SPARK_TYPES = {
 }
 
 
-def resolve(text: str) -> Target:
-    """How Spark represents a target type, with the byte limit of bounded strings."""
+def resolve(text: str, in_characters: bool = False) -> Target:
+    """How Spark represents a target type, with the limit of bounded strings: bytes in the warehouse,
+    characters in Hive."""
     name = text.strip().upper()
     if name in _SPARK_TYPES:
         return Target(text, _SPARK_TYPES[name])
     if m := re.fullmatch(r"(VARCHAR|CHAR)\s*\((\d+)\)", name):
-        return Target(text, T.StringType(), int(m[2]))
+        return Target(text, T.StringType(), max_chars=int(m[2])) if in_characters else Target(text, T.StringType(), int(m[2]))
     if m := re.fullmatch(r"(?:NUMERIC|DECIMAL)\s*\((\d+)\s*,\s*(\d+)\)", name):
         return Target(text, T.DecimalType(min(int(m[1]), 38), int(m[2])))
     return Target(text, None)

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.functions.casts import inexact, lost, try_convert
+from tableferry.functions.casts import as_text, inexact, lost, try_convert
 from tableferry.functions.typemaps import resolve
 from tableferry.operators.conform import map_columns
 from tableferry.specs import TableSpec
@@ -24,10 +24,11 @@ def _per_column(df: DataFrame, by: Sequence[str], facts: Mapping[str, Sequence])
 
 
 def varchar_fit(df: DataFrame, limits: Mapping[str, int], by: Sequence[str] = ()) -> DataFrame:
-    """Per column: the longest value in bytes and the number of values above the limit."""
+    """Per column: the longest value in bytes, as the text that ``conform`` would store, and the number
+    of values above the limit."""
     facts = {}
     for name, limit in limits.items():
-        size = F.octet_length(name)
+        size = F.octet_length(as_text(F.col(f"`{name}`"), df.schema[name].dataType))
         facts[name] = [F.lit(limit).alias("max_allowed"), F.count("*").alias("n"),
                        F.max(size).alias("max_bytes"), F.count_if(size > limit).alias("n_over")]
     return _per_column(df, by, facts)

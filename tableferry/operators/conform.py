@@ -44,7 +44,7 @@ def map_columns(spec: TableSpec, target: str, reference_types: bool = False) ->
         if text is None:
             dropped.append(c)
         else:
-            kept.append(Mapped(c, resolve(text)))
+            kept.append(Mapped(c, resolve(text, target == "hive")))
     return kept, dropped
 
 
@@ -62,9 +62,17 @@ def _fields(df: DataFrame) -> dict[str, T.StructField]:
     return by_name
 
 
-def _kept(df: DataFrame, spec: TableSpec, target: str, on_unsupported: str, reference_types: bool,
-          temporal_as_string: bool) -> list[tuple[Mapped, T.StructField]]:
+def _kept(df: DataFrame, spec: TableSpec, target: str, on_unsupported: str, on_undeclared: str, reference_types: bool,
+          temporal_as_string: bool, keep: Sequence[str] = ()) -> list[tuple[Mapped, T.StructField]]:
+    if on_undeclared not in ("fail", "drop"):
+        raise ValueError(f"on_undeclared must be fail or drop, not {on_undeclared!r}")
     kept, dropped = map_columns(spec, target, reference_types)
+    declared = {c.name.lower() for c in spec.columns} | {k.lower() for k in keep}
+    undeclared = [n for n in _fields(df) if n not in declared]
+    if undeclared and on_undeclared == "fail":
+        raise ValueError(f"{spec.name}: the data has columns that are not declared: {', '.join(undeclared)}; on_undeclared='drop' leaves them out")
+    if undeclared:
+        log.warning("%s: left out %s, not declared", spec.name, ", ".join(undeclared))
     if dropped and on_unsupported == "fail":
         raise ValueError(f"{spec.name}: no {target} type for " + ", ".join(f"{c.name} {c.declared}" for c in dropped))
     if dropped:
@@ -83,27 +91,28 @@ def _physical(f: T.StructField) -> Column:
 
 
 def conform(df: DataFrame, spec: TableSpec, target: str = "warehouse", *, on_loss: str = "fail",
-            on_unsupported: str = "drop", temporal_as_string: bool = False,
+            on_unsupported: str = "drop", on_undeclared: str = "fail", temporal_as_string: bool = False,
             reference_types: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """The table in its target types, with lower-case names, without columns the target lacks.
 
     ``on_loss``: ``fail`` stops the job at the first value that does not fit its target type,
     ``null`` keeps NULL for it; ``conform_or_reject`` sets such rows aside.  Strings are never cut.
-    ``on_unsupported``: ``drop`` or ``fail`` (before any job starts).
+    ``on_unsupported``: ``drop`` columns the target has no type for, or ``fail`` before any job starts.
+    ``on_undeclared``: the same for columns of the data that the spec does not name.
     ``keep``: derived columns, not declared in the spec, to carry along at the end.
     """
     if on_loss not in ("fail", "null"):
         raise ValueError(f"on_loss must be fail or null, not {on_loss!r}")
-    columns = _kept(df, spec, target, on_unsupported, reference_types, temporal_as_string)
+    columns = _kept(df, spec, target, on_unsupported, on_undeclared, reference_types, temporal_as_string, keep)
     return df.select(*[convert(_physical(f), f.dataType, m.target, m.name, m.source.declared, on_loss).alias(m.name)
                        for m, f in columns], *keep)
 
 
 def conform_or_reject(df: DataFrame, spec: TableSpec, target: str = "warehouse", *, on_unsupported: str = "drop",
-                      temporal_as_string: bool = False, reference_types: bool = False) -> tuple[DataFrame, DataFrame]:
+                      on_undeclared: str = "fail", temporal_as_string: bool = False, reference_types: bool = False) -> tuple[DataFrame, DataFrame]:
     """The rows that fit, conformed, and the others as they were, with the names of the columns
     that do not fit.  Each source row is in exactly one of the two."""
-    columns = _kept(df, spec, target, on_unsupported, reference_types, temporal_as_string)
+    columns = _kept(df, spec, target, on_unsupported, on_undeclared, reference_types, temporal_as_string)
     checks = []
     for m, f in columns:
         if not always_fits(f.dataType, m.target):
@@ -114,7 +123,7 @@ def conform_or_reject(df: DataFrame, spec: TableSpec, target: str = "warehouse",
         bad = bad | check
     names = F.array_compact(F.array(*[F.when(check, F.lit(name)) for name, check in checks])) if checks \
         else F.array().cast("array<string>")
-    accepted = conform(df.where(~bad), spec, target, on_loss="null", on_unsupported=on_unsupported,
+    accepted = conform(df.where(~bad), spec, target, on_loss="null", on_unsupported=on_unsupported, on_undeclared=on_undeclared,
                        temporal_as_string=temporal_as_string, reference_types=reference_types)
     return accepted, df.where(bad).withColumn(REJECTED, names)
 

@@ -136,6 +136,8 @@ def maxcompute_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, whe
         return _write(rows, spec, dest, parts, LoadSpec())
     spark, table = df.sparkSession, dest.table(spec)
     if dest.catalog and spark.catalog.tableExists(table):
+        # A column the table lacks is added to it; one that the reload lacks is an error.
+        rows = under(rows, _fit_table(spark, table, rows.schema, parts, spec))
         return overwrite_table_partitions(rows, table, parts, clustered=clustered)
     path = overwrite_partitions(rows, dest.path(spec), parts, clustered=clustered)
     if dest.catalog:
@@ -178,6 +180,17 @@ def _evolve_table(spark: SparkSession, table: str, schema: T.StructType, parts:
     publish(spark, table, location(spark, table), schema, parts, spec.comment, _properties(spec))
 
 
+def _fit_table(spark: SparkSession, table: str, rows: T.StructType, parts: Sequence[str], spec: TableSpec,
+               custom_fields: Sequence[str] = (), on_gone: str = "fail") -> T.StructType:
+    """Make the definition of a table hold some rows; the schema it has then."""
+    target = spark.table(table).schema
+    schema = evolved_schema(target, rows, custom_fields, on_gone)
+    schema = T.StructType([f for f in schema.fields if f.name not in parts] + [f for f in schema.fields if f.name in parts])
+    if [(f.name.lower(), f.dataType) for f in target.fields] != [(f.name, f.dataType) for f in schema.fields]:
+        _evolve_table(spark, table, schema, parts, spec)
+    return schema
+
+
 def _merge_by_partition(staging: DataFrame, table: str, key: Sequence[str], parts: Sequence[str], order_by: Sequence[str],
                         load: LoadSpec, spec: TableSpec) -> None:
     """Merge into the partitions that hold staged keys or get staged rows; the others are not touched."""
@@ -227,12 +240,7 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
         if not exists or action == "overwrite":
             replace(staging)
             return "overwrite"
-        target = spark.table(table).schema
-        schema = evolved_schema(target, staging.schema, inc.custom_fields if inc else (), inc.on_gone if inc else "fail")
-        schema = T.StructType([f for f in schema.fields if f.name not in parts] + [f for f in schema.fields if f.name in parts])
-        if [(f.name.lower(), f.dataType) for f in target.fields] != [(f.name, f.dataType) for f in schema.fields]:
-            _evolve_table(spark, table, schema, parts, spec)
-        staging = under(staging, schema)
+        staging = under(staging, _fit_table(spark, table, staging.schema, parts, spec, inc.custom_fields if inc else (), inc.on_gone if inc else "fail"))
         if action == "append":
             _insert(staging, table, parts, load, spec.key)
             if inc and inc.compact_after_load:

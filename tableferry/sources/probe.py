@@ -37,6 +37,9 @@ def _declared(f: T.StructField, dialect: str) -> SourceColumn:
         return SourceColumn(f.name, _BOUNDED_TEXT[dialect][bounded[1]], int(bounded[2]))
     name = names.get(type(f.dataType), f.dataType.simpleString().upper())
     if isinstance(f.dataType, T.DecimalType):
+        if dialect == "mysql" and f.dataType.scale == 0 and f.dataType.precision == 20:
+            # How the driver gives an unsigned 64-bit number; a float would not hold it.
+            name = "BIGINT UNSIGNED"
         return SourceColumn(f.name, name, f.dataType.precision, f.dataType.scale)
     return SourceColumn(f.name, name)
 
