@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.llm import huffman, language, leaks, near_duplicates, pages, quality, sentences, substrings, surrogates, token_counts
+from tableferry.llm.oracle import ORACLE  # noqa: F401
 from tableferry.llm.ship import ship
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -68,7 +69,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    found = leaks.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumn("item_ids", F.concat_ws(",", F.transform("item_ids", lambda x: x.cast("string"))))
 
 
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,5 +96,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii_surrogates": op10_pii_surrogates,
 }
 
-#: The SQL of the queries that SQL can express on whole tables.
-ORACLE: dict[str, str] = {}
