@@ -2,7 +2,8 @@
 
 A task cuts its texts into pre-tokens and gives, per group of pre-tokens, the distinct ones with the documents
 they are in and how often (one pre-token of a task is one entry, however common it is).  A group meets in one
-task, which counts each of its pre-tokens once and sums per document; the sums of the groups are then added.
+task, which counts each of its pre-tokens once and sums per document; the sums of the groups are then added for each
+batch of documents that one task cut.
 
 Defined cases: a null or empty text has no bytes and no tokens; repeated rows and ids give a row each; an empty
 table gives an empty result.
@@ -28,6 +29,8 @@ GROUP_BYTES, TASK_BYTES = 24 << 20, 12 << 20
 
 _FREQUENCIES = "groups long, batch long, heads array<long>, ids array<long>, bytes array<long>, words array<string>, n array<int>, steps array<int>, times array<int>"
 
+_SUMS = "batch long, rows array<long>, sums array<long>, heads array<long>, ids array<long>, bytes array<long>"
+
 
 def _frequencies(groups: int, tokenizer: str):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,10 +80,7 @@ def _frequencies(groups: int, tokenizer: str):
 
 
 def _sizes(tool: Encoder, words: list[str]) -> np.ndarray:
-    known = {x: 1 for x in words if x in tool.specials}
-    plain = [x for x in dict.fromkeys(words) if x not in known]
-    known |= {x: len(ids) for x, ids in zip(plain, tool.ids(plain), strict=True)}
-    return np.array([known[x] for x in words], np.int64)
+    return np.array([len(x) for x in tool.encode(words)], np.int64)
 
 
 def _summed(tokenizer: str):
@@ -89,11 +89,10 @@ def _summed(tokenizer: str):
         words = pc.list_flatten(table["words"]).combine_chunks()
         distinct = words.dictionary_encode() if len(words) else None
         size = _sizes(tool, distinct.dictionary.to_pylist())[distinct.indices.to_numpy()] if distinct is not None else np.zeros(0, np.int64)
-        tool.known.clear()
-        batches, heads, at = table["batch"].to_pylist(), [], 0
+        batches, at = table["batch"].to_pylist(), 0
         out = []
         for i, batch in enumerate(batches):
-            row = {k: table[k][i].values for k in ("heads", "ids", "bytes", "n", "steps", "times")}
+            row = {k: table[k][i].values for k in ("n", "steps", "times")}
             n, steps, times = (row[k].to_numpy() for k in ("n", "steps", "times"))
             per = np.repeat(size[at:at + len(n)], n) * times
             at += len(n)
@@ -102,21 +101,27 @@ def _summed(tokenizer: str):
             docs = total - np.repeat(total[first] - steps[first], n) if len(n) else total
             sums = np.bincount(docs, per).astype(np.int64)
             used = np.flatnonzero(sums)
-            heads = row["heads"].to_numpy()
-            out.append((np.full(len(used), batch), used, pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), sums[used]))
-            out.append((np.full(len(heads), batch), heads, row["ids"], row["bytes"], np.zeros(len(heads), np.int64)))
-        names = ["batch", "row", "doc_id", "n_bytes", "n_tokens"]
-        return pa.concat_tables([pa.Table.from_arrays([pa.array(x, pa.int64()) if isinstance(x, np.ndarray) else x.cast(pa.int64()) for x in part], names) for part in out])
+            out.append((batch, used, sums[used]))
+        kinds = [pa.int64(), *[pa.list_(pa.int64())] * 2]
+        sums_of = [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)]
+        return pa.Table.from_arrays([*sums_of, *(table[k].combine_chunks() for k in ("heads", "ids", "bytes"))], [x.split()[0] for x in _SUMS.split(", ")])
 
     return add
 
 
+def _total(table: pa.Table) -> pa.Table:
+    """The documents of one task's batch, with the sums of all groups."""
+    rows, sums, heads, ids, sizes = (pc.list_flatten(table[k]).combine_chunks() for k in ("rows", "sums", "heads", "ids", "bytes"))
+    total = np.bincount(rows.to_numpy(), sums.to_numpy(), len(heads)).astype(np.int64)
+    return pa.Table.from_arrays([ids, sizes, pa.array(total[heads.to_numpy()])], ["doc_id", "n_bytes", "n_tokens"])
+
+
 def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens`` for each row of ``docs``."""
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUP_BYTES))
     found = source.mapInArrow(_frequencies(groups, tokenizer), _FREQUENCIES)
-    sums = found.groupBy("groups").applyInArrow(_summed(tokenizer), "batch long, row long, doc_id long, n_bytes long, n_tokens long")
-    each = sums.groupBy("batch", "row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
-    return each.select("doc_id", "n_bytes", "n_tokens")
+    sums = found.groupBy("groups").applyInArrow(_summed(tokenizer), _SUMS)
+    # What meets here is bounded by the pairs of document and pre-token in TASK_BYTES of text.
+    return sums.groupBy("batch").applyInArrow(_total, "doc_id long, n_bytes long, n_tokens long")
