@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tableferry.llm.pretokens import pieces
-from tableferry.llm.vocabulary import encoder
+from tableferry.llm.vocabulary import encoder, laid_out
 from tableferry.llm.words import slices
 from tableferry.session import fresh_path
 
@@ -32,26 +32,19 @@ BLOCK, STRIDE, PARTITION = 1 << 17, 128, 8_000_000
 LONGEST = 19
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
-    """``doc_id``, ``ids`` (little-endian unsigned 32-bit, with the end id) for each row."""
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, kind: str = "<u4") -> DataFrame:
+    """``doc_id``, ``ids`` (little-endian unsigned, as wide as ``kind`` says, with the end id) for each row."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer)
         for batch in slices(batches, limit=2 << 20):
             found = pieces(batch.column("text"), tuple(tool.specials))
-            _, one, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
-            ids = [np.array([tool.specials[found.of(i)]], np.uint32) if found.special[i] else None for i in one.tolist()] if found.special.any() else [None] * len(one)
-            plain = [k for k, x in enumerate(ids) if x is None]
-            for k, x in zip(plain, tool.ids([found.of(i) for i in one[plain].tolist()]), strict=True):
-                ids[k] = x
-            sizes = np.array([len(x) for x in ids], np.int64)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-            begins = np.cumsum(sizes) - sizes
-            per = sizes[inverse]
-            total = np.concatenate([[0], np.cumsum(per)])
-            tokens = flat[np.repeat(begins[inverse] - total[:-1], per) + np.arange(total[-1])].astype("<u4")
+            hashes, one, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
+            ids = tool.known.look_up(hashes, found.end[one] - found.start[one], lambda k, found=found, one=one: found.of(one[k]), tool.encode)
+            tokens, total = laid_out(*ids, inverse)
+            tokens = tokens.astype(kind)
             bounds = total[found.first]
-            end = np.array([end_id], "<u4").tobytes()
+            end = np.array([end_id], kind).tobytes()
             out = [tokens[a:b].tobytes() + end for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
@@ -133,23 +126,26 @@ def unpack(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np.ndar
     return out.reshape(-1)[:n]
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << 16, np.int64)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            ids = np.frombuffer(b"".join(x for x in batch.column("ids").slice(at, 512).to_pylist() if x), "<u4")
-            found = np.bincount(ids)
-            if len(found) > len(total):
-                total = np.append(total, np.zeros(len(found) - len(total), np.int64))
-            total[:len(found)] += found
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+def _counts(kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                ids = np.frombuffer(b"".join(x for x in batch.column("ids").slice(at, 512).to_pylist() if x), kind)
+                found = np.bincount(ids)
+                if len(found) > len(total):
+                    total = np.append(total, np.zeros(len(found) - len(total), np.int64))
+                total[:len(found)] += found
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+
+    return run
 
 
-def write_ids(tokens: DataFrame, path: str) -> None:
+def write_ids(tokens: DataFrame, path: str, kind: str = "<u4") -> None:
     """Write (``doc_id``, ``ids``) to ``path``; ``tokens`` is read three times, so it should be a written table."""
     spark = tokens.sparkSession
-    counts = tokens.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = tokens.select("ids").mapInArrow(_counts(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     # Bounded by the vocabulary.
     found = counts.toPandas().sort_values("id")
     ids, n = found["id"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
@@ -158,16 +154,17 @@ def write_ids(tokens: DataFrame, path: str) -> None:
     codes = spark.sparkContext.broadcast(canonical(ids, lengths))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = np.dtype(kind).itemsize
         part, before, block = TaskContext.get().partitionId(), 0, 0
         names: list[int | None] = []
         held: list[bytes] = []
 
         def close() -> pa.RecordBatch:
-            stream = np.frombuffer(b"".join(held), "<u4")
+            stream = np.frombuffer(b"".join(held), kind)
             payload, marks = pack(stream, *codes.value)
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part]), "block": pa.array([block]), "before": pa.array([before]), "n": pa.array([len(stream)]),
-                "doc_ids": pa.array([names], pa.list_(pa.int64())), "sizes": pa.array([[len(x) // 4 for x in held]], pa.list_(pa.int64())),
+                "doc_ids": pa.array([names], pa.list_(pa.int64())), "sizes": pa.array([[len(x) // width for x in held]], pa.list_(pa.int64())),
                 "checkpoints": pa.array([marks.tolist()], pa.list_(pa.int64())), "payload": pa.array([payload], pa.binary())})
 
         size = 0
@@ -175,7 +172,7 @@ def write_ids(tokens: DataFrame, path: str) -> None:
             for name, ids in zip(batch.column("doc_id"), batch.column("ids"), strict=True):
                 names.append(name.as_py())
                 held.append(ids.as_py())
-                size += len(held[-1]) // 4
+                size += len(held[-1]) // width
                 if size >= BLOCK:
                     yield close()
                     before, block, size = before + size, block + 1, 0
@@ -217,6 +214,9 @@ def store(docs: DataFrame, tokenizer: str, end_id: int = 0) -> str:
     """Tokenize and write; the path of the written folder."""
     spark = docs.sparkSession
     staged, path = fresh_path(spark, "tokens"), fresh_path(spark, "ids")
-    tokenize(docs, tokenizer, end_id).write.parquet(staged)
-    write_ids(spark.read.parquet(staged), path)
+    # What is staged and shuffled is as wide as the vocabulary needs.
+    largest = max([end_id, *encoder(tokenizer).tokenizer.get_vocab(with_added_tokens=True).values()])
+    kind = "<u2" if largest < 1 << 16 else "<u4"
+    tokenize(docs, tokenizer, end_id, kind).write.option("compression", "zstd").parquet(staged)
+    write_ids(spark.read.parquet(staged), path, kind)
     return path

@@ -31,11 +31,14 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableferry.llm.vocabulary import Known, laid_out
 from tableferry.llm.words import slices, span_hash
 
 BLANK = "▁"
-#: Distinct strings whose ids a worker keeps, and pairs of pieces whose order it has tried; then it begins anew.
-KEPT, PAIRS = 600_000, 1_000_000
+#: Pairs of pieces whose order a worker has tried and keeps; then it begins anew.
+PAIRS = 1_000_000
+#: More than any model has, to name a pair of pieces by one number.
+PIECES = 1 << 24
 #: Characters between looks whether the paths have met.
 LOOK = 32
 
@@ -62,21 +65,24 @@ class Pieces:
         self.unknown = next(i for i, k in enumerate(self.kind) if k == 2)
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
         self.byte_of = {i: b for b, i in self.bytes.items()}
+        #: What ids stand for alone: pieces, and bytes that are characters.
+        self.shown = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else x for i, x in enumerate(self.surface)]
+        self.plain = np.array([k in (1, 4) or self.byte_of.get(i, 128) < 128 for i, k in enumerate(self.kind)])
         self.unknown_score = min(self.score[i] for i in self.ids.values()) - 10.0
         self.longest = max(map(len, self.ids))
-        #: Pieces by their characters, one level each; the id is at the empty string.
+        #: Pieces by their characters: for each the id that ends there, or -1, and the characters that may follow.
         self.tree: dict = {}
         for x, i in self.ids.items():
             node = self.tree
-            for c in x:
-                node = node.setdefault(c, {})
-            node[""] = i
+            for c in x[:-1]:
+                node = node.setdefault(c, [-1, {}])[1]
+            node.setdefault(x[-1], [-1, {}])[0] = i
         #: No piece reaches over the start of a word.
         self.by_words = not any(BLANK in x.lstrip(BLANK) for x in self.ids)
         self.dummy = model.normalizer_spec.add_dummy_prefix
-        self.may_follow: dict[tuple[int, int], bool] = {}
+        self.may_follow: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.known = Known(np.int32)
         #: The largest number of boundaries held at once, for tests.
         self.held = 0
 
@@ -96,7 +102,7 @@ class Pieces:
             whole = self.whole[piece] = len(self._merged(self.surface[piece])) == 1
         if before < 0 or not whole:
             return whole
-        pair = (before, piece)
+        pair = before * PIECES + piece
         found = self.may_follow.get(pair)
         if found is None:
             if len(self.may_follow) >= PAIRS:
@@ -139,12 +145,12 @@ class Pieces:
             mine = last[here] if here else before
             node, end = self.tree, here
             for c in text[at:at + longest]:
-                node = node.get(c)
-                if node is None:
+                hit = node.get(c)
+                if hit is None:
                     break
                 end += 1
-                i = node.get("")
-                if i is None:
+                i, node = hit
+                if i < 0:
                     continue
                 if merges:
                     if last[end] is None and follows(mine, i):
@@ -174,24 +180,42 @@ class Pieces:
         if n > first:
             yield self._give(last, start, n - first, text[first:])
 
+    def _word(self, text: str) -> list[int]:
+        """``search`` of a merge model for a text that fits into the window: all its paths are left to the end."""
+        n, longest, follows, known = len(text), self.longest, self._follows, self.may_follow
+        last, start = [None] * (n + 1), [0] * (n + 1)
+        mine = -1
+        for at in range(n):
+            if at:
+                mine = last[at]
+            base, node, end = mine * PIECES, self.tree, at
+            for c in text[at:at + longest]:
+                hit = node.get(c)
+                if hit is None:
+                    break
+                end += 1
+                i, node = hit
+                if i >= 0 and last[end] is None:
+                    able = known.get(base + i) if mine >= 0 else None
+                    if able or able is None and follows(mine, i):
+                        last[end], start[end] = i, at
+            if last[at + 1] is None and text[at] not in self.ids:
+                last[at + 1], start[at + 1] = -1, at
+        return self._give(last, start, n, text)
+
     def encode_normal(self, text: str) -> list[int]:
-        out = [i for run in self.search(text) for i in run]
+        out = self._word(text) if self.merges and len(text) <= LOOK else [i for run in self.search(text) for i in run]
         if not self.bytes:
             # Neighbouring unknown characters are one id.
             out = [i for k, i in enumerate(out) if i != self.unknown or not k or out[k - 1] != self.unknown]
         return out
 
-    def many(self, strings: list[str]) -> list[np.ndarray]:
-        """The ids of distinct normalized strings."""
-        if len(self.known) + len(strings) > KEPT:
-            self.known.clear()
-        for x in strings:
-            if x not in self.known:
-                self.known[x] = np.array(self.encode_normal(x), np.int32).tobytes()
-        return [np.frombuffer(self.known[x], np.int32) for x in strings]
-
     def decode(self, ids: Iterable[int]) -> str:
-        out, held = [], bytearray()
+        ids = np.asarray(ids, np.int64)
+        if self.plain[ids].all():
+            text = "".join(map(self.shown.__getitem__, ids.tolist())).replace(BLANK, " ")
+            return text[1:] if self.dummy and text.startswith(" ") else text
+        out, held, ids = [], bytearray(), ids.tolist()
         for i in ids:
             b = self.byte_of.get(i)
             if b is not None:
@@ -226,12 +250,9 @@ def encode_slice(model: Pieces, texts: list[str | None]) -> list[np.ndarray]:
         cut[1:] |= blank[1:] & ~blank[:-1]
     start = np.flatnonzero(cut)
     end = np.append(start[1:], len(points))
-    _, one, inverse = np.unique(span_hash(points, start, end), return_index=True, return_inverse=True)
-    ids = model.many([text[start[i]:end[i]] for i in one.tolist()])
-    sizes = np.array([len(x) for x in ids], np.int64)
-    begins, per = np.cumsum(sizes) - sizes, sizes[inverse]
-    total = np.concatenate([[0], np.cumsum(per)])
-    flat = np.concatenate(ids)[np.repeat(begins[inverse] - total[:-1], per) + np.arange(total[-1])]
+    hashes, one, inverse = np.unique(span_hash(points, start, end), return_index=True, return_inverse=True)
+    found = model.known.look_up(hashes, (end - start)[one], lambda k: text[start[one[k]]:end[one[k]]], lambda strings: [np.array(model.encode_normal(x), np.int32) for x in strings])
+    flat, total = laid_out(*found, inverse)
     to = total[np.searchsorted(start, bounds)]
     return [flat[a:b] for a, b in zip(to[:-1].tolist(), to[1:].tolist(), strict=True)]
 
@@ -255,7 +276,7 @@ def decoded(ids: Column, model: str) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tool = pieces_of(model)
         for rows in batches:
-            yield rows.map(lambda x: None if x is None else tool.decode(x.tolist()))
+            yield rows.map(lambda x: None if x is None else tool.decode(x))
 
     return F.pandas_udf(run, "string")(ids)
 
@@ -272,7 +293,7 @@ def summary(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             ids = encode_slice(tool, texts)
-            back = [tool.decode(x.tolist()) for x in ids]
+            back = [tool.decode(x) for x in ids]
             want = [(tool.library.normalize(t) if t else "").replace(BLANK, " ") for t in texts]
             same = [b == (w[1:] if tool.dummy and w.startswith(" ") else w) for b, w in zip(back, want, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), pa.array(same)],

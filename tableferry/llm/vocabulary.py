@@ -3,14 +3,79 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
 
 #: Pieces encoded in one call: their text is joined, as a blank before each keeps them apart.
 TOGETHER = 300
-#: Pieces whose ids a worker keeps; then it begins anew.
-KEPT = 600_000
+#: Strings whose ids a worker keeps, at some tens of bytes each; then it begins anew.
+KEPT = 3_000_000
+
+
+class _Part:
+    """Strings by rising hash, with their lengths, and where their ids are in ``flat``."""
+
+    def __init__(self, hashes: np.ndarray, lengths: np.ndarray, begin: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        order = np.argsort(hashes, kind="stable")
+        self.hash, self.length, self.begin, self.size, self.flat = hashes[order], lengths[order], begin[order], size[order], flat
+
+    def with_(self, other: _Part) -> _Part:
+        both = [np.concatenate([getattr(self, x), getattr(other, x)]) for x in ("hash", "length", "begin", "size", "flat")]
+        both[2][len(self.hash):] += len(self.flat)
+        return _Part(*both)
+
+
+class Known:
+    """Ids of strings, told apart by a 64-bit hash and their length; found for many strings at once.
+
+    Two sorted parts: new strings go to the smaller one, which joins the larger one when it has grown.
+    """
+
+    def __init__(self, kind: type) -> None:
+        self.kind = kind
+        self._clear()
+
+    def _clear(self) -> None:
+        none = np.zeros(0, np.int64)
+        self.parts = [_Part(np.zeros(0, np.uint64), none.astype(np.int32), none, none.astype(np.int32), np.zeros(0, self.kind)) for _ in range(2)]
+
+    def look_up(self, hashes: np.ndarray, lengths: np.ndarray, string: Callable[[int], str], encode: Callable[[list[str]], list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct strings: an array of ids, and where each string's begin there and how many they are.
+
+        ``string`` gives a string by its place, ``encode`` the ids of those that are not known yet.
+        """
+        if sum(len(p.hash) for p in self.parts) + len(hashes) > KEPT:
+            self._clear()
+        begin, size, before = np.zeros(len(hashes), np.int64), np.full(len(hashes), -1, np.int64), 0
+        for part in self.parts:
+            if len(part.hash):
+                at = np.minimum(np.searchsorted(part.hash, hashes), len(part.hash) - 1)
+                hit = (part.hash[at] == hashes) & (part.length[at] == lengths)
+                begin[hit], size[hit] = part.begin[at[hit]] + before, part.size[at[hit]]
+            before += len(part.flat)
+        flats = [p.flat for p in self.parts]
+        missing = np.flatnonzero(size < 0)
+        if len(missing):
+            ids = encode([string(i) for i in missing.tolist()])
+            sizes = np.array([len(x) for x in ids], np.int64)
+            flat, first = np.concatenate(ids).astype(self.kind), np.cumsum(sizes) - sizes
+            begin[missing], size[missing] = first + before, sizes
+            flats.append(flat)
+            main, recent = self.parts
+            recent = recent.with_(_Part(hashes[missing], lengths[missing].astype(np.int32), first, sizes.astype(np.int32), flat))
+            if len(recent.hash) > 50_000 + len(main.hash) // 4:
+                main, recent = main.with_(recent), _Part(recent.hash[:0], recent.length[:0], recent.begin[:0], recent.size[:0], recent.flat[:0])
+            self.parts = [main, recent]
+        return np.concatenate(flats), begin, size
+
+
+def laid_out(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a row of strings, one after the other, and how many are before each string (one more at the end)."""
+    per = size[inverse]
+    total = np.concatenate([[0], np.cumsum(per)])
+    return flat[np.repeat(begin[inverse] - total[:-1], per) + np.arange(total[-1])], total
 
 
 class Encoder:
@@ -22,28 +87,22 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.known: dict[str, bytes] = {}
+        self.known = Known(np.uint32)
 
-    def _encode(self, pieces: list[str]) -> None:
-        blank = [x for x in pieces if len(x) > 1 and x[0] == " " and not x[1].isspace()]
+    def encode(self, pieces: list[str]) -> list[np.ndarray]:
+        """The ids of each piece; a special string is its id."""
+        out: list[np.ndarray | None] = [np.array([self.specials[x]], np.uint32) if x in self.specials else None for x in pieces] if self.specials else [None] * len(pieces)
+        blank = [k for k, x in enumerate(pieces) if len(x) > 1 and x[0] == " " and not x[1].isspace()]
         groups = [blank[i:i + TOGETHER] for i in range(0, len(blank), TOGETHER)]
-        for group, found in zip(groups, self.tokenizer.encode_batch(["".join(g) for g in groups], add_special_tokens=False), strict=True):
+        for group, found in zip(groups, self.tokenizer.encode_batch(["".join([pieces[k] for k in g]) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(found.ids, np.uint32)
-            cuts = np.searchsorted(np.array(found.word_ids), np.arange(len(group) + 1))
-            for i, x in enumerate(group):
-                self.known[x] = ids[cuts[i]:cuts[i + 1]].tobytes()
-        rest = [x for x in pieces if not (len(x) > 1 and x[0] == " " and not x[1].isspace())]
-        for x, found in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
-            self.known[x] = np.array(found.ids, np.uint32).tobytes()
-
-    def ids(self, pieces: list[str]) -> list[np.ndarray]:
-        """The ids of each of these distinct pieces."""
-        if len(self.known) + len(pieces) > KEPT:
-            self.known.clear()
-        missing = [x for x in pieces if x not in self.known]
-        if missing:
-            self._encode(missing)
-        return [np.frombuffer(self.known[x], np.uint32) for x in pieces]
+            cuts = np.searchsorted(np.array(found.word_ids), np.arange(len(group) + 1)).tolist()
+            for i, k in enumerate(group):
+                out[k] = ids[cuts[i]:cuts[i + 1]]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, found in zip(rest, self.tokenizer.encode_batch([pieces[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = np.array(found.ids, np.uint32)
+        return out
 
 
 @cache
