@@ -171,8 +171,12 @@ def _cut(least: int, with_text: bool):
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
-    """The places of each text whose keys occur more than once."""
-    again = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    """The places of each text whose keys occur more than once.
+
+    The repeated keys are written first: joined straight from their aggregation, a frequent key's places would all
+    go to one task; so adaptive execution can cut them.
+    """
+    again = _written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "again")
     return rows.join(again, "key").groupBy("content").agg(F.collect_list("place").alias("places"))
 
 
