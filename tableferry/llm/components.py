@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tableferry.session import fresh_path
 
+#: Rows of a task where the rows are counted anyway: a shuffle of few rows then doesn't become hundreds of tasks.
+TASK_ROWS = 50_000
+
 
 def _written(rows: DataFrame, name: str) -> DataFrame:
     path = fresh_path(rows.sparkSession, name)
@@ -14,20 +17,24 @@ def _written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
+def tasks_for(rows: int, each: int = TASK_ROWS) -> int:
+    return max(1, -(-rows // each))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(``key``, ``label``) of each key in the links (``a``, ``b``); the label is the least key of the component.
 
-    Each round takes the least label among neighbours, then the label of that label, so that the rounds needed grow
-    with the logarithm of a chain's length.  Rounds are written to the shared folder, which cuts their lineage.
+    Each round takes the least label among neighbours and the label of the own label, so that the rounds needed
+    grow with the logarithm of a chain's length.  Rounds are written to the shared folder, which cuts their lineage.
     """
-    both = _written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
-    state = _written(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("key"), F.least("a", "b").alias("label")), "labels")
+    few = tasks_for(links.count())
+    both = _written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct().coalesce(2 * few), "links")
+    state = _written(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("key"), F.least("a", "b").alias("label")).coalesce(few), "labels")
     while True:
-        near = both.join(state.select(F.col("key").alias("b"), "label"), "b").groupBy(F.col("a").alias("key")).agg(F.min("label").alias("near"))
-        least = state.join(near, "key").select("key", F.least("label", "near").alias("next"), F.col("label").alias("old"))
-        least = _written(least, "labels")
-        up = least.select(F.col("key").alias("next"), F.col("next").alias("jump"))
-        moved = _written(least.join(up, "next").select("key", F.least("next", "jump").alias("label"), "old"), "labels")
+        near = both.join(state.select(F.col("key").alias("b"), "label"), "b").coalesce(2 * few).groupBy(F.col("a").alias("key")).agg(F.min("label").alias("near"))
+        up = state.select(F.col("key").alias("label"), F.col("label").alias("jump"))
+        least = state.join(up, "label").coalesce(few).join(near.coalesce(few), "key").select("key", F.least("label", "jump", "near").alias("label"), F.col("label").alias("old"))
+        moved = _written(least.coalesce(few), "labels")
         if moved.where("label <> old").isEmpty():
             return moved.select("key", "label")
         state = moved.select("key", "label")

@@ -7,11 +7,11 @@ share a coordinate with the probability of their weighted Jaccard similarity.  T
 fill all coordinates, so the work is about ``DARTS * log(DARTS)`` darts, whatever the text's length.
 
 Texts that share all darts of a band are candidates.  A bucket is not compared pair by pair: its members are compared
-with one of them, the one with most company; linked members need no further comparison among themselves.  Buckets
-whose members are still in several components are compared again around other members, and at last all pairs
-across components that are left are compared, after their sizes and darts don't rule them out.  Each link is verified
-on the whole texts, so the classes are the components of all links that banding finds (with 32 bands of 4 it misses
-a pair of similarity 0.8 once in 20 million).
+with one of them, the one with most company; linked members need no further comparison among themselves, and that
+one member is done.  Buckets whose other members are still in several components are compared again around other
+members, and at last all pairs across components that are left are compared, unless sizes or darts rule them out.  Each link is verified
+on the whole texts, so the classes are the components of all links that banding finds (with 40 bands of 6 it misses
+a pair of similarity 0.8 once in 190,000, and takes one of similarity 0.2 for a candidate once in 400).
 
 Defined cases: texts with fewer than five words are one run; texts without words, and null texts, are each a
 class of their own; texts with equal words are in one class; rows that share an id are told apart by their text;
@@ -29,15 +29,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.components import _written, components
+from tableferry.llm.components import _written, components, tasks_for
 from tableferry.llm.words import Words, mix, sequence_keys, slices, windows, words
 
 SHINGLE, SIMILARITY = 5, 0.8
-DARTS, ROWS = 128, 4
+DARTS, ROWS = 240, 6
 #: Pairs with fewer equal darts than this are not compared: at similarity 0.8 that is over six deviations below the mean.
-LEAST_EQUAL = 72
-#: Rounds around one member of each bucket before the pairs that are left are compared.
-ROUNDS = 4
+LEAST_EQUAL = 152
+#: Pairs that a task compares, about.
+PAIRS = 2_000
+#: Further rounds, around three members of each bucket, before the pairs that are left are compared.
+ROUNDS = 3
 
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
@@ -89,10 +91,12 @@ def darts(text: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, k: int
         rank = row[dart] + _unit(mix(name + _ODD[0]))
         high = column[dart] + _unit(mix(name + _ODD[1]))
         source = of[dart]
-        inside = (high < w[source]) & (rank < depth[t[source]])
+        inside = np.flatnonzero((high < w[source]) & (rank < depth[t[source]]))
         name, rank, source = name[inside], rank[inside], t[source[inside]]
         slot = source * k + (mix(name + _ODD[3]) % np.uint64(k)).astype(np.int64)
-        order = np.lexsort((name, rank, slot))
+        # One number to sort by: the slot, then the rank as a fraction of the greatest depth.
+        bits = 63 - (n * k).bit_length()
+        order = np.argsort((slot << bits) + (rank * ((1 << bits) / depth.max())).astype(np.int64))
         slot, name = slot[order], name[order]
         first = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]])) if len(slot) else slot
         out.reshape(-1)[slot[first]] = name[first]
@@ -117,7 +121,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         content = [None if x else c for x, c in zip(empty.tolist(), sequence_keys(found), strict=True)]
         size = np.bincount(text, weight, n).astype(np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(band.reshape(-1).view(np.int64)))
-        marks = [x.tobytes() for x in (signs & np.uint64(0xFFFF)).astype("<u2")]
+        marks = [x.tobytes() for x in signs.astype(np.uint8)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("raw"), pa.array(content, pa.binary()), pa.array(size), lists, pa.array(marks, pa.binary())], ["doc_id", "raw", "content", "size", "bands", "marks"])
 
 
@@ -128,7 +132,7 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _close_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sides = [np.frombuffer(b"".join(batch.column(x).to_pylist()), "<u2").reshape(-1, DARTS) for x in ("marks_a", "marks_b")]
+        sides = [np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint8).reshape(-1, DARTS) for x in ("marks_a", "marks_b")]
         kept = pa.array((sides[0] == sides[1]).sum(1) >= LEAST_EQUAL)
         yield batch.select(["a", "b"]).filter(kept)
 
@@ -170,51 +174,62 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     nodes = _written(signed.where("content is not null").groupBy("content").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.min("raw").alias("raw")), "nodes")
     entries = nodes.select(F.explode("bands").alias("key"), "content", "size")
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = _written(entries.join(shared, "key"), "members")
+    members = _written(entries.join(shared, "key"), "company")
     degree = members.groupBy("content").agg(F.sum(F.col("n") - 1).alias("degree"))
     members = _written(members.join(degree, "content").select("key", "content", "size", "degree"), "members")
-    sizes = members.select("content", "size").distinct()
+    n_members = members.count()
     # The texts of all members, once each.
-    wanted = nodes.select("content", F.col("raw").alias("wanted")).join(sizes.select("content"), "content", "left_semi")
+    wanted = nodes.select("content", F.col("raw").alias("wanted")).join(members.select("content").distinct(), "content", "left_semi")
     texts = source.select("raw", "text").mapInArrow(_contents, "content binary, raw long, text string")
     texts = _written(texts.join(wanted, (texts["content"] == wanted["content"]) & (F.col("raw") == F.col("wanted"))).select(texts["content"], "text").groupBy("content").agg(F.first("text").alias("text")), "texts")
     marks = nodes.select("content", "marks")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The links among pairs (``a``, ``b``, with their sizes)."""
-        able = pairs.where(F.least("size_a", "size_b") >= F.lit(least) * F.greatest("size_a", "size_b")).select("a", "b").distinct()
-        with_marks = able.join(marks.select(F.col("content").alias("a"), F.col("marks").alias("marks_a")), "a").join(marks.select(F.col("content").alias("b"), F.col("marks").alias("marks_b")), "b")
-        near = with_marks.mapInArrow(_close_marks, "a binary, b binary")
+        able = _written(pairs.where(F.least("size_a", "size_b") >= F.lit(least) * F.greatest("size_a", "size_b")).select("a", "b").distinct(), "pairs")
+        few = tasks_for(able.count(), PAIRS)
+        with_marks = able.coalesce(few).join(marks.select(F.col("content").alias("a"), F.col("marks").alias("marks_a")), "a").join(marks.select(F.col("content").alias("b"), F.col("marks").alias("marks_b")), "b")
+        near = with_marks.coalesce(few).mapInArrow(_close_marks, "a binary, b binary")
         with_texts = near.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
-        return with_texts.mapInArrow(_linked(least), "a binary, b binary")
-
-    def around(rows: DataFrame, order: list) -> DataFrame:
-        """Pairs of each bucket's members with the first of them by ``order``."""
-        center = rows.groupBy("key").agg(F.max(F.struct(*order, "content", "size", "label")).alias("c"))
-        return rows.join(center, "key").where("label <> c.label").select(F.col("content").alias("a"), F.col("size").alias("size_a"), F.col("c.content").alias("b"), F.col("c.size").alias("size_b"))
-
-    rows = members.withColumn("label", F.col("content"))
-    links = _written(verified(around(rows, [F.col("degree")])), "links")
-    tested = 0
+        return with_texts.coalesce(few).mapInArrow(_linked(least), "a binary, b binary")
+
+    def around(rows: DataFrame, orders: list) -> tuple[DataFrame, DataFrame]:
+        """Pairs of each bucket's members with its first member by each of ``orders``, and the members without those.
+
+        A member that all others of its bucket were compared with, or are linked to, has no part in what is left.
+        """
+        names = [f"c{i}" for i in range(len(orders))]
+        centers = rows.groupBy("key").agg(*[F.max(F.struct(order, "content", "size", "label")).alias(n) for n, order in zip(names, orders, strict=True)])
+        joined = _written(rows.coalesce(tasks_for(n_members)).join(centers.select("key", *[F.struct(f"{n}.content", f"{n}.size", f"{n}.label").alias(n) for n in names]), "key").coalesce(tasks_for(n_members)), "around")
+        each = joined.select("content", "size", "label", F.explode(F.array_distinct(F.array(*names))).alias("c")).where("label <> c.label")
+        pairs = each.select(F.col("content").alias("a"), F.col("size").alias("size_a"), F.col("c.content").alias("b"), F.col("c.size").alias("size_b"))
+        return pairs, joined.where(" and ".join(f"content <> {n}.content" for n in names)).select("key", "content", "size")
+
+    pairs, rest = around(members.withColumn("label", F.col("content")), [F.col("degree")])
+    links, rounds = _written(verified(pairs), "links"), 0
+    found = components(links)
     while True:
-        found = components(links)
-        labelled = members.join(found.withColumnRenamed("key", "content"), "content", "left").withColumn("label", F.coalesce("label", "content"))
+        labelled = rest.join(found.withColumnRenamed("key", "content"), "content", "left").withColumn("label", F.coalesce("label", "content"))
+        # The largest component of each bucket, and how many are outside.
         parts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-        unsettled = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")).where("parts > 1")
-        open_ = _written(labelled.join(unsettled.select("key", "n", "squares"), "key"), "open")
+        unsettled = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("label", F.struct("n", "label")).alias("main")).where("parts > 1")
+        open_ = _written(labelled.join(unsettled.select("key", "n", "top", "main"), "key").coalesce(tasks_for(n_members)), "open")
         # Pairs across components, against members: two numbers.
-        facts = open_.select(F.sum((F.col("n") * F.col("n") - F.col("squares")) / (2 * F.col("n"))), F.count(F.lit(1))).first()
+        facts = open_.select(F.sum(F.col("n") - F.col("top")), F.count(F.lit(1))).first()
         if not facts[1]:
             break
-        tested += 1
-        if facts[0] <= 8 * facts[1] or tested > ROUNDS:
-            left, right = (open_.select("key", F.col("content").alias(x), F.col("size").alias(f"size_{x}"), F.col("label").alias(f"label_{x}")) for x in "ab")
-            pairs = left.join(right, "key").where("label_a < label_b")
-            links = _written(links.unionByName(verified(pairs)), "links")
-            found = components(links)
+        rounds += 1
+        if facts[0] <= 4 * facts[1] or rounds > ROUNDS:
+            left, right = (open_.select("key", "main", F.col("content").alias(x), F.col("size").alias(f"size_{x}"), F.col("label").alias(f"label_{x}")) for x in "ab")
+            pairs = left.where("label_a <> main").join(right.drop("main"), "key").where("label_a <> label_b and (label_b = main or label_a < label_b)")
+            more = _written(verified(pairs), "links")
+            found = found if more.isEmpty() else components(links.unionByName(more))
             break
-        pairs = around(open_, [F.xxhash64("content", F.lit(tested))])
-        links = _written(links.unionByName(verified(pairs)), "links")
+        pairs, rest = around(open_.select("key", "content", "size", "label"), [F.xxhash64("content", F.lit(3 * rounds + i)) for i in range(3)])
+        more = _written(verified(pairs), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = components(links)
     return signed.select("doc_id", "raw", "content").join(found.withColumnRenamed("key", "content"), "content", "left").select("doc_id", "raw", "content", F.coalesce("label", "content").alias("label"))
 
 

@@ -104,7 +104,7 @@ def test_a_large_group_and_a_chain(spark):
 
 
 def test_pairs_across_components_are_compared(spark, monkeypatch):
-    """No rounds around one member: all links come from the comparison of what is left."""
+    """No further rounds around single members: other links come from the comparison of what is left."""
     monkeypatch.setattr(near_duplicates, "ROUNDS", 0)
     rng = random.Random(6)
     base = prose(13, 200, 5000)
