@@ -43,12 +43,15 @@ _PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<secret>(?<![\w])[0-9a-f]{32,}(?![\w])|(?<![\w])[0-9A-F]{32,}(?![\w])|(?i:(?<=token = \")|(?<=secret = \")|(?<=password = \")|(?<=api_key = \"))[^\s\"]{8,}(?=\"))"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
-    r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
-    r"|(?P<card>(?<![\w.])(?:\d{4}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|3\d{3}[ -]\d{6}[ -]\d{5})(?!\w))"
+    r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w@]|\.\d))"
+    r"|(?P<card>(?<![\w.])(?:\d{4}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|3\d{3}[ -]\d{6}[ -]\d{5})(?![\w@]|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w))"
+    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w@]|\.\d))"
     rf"|(?P<name>(?<!\w)(?:{_TITLE})\.? (?P<one>{_NAME})(?: (?P<two>{_NAME}))?)"
 )
+#: What a number can't end before: it would be a part of a longer word, address or number.
+_GOES_ON = re.compile(r"[\w@]|\.\d")
+_DIGITS = re.compile(r"\d+")
 #: What any entity has; other texts need no search.  The same in the engine's and in this language's patterns; the first
 #: letters alone pass over most places quickly.
 MAYBE = rf"[0-9@]|(?=[{"".join(sorted({x[0] for x in (*_MALE, *_FEMALE)}))}])(?:{_TITLE})\.? "
@@ -76,13 +79,46 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _phone_end(text: str, start: int, end: int) -> int | None:
+    """Where the number at ``start`` ends, ``end`` at most: with the fixed number of digits of its zone, or before the next
+    entity, or with 7 to 15 digits; None if it is no phone."""
+    ends, sure, likely, inside, digits = {}, None, None, False, 0
+    for run in _DIGITS.finditer(text, start, end):
+        other = _PATTERN.match(text, run.start()) if run.start() > start else None
+        inside = inside or other is not None
+        if other and 7 <= digits <= 15 and text[run.start() - 1] == " ":
+            # Four groups of a card may begin with the last of the phone's, unless its check digit is right.
+            likely = digits
+            if sure is None and (not other["card"] or luhn("".join(_DIGITS.findall(other[0])))):
+                sure = digits
+        digits += len(run[0])
+        if 7 <= digits <= 15 and not _GOES_ON.match(text, run.end()):
+            ends[digits] = run.end()
+    if text[start:start + 2] in ("+1", "+7") and 11 in ends:
+        return ends[11]
+    if (cut := sure or likely) in ends:
+        return ends[cut]
+    # What is too long and holds something else, such as a card, is that.
+    return ends[max(ends)] if ends and (digits <= 15 or not inside) else None
+
+
+def _matches(text: str) -> Iterator[tuple[re.Match, int]]:
+    """Matches with their ends; what turns out to be no entity is searched again behind its first character."""
+    at = 0
+    while m := _PATTERN.search(text, at):
+        end = _phone_end(text, *m.span()) if m.lastgroup == "phone" else m.end()
+        if end is not None:
+            yield m, end
+        at = end or m.start() + 1
+
+
 def find(text: str | None) -> list[Found]:
     """Entities in order, none over another."""
     if not text or not _MAYBE.search(text):
         return []
     out, surnames = [], {}
-    for m in _PATTERN.finditer(text):
-        kind, surface = m.lastgroup if m.lastgroup not in ("gap", "one", "two") else next(k for k in ("card", "name") if m[k]), m[0]
+    for m, end in _matches(text):
+        kind, surface = m.lastgroup if m.lastgroup not in ("gap", "one", "two") else next(k for k in ("card", "name") if m[k]), text[m.start():end]
         if kind == "name":
             gender = _GENDER[surface.split(" ")[0].rstrip(".").lower()]
             parts = ["one", "two"] if m["two"] else ["one"]
@@ -98,16 +134,13 @@ def find(text: str | None) -> list[Found]:
             out.append(Found(*m.span(), kind, surface))
         else:
             digits = "".join(c for c in surface if c.isalnum())
-            if kind == "phone":
-                if not 7 <= len(digits) <= 15:
-                    continue
-                if surface[0] == "+":
-                    # The country code stays; its length is what stands before the first separator, or one digit.
-                    code = re.match(r"\+(\d{1,3})[ .(-]", surface)
-                    kind = f"phone{len(code[1]) if code else 1}"
+            if kind == "phone" and surface[0] == "+":
+                # The country code stays; its length is what stands before the first separator, or one digit.
+                code = re.match(r"\+(\d{1,3})[ .(-]", surface)
+                kind = f"phone{len(code[1]) if code else 1}"
             if kind == "card" and luhn(digits):
                 kind = "card_checked"
-            out.append(Found(*m.span(), kind, digits))
+            out.append(Found(m.start(), end, kind, digits))
     if surnames:
         taken = [(x.start, x.end) for x in out]
         for m in re.finditer(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, surnames), key=len, reverse=True)) + r")(?!\w)", text):

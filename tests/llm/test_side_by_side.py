@@ -1,0 +1,59 @@
+"""Entities next to each other, against the list of what was written there."""
+
+import random
+import re
+
+import pytest
+
+from tableferry.llm import surrogates
+
+PHONES = ["+1 (826) 555-4081", "+1 826 555 4081", "+1-826-555-4081", "+18265554081", "826-555-4081", "(826) 555-4081", "+7 495 123 45 67"]
+# Of other zones, whose numbers have no fixed length.
+FAR = ["+49 30 1234567", "+44 20 7946 0958", "+4930123456"]
+IPS = ["190.137.223.204", "10.0.0.9", "255.255.255.255"]
+MAILS = ["34@mail7.example.com", "34.bob@mail7.example.com", "bob@mail7.example.com", "2024-x@mail7.example.com"]
+CARDS = ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "1234 5678 9012 3456"]
+
+
+def surfaces(text):
+    return [text[x.start:x.end] for x in surrogates.find(text)]
+
+
+@pytest.mark.parametrize("phone", PHONES + FAR)
+def test_phones_beside_others(phone):
+    for other in IPS + MAILS + CARDS + PHONES + ["123-45-6789", "DE89 3704 0044 0532 0130 00"]:
+        for gap in (" ", ", ", "\n", " / "):
+            for text, want in ((phone + gap + other, [phone, other]), (other + gap + phone, [other, phone])):
+                # Two groups of a number without an own beginning may belong to the number before them.
+                assert surfaces(f"call {text} now") == want, text
+
+
+@pytest.mark.parametrize("phone", PHONES)
+def test_numbers_behind_phones_are_not_taken(phone):
+    for number in ("2024", "12", "12 34", "1234 5678", "123456789", "3.14"):
+        assert surfaces(f"{phone} {number} times") == [phone]
+
+
+def test_long_runs_are_not_dropped():
+    assert surfaces("+49 30 1234 5678 9012 3456 bob@x.example.com")[-1] == "bob@x.example.com"
+    assert surfaces("+4111 1111 1111 1111 x") == ["4111 1111 1111 1111"]
+    assert surfaces("+49 30 123 4567 8901 and") == ["+49 30 123 4567 8901"]
+    assert surfaces("1234 5678 9012 190.137.223.204") == ["190.137.223.204"]
+
+
+def test_planted_rows():
+    """Random rows of entities: each is found, and nothing of it is left."""
+    draw = random.Random(5)
+    for _ in range(3000):
+        want = [draw.choice(draw.choice((PHONES, IPS, MAILS, CARDS))) for _ in range(draw.randint(1, 5))]
+        text = " ".join(want)
+        assert surfaces(text) == want, text
+
+
+def test_whole_places_are_replaced():
+    text = "+1 (826) 555-4081 190.137.223.204"
+    new = text
+    for x in reversed(surrogates.find(text)):
+        new = new[:x.start] + surrogates.written(x.kind, text[x.start:x.end], surrogates.surrogate(b"k", x.kind, x.entity, 0)) + new[x.end:]
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4} (\d+\.){3}\d+", new) and "555-4081" not in new and "190.137" not in new
+    assert [x.kind for x in surrogates.find(new)] == ["phone1", "ip"]
