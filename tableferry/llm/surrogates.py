@@ -18,13 +18,15 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableferry.session import fresh_path
@@ -52,10 +54,19 @@ _PATTERN = re.compile(
 #: What a number can't end before: it would be a part of a longer word, address or number.
 _GOES_ON = re.compile(r"[\w@]|\.\d")
 _DIGITS = re.compile(r"\d+")
-#: What any entity has; other texts need no search.  The same in the engine's and in this language's patterns; the first
-#: letters alone pass over most places quickly.
-MAYBE = rf"[0-9@]|(?=[{"".join(sorted({x[0] for x in (*_MALE, *_FEMALE)}))}])(?:{_TITLE})\.? "
-_MAYBE = re.compile(MAYBE)
+#: Digits of other scripts.
+_OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isdecimal())
+#: One of these is in any text with an entity; other texts need no search.  The same in the engine's and in this language's
+#: patterns: digits and addresses, quoted secrets, long hex numbers of letters alone, other scripts' digits, forms of
+#: address.  One after the other is faster in the engine than all in one; the first letters alone pass over most places.
+MAYBE = (
+    "[0-9@]",
+    ' = "',
+    "[a-fA-F]{32}",
+    f"[{_OTHER_DIGITS[0]}-{_OTHER_DIGITS[-1]}](?<=[{_OTHER_DIGITS}])",
+    rf"(?=[{"".join(sorted({x[0] for x in (*_MALE, *_FEMALE)}))}])(?:{_TITLE})\.? ",
+)
+_MAYBE = re.compile("|".join(MAYBE))
 
 _SYLLABLES = {"latin": (("ba", "be", "da", "do", "fe", "ga", "ha", "jo", "ka", "ke", "la", "le", "li", "ma", "mi", "no", "ra", "ri", "ro", "sa", "se", "ta", "ti", "va", "vi", "zo"), {"m": "n", "f": "a", "n": "er"}),
               "cyrillic": (("ба", "ве", "го", "да", "жи", "ка", "ло", "ма", "не", "по", "ра", "со", "та", "фе", "ха", "ши"), {"m": "н", "f": "я", "n": "ко"}),
@@ -212,6 +223,11 @@ def written(kind: str, surface: str, drawn: str) -> str:
     return "".join(next(rest) if c.isalnum() else c for c in surface)
 
 
+def maybe(text: Column) -> Column:
+    """Whether a text may hold an entity; false for null."""
+    return F.coalesce(reduce(Column.__or__, (text.rlike(x) if re.search(r"[\[(]", x) else text.contains(x) for x in MAYBE)), F.lit(False))
+
+
 def entities(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """Distinct (``content``, ``kind``, ``entity``); ``content`` is a hash of the text they are in."""
 
@@ -220,7 +236,7 @@ def entities(docs: DataFrame, text_column: str = "text") -> DataFrame:
             found = {(c, x.kind, x.entity): None for c, t in zip(batch.column("content").to_pylist(), batch.column("text"), strict=True) for x in find(t.as_py())}
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))], ["content", "kind", "entity"])
 
-    texts = docs.select(F.xxhash64(text_column).alias("content"), F.col(text_column).alias("text")).where(F.col("text").rlike(MAYBE))
+    texts = docs.select(F.xxhash64(text_column).alias("content"), F.col(text_column).alias("text")).where(maybe(F.col("text")))
     return texts.mapInArrow(run, "content long, kind string, entity string").distinct()
 
 
@@ -289,9 +305,8 @@ def replace(docs: DataFrame, key: bytes, text_column: str = "text", count_column
     made = inner[:-1] + "_made`"
     columns = [F.col(f"`{c}`") for c in docs.columns]
     source = F.col(f"`{text_column}`")
-    maybe = F.coalesce(source.rlike(MAYBE), F.lit(False))
-    joined = docs.where(maybe).withColumn(inner.strip("`"), F.xxhash64(source)).join(maps.withColumnRenamed("content", inner.strip("`")).withColumnRenamed("drawn", made.strip("`") + "_map"), inner.strip("`"), "left")
+    joined = docs.where(maybe(source)).withColumn(inner.strip("`"), F.xxhash64(source)).join(maps.withColumnRenamed("content", inner.strip("`")).withColumnRenamed("drawn", made.strip("`") + "_map"), inner.strip("`"), "left")
     joined = joined.withColumn(made.strip("`"), udf(source, F.col(made[:-1] + "_map`")))
     changed = joined.select(*(F.col(f"{made}.text").alias(c) if c == text_column else F.col(f"`{c}`") for c in docs.columns), *([F.col(f"{made}.places").alias(count_column)] if count_column else []))
-    rest = docs.where(~maybe).select(*columns, *([F.lit(0).alias(count_column)] if count_column else []))
+    rest = docs.where(~maybe(source)).select(*columns, *([F.lit(0).alias(count_column)] if count_column else []))
     return changed.unionByName(rest)

@@ -57,3 +57,19 @@ def test_whole_places_are_replaced():
         new = new[:x.start] + surrogates.written(x.kind, text[x.start:x.end], surrogates.surrogate(b"k", x.kind, x.entity, 0)) + new[x.end:]
     assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4} (\d+\.){3}\d+", new) and "555-4081" not in new and "190.137" not in new
     assert [x.kind for x in surrogates.find(new)] == ["phone1", "ip"]
+
+
+def test_the_filter_passes_all_that_is_found(spark):
+    """Each kind alone, in texts with nothing else that the filter could go by."""
+    texts = [f"see {x} there" for x in (*PHONES, *FAR, *IPS, *MAILS, *CARDS, "Herr Meyer", "κ. Παπας", "abcdefab" * 4, "ABCDEFAB" * 5, "١٢٣-٤٥-٦٧٨٩", "\U0001d7cf\U0001d7d0\U0001d7d1-\U0001d7d2\U0001d7d3-\U0001d7d4\U0001d7d5\U0001d7d6\U0001d7d7")]
+    texts += [f'{head} = "correcthorse" there' for x in ("token", "secret", "password", "api_key") for head in (x, x.upper(), x.title())] + ['paſſword = "correcthorse"', 'toKen = "correcthorse"']
+    texts += [f"see {chr(c) * 3}-{chr(c) * 2}-{chr(c) * 4} there" for c in range(128, 0x110000) if chr(c).isdecimal() and int(chr(c)) == 7]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for text in texts:
+        assert surrogates._PATTERN.search(text) and surrogates.find(text), text
+    assert docs.where(~surrogates.maybe(docs.text)).collect() == []
+    got = {r.doc_id: r for r in surrogates.replace(docs, b"k", count_column="n").collect()}
+    assert all(got[i].n > 0 and got[i].text != text for i, text in enumerate(texts))
+    clean = ["a token, a secret and a password", "say correcthorse", "abcdefab" * 3, "日本語 한국어", "", None]
+    frame = spark.createDataFrame([(x,) for x in clean], "text string")
+    assert frame.where(surrogates.maybe(frame.text)).collect() == [] and all(surrogates.find(x) == [] for x in clean)
