@@ -6,7 +6,7 @@ in every document.  All distinct entities are given surrogates together; where t
 entity of the corpus itself, all but one of them (or that one) are drawn again until none is left.  The surrogate
 is then written in the form of each place: its case, separators, country code, script, gender, check digit.
 
-Names are found after a form of address, which also tells the gender; bare repetitions of the surname in the same
+Names are found after forms of address, several in a row too, and titles without a gender, which also tells the gender; bare repetitions of the surname in the same
 text get the same surrogate.
 
 Defined cases: null and empty texts, and texts without entities, stay as they are; repeated rows give repeated rows;
@@ -37,34 +37,45 @@ MAX_DRAWS = 40
 # Forms of address by gender.
 _MALE = ("Mr", "Mister", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Signor", "господин", "г-н", "κύριος", "κ")
 _FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Signora", "госпожа", "г-жа", "κυρία", "κα")
-_GENDER = {x.lower(): "m" for x in _MALE} | {x.lower(): "f" for x in _FEMALE}
-_TITLE = "|".join(sorted(map(re.escape, (*_MALE, *_FEMALE)), key=len, reverse=True))
+_EITHER = ("Dr", "Doctor", "Doktor", "Docteur", "Dott", "Prof", "Professor", "Professeur", "Mx", "д-р", "доктор", "проф", "профессор", "δρ", "καθ")
+_GENDER = {x.lower(): "m" for x in _MALE} | {x.lower(): "f" for x in _FEMALE} | {x.lower(): "n" for x in _EITHER}
+_TITLE = "|".join(sorted(map(re.escape, (*_MALE, *_FEMALE, *_EITHER)), key=len, reverse=True))
 _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
 
+# Words before a secret, of any length in front, and beginnings of issued keys; what comes behind them is the entity.
+_HEAD = r"(?i:(?:token|secret|password|passwd|pwd|passphrase|api[_ -]?key|access[_-]?key|private[_-]?key)[\"']?[ \t]{0,2}[=:][ \t]{0,2})"
+_KEY = r"(?:sk-|[sr]k_(?:live|test)_|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|AKIA|ASIA|AIza)"
+
 _PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<secret>(?<![\w])[0-9a-f]{32,}(?![\w])|(?<![\w])[0-9A-F]{32,}(?![\w])|(?i:(?<=token = \")|(?<=secret = \")|(?<=password = \")|(?<=api_key = \"))[^\s\"]{8,}(?=\"))"
+    r"|(?P<secret>(?<![\w])[0-9a-f]{32,}(?![\w])|(?<![\w])[0-9A-F]{32,}(?![\w])"
+    rf"|{_HEAD}(?:\"(?P<quoted>[^\s\"]{{8,}})(?=\")|'(?P<ticked>[^\s']{{8,}})(?=')|(?P<bare>(?:(?<=[=])|(?<=[=] )|(?=[^\s\"',;]*(?:[0-9]|[a-z][A-Z])))[^\s\"',;]{{8,}}))"
+    rf"|(?<!\w){_KEY}(?P<rest>(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{{16,}}))"
+    r"|(?P<ipsix>(?<![\w:.])(?=[0-9A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\d))"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\w@]|\.\d))"
     r"|(?P<card>(?<![\w.])(?:\d{4}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|3\d{3}[ -]\d{6}[ -]\d{5})(?![\w@]|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w@]|\.\d))"
-    rf"|(?P<name>(?<!\w)(?:{_TITLE})\.? (?P<one>{_NAME})(?: (?P<two>{_NAME}))?)"
+    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}|(?<![+/-])(?:\(0[1-9]\d{0,3}\) ?|0[1-9]\d{0,3}[ /-])\d{2,8}(?:[ /-]\d{2,4}){0,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w@]|\.\d))"
+    rf"|(?P<name>(?<!\w)(?:(?:{_TITLE})\.? )+(?!(?:{_TITLE})(?!\w))(?P<one>{_NAME})(?: (?P<two>{_NAME}))?)"
 )
 #: What a number can't end before: it would be a part of a longer word, address or number.
+_KINDS = ("email", "secret", "ipsix", "ip", "iban", "card", "ssn", "phone", "name")
 _GOES_ON = re.compile(r"[\w@]|\.\d")
 _DIGITS = re.compile(r"\d+")
 #: Digits of other scripts.
 _OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isdecimal())
+# The last letters of the words before a secret, in any case.
+_ENDS = "(?:[kK\u212a][eE][nNyY]|[rR][eE][tT]|[oO][rR][dD]|[sSpP\u017f][wW][dD]|[aA][sS\u017f][eE])"
 #: One of these is in any text with an entity; other texts need no search.  The same in the engine's and in this language's
-#: patterns: digits and addresses, quoted secrets, long hex numbers of letters alone, other scripts' digits, forms of
+#: patterns: digits and addresses, words before secrets, long hex numbers of letters alone, other scripts' digits, forms of
 #: address.  One after the other is faster in the engine than all in one; the first letters alone pass over most places.
 MAYBE = (
     "[0-9@]",
-    ' = "',
+    r"[=:](?:" + "|".join(rf"(?<={_ENDS}[ \t\"']{{{n}}}[=:])" for n in range(4)) + ")",
     "[a-fA-F]{32}",
     f"[{_OTHER_DIGITS[0]}-{_OTHER_DIGITS[-1]}](?<=[{_OTHER_DIGITS}])",
-    rf"(?=[{"".join(sorted({x[0] for x in (*_MALE, *_FEMALE)}))}])(?:{_TITLE})\.? ",
+    rf"(?=[{"".join(sorted({x[0] for x in (*_MALE, *_FEMALE, *_EITHER)}))}])(?:{_TITLE})\.? ",
 )
 _MAYBE = re.compile("|".join(MAYBE))
 
@@ -90,12 +101,21 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _groups(address: str) -> list[int]:
+    """The eight numbers of an IPv6 address; too few or too many are taken as they are."""
+    left, gap, right = address.partition("::")
+    ahead, behind = ([int(x, 16) for x in part.split(":") if x] for part in (left, right))
+    return [*ahead, *[0] * ((8 - len(ahead) - len(behind)) if gap else 0), *behind]
+
+
 def _phone_end(text: str, start: int, end: int) -> int | None:
     """Where the number at ``start`` ends, ``end`` at most: with the fixed number of digits of its zone, or before the next
     entity, or with 7 to 15 digits; None if it is no phone."""
     ends, sure, likely, inside, digits = {}, None, None, False, 0
     for run in _DIGITS.finditer(text, start, end):
         other = _PATTERN.match(text, run.start()) if run.start() > start else None
+        if other and other["phone"] and text[run.start()] == "0":
+            other = None  # a group of this one
         inside = inside or other is not None
         if other and 7 <= digits <= 15 and text[run.start() - 1] == " ":
             # Four groups of a card may begin with the last of the phone's, unless its check digit is right.
@@ -105,6 +125,9 @@ def _phone_end(text: str, start: int, end: int) -> int | None:
         digits += len(run[0])
         if 7 <= digits <= 15 and not _GOES_ON.match(text, run.end()):
             ends[digits] = run.end()
+    if text[start] == "0" or text.startswith("(0", start):
+        # Without a country code, shorter ones may be dates.
+        ends = {k: v for k, v in ends.items() if k >= 9}
     if text[start:start + 2] in ("+1", "+7") and 11 in ends:
         return ends[11]
     if (cut := sure or likely) in ends:
@@ -129,9 +152,10 @@ def find(text: str | None) -> list[Found]:
         return []
     out, surnames = [], {}
     for m, end in _matches(text):
-        kind, surface = m.lastgroup if m.lastgroup not in ("gap", "one", "two") else next(k for k in ("card", "name") if m[k]), text[m.start():end]
+        kind, surface = next(k for k in _KINDS if m[k] is not None), text[m.start():end]
         if kind == "name":
-            gender = _GENDER[surface.split(" ")[0].rstrip(".").lower()]
+            titles = [_GENDER[x.rstrip(".").lower()] for x in text[m.start():m.start("one")].split()]
+            gender = next((x for x in titles if x != "n"), "n")
             parts = ["one", "two"] if m["two"] else ["one"]
             for i, part in enumerate(parts):
                 word = m[part]
@@ -141,8 +165,13 @@ def find(text: str | None) -> list[Found]:
                     surnames[word] = sort
         elif kind == "email":
             out.append(Found(*m.span(), kind, surface.lower()))
-        elif kind in ("secret", "ip"):
+        elif kind == "secret":
+            part = next((x for x in ("quoted", "ticked", "bare", "rest") if m[x]), "secret")
+            out.append(Found(*m.span(part), kind, m[part]))
+        elif kind == "ip":
             out.append(Found(*m.span(), kind, surface))
+        elif kind == "ipsix":
+            out.append(Found(*m.span(), kind, ":".join(f"{x:x}" for x in _groups(surface))))
         else:
             digits = "".join(c for c in surface if c.isalnum())
             if kind == "phone" and surface[0] == "+":
@@ -187,6 +216,9 @@ def surrogate(key: bytes, kind: str, entity: str, number: int) -> str:
         own = 1 if entity.startswith(("10.", "127.")) else 2 if entity.startswith("192.168.") or re.match(r"172\.(1[6-9]|2\d|3[01])\.", entity) else 0
         parts = entity.split(".")
         return ".".join([*parts[:own], *(str(1 + next(draw) % 254) for _ in parts[own:])])
+    if kind == "ipsix":
+        # Groups of nought stay, so that all spellings fit; the last of each has a decimal digit, which addresses are told by.
+        return ":".join("0" if x == "0" else "".join(("123456789" if i in (0, len(x) - 1) else "0123456789abcdef")[next(draw) % (9 if i in (0, len(x) - 1) else 16)] for i in range(len(x))) for x in entity.split(":"))
     if kind == "secret":
         if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", entity):
             digits = "0123456789ABCDEF" if re.search("[A-F]", entity) else "0123456789abcdef"
@@ -201,7 +233,9 @@ def surrogate(key: bytes, kind: str, entity: str, number: int) -> str:
         code = int(kind[5:])
         return entity[:code] + str(1 + next(draw) % 9) + _like(entity[code + 1:], draw)
     if kind in ("phone", "card", "ssn"):
-        drawn = str(1 + next(draw) % 9) + _like(entity[1:], draw)
+        # The nought before a number without a country code stays.
+        lead = "0" if kind == "phone" and entity[0] == "0" else ""
+        drawn = lead + str(1 + next(draw) % 9) + _like(entity[len(lead) + 1:], draw)
         # The kinds with and without a right check digit stay apart.
         return drawn[:-1] + str((int(drawn[-1]) + 1) % 10) if kind == "card" and luhn(drawn) else drawn
     sort, gender, script = kind.split("_")
@@ -215,6 +249,12 @@ def written(kind: str, surface: str, drawn: str) -> str:
     """The surrogate in the form of a place in a text."""
     if kind in ("ip", "secret"):
         return drawn
+    if kind == "ipsix":
+        left, gap, right = surface.partition("::")
+        new, ahead, behind = drawn.split(":"), left.split(":"), right.split(":") if gap else []
+        texts = [[n.zfill(len(o)) for n, o in zip(new, ahead)], [n.zfill(len(o)) for n, o in zip(new[len(new) - len(behind):], behind)]]
+        out = ":".join(texts[0]) + gap + ":".join(texts[1])
+        return out.upper() if surface.isupper() else out
     if kind == "email":
         return drawn.upper() if surface.isupper() else "".join(d.upper() if s.isupper() else d for s, d in zip(surface, drawn, strict=True)) if len(surface) == len(drawn) else drawn
     if "_" in kind and kind != "card_checked":

@@ -73,3 +73,28 @@ def test_the_filter_passes_all_that_is_found(spark):
     clean = ["a token, a secret and a password", "say correcthorse", "abcdefab" * 3, "日本語 한국어", "", None]
     frame = spark.createDataFrame([(x,) for x in clean], "text string")
     assert frame.where(surrogates.maybe(frame.text)).collect() == [] and all(surrogates.find(x) == [] for x in clean)
+
+
+WIDER = [("token=abcdef123456 x", ["abcdef123456"]), ("password: hunter2abc", ["hunter2abc"]), ("{'api-key': 'abcdefghij'}", ["abcdefghij"]), ('"passwd": "pass@word1"', ["pass@word1"]), ("use sk-abcd1234abcd1234abcd", ["abcd1234abcd1234abcd"]),
+         ("at 2001:db8::8a2e:370:7334.", ["2001:db8::8a2e:370:7334"]), ("2001:0DB8:0000:0000:0000:8A2E:0370:7334", ["2001:0DB8:0000:0000:0000:8A2E:0370:7334"]), ("fe80::1, on", ["fe80::1"]),
+         ("Herr Prof. Dr. Meyer und Meyer", ["Meyer", "Meyer"]), ("Dr. Anna Schmidt", ["Anna", "Schmidt"]), ("д-р Иванов", ["Иванов"]), ("+33 1 23 45 67 89", ["+33 1 23 45 67 89"]), ("+33 1 23 45 06 78 190.137.223.204", ["+33 1 23 45 06 78", "190.137.223.204"]),
+         ("0171 1234567 ok", ["0171 1234567"]), ("(030) 1234567", ["(030) 1234567"]), ("06 12 34 56 78", ["06 12 34 56 78"])]
+
+
+def test_wider_forms(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(WIDER)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in surrogates.replace(docs, b"k").collect()}
+    for i, (text, want) in enumerate(WIDER):
+        assert surfaces(text) == want, text
+        assert not any(x in got[i] for x in want)
+        assert [x.kind for x in surrogates.find(got[i])] == [x.kind for x in surrogates.find(text)], got[i]
+    for clean in ("the secret: everything is", "at 10:30:15 std::vec a::b", "Herr Dr. und", "01-12-2024 or 05/11/2023", "00:1A:2B:3C:4D:5E", "https://x.org:8080/a?b=1 ratio 1:2"):
+        assert surfaces(clean) == [], clean
+
+
+def test_spellings_of_an_address_are_one_entity():
+    one, other = (surrogates.find(x)[0] for x in ("2001:db8::7334", "2001:0DB8:0000:0000:0000:0000:0000:7334"))
+    assert one.entity == other.entity
+    drawn = surrogates.surrogate(b"k", one.kind, one.entity, 0)
+    assert surrogates.find(surrogates.written("ipsix", "2001:db8::7334", drawn))[0].entity == drawn
+    assert surrogates.find(surrogates.written("ipsix", "2001:0DB8:0000:0000:0000:0000:0000:7334", drawn))[0].entity == drawn
