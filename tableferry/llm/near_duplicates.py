@@ -34,8 +34,8 @@ from tableferry.llm.words import Words, mix, sequence_keys, slices, windows, wor
 
 SHINGLE, SIMILARITY = 5, 0.8
 DARTS, ROWS = 240, 6
-#: Pairs with fewer equal darts than this are not compared: at similarity 0.8 that is over six deviations below the mean.
-LEAST_EQUAL = 152
+#: A pair of the least similarity that is asked for may be missed by all bands once in so many.
+MISSED = 1 / 100_000
 #: Pairs that a task compares, about.
 PAIRS = 2_000
 #: Further rounds, around three members of each bucket, before the pairs that are left are compared.
@@ -106,16 +106,36 @@ def darts(text: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, k: int
     return out
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bands = DARTS // ROWS
+def least_equal(least: float) -> int:
+    """Pairs with fewer equal darts than this are not compared: over six deviations below the mean of similarity ``least``."""
+    return max(0, math.floor(DARTS * least - 6.4 * math.sqrt(DARTS * least * (1 - least))))
+
+
+def band_size(least: float) -> int:
+    """Darts of a band: as many as ``ROWS`` at most with which a pair of similarity ``least`` is as good as never missed."""
+    for rows in range(ROWS, 0, -1):
+        if DARTS % rows == 0 and (1 - least**rows) ** (DARTS // rows) <= MISSED:
+            return rows
+    raise ValueError(f"{DARTS} darts are too few for a similarity of {least}")
+
+
+def _sign(size_of_band: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _signed(batches, size_of_band)
+
+    return run
+
+
+def _signed(batches: Iterator[pa.RecordBatch], size_of_band: int) -> Iterator[pa.RecordBatch]:
+    bands = DARTS // size_of_band
     for batch in slices(batches):
         found = lower_words(batch.column("text"))
         n = batch.num_rows
         text, key, weight = shingles(found)
         signs = darts(text, key, weight, n)
-        rows = signs.reshape(n, bands, ROWS)
+        rows = signs.reshape(n, bands, size_of_band)
         band = np.arange(bands, dtype=np.uint64) * _ODD[0]
-        for i in range(ROWS):
+        for i in range(size_of_band):
             band = mix(band * _ODD[1] + rows[:, :, i])
         empty = np.diff(found.first) == 0
         content = [None if x else c for x, c in zip(empty.tolist(), sequence_keys(found), strict=True)]
@@ -130,11 +150,14 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(sequence_keys(lower_words(batch.column("text"))), pa.binary()), batch.column("raw"), batch.column("text")], ["content", "raw", "text"])
 
 
-def _close_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sides = [np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint8).reshape(-1, DARTS) for x in ("marks_a", "marks_b")]
-        kept = pa.array((sides[0] == sides[1]).sum(1) >= LEAST_EQUAL)
-        yield batch.select(["a", "b"]).filter(kept)
+def _close_marks(equal: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint8).reshape(-1, DARTS) for x in ("marks_a", "marks_b")]
+            kept = pa.array((sides[0] == sides[1]).sum(1) >= equal)
+            yield batch.select(["a", "b"]).filter(kept)
+
+    return run
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -167,10 +190,11 @@ def _linked(least: float):
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = SIMILARITY) -> DataFrame:
     """(``doc_id``, ``raw``, ``content``, ``label``) of each row; rows with an equal, non-null label are near-duplicates.
 
+    Links have a similarity of ``least`` or more; below about 0.05 it raises, as no bands of ``DARTS`` find such pairs.
     ``raw`` is the ``xxhash64`` of the text; ``content`` and ``label`` are null for texts without words.
     """
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("raw"), F.col(text_column).alias("text"))
-    signed = _written(source.mapInArrow(_sign, "doc_id long, raw long, content binary, size long, bands array<long>, marks binary"), "signed")
+    signed = _written(source.mapInArrow(_sign(band_size(least)), "doc_id long, raw long, content binary, size long, bands array<long>, marks binary"), "signed")
     nodes = _written(signed.where("content is not null").groupBy("content").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.min("raw").alias("raw")), "nodes")
     entries = nodes.select(F.explode("bands").alias("key"), "content", "size")
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -189,7 +213,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         able = _written(pairs.where(F.least("size_a", "size_b") >= F.lit(least) * F.greatest("size_a", "size_b")).select("a", "b").distinct(), "pairs")
         few = tasks_for(able.count(), PAIRS)
         with_marks = able.coalesce(few).join(marks.select(F.col("content").alias("a"), F.col("marks").alias("marks_a")), "a").join(marks.select(F.col("content").alias("b"), F.col("marks").alias("marks_b")), "b")
-        near = with_marks.coalesce(few).mapInArrow(_close_marks, "a binary, b binary")
+        near = with_marks.coalesce(few).mapInArrow(_close_marks(least_equal(least)), "a binary, b binary")
         with_texts = near.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
         return with_texts.coalesce(few).mapInArrow(_linked(least), "a binary, b binary")
 
