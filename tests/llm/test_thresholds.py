@@ -36,3 +36,17 @@ def test_links_at_a_lower_threshold(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(x for pair in texts for x in pair)], "doc_id long, text string")
     got = {r.doc_id: r.class_id for r in near_duplicates.report(docs, least=0.6).collect()}
     assert got == {i: i - i % 2 for i in range(2 * len(texts))}
+
+
+def test_repeated_lines_count_as_often_as_they_occur():
+    """The README's limit: by set these are near-duplicates, by bag, which the operator goes by, they are not."""
+    text = prose(77, 200, 5000)
+    lines = text + " " + " ".join([prose(78, 12, 5000)] * 30)
+    for one, other in ((text, " ".join([text] * 3)), (lines, text + " " + prose(78, 12, 5000))):
+        a, b = bag(one), bag(other)
+        shared = len(set(a[0].tolist()) & set(b[0].tolist()))
+        by_set = shared / (len(a[0]) + len(b[0]) - shared)
+        assert by_set >= near_duplicates.SIMILARITY > near_duplicates.similarity(a, b)
+    # With lines that are repeated equally often on both sides there is no such gap.
+    near = lines.replace(" ", " new ", 1)
+    assert near_duplicates.similarity(bag(lines), bag(near)) >= near_duplicates.SIMILARITY
