@@ -36,4 +36,27 @@ found as (select r, list(distinct item_id order by item_id) as item_ids, max(n)
 select doc_id, item_ids is not null as contaminated, coalesce(array_to_string(item_ids, ','), '') as item_ids, cast(coalesce(n_words, 0) as bigint) as n_words
 from docs left join found using (r)"""
 
-ORACLE: dict[str, str] = {"op3_substring_dedup": _SUBSTRINGS, "op8_decontamination": _LEAKS}
+# The checksum bit by bit; then places whose next 16 words agree with those a distance later, which any run has.
+_RUNS = r"""
+with texts as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+sums as (select r, doc_id, w, cast(len(w) as bigint) as n, xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(cast(doc_id as varchar), ''),
+         lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))), lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295) as h from texts),
+starts as (select *, case when n > 0 then (h // 10) % n end as a from sums),
+periods as (select *, 1 + (n - a) // (3 + (h // 10) % 8) as p from starts),
+planted as (select r, doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n), lambda i: w[1 + case when i < a then i else a + (i - a) % p end]) else w end as w from periods),
+places as (select r, n, w, unnest(range(0, n - 15)) as i from planted where n >= 24),
+grams as (select r, n, i, array_to_string(w[i + 1:i + 16], ' ') as k from places),
+pairs as (select x.r, x.i, y.i - x.i as q from grams x join grams y on x.r = y.r and x.k = y.k and y.i > x.i and 3 * (y.i - x.i) <= x.n),
+groups as (select *, i - row_number() over (partition by r, q order by i) as g from pairs),
+stretches as (select r, q, min(i) as s, count(*) + 15 + q as length from groups group by r, q, g),
+runs as (select r, s, length, min(q) as q from stretches where length >= greatest(24, 3 * q) group by r, s, length),
+lists as (select r, count(*) as n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' order by s, q) as lines from runs group by r),
+top as (select * from runs qualify row_number() over (partition by r order by length / q desc, s, q) = 1),
+words as (select r, unnest(w) as word, unnest(range(0, n)) as i from planted),
+gone as (select distinct r, unnest(range(s + q, s + length)) as i from runs),
+kept as (select r, string_agg(word, ' ' order by i) as t from words anti join gone using (r, i) group by r)
+select doc_id, n as n_words, coalesce(n_runs, 0) as n_runs, s as start, length, q as period, (1000 * length) // q as exponent_milli,
+       sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(t, '')) as collapsed_sha256
+from planted left join lists using (r) left join top using (r) left join kept using (r)"""
+
+ORACLE: dict[str, str] = {"op3_substring_dedup": _SUBSTRINGS, "op8_decontamination": _LEAKS, "op11_word_runs": _RUNS}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import huffman, language, leaks, near_duplicates, pages, quality, sentences, substrings, surrogates, token_counts
+from tableferry.llm import huffman, language, leaks, near_duplicates, pages, periods, quality, sentences, substrings, surrogates, token_counts
 from tableferry.llm.oracle import ORACLE  # noqa: F401
 from tableferry.llm.ship import ship
 
@@ -83,6 +83,10 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace(docs, EXAMPLE_KEY, count_column="n_replaced")
 
 
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.runs(_table(spark, sf_dir, "documents"), rewrite=periods.periodic_tail)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -94,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_main_text": op9_main_text,
     "op10_pii_surrogates": op10_pii_surrogates,
+    "op11_word_runs": op11_word_runs,
 }
 
