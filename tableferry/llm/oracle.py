@@ -59,4 +59,16 @@ select doc_id, n as n_words, coalesce(n_runs, 0) as n_runs, s as start, length,
        sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(t, '')) as collapsed_sha256
 from planted left join lists using (r) left join top using (r) left join kept using (r)"""
 
-ORACLE: dict[str, str] = {"op3_substring_dedup": _SUBSTRINGS, "op8_decontamination": _LEAKS, "op11_word_runs": _RUNS}
+_NEGATIVES = """
+with vectors as (select row_number() over () as r, vec_id, cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label,
+                 list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings where vec_id is not null and label is not null and embedding is not null),
+able as (select * from vectors where len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0),
+scores as (select a.r as anchor, a.vec_id as anchor_id, a.label as anchor_label, b.r, b.vec_id, b.label, cast(coalesce(list_inner_product(a.v, b.v), 0) as bigint) as score
+           from able a join able b on a.r <> b.r and a.vec_id % 100 = 0),
+positives as (select * from scores where label = anchor_label qualify row_number() over (partition by anchor order by score desc, vec_id, r) <= 5),
+negatives as (select p.anchor_id, p.vec_id as positive_id, p.score as positive_score, n.vec_id as negative_id, n.score as negative_score,
+              cast(row_number() over (partition by p.anchor, p.r order by n.score desc, n.vec_id, n.r) as integer) as rank
+              from positives p join scores n on p.anchor = n.anchor and n.label <> n.anchor_label and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 10"""
+
+ORACLE: dict[str, str] = {"op3_substring_dedup": _SUBSTRINGS, "op8_decontamination": _LEAKS, "op11_word_runs": _RUNS, "op12_hard_negatives": _NEGATIVES}

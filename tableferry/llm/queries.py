@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import huffman, language, leaks, near_duplicates, pages, periods, quality, sentences, substrings, surrogates, token_counts
+from tableferry.llm import hard_negatives, huffman, language, leaks, near_duplicates, pages, periods, quality, sentences, substrings, surrogates, token_counts
 from tableferry.llm.oracle import ORACLE  # noqa: F401
 from tableferry.llm.ship import ship
 
@@ -87,6 +87,11 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.runs(_table(spark, sf_dir, "documents"), rewrite=periods.periodic_tail)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label_column=label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -99,5 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_pii_surrogates": op10_pii_surrogates,
     "op11_word_runs": op11_word_runs,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
