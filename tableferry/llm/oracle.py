@@ -71,4 +71,21 @@ negatives as (select p.anchor_id, p.vec_id as positive_id, p.score as positive_s
               from positives p join scores n on p.anchor = n.anchor and n.label <> n.anchor_label and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score)
 select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 10"""
 
-ORACLE: dict[str, str] = {"op3_substring_dedup": _SUBSTRINGS, "op8_decontamination": _LEAKS, "op11_word_runs": _RUNS, "op12_hard_negatives": _NEGATIVES}
+# Bytes as pairs of hex digits; places whose next 400 bytes occur twice, as stretches, and the bytes between these.
+_BYTES = """
+with texts as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+sizes as (select *, length(x) // 2 as n from texts),
+starts as (select r, unnest(range(0, n - 399)) as p, x from sizes where n >= 400),
+windows as (select r, p, md5(substr(x, 2 * p + 1, 800)) as k from starts),
+again as (select k from windows group by k having count(*) > 1),
+hits as (select r, p, lag(p) over (partition by r order by p) as before from windows semi join again using (k)),
+marks as (select r, p, sum(case when before is null or p > before + 400 then 1 else 0 end) over (partition by r order by p) as span from hits),
+spans as (select r, span, min(p) as low, max(p) + 400 as high from marks group by r, span),
+gaps as (select r, high as low, lead(low, 1, 1000000000) over (partition by r order by low) as high from spans union all select r, 0, min(low) from spans group by r),
+kept as (select r, string_agg(substr(x, 2 * low + 1, 2 * (least(high, n) - low)), '' order by low) as t from gaps join sizes using (r) group by r),
+sums as (select r, count(*) as n_spans, sum(high - low) as n_removed from spans group by r)
+select doc_id, n as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(t, x))) as kept_sha256
+from sizes left join sums using (r) left join kept using (r)"""
+
+ORACLE: dict[str, str] = {"op3_substring_dedup": _SUBSTRINGS, "op8_decontamination": _LEAKS, "op11_word_runs": _RUNS, "op12_hard_negatives": _NEGATIVES,
+                          "op13_byte_repeats": _BYTES}

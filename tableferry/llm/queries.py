@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.llm import hard_negatives, huffman, language, leaks, near_duplicates, pages, periods, quality, sentences, substrings, surrogates, token_counts
+from tableferry.llm import byte_repeats, hard_negatives, huffman, language, leaks, near_duplicates, pages, periods, quality, sentences, substrings, surrogates, token_counts
 from tableferry.llm.oracle import ORACLE  # noqa: F401
 from tableferry.llm.ship import ship
 
@@ -92,6 +92,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label_column=label)
 
 
+def op13_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_repeats.deduplicated(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -105,5 +109,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii_surrogates": op10_pii_surrogates,
     "op11_word_runs": op11_word_runs,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_byte_repeats": op13_byte_repeats,
 }
 
