@@ -133,6 +133,29 @@ select d.day, count(e.event_id) as n from
     "compact_table": """
 select * from orders
 where not exists (select 1 from customer where c_custkey = o_custkey and c_acctbal < 0)""",
+    "interleaved_layout": """
+with ends as (select min(l_partkey) as low, max(l_partkey) as high from lineitem)
+select 'month' as filter, *, true as in_few_files from lineitem where l_shipdate between date '1995-03-01' and date '1995-03-31'
+union all
+select 'parts', lineitem.*, true from lineitem, ends
+where l_partkey between cast(trunc(low + (high - low) / 2) as bigint) and cast(trunc(low + (high - low) / 2 + (high - low) / 50) as bigint)""",
+    "merge_touched_files": """
+select * replace (case when o_orderdate >= date '1998-01-01' then 'X' else o_orderstatus end as o_orderstatus,
+                  case when o_orderdate >= date '1998-01-01' then o_totalprice + 1 else o_totalprice end as o_totalprice), true as most_files_kept
+from orders""",
+    "delete_marks": """
+select *, (select count(*) from orders) as rows_in_files from orders
+where not exists (select 1 from customer where c_custkey = o_custkey and c_acctbal < 0)""",
+    "purge_marked": """
+with left_over as (select * from orders where not exists (select 1 from customer where c_custkey = o_custkey and c_acctbal < 0))
+select *, (select count(*) from left_over) as rows_in_files,
+       (select cast(count(*) as bigint) from left_over where o_orderdate between date '1995-03-01' and date '1995-03-31') as rows_marked
+from left_over where o_orderdate not between date '1995-03-01' and date '1995-03-31'""",
+    "merge_emptied_partition": """
+with first as (select min(event_type) as f from events)
+select * replace (case when event_type = f then value else value + 1 end as value),
+       case when event_type = f then 'moved: é' else event_type || ' é=%/日' end as kind from (select events.*, f from events, first)""".replace("select * replace", "select * exclude (f) replace"),
+    "refused_reload": f"select * exclude (event_type), {_EVENTS_DAY} as ds, true as refused from events",
     "retention_prune": f"""
 select *, {_EVENTS_DAY} as dt from events
 where cast(ts as date) >= (select cast(max(ts) as date) from events) - 7""",

@@ -19,6 +19,7 @@ from tableferry.operators.conform import (REJECTED, conform, conform_or_reject,
 from tableferry.operators.layout import retained, without_deleted
 from tableferry.operators.load import evolve, latest
 from tableferry.plans.batch import for_each_table
+from tableferry.plans.by_file import FILE, PLACE, dead_shares, live, mark_deleted, purge, with_position
 from tableferry.plans.exports import export_hour_range
 from tableferry.plans.routes import (Destination, hive_database_to_hive, hive_to_hive, load_table, maxcompute_to_hive, mysql_to_hive,
                                      to_warehouse)
@@ -352,6 +353,91 @@ def compact_table(spark, sf):
     return read_table(spark, name)
 
 
+def interleaved_layout(spark, sf):
+    """Order lines of one month, and those of a part range, from a table laid out by both: few files can hold either."""
+    name, path = fresh_table(spark, "lineitem"), fresh_path(spark, "interleaved")
+    write_distributed(table(spark, sf, "lineitem"), name, path, dist_key=None, sort_keys=["l_partkey", "l_shipdate"], buckets=16, interleaved=True)
+    rows = read_table(spark, name)
+    low, high = F.min("l_partkey"), F.max("l_partkey")
+    ends = rows.agg((low + (high - low) / 2).cast("long").alias("a"), (low + (high - low) / 2 + (high - low) / 50).cast("long").alias("b")).first()
+    filters = {"month": F.col("l_shipdate").between(F.lit("1995-03-01").cast("date"), F.lit("1995-03-31").cast("date")), "parts": F.col("l_partkey").between(ends.a, ends.b)}
+    boxes = with_position(rows).groupBy(FILE).agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("l_partkey", "l_shipdate") for f in (F.min, F.max)])
+    able = {"month": (F.col("max_l_shipdate") >= F.lit("1995-03-01").cast("date")) & (F.col("min_l_shipdate") <= F.lit("1995-03-31").cast("date")),
+            "parts": (F.col("max_l_partkey") >= ends.a) & (F.col("min_l_partkey") <= ends.b)}
+    few = boxes.agg(*[(F.count(F.when(c, 1)) * 2 <= F.count(F.lit(1))).alias(f"few_{k}") for k, c in able.items()])
+    parts = [rows.where(c).select(F.lit(k).alias("filter"), "*").join(few.select(F.col(f"few_{k}").alias("in_few_files"))) for k, c in filters.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def merge_touched_files(spark, sf):
+    """Orders lie in files by date; the increment changes the last year, and only the files of that year are rewritten."""
+    name, path = fresh_table(spark, "orders"), fresh_path(spark, "orders")
+    orders = table(spark, sf, "orders")
+    write_distributed(orders.where(_HISTORY), name, path, dist_key=None, sort_keys=["o_orderdate"], buckets=12)
+    before = {r[FILE] for r in with_position(read_table(spark, name)).select(FILE).distinct().collect()}
+    changed = orders.withColumns({"o_orderstatus": F.lit("X"), "o_totalprice": F.col("o_totalprice") + 1})
+    load_table(changed, _ORDERS, name, path, LoadSpec(incremental=IncrementalSpec(_LOOKBACK, merge=True, rewrite="files")))
+    rows = with_position(read_table(spark, name))
+    kept = rows.select(FILE).distinct().where(F.col(FILE).isin([*before])).agg((F.count(F.lit(1)) * 2 > len(before)).alias("most_files_kept"))
+    return rows.drop(FILE, PLACE).join(kept)
+
+
+def _with_marks(spark, sf, name):
+    """Orders in several files; those of customers in debt are marked as deleted."""
+    replace_table(table(spark, sf, "orders"), name, scratch_root(spark), load=LoadSpec(write_partitions=8))
+    debtors = table(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey"))
+    mark_deleted(spark, name, debtors, ["o_custkey"])
+
+
+def delete_marks(spark, sf):
+    """Marked rows are left out on read; the files still hold them."""
+    name = fresh_table(spark, "orders")
+    _with_marks(spark, sf, name)
+    held = read_table(spark, name).agg(F.count(F.lit(1)).alias("rows_in_files"))
+    return live(spark, name).join(held)
+
+
+def purge_marked(spark, sf):
+    """The marked rows are purged; then one month's orders are marked, which are too few for another purge."""
+    name = fresh_table(spark, "orders")
+    _with_marks(spark, sf, name)
+    purge(spark, name, 0.01)
+    month = read_table(spark, name).where(date_between("o_orderdate", "1995-03-01", "1995-03-31")).select("o_orderkey")
+    mark_deleted(spark, name, month, ["o_orderkey"])
+    purge(spark, name, 0.5)
+    dead = dead_shares(spark, name).agg(F.sum("n_rows").alias("rows_in_files"), F.sum("n_dead").alias("rows_marked"))
+    return live(spark, name).join(dead)
+
+
+def merge_emptied_partition(spark, sf):
+    """A partition with letters that paths don't take as they are ends empty, and stays so with the loads that follow."""
+    spec = TableSpec("events", "mysql", (t.C("event_id", "BIGINT"), t.C("kind", "CHAR", 40)), primary_key=("event_id",), partition_columns=("kind",))
+    name, root = fresh_table(spark, "events"), scratch_root(spark)
+    events = table(spark, sf, "events").withColumn("kind", F.concat("event_type", F.lit(" é=%/日")))
+    load_table(events, spec, name, root, LoadSpec())
+    first = events.agg(F.min("kind")).first()[0]
+    merged = LoadSpec(incremental=IncrementalSpec("true", merge=True))
+    load_table(events.where(F.col("kind") == first).withColumn("kind", F.lit("moved: é")), spec, name, root, merged)
+    load_table(events.where(F.col("kind") != first).withColumn("value", F.col("value") + 1), spec, name, root, merged)
+    recover_partitions(spark, name)
+    return read_table(spark, name)
+
+
+def refused_reload(spark, sf):
+    """Days are loaded into a folder again with numbers as text: refused, and the folder is as it was."""
+    spec = replace(t.EVENTS_MAXCOMPUTE, columns=tuple(c for c in t.EVENTS_MAXCOMPUTE.columns if c.name != "event_type"), partition_columns=("ds",))
+    other = replace(spec, columns=tuple(replace(c, declared="STRING") if c.name == "user_id" else c for c in spec.columns))
+    dest = _destination(spark, "refused")
+    events = _events_by(spark, sf, "ds", day_of).drop("event_type")
+    path = maxcompute_to_hive(events, spec, dest)
+    try:
+        maxcompute_to_hive(events.withColumn("user_id", F.col("user_id").cast("string")), other, dest, where="ds <= '20240105'")
+        refused = False
+    except ValueError:
+        refused = True
+    return read_written(spark, path, events.schema, ["ds"]).withColumn("refused", F.lit(refused))
+
+
 def retention_prune(spark, sf):
     return retained(_by_day(spark, sf, "retention")[1], 7)
 
@@ -587,6 +673,12 @@ QUERIES = {
     "pk_audit": pk_audit,
     "dist_sort_layout": dist_sort_layout,
     "compact_table": compact_table,
+    "interleaved_layout": interleaved_layout,
+    "merge_touched_files": merge_touched_files,
+    "delete_marks": delete_marks,
+    "purge_marked": purge_marked,
+    "merge_emptied_partition": merge_emptied_partition,
+    "refused_reload": refused_reload,
     "retention_prune": retention_prune,
     "retention_drop": retention_drop,
     "incremental_append": incremental_append,

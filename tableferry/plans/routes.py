@@ -20,10 +20,10 @@ from tableferry.operators.conform import (conform, conform_or_reject, derive_pt,
 from tableferry.operators.layout import output_partitions, spread
 from tableferry.operators.load import affected_partitions, evolved_schema, in_partitions, merge, stage, staged, under
 from tableferry.plans.batch import Outcome, for_each_table
-from tableferry.sinks.catalog import (drop_partitions, in_table_order, location, new_version, NULL_PARTITION,
-                                      overwrite_table_partitions, partition_folder, publish, register, replace_table,
-                                      write_distributed)
-from tableferry.sinks.files import (check_apart, delete_path, folders_of, overwrite_partitions, replace_files, table_path,
+from tableferry.plans.by_file import live, merge_by_file
+from tableferry.sinks.catalog import (in_table_order, location, new_version, overwrite_table_partitions, publish, register,
+                                      remove_partitions, replace_table, write_distributed)
+from tableferry.sinks.files import (check_apart, check_types, delete_path, folders_of, overwrite_partitions, replace_files, table_path,
                                     write_files)
 from tableferry.sources.catalog import list_tables, partition_columns
 from tableferry.sources.files import NO_FILTER, matching
@@ -59,6 +59,7 @@ def _write(rows: DataFrame, spec: TableSpec, dest: Destination, parts: Sequence[
     spark, table = rows.sparkSession, dest.table(spec)
     if not dest.catalog:
         if load.mode == "append":
+            check_types(rows, dest.path(spec), parts)
             return write_files(rows, dest.path(spec), mode="append", partition_by=parts, load=load, key=spec.key)
         check_apart(spark, folders_of(rows), dest.path(spec))
         return replace_files(rows, dest.path(spec), partition_by=parts, load=load, key=spec.key)
@@ -109,7 +110,7 @@ def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: st
     key, sort_keys = ([k for k in names if k in rows.columns] for names in (spec.key, spec.sort_keys))
     dist_key = spec.distribution_key if spec.distribution_key in rows.columns else None
     write_distributed(rows, dest.table(spec), path, dist_key=dist_key, sort_keys=sort_keys, key=key,
-                      buckets=load.write_partitions)
+                      buckets=load.write_partitions, interleaved=spec.interleaved)
     return path
 
 
@@ -139,6 +140,7 @@ def maxcompute_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, whe
         # A column the table lacks is added to it; one that the reload lacks is an error.
         rows = under(rows, _fit_table(spark, table, rows.schema, parts, spec))
         return overwrite_table_partitions(rows, table, parts, clustered=clustered)
+    check_types(rows, dest.path(spec), parts)
     path = overwrite_partitions(rows, dest.path(spec), parts, clustered=clustered)
     if dest.catalog:
         register(spark, table, path, rows.schema, parts, spec.comment, _properties(spec))
@@ -194,21 +196,15 @@ def _fit_table(spark: SparkSession, table: str, rows: T.StructType, parts: Seque
 def _merge_by_partition(staging: DataFrame, table: str, key: Sequence[str], parts: Sequence[str], order_by: Sequence[str],
                         load: LoadSpec, spec: TableSpec) -> None:
     """Merge into the partitions that hold staged keys or get staged rows; the others are not touched."""
-    spark, target = staging.sparkSession, staging.sparkSession.table(table)
+    spark, target = staging.sparkSession, live(staging.sparkSession, table)
     # Directories hold no empty text: it is written to, and read from, the NULL partition.
     texts = [p for p in parts if isinstance(staging.schema[p].dataType, T.StringType)]
     staging = staging.withColumns({p: F.nullif(F.col(p), F.lit("")) for p in texts})
     changed, emptied = affected_partitions(target, staging, key, parts)
     merged = merge(in_partitions(target, changed, parts), staging, key, order_by)
     overwrite_table_partitions(merged, table, parts, load=load, key=spec.key)
-    if emptied:
-        # A dynamic overwrite leaves partitions alone that get no rows.
-        specs = [{p: NULL_PARTITION if v is None else str(v) for p, v in zip(parts, values, strict=True)} for values in emptied]
-        root = location(spark, table)
-        for values in emptied:
-            delete_path(spark, f"{root}/{partition_folder(dict(zip(parts, values, strict=True)))}")
-        drop_partitions(spark, table, specs)
-        spark.catalog.refreshTable(table)
+    # A dynamic overwrite leaves partitions alone that get no rows.
+    remove_partitions(spark, table, [dict(zip(parts, values, strict=True)) for values in emptied])
 
 
 def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load: LoadSpec, *,
@@ -218,7 +214,8 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
     A full load replaces the table, an increment is appended or merged.  New columns and wider types
     change the table's definition and no file; columns that are missing from the increment are an
     error unless it says otherwise.  A merge into a partitioned table rewrites the partitions that
-    hold staged keys or get staged rows, by any key; into an unpartitioned one it writes a new version.
+    hold staged keys or get staged rows, by any key; into an unpartitioned one it writes a new version.  With
+    ``rewrite="files"`` either rewrites only the files that hold staged keys.
     A staged row replaces the target's row of its key even where ``order_by`` is given: that order is
     among the staged rows.  Staged data is removed when the load has committed.
     """
@@ -244,11 +241,13 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
         if action == "append":
             _insert(staging, table, parts, load, spec.key)
             if inc and inc.compact_after_load:
-                replace(spark.table(table))
+                replace(live(spark, table))
+        elif inc and inc.rewrite == "files":
+            merge_by_file(staging, table, key, order_by, load, spec.key)
         elif parts:
             _merge_by_partition(staging, table, key, parts, order_by, load, spec)
         else:
-            replace(merge(spark.table(table), staging, key, order_by))
+            replace(merge(live(spark, table), staging, key, order_by))
         return action
     finally:
         for folder in folders:

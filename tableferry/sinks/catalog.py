@@ -5,13 +5,14 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Sequence
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.dates import DAY
+from tableferry.operators.interleave import interleave
 from tableferry.operators.layout import BUCKET_BYTES, bucket_sizes
 from tableferry.session import fresh_path
 from tableferry.sinks.files import _path, delete_path, overwrite_partitions, stored_bytes, table_path, write_files
@@ -27,6 +28,8 @@ MAX_BUCKET_SKEW = 3.0
 PARTITIONS_AT_ONCE = 500
 # Fixed value: the directory of NULL partition values.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# What the engine spells as % and two digits in the names of partition folders.
+_ESCAPED = frozenset('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
 
 
 def _quoted(text: str) -> str:
@@ -38,12 +41,20 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
     spark.catalog.recoverPartitions(table)
 
 
-def location(spark: SparkSession, table: str) -> str:
-    """Where the files of a catalog table are."""
+def _facts(spark: SparkSession, table: str) -> dict[str, str]:
     # A line per column and fact; a column may be called like a fact, so only the facts count.
     facts = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
     begin = max(i for i, (name, _) in enumerate(facts) if name == "# Detailed Table Information")
-    return dict(facts[begin:])["Location"]
+    return dict(facts[begin:])
+
+
+def location(spark: SparkSession, table: str) -> str:
+    """Where the files of a catalog table are."""
+    return _facts(spark, table)["Location"]
+
+
+def is_bucketed(spark: SparkSession, table: str) -> bool:
+    return "Num Buckets" in _facts(spark, table)
 
 
 def register(spark: SparkSession, table: str, path: str, schema: T.StructType, partition_by: Sequence[str] = (),
@@ -176,8 +187,8 @@ def overwrite_table_partitions(df: DataFrame, table: str, partition_by: Sequence
 
 
 def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | None, sort_keys: Sequence[str] = (),
-                      buckets: int | None = None, key: Sequence[str] = (), on_skew: str = "bucket") -> str:
-    """Write a catalog table laid out by its keys; returns ``bucketed``, ``sorted`` or ``automatic``.
+                      buckets: int | None = None, key: Sequence[str] = (), on_skew: str = "bucket", interleaved: bool = False) -> str:
+    """Write a catalog table laid out by its keys; returns ``bucketed``, ``sorted``, ``interleaved`` or ``automatic``.
 
     The rows are staged first, so that an expensive source is asked once and the size is known: the
     key gives as many buckets as hold ``BUCKET_BYTES`` each, if not said otherwise, so later joins
@@ -185,8 +196,12 @@ def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | N
     ``MAX_BUCKET_SKEW`` times the mean: ``bucket`` keeps the declared layout and logs a warning,
     ``sort`` writes ranges of the sort keys, ``fail`` raises.  Without a distribution key rows are
     range-partitioned and sorted by the sort keys; a running number at the end of that order splits
-    any run of equal values.  Without either, each task writes what it reads.
+    any run of equal values.  ``interleaved`` gives all sort keys the same weight (see ``interleave``) instead of
+    sorting by the first of them first; it goes without a distribution key.  Without either, each task writes what it
+    reads.
     """
+    if interleaved and (dist_key or len(sort_keys) < 2):
+        raise ValueError("interleaved sort keys are two or more, without a distribution key")
     if on_skew not in ("bucket", "sort", "fail"):
         raise ValueError(f"on_skew must be bucket, sort or fail, not {on_skew!r}")
     spark, schema = df.sparkSession, df.schema
@@ -194,7 +209,7 @@ def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | N
     df = spark.read.schema(schema).parquet(staging)
     order, layout = list(sort_keys) or ([dist_key] if dist_key else []), "automatic"
     if order:
-        layout = "bucketed" if dist_key else "sorted"
+        layout = "bucketed" if dist_key else "interleaved" if interleaved else "sorted"
     if dist_key:
         buckets = buckets or max(1, -(-stored_bytes(spark, staging) // BUCKET_BYTES))
         largest, mean = bucket_sizes(df, [dist_key], buckets)
@@ -207,6 +222,8 @@ def write_distributed(df: DataFrame, table: str, path: str, *, dist_key: str | N
     if layout == "bucketed":
         # The same hash and number as the buckets: one file per bucket.
         writer = df.repartition(buckets, dist_key).write.bucketBy(buckets, dist_key).sortBy(*order)
+    elif layout == "interleaved":
+        writer = interleave(df, order, buckets or max(1, -(-stored_bytes(spark, staging) // BUCKET_BYTES))).write
     elif layout == "sorted":
         # The staged files don't change, so neither do the numbers when a task is repeated.
         number = "number_" + uuid.uuid4().hex
@@ -239,9 +256,28 @@ def drop_partitions(spark: SparkSession, table: str, specs: Sequence[dict[str, s
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {named}")
 
 
+def _escaped(text: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text)
+
+
 def partition_folder(spec: dict[str, str | None]) -> str:
-    """The folder of a partition below its table."""
-    return "/".join(f"{k}={NULL_PARTITION if v in (None, '') else quote(str(v), safe=' !$&()+,-.;<>@_`|~')}" for k, v in spec.items())
+    """The folder of a partition below its table, spelt as the engine does."""
+    return "/".join(f"{_escaped(k)}={NULL_PARTITION if v in (None, '') else _escaped(str(v))}" for k, v in spec.items())
+
+
+def remove_partitions(spark: SparkSession, table: str, values: Sequence[dict[str, str | None]]) -> None:
+    """Delete the files of partitions and drop them from the catalog.
+
+    Every folder must have been there: one that stays would come back with the next recovery.
+    """
+    if not values:
+        return
+    root = location(spark, table)
+    for spec in values:
+        if not delete_path(spark, f"{root}/{partition_folder(spec)}"):
+            raise OSError(f"{table}: the folder of the partition {spec} was not found at {root}/{partition_folder(spec)}")
+    drop_partitions(spark, table, [{k: NULL_PARTITION if v is None else str(v) for k, v in spec.items()} for spec in values])
+    spark.catalog.refreshTable(table)
 
 
 def drop_expired(spark: SparkSession, table: str, days: int, as_of: str, day_column: str = "dt") -> list[str]:

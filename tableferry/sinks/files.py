@@ -81,6 +81,23 @@ def table_path(root: str, database: str, table: str) -> str:
     return "/".join((root.rstrip("/"), database, table))
 
 
+def check_types(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Stop before rows are added to a folder of Parquet files whose columns have other types: nobody could read it then.
+
+    One footer is read.  Partition columns are text in any case.
+    """
+    spark = df.sparkSession
+    found, system = _path(spark, path)
+    if not system.exists(found) or not system.listFiles(found, True).hasNext():
+        return
+    parts = {p.lower() for p in partition_by}
+    have = {f.name.lower(): f.dataType for f in spark.read.parquet(path).schema.fields if f.name.lower() not in parts}
+    other = [f"{f.name} is {f.dataType.simpleString()}, in the files {have[f.name.lower()].simpleString()}" for f in df.schema.fields
+             if have.get(f.name.lower(), f.dataType) != f.dataType and f.name.lower() not in parts]
+    if other:
+        raise ValueError(f"{path}: {'; '.join(other)}")
+
+
 def write_files(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "error",
                 partition_by: Sequence[str] = (), clustered: bool = False, load: LoadSpec = LoadSpec(),
                 key: Sequence[str] = (), **options: str) -> str:

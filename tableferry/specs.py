@@ -27,7 +27,8 @@ class SourceColumn:
 class TableSpec:
     """A source table: its dialect, declared columns, keys and partition columns.
 
-    ``max_sort_keys`` of the indexed columns become sort keys; those left out are logged.
+    ``max_sort_keys`` of the indexed columns become sort keys; those left out are logged.  ``interleaved`` gives
+    them equal weight.
     """
 
     name: str
@@ -41,6 +42,7 @@ class TableSpec:
     comment: str = ""
     lifecycle_days: int = DEFAULT_LIFECYCLE_DAYS
     max_sort_keys: int = MAX_SORT_KEYS
+    interleaved: bool = False
 
     def __post_init__(self) -> None:
         seen: dict[str, str] = {}
@@ -83,6 +85,8 @@ class IncrementalSpec:
     ``select_from_staging`` holds select expressions applied to the increment before the load.
     ``append_only`` forbids a merge even where ``merge`` is set.
     ``custom_fields`` are columns that only the target has and that are kept on purpose.
+    ``rewrite`` says what a merge writes: ``table``, a new version that appears at once, or the ``files`` that
+    hold staged keys, in place.
     ``on_gone`` says what happens when the increment lacks other columns of the target: ``fail``, or
     ``drop`` them from the table.
     """
@@ -95,8 +99,11 @@ class IncrementalSpec:
     append_only: bool = False
     custom_fields: tuple[str, ...] = ()
     on_gone: str = "fail"
+    rewrite: str = "table"
 
     def __post_init__(self) -> None:
+        if self.rewrite not in ("table", "files"):
+            raise ValueError(f"rewrite must be table or files, not {self.rewrite!r}")
         if self.on_gone not in ("fail", "drop"):
             raise ValueError(f"on_gone must be fail or drop, not {self.on_gone!r}")
         if not self.where.strip():
