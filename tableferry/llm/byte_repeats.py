@@ -29,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableferry.llm.laid_out import Scratch, buckets_for
-from tableferry.llm.words import WORD_BASES, raw_of, slices, span_hash
+from tableferry.llm.words import SLICE_BYTES, WORD_BASES, raw_of, slices, span_hash
 
 LEAST = 400
 #: Bytes of the strings whose hash segments are found by, and of a character of the transforms.
@@ -41,7 +42,7 @@ GRAM, STEP = 64, 16
 #: Places of a segment at most, shards that meet in a merge, and bytes that are merged at a time.
 PLACES, SHARDS, UNIT_BYTES = 4096, 4, 60_000
 #: Bytes of distinct segments with one hash that meet in one task, and of a bucket of such hashes, about.
-GROUP_BYTES, BUCKET_BYTES = 1 << 20, 2 << 20
+GROUP_BYTES, BUCKET_BYTES = 1 << 19, 2 << 20
 
 
 def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
@@ -100,7 +101,24 @@ class Segments:
 
 
 def _ranks(values: np.ndarray) -> np.ndarray:
-    return np.unique(values, return_inverse=True)[1].reshape(-1).astype(np.int64)
+    return np.unique(values, return_inverse=True)[1].reshape(-1)
+
+
+def _letters(strings: list[bytes]) -> np.ndarray:
+    """For each byte of the strings the rank of the ``STEP`` bytes from it on; zeros follow a string's end."""
+    sizes = np.array([len(s) for s in strings], np.int64)
+    padded = np.frombuffer(b"".join(s + bytes(STEP) for s in strings) + bytes(STEP), np.uint8)
+    eight = padded[:-7].astype(np.uint64) << np.uint64(56)
+    for i in range(1, 8):
+        eight |= padded[i:len(padded) - 7 + i].astype(np.uint64) << np.uint64(56 - 8 * i)
+    half = _ranks(eight)
+    del eight
+    both = _ranks(half[:-8] * (int(half.max()) + 1) + half[8:]).astype(np.int32)
+    own = np.ones(len(both), bool)
+    gaps = np.cumsum(sizes + STEP) - STEP
+    own[(gaps[:, None] + np.arange(STEP)).reshape(-1)] = False
+    own[gaps[-1]:] = False
+    return both[own]
 
 
 class Transforms:
@@ -109,31 +127,26 @@ class Transforms:
     def __init__(self, strings: list[bytes], shard: np.ndarray, least: int) -> None:
         self.least = least
         sizes = np.array([len(s) for s in strings], np.int64)
-        padded = np.frombuffer(b"".join(s + bytes(STEP) for s in strings) + bytes(STEP), np.uint8).astype(np.uint64)
-        eight = padded[:-7] << np.uint64(56)
-        for i in range(1, 8):
-            eight |= padded[i:len(padded) - 7 + i] << np.uint64(56 - 8 * i)
-        half = _ranks(eight)
-        both = _ranks(half[:-8] * (int(half.max()) + 1) + half[8:])
-        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        within = (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
         #: The character at each byte, and the bytes before it and from it on in its string.
-        self.letter = both[np.repeat(np.cumsum(sizes + STEP) - sizes - STEP, sizes) + within]
-        self.before, self.ahead = within, np.repeat(sizes, sizes) - within
+        self.letter = _letters(strings)
+        self.before, self.ahead = within, np.repeat(sizes.astype(np.int32), sizes) - within
         n = len(self.letter)
-        owner = np.repeat(shard, sizes).astype(np.int64)
+        owner = np.repeat(shard, sizes).astype(np.int8)
         # Suffixes of each shard, sorted by twice as many bytes each time.
-        key = owner * (int(self.letter.max()) + 1) + self.letter
+        key = owner.astype(np.int64) * (int(self.letter.max()) + 1) + self.letter
         order = np.argsort(key, kind="stable")
         new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-        rank = np.empty(n, np.int64)
+        rank = np.empty(n, np.int32)
         rank[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
+        del key, order, new
         size, ranks = STEP, {STEP: rank}
         shared = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
         while size < least and len(shared):
             second = np.zeros(len(shared), np.int64)
             inside = self.ahead[shared] > size
             second[inside] = rank[shared[inside] + size] + 1
-            key = rank[shared] * (n + 1) + second
+            key = rank[shared].astype(np.int64) * (n + 1) + second
             order = np.argsort(key, kind="stable")
             shared, key = shared[order], key[order]
             group, at = rank[shared], np.arange(len(key))
@@ -144,8 +157,8 @@ class Transforms:
             size *= 2
             ranks[size] = rank
             shared = np.sort(shared[~(new & np.append(new[1:], True))])
-        self.suffix = np.argsort(rank, kind="stable")
-        self.row = np.empty(n, np.int64)
+        self.suffix = np.argsort(rank, kind="stable").astype(np.int32)
+        self.row = np.empty(n, np.int32)
         self.row[self.suffix] = np.arange(n)
         self.shard = owner[self.suffix]
         #: For each row the character before its suffix, and the row of the suffix that begins with it; -1 at a string's begin.
@@ -286,26 +299,24 @@ def _strings(least: int):
 
 def _windows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            segments = batch.column("segment")
-            raw, offsets = raw_of_binary(batch.column("string"))
-            counts = np.diff(offsets) - least + 1
-            of = np.repeat(np.arange(batch.num_rows), counts)
-            place = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
-            for at in range(0, len(of), 1 << 18):
-                part = slice(at, at + (1 << 18))
-                start = offsets[of[part]] + place[part]
+        for whole in batches:
+            sizes = np.cumsum(pa.compute.binary_length(whole.column("string")).to_numpy(zero_copy_only=False))
+            cuts = np.unique(np.searchsorted(sizes, np.arange(0, int(sizes[-1]) if len(sizes) else 0, SLICE_BYTES)))
+            for at, to in zip(cuts.tolist(), [*cuts[1:].tolist(), whole.num_rows], strict=True):
+                batch = whole.slice(at, to - at)
+                strings = batch.column("string").to_pylist()
+                raw = np.frombuffer(b"".join(strings), np.uint8)
+                lengths = np.array([len(s) for s in strings], np.int64)
+                counts = np.maximum(0, lengths - least + 1)
+                of = np.repeat(np.arange(len(strings)), counts)
+                place = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+                start = (np.cumsum(lengths) - lengths)[of] + place
                 names = np.stack([span_hash(raw, start, start + least, base) for base in WORD_BASES], 1).astype("<u8").tobytes()
-                yield pa.RecordBatch.from_arrays([segments.take(pa.array(of[part])), pa.array(place[part], pa.int32()), pa.array([names[i:i + 16] for i in range(0, len(names), 16)], pa.binary())], ["segment", "place", "name"])
+                yield pa.RecordBatch.from_arrays([batch.column("segment").take(pa.array(of)), pa.array(place, pa.int32()), pa.array([names[i:i + 16] for i in range(0, len(names), 16)], pa.binary())], ["segment", "place", "name"])
 
     return run
 
 
-def raw_of_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    values = column.to_pylist()
-    return np.frombuffer(b"".join(values), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in values], dtype=np.int64)])
-
-
 _SPANS = pa.schema([("segment", pa.binary()), ("first", pa.list_(pa.int32())), ("last", pa.list_(pa.int32()))])
 
 
