@@ -38,7 +38,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, kind: str = "<u4"
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(tokenizer)
         for batch in slices(batches, limit=2 << 20):
-            found = pieces(batch.column("text"), tuple(tool.specials))
+            found = pieces(batch.column("text"), tuple(tool.specials), tool.classes)
             hashes, one, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
             ids = tool.known.look_up(hashes, found.end[one] - found.start[one], lambda k, found=found, one=one: found.of(one[k]), tool.encode)
             tokens, total = laid_out(*ids, inverse)

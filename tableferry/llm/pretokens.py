@@ -9,6 +9,7 @@ beyond it, and the pieces of a piece are the piece itself.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import cache
 from typing import NamedTuple
 
@@ -23,6 +24,7 @@ LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 
 @cache
 def _classes() -> np.ndarray:
+    """The class of each code point, by the Unicode tables of the ``regex`` module."""
     points = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     table = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
@@ -31,6 +33,28 @@ def _classes() -> np.ndarray:
     return table
 
 
+def classes_of(split: Callable[[str], list[tuple[int, int]]]) -> np.ndarray:
+    """The class of each code point as a tokenizer's own splitting has it; ``split`` gives the bounds of a text's pieces.
+
+    Libraries have Unicode tables of their own age.  All points of one class here make one text: where the tokenizer
+    agrees it is one piece, and the points at its cuts are asked for one by one.
+    """
+    table = _classes().copy()
+    doubtful = [ord(c) for c in "".join(map(chr, np.flatnonzero(table == SPACE)))]
+    for kind, own in ((LETTER, "a"), (NUMBER, "1"), (OTHER, "!")):
+        points = np.flatnonzero(table == kind)
+        points = points[(points < 0xD800) | (points > 0xDFFF)]
+        text = own + "".join(map(chr, points.tolist()))
+        for start, end in split(text):
+            # A point of another class is a piece apart, or begins or ends one.
+            if (start, end) != (0, len(text)):
+                doubtful += [ord(c) for c in {text[start], text[end - 1]}] if end - start > 2_000 else [ord(c) for c in text[start:end]]
+    for point in dict.fromkeys(doubtful):
+        kinds = [kind for kind, own in ((LETTER, "a"), (NUMBER, "1"), (OTHER, "!")) if len(split(own + chr(point) + own)) == 1]
+        table[point] = kinds[0] if kinds else SPACE
+    return table
+
+
 class Pieces(NamedTuple):
     """Pieces of some texts: bounds in ``text``, hashes, the first of each text, and which are special."""
 
@@ -45,15 +69,18 @@ class Pieces(NamedTuple):
         return self.text[self.start[i]:self.end[i]]
 
 
-def pieces(texts: pa.Array, specials: tuple[str, ...] = ()) -> Pieces:
-    """Pieces of each text; a string of ``specials`` is a piece of its own that no other reaches over."""
+def pieces(texts: pa.Array, specials: tuple[str, ...] = (), classes: np.ndarray | None = None) -> Pieces:
+    """Pieces of each text; a string of ``specials`` is a piece of its own that no other reaches over.
+
+    ``classes`` are those of the tokenizer that the pieces are for (see ``classes_of``).
+    """
     raw, offsets = raw_of(texts)
     text = raw.tobytes().decode()
     points = np.frombuffer(text.encode("utf-32-le"), "<u4")
     n = len(points)
     leads = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
     bounds = leads[offsets]
-    kind = _classes()[points]
+    kind = (_classes() if classes is None else classes)[points]
     # Stretches are what the pattern is applied to: whole texts, or what lies between special strings.
     new = np.zeros(n + 1, bool)
     new[bounds] = True

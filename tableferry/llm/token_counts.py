@@ -3,7 +3,8 @@
 A task cuts its texts into pre-tokens and gives, per group of pre-tokens, the distinct ones with the documents
 they are in and how often (one pre-token of a task is one entry, however common it is).  A group meets in one
 task, which counts each of its pre-tokens once and sums per document; the sums of the groups are then added for each
-batch of documents that one task cut.
+batch of documents that one task cut.  Batches are dealt to parts of about ``PART_BYTES`` of text, and a group holds
+pre-tokens of one part: one that is in every document makes a group as large as that, not as the corpus.
 
 Defined cases: a null or empty text has no bytes and no tokens; repeated rows and ids give a row each; an empty
 table gives an empty result.
@@ -22,24 +23,25 @@ from pyspark.sql import functions as F
 
 from tableferry.llm.pretokens import pieces
 from tableferry.llm.vocabulary import Encoder, encoder
-from tableferry.llm.words import joined, raw_of, slices
+from tableferry.llm.words import joined, mix, raw_of, slices
 
-#: Bytes of text whose pre-tokens meet in one group, about, and of those that are cut before they are given on.
-GROUP_BYTES, TASK_BYTES = 24 << 20, 12 << 20
+#: Bytes of text whose pre-tokens meet in one group, about, of those that are cut before they are given on, and of a part.
+GROUP_BYTES, TASK_BYTES, PART_BYTES = 8 << 20, 12 << 20, 1 << 30
 
 _FREQUENCIES = "groups long, batch long, heads array<long>, ids array<long>, bytes array<long>, words array<string>, n array<int>, steps array<int>, times array<int>"
 
 _SUMS = "batch long, rows array<long>, sums array<long>, heads array<long>, ids array<long>, bytes array<long>"
 
 
-def _frequencies(groups: int, tokenizer: str):
+def _frequencies(groups: int, parts: int, tokenizer: str):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        specials = tuple(encoder(tokenizer).specials)
+        tool = encoder(tokenizer)
+        specials = tuple(tool.specials)
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(slices(batches, limit=TASK_BYTES)):
             hashes, docs, times, strings, at = [], [], [], {}, 0
             for part in slices(iter([batch])):
-                found = pieces(part.column("text"), specials)
+                found = pieces(part.column("text"), specials, tool.classes)
                 text = np.repeat(np.arange(part.num_rows), np.diff(found.first)) + at
                 order = np.lexsort((text, found.hash))
                 h, d = found.hash[order], text[order]
@@ -66,12 +68,13 @@ def _frequencies(groups: int, tokenizer: str):
             row = np.arange(batch.num_rows)
             shown = np.union1d(group, row % groups)
             words = [strings[k] for k in h[new].tolist()]
-            out = []
+            out, name = [], task << 32 | number
+            part = int(mix(np.array([name], np.uint64))[0] % np.uint64(parts))
             for g in shown.tolist():
                 a, b = np.searchsorted(group[new], [g, g + 1])
                 x, y = np.searchsorted(group, [g, g + 1])
                 heads = row[g::groups]
-                out.append((g, task << 32 | number, heads, ids.take(pa.array(heads)).to_pylist(), sizes[heads], words[a:b], n[a:b], steps[x:y], t[x:y]))
+                out.append((part * groups + g, name, heads, ids.take(pa.array(heads)).to_pylist(), sizes[heads], words[a:b], n[a:b], steps[x:y], t[x:y]))
             kinds = [pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3, pa.list_(pa.string()), *[pa.list_(pa.int32())] * 3]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], [x.split()[0] for x in _FREQUENCIES.split(", ")])
@@ -120,8 +123,10 @@ def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
     """``doc_id``, ``n_bytes``, ``n_tokens`` for each row of ``docs``."""
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     total = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUP_BYTES))
-    found = source.mapInArrow(_frequencies(groups, tokenizer), _FREQUENCIES)
+    parts = max(1, -(-total // PART_BYTES))
+    busy = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 << 10)
+    groups = max(1, -(-max(busy, total // GROUP_BYTES) // parts))
+    found = source.mapInArrow(_frequencies(groups, parts, tokenizer), _FREQUENCIES)
     sums = found.groupBy("groups").applyInArrow(_summed(tokenizer), _SUMS)
     # What meets here is bounded by the pairs of document and pre-token in TASK_BYTES of text.
     return sums.groupBy("batch").applyInArrow(_total, "doc_id long, n_bytes long, n_tokens long")

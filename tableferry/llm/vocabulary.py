@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 
+from tableferry.llm.pretokens import classes_of
+
 #: Pieces encoded in one call: their text is joined, as a blank before each keeps them apart.
 TOGETHER = 300
 #: Strings whose ids a worker keeps, at some tens of bytes each; then it begins anew.
@@ -88,6 +91,12 @@ class Encoder:
         self.tokenizer.no_padding()
         self.specials = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.known = Known(np.uint32)
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        #: The class of each code point as the library's splitting has it.
+        self.classes = classes_of(lambda text: [bounds for _, bounds in split(text)])
+
+    def _alone(self, pieces: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
 
     def encode(self, pieces: list[str]) -> list[np.ndarray]:
         """The ids of each piece; a special string is its id."""
@@ -95,13 +104,15 @@ class Encoder:
         blank = [k for k, x in enumerate(pieces) if len(x) > 1 and x[0] == " " and not x[1].isspace()]
         groups = [blank[i:i + TOGETHER] for i in range(0, len(blank), TOGETHER)]
         for group, found in zip(groups, self.tokenizer.encode_batch(["".join([pieces[k] for k in g]) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, np.uint32)
-            cuts = np.searchsorted(np.array(found.word_ids), np.arange(len(group) + 1)).tolist()
-            for i, k in enumerate(group):
-                out[k] = ids[cuts[i]:cuts[i + 1]]
+            words, ids = np.array(found.word_ids), np.array(found.ids, np.uint32)
+            # One word for each piece, else nothing tells whose the ids are: then each is encoded alone.
+            whole = len(words) and words[-1] + 1 == len(group) and (np.diff(words) <= 1).all()
+            cuts = np.searchsorted(words, np.arange(len(group) + 1)).tolist() if whole else []
+            for k, one in zip(group, (ids[a:b] for a, b in pairwise(cuts)) if whole else self._alone([pieces[k] for k in group]), strict=True):
+                out[k] = one
         rest = [k for k, x in enumerate(out) if x is None]
-        for k, found in zip(rest, self.tokenizer.encode_batch([pieces[k] for k in rest], add_special_tokens=False), strict=True):
-            out[k] = np.array(found.ids, np.uint32)
+        for k, one in zip(rest, self._alone([pieces[k] for k in rest]), strict=True):
+            out[k] = one
         return out
 
 

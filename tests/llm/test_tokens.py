@@ -161,3 +161,61 @@ def test_pieces_of_the_whole_table(spark, model):
     for r in QUERIES["op6_sentence_pieces"](spark, SF).collect():
         ids = np.array(model.library.encode(docs[r.doc_id]), "<u4")
         assert (r.n_tokens, r.ids_crc32, r.round_trip) == (len(ids), zlib.crc32(ids.tobytes()), True)
+
+
+def test_every_code_point_between_common_words(library):
+    """As cut and encoded in large groups; a piece that the library cuts otherwise would shift the ids of others."""
+    import pyarrow as pa
+
+    from tableferry.llm.pretokens import pieces
+    from tableferry.llm.vocabulary import encoder
+
+    tool = encoder(public.path(BYTE_BPE))
+    points = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x110000)]]
+    for at in range(0, len(points), 50_000):
+        texts = ["the house" + "".join(f" saw{c}home {c}" for c in points[i:i + 25]) for i in range(at, min(at + 50_000, len(points)), 25)]
+        found = pieces(pa.array(texts), tuple(tool.specials), tool.classes)
+        _, first, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
+        ids = tool.encode([found.of(i) for i in first.tolist()])
+        for k, wanted in enumerate(ids_of(library, texts)):
+            assert np.array_equal(np.concatenate([ids[x] for x in inverse[found.first[k]:found.first[k + 1]]]), wanted), texts[k]
+
+
+def test_a_piece_that_the_library_cuts_otherwise_does_not_shift_its_group(library):
+    from tableferry.llm.vocabulary import Encoder
+
+    group = [" the", " small", " house\U0002cead", " went", " ho-me", " and", " slept"]
+    assert [x.tolist() for x in Encoder(public.path(BYTE_BPE)).encode(group)] == [x.tolist() for x in ids_of(library, group)]
+
+
+def rare_rows():
+    """A code point that is a letter in newer tables of Unicode only, and many ordinary documents after it."""
+    return [(0, "before \U0002cead\U0002cead after, saw\U0002ceadhome"), *((i, "the small house went home and slept") for i in range(1, 59))]
+
+
+def test_a_rare_character_does_not_change_other_documents(spark, library, tables):
+    folder = tables(documents=spark.createDataFrame(rare_rows(), "doc_id long, text string").coalesce(1))
+    got = QUERIES["op5_token_ids"](spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == stream(rare_rows(), library)
+    counts = {r.doc_id: r.n_tokens for r in QUERIES["op7_token_counts"](spark, folder).collect()}
+    assert counts == {i: len(x) for (i, _), x in zip(rare_rows(), ids_of(library, [t for _, t in rare_rows()]))}
+
+
+def test_counts_over_several_parts(spark, library, monkeypatch):
+    """Batches of one group are dealt to parts; the sums are the same."""
+    monkeypatch.setattr(token_counts, "PART_BYTES", 40_000)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").repartition(7)
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, public.path(BYTE_BPE)).collect()}
+    rows = docs.collect()
+    assert got == {r.doc_id: len(x) for r, x in zip(rows, ids_of(library, [r.text for r in rows]))}
+
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def test_whole_larger_table(spark, library):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    got = QUERIES["op5_token_ids"](spark, SMALL).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == stream(docs, library)
+    counts = {r.doc_id: r.n_tokens for r in QUERIES["op7_token_counts"](spark, SMALL).collect()}
+    assert counts == {i: len(x) for (i, _), x in zip(docs, ids_of(library, [t for _, t in docs]))}
