@@ -9,9 +9,11 @@ fill all coordinates, so the work is about ``DARTS * log(DARTS)`` darts, whateve
 Texts that share all darts of a band are candidates.  A bucket is not compared pair by pair: its members are compared
 with one of them, the one with most company; linked members need no further comparison among themselves, and that
 one member is done.  Buckets whose other members are still in several components are compared again around other
-members, and at last all pairs across components that are left are compared, unless sizes or darts rule them out.  Each link is verified
-on the whole texts, so the classes are the components of all links that banding finds (with 40 bands of 6 it misses
-a pair of similarity 0.8 once in 190,000, and takes one of similarity 0.2 for a candidate once in 400).
+members.  The texts of buckets that are still open are then dealt to blocks of ``BLOCK`` texts or less, each text to one block of
+its largest bucket; blocks with members of one bucket are compared block by block, and give out a link only where it
+joins what is not joined yet.  Each link is verified on the whole texts, so the classes are the components of all
+links that banding finds (with 40 bands of 6 it misses a pair of similarity 0.8 once in 190,000, and takes one of
+similarity 0.2 for a candidate once in 400).
 
 Defined cases: texts with fewer than five words are one run; texts without words, and null texts, are each a
 class of their own; texts with equal words are in one class; rows that share an id are told apart by their text;
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableferry.llm.components import _written, components, tasks_for
+from tableferry.llm.laid_out import Scratch, buckets_for
 from tableferry.llm.words import Words, mix, sequence_keys, slices, windows, words
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -38,8 +42,10 @@ DARTS, ROWS = 240, 6
 MISSED = 1 / 100_000
 #: Pairs that a task compares, about.
 PAIRS = 2_000
-#: Further rounds, around three members of each bucket, before the pairs that are left are compared.
+#: Further rounds, around three members of each bucket, before what is left is compared in blocks.
 ROUNDS = 3
+#: Texts of a block, and bytes of runs in it, about; bytes of the blocks that are compared in one group.
+BLOCK, BLOCK_BYTES, BIN_BYTES = 256, 1 << 20, 4 << 20
 
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
@@ -187,74 +193,162 @@ def _linked(least: float):
     return run
 
 
+def shared_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How many runs each two texts share, each as often as it occurs in both, and how many each has."""
+    text, key, weight = shingles(lower_words(pa.array(texts, pa.large_string())))
+    # The second occurrence of a run is a thing of its own, and so on: then shared runs are equal things.
+    times = weight.astype(np.int64)
+    copy = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    text, thing = np.repeat(text, times), mix(np.repeat(key, times) + copy.astype(np.uint64) * _ODD[0])
+    total = np.bincount(text, minlength=len(texts)).astype(float)
+    _, number, held = np.unique(thing, return_inverse=True, return_counts=True)
+    several = held[number] > 1
+    text, number = text[several], number[several]
+    order = np.argsort(number, kind="stable")
+    text, number = text[order], np.unique(number[order], return_inverse=True)[1].reshape(-1)
+    both = np.zeros((len(texts), len(texts)), np.float32)
+    # Sums of ones are exact in 32 bits up to 2**24 runs; a portion of things at a time.
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, 4096):
+        a, b = np.searchsorted(number, [low, low + 4096])
+        has = np.zeros((len(texts), 4096), np.float32)
+        has[text[a:b], number[a:b] - low] = 1
+        both += has @ has.T
+    return both.astype(float), total
+
+
+def _compared(least: float):
+    """Links between the blocks of each pair that join what is not joined yet."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("pair", "ascending"), ("node", "ascending")])
+        pair, node, label, block = (table[c].to_numpy() for c in ("pair", "node", "label", "block"))
+        texts = table["text"].to_pylist()
+        heads = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        out: list[tuple[int, int]] = []
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(pair)], strict=True):
+            both, total = shared_runs(texts[a:b])
+            near = both / np.maximum(1.0, total[:, None] + total[None] - both) >= least
+            own, side = label[a:b], block[a:b]
+            near &= own[:, None] != own[None]
+            if side[0] != side[-1] or (side != side[0]).any():
+                near &= side[:, None] != side[None]
+            root = {x: x for x in own.tolist()}
+
+            def top(x: int, root: dict[int, int] = root) -> int:
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            for i, j in np.argwhere(np.triu(near)).tolist():
+                x, y = top(int(own[i])), top(int(own[j]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((int(node[a + i]), int(node[a + j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return run
+
+
+def _by_blocks(open_: DataFrame, texts: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """Links among the members of open buckets (``key``, ``node``, ``size``, ``label``, ``n``) that are in different components."""
+    homes = open_.groupBy("node").agg(F.first("label").alias("label"), F.first("size").alias("size"), F.max(F.struct("n", "key")).alias("home")).select("node", "label", "size", F.col("home.key").alias("home"))
+    homes = scratch.written(homes, "homes")
+    parts = homes.groupBy("home").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") * 8 / BLOCK_BYTES)).alias("parts"))
+    blocks = homes.join(parts, "home").select("node", "label", "size", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block"))
+    blocks = scratch.written(blocks, "blocks")
+    held = scratch.written(open_.select("key", "node").join(blocks.select("node", "block"), "node").select("key", "block").distinct(), "held")
+    other = held.select("key", F.col("block").alias("b"))
+    pairs = held.withColumnRenamed("block", "a").join(other, "key").where("a <= b").select("a", "b").distinct()
+    sides = pairs.select(F.xxhash64("a", "b").alias("pair"), F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    sides = scratch.written(sides.join(blocks, "block"), "sides")
+    bins = tasks_for(sides.agg(F.sum("size")).first()[0] or 0, BIN_BYTES // 8)
+    rows = texts.select("node", "text").join(sides, "node").select(F.pmod("pair", F.lit(bins)).alias("bin"), "pair", "node", "label", "block", "text")
+    return rows.groupBy("bin").applyInArrow(_compared(least), "a long, b long")
+
+
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = SIMILARITY) -> DataFrame:
     """(``doc_id``, ``raw``, ``content``, ``label``) of each row; rows with an equal, non-null label are near-duplicates.
 
     Links have a similarity of ``least`` or more; below about 0.05 it raises, as no bands of ``DARTS`` find such pairs.
     ``raw`` is the ``xxhash64`` of the text; ``content`` and ``label`` are null for texts without words.
     """
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("raw"), F.col(text_column).alias("text"))
-    signed = _written(source.mapInArrow(_sign(band_size(least)), "doc_id long, raw long, content binary, size long, bands array<long>, marks binary"), "signed")
-    nodes = _written(signed.where("content is not null").groupBy("content").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.min("raw").alias("raw")), "nodes")
-    entries = nodes.select(F.explode("bands").alias("key"), "content", "size")
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = _written(entries.join(shared, "key"), "company")
-    degree = members.groupBy("content").agg(F.sum(F.col("n") - 1).alias("degree"))
-    members = _written(members.join(degree, "content").select("key", "content", "size", "degree"), "members")
+    signed = scratch.written(source.mapInArrow(_sign(band_size(least)), "doc_id long, raw long, content binary, size long, bands array<long>, marks binary"), "signed")
+    # Distinct texts get numbers, which are half as wide as their hashes.
+    nodes = signed.where("content is not null").groupBy("content").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.min("raw").alias("raw"))
+    nodes = scratch.written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    entries = nodes.select(F.explode("bands").alias("key"), "node")
+    # Written first: joined straight from their aggregation, a frequent key's members would all go to one task.
+    shared = scratch.written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    company = scratch.written(entries.join(shared, "key"), "company")
+    scratch.drop("shared")
+    degree = company.groupBy("node").agg(F.sum(F.col("n") - 1).alias("degree")).join(nodes.select("node", "size"), "node")
+    degree = scratch.written(degree, "degree")
+    members = scratch.written(company.select("key", "node").join(degree, "node").select("key", "node", "size", "degree"), "members")
+    scratch.drop("company")
     n_members = members.count()
-    # The texts of all members, once each.
-    wanted = nodes.select("content", F.col("raw").alias("wanted")).join(members.select("content").distinct(), "content", "left_semi")
+    # The texts of all members, once each, laid out so that joins by number don't move them.
+    wanted = nodes.select("node", "content", F.col("raw").alias("wanted"), "marks").join(degree.select("node"), "node", "left_semi")
     texts = source.select("raw", "text").mapInArrow(_contents, "content binary, raw long, text string")
-    texts = _written(texts.join(wanted, (texts["content"] == wanted["content"]) & (F.col("raw") == F.col("wanted"))).select(texts["content"], "text").groupBy("content").agg(F.first("text").alias("text")), "texts")
-    marks = nodes.select("content", "marks")
+    texts = texts.join(wanted, (texts["content"] == wanted["content"]) & (F.col("raw") == F.col("wanted"))).groupBy("node").agg(F.first("marks").alias("marks"), F.first("text").alias("text"))
+    buckets = buckets_for(spark, 8 * (degree.agg(F.sum("size")).first()[0] or 0))
+    texts = scratch.bucketed(texts, "texts", "node", buckets)
+    scratch.drop("degree")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
         """The links among pairs (``a``, ``b``, with their sizes)."""
-        able = _written(pairs.where(F.least("size_a", "size_b") >= F.lit(least) * F.greatest("size_a", "size_b")).select("a", "b").distinct(), "pairs")
+        able = scratch.written(pairs.where(F.least("size_a", "size_b") >= F.lit(least) * F.greatest("size_a", "size_b")).select("a", "b").distinct(), "pairs")
         few = tasks_for(able.count(), PAIRS)
-        with_marks = able.coalesce(few).join(marks.select(F.col("content").alias("a"), F.col("marks").alias("marks_a")), "a").join(marks.select(F.col("content").alias("b"), F.col("marks").alias("marks_b")), "b")
-        near = with_marks.coalesce(few).mapInArrow(_close_marks(least_equal(least)), "a binary, b binary")
-        with_texts = near.join(texts.select(F.col("content").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("content").alias("b"), F.col("text").alias("text_b")), "b")
-        return with_texts.coalesce(few).mapInArrow(_linked(least), "a binary, b binary")
-
-    def around(rows: DataFrame, orders: list) -> tuple[DataFrame, DataFrame]:
+        with_marks = able.coalesce(few).join(texts.select(F.col("node").alias("a"), F.col("marks").alias("marks_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("marks").alias("marks_b")), "b")
+        near = scratch.written(with_marks.coalesce(few).mapInArrow(_close_marks(least_equal(least)), "a long, b long"), "near")
+        with_texts = near.coalesce(few).join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        links = scratch.written(with_texts.coalesce(few).mapInArrow(_linked(least), "a long, b long"), name)
+        scratch.drop("pairs", "near")
+        return links
+
+    def around(rows: DataFrame, orders: list, name: str) -> tuple[DataFrame, DataFrame]:
         """Pairs of each bucket's members with its first member by each of ``orders``, and the members without those.
 
         A member that all others of its bucket were compared with, or are linked to, has no part in what is left.
         """
         names = [f"c{i}" for i in range(len(orders))]
-        centers = rows.groupBy("key").agg(*[F.max(F.struct(order, "content", "size", "label")).alias(n) for n, order in zip(names, orders, strict=True)])
-        joined = _written(rows.coalesce(tasks_for(n_members)).join(centers.select("key", *[F.struct(f"{n}.content", f"{n}.size", f"{n}.label").alias(n) for n in names]), "key").coalesce(tasks_for(n_members)), "around")
-        each = joined.select("content", "size", "label", F.explode(F.array_distinct(F.array(*names))).alias("c")).where("label <> c.label")
-        pairs = each.select(F.col("content").alias("a"), F.col("size").alias("size_a"), F.col("c.content").alias("b"), F.col("c.size").alias("size_b"))
-        return pairs, joined.where(" and ".join(f"content <> {n}.content" for n in names)).select("key", "content", "size")
-
-    pairs, rest = around(members.withColumn("label", F.col("content")), [F.col("degree")])
-    links, rounds = _written(verified(pairs), "links"), 0
+        centers = rows.groupBy("key").agg(*[F.max(F.struct(order, "node", "size", "label")).alias(n) for n, order in zip(names, orders, strict=True)])
+        joined = scratch.written(rows.coalesce(tasks_for(n_members)).join(centers.select("key", *[F.struct(f"{n}.node", f"{n}.size", f"{n}.label").alias(n) for n in names]), "key").coalesce(tasks_for(n_members)), name)
+        each = joined.select("node", "size", "label", F.explode(F.array_distinct(F.array(*names))).alias("c")).where("label <> c.label")
+        pairs = each.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("c.node").alias("b"), F.col("c.size").alias("size_b"))
+        return pairs, joined.where(" and ".join(f"node <> {n}.node" for n in names)).select("key", "node", "size")
+
+    pairs, rest = around(members.withColumn("label", F.col("node")), [F.col("degree")], "around0")
+    links = verified(pairs, "links0")
+    scratch.drop("members")
     found = components(links)
-    while True:
-        labelled = rest.join(found.withColumnRenamed("key", "content"), "content", "left").withColumn("label", F.coalesce("label", "content"))
+    for rounds in count(1):
+        labelled = rest.join(found.withColumnRenamed("key", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
         # The largest component of each bucket, and how many are outside.
         parts = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-        unsettled = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("label", F.struct("n", "label")).alias("main")).where("parts > 1")
-        open_ = _written(labelled.join(unsettled.select("key", "n", "top", "main"), "key").coalesce(tasks_for(n_members)), "open")
-        # Pairs across components, against members: two numbers.
+        unsettled = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max("n").alias("top")).where("parts > 1")
+        open_ = scratch.written(labelled.join(unsettled.select("key", "n", "top"), "key").coalesce(tasks_for(n_members)), f"open{rounds}")
+        scratch.drop(f"around{rounds - 1}")
+        # Members outside of the largest component, against members: two numbers.
         facts = open_.select(F.sum(F.col("n") - F.col("top")), F.count(F.lit(1))).first()
         if not facts[1]:
             break
-        rounds += 1
         if facts[0] <= 4 * facts[1] or rounds > ROUNDS:
-            left, right = (open_.select("key", "main", F.col("content").alias(x), F.col("size").alias(f"size_{x}"), F.col("label").alias(f"label_{x}")) for x in "ab")
-            pairs = left.where("label_a <> main").join(right.drop("main"), "key").where("label_a <> label_b and (label_b = main or label_a < label_b)")
-            more = _written(verified(pairs), "links")
+            more = scratch.written(_by_blocks(open_.select("key", "node", "size", "label", "n"), texts, least, scratch), f"links{rounds}")
             found = found if more.isEmpty() else components(links.unionByName(more))
             break
-        pairs, rest = around(open_.select("key", "content", "size", "label"), [F.xxhash64("content", F.lit(3 * rounds + i)) for i in range(3)])
-        more = _written(verified(pairs), "links")
+        pairs, rest = around(open_.select("key", "node", "size", "label"), [F.xxhash64("node", F.lit(3 * rounds + i)) for i in range(3)], f"around{rounds}")
+        more = verified(pairs, f"links{rounds}")
+        scratch.drop(f"open{rounds}")
         if not more.isEmpty():
             links = links.unionByName(more)
             found = components(links)
-    return signed.select("doc_id", "raw", "content").join(found.withColumnRenamed("key", "content"), "content", "left").select("doc_id", "raw", "content", F.coalesce("label", "content").alias("label"))
+    labels = nodes.select("content", "node").join(found.withColumnRenamed("key", "node"), "node", "left").select("content", F.coalesce("label", "node").alias("label"))
+    result = Scratch(spark).written(signed.select("doc_id", "raw", "content").join(labels, "content", "left"), "classes")
+    scratch.drop()
+    return result
 
 
 def report(docs: DataFrame, **named) -> DataFrame:
@@ -262,7 +356,7 @@ def report(docs: DataFrame, **named) -> DataFrame:
 
     ``kept`` marks the row with the class's least id, in a class of its own every row.
     """
-    rows = _written(classes(docs, **named), "classes")
+    rows = classes(docs, **named)
     sizes = rows.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     joined = rows.join(sizes, "label", "left")
     return joined.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
@@ -270,7 +364,7 @@ def report(docs: DataFrame, **named) -> DataFrame:
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: float = SIMILARITY) -> DataFrame:
     """One row of each class, with the least id; all columns of ``docs``."""
-    rows = _written(classes(docs, id_column, text_column, least), "classes")
+    rows = classes(docs, id_column, text_column, least)
     first = rows.where("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "raw")).alias("first"))
     # Rows that have id and text of the chosen one: mostly one.
     chosen = rows.join(first, "label").where(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("raw") == F.col("first.raw"))).groupBy("doc_id", "raw").agg(F.count(F.lit(1)).alias("n_rows"))

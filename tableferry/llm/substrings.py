@@ -22,9 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.components import _written
+from tableferry.llm.laid_out import Scratch, buckets_for
 from tableferry.llm.words import WORD_BASES, Words, mix, sequence_keys, slices, span_hash, windows, words
-from tableferry.session import fresh_table
 
 LEAST = 35
 
@@ -170,43 +169,47 @@ def _cut(least: int, with_text: bool):
     return run
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
+def _repeated(rows: DataFrame, buckets: int, scratch: Scratch, name: str) -> DataFrame:
     """The places of each text whose keys occur more than once.
 
     The repeated keys are written first: joined straight from their aggregation, a frequent key's places would all
     go to one task; so adaptive execution can cut them.
     """
-    again = _written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "again")
-    return rows.join(again, "key").groupBy("content").agg(F.collect_list("place").alias("places"))
+    again = scratch.written(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), name)
+    return rows.join(again, "key").select("content", "place").repartition(buckets, "content").groupBy("content").agg(F.collect_list("place").alias("places"))
 
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = LEAST, with_text: bool = False) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` (and ``kept``) for each row, without the words of repeated windows."""
     spark = docs.sparkSession
+    scratch = Scratch(spark)
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    rows = _written(source.mapInArrow(_contents(least, False), "doc_id long, content binary, n_words long, sha string, short string").drop(*[] if with_text else ["short"]), "rows")
+    rows = scratch.written(source.mapInArrow(_contents(least, False), "doc_id long, content binary, n_words long, sha string, short string").drop(*[] if with_text else ["short"]), "rows")
     copies = rows.where(F.col("n_words") >= least).groupBy("content").agg(F.count(F.lit(1)).alias("copies"))
     # Each distinct text once, laid out so that joins by content don't move it.
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = fresh_table(spark, "contents")
-    source.select("text").mapInArrow(_contents(least, True), "content binary, text string").groupBy("content").agg(F.first("text").alias("text")).write.bucketBy(buckets, "content").saveAsTable(name)
-    texts = spark.table(name)
-    level = _written(texts.mapInArrow(_first_level(least), "content binary, place int, key long"), "level")
-    level = texts.join(_repeated(level), "content").mapInArrow(_second_level(least), "content binary, place int, key long")
-    level = _repeated(_written(level, "level"))
-    runs = _written(texts.join(level, "content").mapInArrow(_runs(least), "content binary, run binary, low long, anchor long, keys array<long>"), "runs")
+    buckets = buckets_for(spark, source.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    distinct = source.select("text").mapInArrow(_contents(least, True), "content binary, text string").groupBy("content").agg(F.first("text").alias("text"))
+    texts = scratch.bucketed(distinct, "contents", "content", buckets)
+    level = scratch.written(texts.mapInArrow(_first_level(least), "content binary, place int, key long"), "level1")
+    level = scratch.written(texts.join(_repeated(level, buckets, scratch, "again1"), "content").mapInArrow(_second_level(least), "content binary, place int, key long"), "level2")
+    scratch.drop("level1", "again1")
+    runs = scratch.written(texts.join(_repeated(level, buckets, scratch, "again2"), "content").mapInArrow(_runs(least), "content binary, run binary, low long, anchor long, keys array<long>"), "runs")
+    scratch.drop("level2", "again2")
     # Equal runs stand for each other; only runs without an equal are looked at window by window.
-    kinds = _written(runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.first("anchor").alias("anchor"), F.first("keys").alias("keys")), "kinds")
+    kinds = scratch.written(runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.first("anchor").alias("anchor"), F.first("keys").alias("keys")), "kinds")
     each = kinds.select("run", "n", "anchor", F.posexplode("keys").alias("offset", "key"))
     again = each.groupBy("anchor", "key").agg(F.sum("n").alias("times")).where("times > 1").select("anchor", "key")
     single = each.where("n = 1").join(again, ["anchor", "key"]).groupBy("run").agg(F.collect_list("offset").alias("offsets"))
     several = kinds.where("n > 1").select("run", F.sequence(F.lit(0), F.size("keys") - 1).alias("offsets"))
     places = runs.select("content", "run", "low").join(single.unionByName(several), "run")
-    starts = places.groupBy("content").agg(F.flatten(F.collect_list(F.transform("offsets", lambda x: (x + F.col("low")).cast("int")))).alias("starts"))
+    starts = places.repartition(buckets, "content").groupBy("content").agg(F.flatten(F.collect_list(F.transform("offsets", lambda x: (x + F.col("low")).cast("int")))).alias("starts"))
     kept = texts.join(starts, "content", "left").withColumn("starts", F.coalesce("starts", F.array().cast("array<int>")))
     cut = kept.mapInArrow(_cut(least, with_text), "content binary, n_removed long, sha string" + ", kept string" * with_text)
     once = rows.join(copies.withColumnRenamed("content", "copied"), F.col("content") == F.col("copied"), "left").join(cut.withColumnRenamed("sha", "cut_sha").withColumnRenamed("content", "cut_content"), F.col("content") == F.col("cut_content"), "left")
     all_gone = F.col("copies") > 1
     columns = [F.col("doc_id"), F.col("n_words"), F.when(all_gone, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
                F.when(all_gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256")]
-    return once.select(*columns, *([F.when(all_gone, F.lit("")).otherwise(F.coalesce("kept", "short")).alias("kept")] if with_text else []))
+    kept = [F.when(all_gone, F.lit("")).otherwise(F.coalesce("kept", "short")).alias("kept")] if with_text else []
+    result = Scratch(spark).written(once.select(*columns, *kept), "deduplicated")
+    scratch.drop()
+    return result

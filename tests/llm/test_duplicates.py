@@ -9,6 +9,7 @@ import pytest
 
 from tableferry.llm import near_duplicates, substrings
 from tableferry.llm.components import components
+from tableferry.llm.laid_out import buckets_for
 from tableferry.llm.queries import QUERIES
 from tests.llm.conftest import prose
 
@@ -141,3 +142,63 @@ def test_components(spark):
     got = {r.key: r.label for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 105: 100}
     assert components(links.limit(0)).collect() == []
+
+
+def test_many_shuffle_partitions_do_not_stop_substrings(spark):
+    """The library's own settings for 100 TB ask for more partitions than the engine allows buckets."""
+    from tableferry.session import SCRATCH_DATABASE
+    from tests.helpers import conf
+
+    shared = prose(9, 60)
+    docs = spark.createDataFrame([(1, "a " + shared), (2, shared + " b"), (3, "c")], "doc_id long, text string")
+    tables = lambda: spark.sql(f"show tables in {SCRATCH_DATABASE}").count() if spark.catalog.databaseExists(SCRATCH_DATABASE) else 0
+    before = tables()
+    with conf(spark, spark__sql__shuffle__partitions="100001"):
+        assert buckets_for(spark, 1000) == 1
+    with conf(spark, spark__sql__shuffle__partitions="3"):
+        assert sorted(map(tuple, substrings.deduplicated(docs).collect())) == cut(docs.collect(), 35)
+    assert tables() == before
+
+
+def near_copies(n, seed, low, high):
+    """Texts around one original, so that pairs of them are somewhat below and above the threshold."""
+    rng, base = random.Random(seed), prose(seed, 150, 5000).split()
+    out = []
+    for i in range(n):
+        share = rng.uniform(low, high)
+        out.append(" ".join(f"n{rng.randrange(10**9)}" if rng.random() < share else w for w in base))
+    return out
+
+
+def test_blocks_find_the_links_of_a_large_group_around_the_threshold(spark):
+    """A hundred and more texts that share bands, most pairs below the threshold: no pair goes through a join."""
+    texts = near_copies(160, 4, 0.004, 0.03)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_duplicates.report(docs).collect()}
+    want = classes_by_force(texts)
+    assert 5 < len(set(want)) < 155
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_shared_runs_equal_the_similarity_of_two_bags():
+    rng = random.Random(1)
+    for _ in range(30):
+        texts = [" ".join(rng.choice("ab c d e f g".split()) for _ in range(rng.randint(0, 60))) for _ in range(rng.randint(1, 12))]
+        both, total = near_duplicates.shared_runs(texts)
+        text, key, weight = near_duplicates.shingles(near_duplicates.lower_words(pa.array(texts)))
+        at = np.searchsorted(text, np.arange(len(texts) + 1))
+        bags = [(key[a:b], weight[a:b]) for a, b in zip(at, at[1:])]
+        for i, a in enumerate(bags):
+            for j, b in enumerate(bags):
+                assert i == j or both[i, j] / max(1.0, total[i] + total[j] - both[i, j]) == near_duplicates.similarity(a, b)
+
+
+def test_links_of_blocks_join_components_and_no_more():
+    """Equal texts in one component need no link, and a block of equal texts gives a tree of links."""
+    text = prose(3, 50)
+    rows = [(1, n, n % 2, 7, text) for n in range(20)] + [(2, 100, 100, 7, text), (2, 101, 101, 8, text), (2, 102, 102, 8, text)]
+    table = pa.table({c: [r[i] for r in rows] for i, c in enumerate(("pair", "node", "label", "block", "text"))})
+    links = near_duplicates._compared(0.8)(table).to_pylist()
+    assert len([x for x in links if x["a"] < 100]) == 1
+    # Blocks 7 and 8 are compared with each other: the two of block 8 are linked over the one of block 7.
+    assert sorted((x["a"], x["b"]) for x in links if x["a"] >= 100) == [(100, 101), (100, 102)]
