@@ -13,6 +13,8 @@ from tableferry.functions.typemaps import Target
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 _WHOLE_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _FLOATING = (T.FloatType, T.DoubleType)
+# Decimal digits that a floating number always gives back.
+_EXACT_DIGITS = {T.FloatType: 6, T.DoubleType: 15}
 
 
 def interval_micros(c: Column) -> Column:
@@ -93,6 +95,8 @@ def always_fits(physical: T.DataType, target: Target) -> bool:
     if type(physical) in _WHOLE_BITS:
         wider = type(want) in _WHOLE_BITS and _WHOLE_BITS[type(physical)] <= _WHOLE_BITS[type(want)]
         return wider or isinstance(want, T.DoubleType)
+    if isinstance(physical, T.DecimalType) and isinstance(want, _FLOATING):
+        return physical.precision <= _EXACT_DIGITS[type(want)]
     return isinstance(physical, T.FloatType) and isinstance(want, T.DoubleType)
 
 
@@ -121,6 +125,9 @@ def try_convert(c: Column, physical: T.DataType, target: Target, declared: str =
         narrow = c.cast(want)
         infinite = F.lit(float("inf"))
         return F.when((F.abs(narrow) != infinite) | (F.abs(c) == infinite), narrow)
+    if isinstance(want, _FLOATING) and isinstance(physical, T.DecimalType) and physical.precision > _EXACT_DIGITS[type(want)]:
+        # Digits that don't come back are lost.
+        return F.when(c.cast(want).try_cast(physical) == c, c.cast(want))
     # try_cast throws and catches an exception per lost value; comparing with the bounds costs nothing.
     if isinstance(physical, T.NumericType) and type(want) in _WHOLE_BITS:
         return _whole(c, physical, want)

@@ -46,6 +46,13 @@ def date_shift(value: Column | str, amount: int, unit: str) -> Column:
     raise ValueError(f"unit must be day, month or year, not {unit!r}")
 
 
+def wall_clock(c: Column, time_zone: str) -> Column:
+    """The date and time that clocks in a zone show at an instant, whatever zone the session has."""
+    seconds = (F.unix_micros(c).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    utc = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.convert_timezone(F.lit("UTC"), F.lit(time_zone), utc)
+
+
 def day_of(c: Column | str) -> Column:
     """The day of a date or timestamp as text, e.g. 20240105.
 

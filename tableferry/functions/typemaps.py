@@ -115,13 +115,15 @@ MYSQL_TO_HIVE = {
 
 # ---------------------------------------------------------------------------------------------
 # Corrections, on unless ``reference_types`` is asked for: a 4-byte float loses serial numbers
-# above 2^24, documents are not 2-byte integers, LSEG is the real name of the segment type, and
-# Hive has no MEDIUMINT.
+# above 2^24, documents are not 2-byte integers, LSEG is the real name of the segment type,
+# Hive has no MEDIUMINT, and an 8-byte float has fewer digits than a long DECIMAL.
 # ---------------------------------------------------------------------------------------------
 
 POSTGRES_CORRECTIONS = {"SERIAL": "INT4", "XML": "VARCHAR(65535)", "LSEG": "VARCHAR(256)"}
 MYSQL_HIVE_CORRECTIONS = {"MEDIUMINT": "INT", "INTEGER": "INT"}
 
+# Digits of a DECIMAL that an 8-byte float always gives back.
+FLOAT8_DIGITS = 15
 # The target type of a NUMERIC declared without a precision.
 UNBOUNDED_NUMERIC = "NUMERIC(38, 10)"
 
@@ -158,6 +160,8 @@ def target_type(dialect: str, target: str, declared: str, precision: int = 0, sc
             return re.sub(r"(?i)\bdatetime\b(?!\s*:)", "TIMESTAMP", declared.strip())
     elif dialect == "mysql":
         template = MYSQL_TO_WAREHOUSE.get(name)
+        if name == "DECIMAL" and precision > FLOAT8_DIGITS and not reference_types:
+            template, precision = "NUMERIC(p, s)", min(precision, 38)
         return _sized(template, precision, scale) if template else None
     elif dialect in POSTGRES_LIKE:
         template = POSTGRES_TO_WAREHOUSE.get(name)

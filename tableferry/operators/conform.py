@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.casts import always_fits, convert, lost, try_convert
-from tableferry.functions.dates import day_of
+from tableferry.functions.dates import day_of, wall_clock
 from tableferry.functions.typemaps import Target, resolve, target_type
 from tableferry.specs import SourceColumn, TableSpec
 
@@ -90,6 +90,13 @@ def _physical(f: T.StructField) -> Column:
     return F.col(f"`{f.name}`")
 
 
+def _value(f: T.StructField, target: Target, time_zone: str) -> tuple[Column, T.DataType]:
+    """The column and its type; an instant is by the clocks of a zone where the target knows no zones."""
+    if isinstance(f.dataType, T.TimestampType) and target.spark is not None and not isinstance(target.spark, T.TimestampType):
+        return wall_clock(_physical(f), time_zone), T.TimestampNTZType()
+    return _physical(f), f.dataType
+
+
 def conform(df: DataFrame, spec: TableSpec, target: str = "warehouse", *, on_loss: str = "fail",
             on_unsupported: str = "drop", on_undeclared: str = "fail", temporal_as_string: bool = False,
             reference_types: bool = False, keep: Sequence[str] = ()) -> DataFrame:
@@ -104,19 +111,21 @@ def conform(df: DataFrame, spec: TableSpec, target: str = "warehouse", *, on_los
     if on_loss not in ("fail", "null"):
         raise ValueError(f"on_loss must be fail or null, not {on_loss!r}")
     columns = _kept(df, spec, target, on_unsupported, on_undeclared, reference_types, temporal_as_string, keep)
-    return df.select(*[convert(_physical(f), f.dataType, m.target, m.name, m.source.declared, on_loss).alias(m.name)
+    return df.select(*[convert(*_value(f, m.target, spec.time_zone), m.target, m.name, m.source.declared, on_loss).alias(m.name)
                        for m, f in columns], *keep)
 
 
 def conform_or_reject(df: DataFrame, spec: TableSpec, target: str = "warehouse", *, on_unsupported: str = "drop",
-                      on_undeclared: str = "fail", temporal_as_string: bool = False, reference_types: bool = False) -> tuple[DataFrame, DataFrame]:
+                      on_undeclared: str = "fail", temporal_as_string: bool = False, reference_types: bool = False,
+                      keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """The rows that fit, conformed, and the others as they were, with the names of the columns
     that do not fit.  Each source row is in exactly one of the two."""
-    columns = _kept(df, spec, target, on_unsupported, on_undeclared, reference_types, temporal_as_string)
+    columns = _kept(df, spec, target, on_unsupported, on_undeclared, reference_types, temporal_as_string, keep)
     checks = []
     for m, f in columns:
-        if not always_fits(f.dataType, m.target):
-            converted = try_convert(_physical(f), f.dataType, m.target, m.source.declared)
+        value, kind = _value(f, m.target, spec.time_zone)
+        if not always_fits(kind, m.target):
+            converted = try_convert(value, kind, m.target, m.source.declared)
             checks.append((m.name, lost(_physical(f), converted)))
     bad = F.lit(False)
     for _, check in checks:
@@ -124,7 +133,7 @@ def conform_or_reject(df: DataFrame, spec: TableSpec, target: str = "warehouse",
     names = F.array_compact(F.array(*[F.when(check, F.lit(name)) for name, check in checks])) if checks \
         else F.array().cast("array<string>")
     accepted = conform(df.where(~bad), spec, target, on_loss="null", on_unsupported=on_unsupported, on_undeclared=on_undeclared,
-                       temporal_as_string=temporal_as_string, reference_types=reference_types)
+                       temporal_as_string=temporal_as_string, reference_types=reference_types, keep=keep)
     return accepted, df.where(bad).withColumn(REJECTED, names)
 
 
@@ -157,9 +166,11 @@ def keep_partition_keys(df: DataFrame, partition_columns: Sequence[str],
     return ordered.withColumns(text).withColumnsRenamed(dict(zip(kept, names))), names
 
 
-def derive_pt(df: DataFrame, value: str | None = None, column: str = UPDATE_TIME, name: str = "pt") -> tuple[DataFrame, list[str]]:
+def derive_pt(df: DataFrame, value: str | None = None, column: str = UPDATE_TIME, name: str = "pt", time_zone: str = "UTC") -> tuple[DataFrame, list[str]]:
     """A partition column for tables with an update time: the given value, else the update day.
 
+    The day of an instant is that of ``time_zone``, whatever zone the session has.
+
     Tables without the update time stay unpartitioned.  A source column of that name is an error.
     """
     f = _fields(df).get(column)
@@ -167,7 +178,8 @@ def derive_pt(df: DataFrame, value: str | None = None, column: str = UPDATE_TIME
         return df, []
     if name in _fields(df):
         raise ValueError(f"the source has a column {name!r} of its own; derive another name")
-    return df.withColumn(name, F.lit(value) if value else day_of(_physical(f))), [name]
+    time = wall_clock(_physical(f), time_zone) if isinstance(f.dataType, T.TimestampType) else _physical(f)
+    return df.withColumn(name, F.lit(value) if value else day_of(time)), [name]
 
 
 def json_to_variant(df: DataFrame, *columns: str) -> DataFrame:

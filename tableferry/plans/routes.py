@@ -77,6 +77,17 @@ def _insert(rows: DataFrame, table: str, parts: Sequence[str], load: LoadSpec =
     rows.write.insertInto(table)
 
 
+def _conformed(source: DataFrame, spec: TableSpec, dest: Destination, target: str, on_loss: str, load: LoadSpec, parts: Sequence[str] = ()) -> DataFrame:
+    """The rows in their target types; with ``reject`` those that don't fit are written aside as they are."""
+    if on_loss != "reject":
+        return conform(source, spec, target, on_loss=on_loss, keep=parts)
+    if not source.inputFiles():
+        source = stage(source)
+    rows, rejected = conform_or_reject(source, spec, target, keep=parts)
+    write_files(rejected, dest.rejected(spec), mode=load.mode)
+    return rows
+
+
 def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: str | Column = NO_FILTER,
                  on_loss: str = "fail", load: LoadSpec = LoadSpec(), distributed: bool = False) -> str:
     """MySQL, PostgreSQL or Hologres to the warehouse: typed Snappy Parquet to load from.
@@ -91,14 +102,7 @@ def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: st
     parts are of one state of it.
     """
     source = matching(df, where)
-    if on_loss == "reject":
-        if not df.inputFiles():
-            source = stage(source)
-        rows, rejected = conform_or_reject(source, spec, "warehouse")
-        write_files(rejected, dest.rejected(spec), mode=load.mode)
-    else:
-        rows = conform(source, spec, "warehouse", on_loss=on_loss)
-    rows = variants_as_json(rows)
+    rows = variants_as_json(_conformed(source, spec, dest, "warehouse", on_loss, load))
     parts = [p.lower() for p in spec.partition_columns]
     if parts:
         rows = native_then_partition(rows.withColumns({p: rows[p].cast("string") for p in parts}), parts)
@@ -117,31 +121,32 @@ def to_warehouse(df: DataFrame, spec: TableSpec, dest: Destination, *, where: st
 def mysql_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, where: str | Column = NO_FILTER,
                   pt: str | None = None, on_loss: str = "fail", load: LoadSpec = LoadSpec()) -> str:
     """MySQL to Hive, partitioned by ``pt`` where the table has an update time, whole otherwise."""
-    dated, parts = derive_pt(matching(df, where), pt)
-    rows = conform(dated, spec, "hive", on_loss=on_loss, keep=parts)
+    dated, parts = derive_pt(matching(df, where), pt, time_zone=spec.time_zone)
+    rows = _conformed(dated, spec, dest, "hive", on_loss, load, parts)
     return _write(rows, spec, dest, parts, load)
 
 
 def maxcompute_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, where: str | Column = NO_FILTER,
-                       on_loss: str = "fail", clustered: bool = False) -> str | None:
+                       on_loss: str = "fail", clustered: bool = False, load: LoadSpec = LoadSpec()) -> str | None:
     """MaxCompute to Hive: known partition keys only, each load replaces the partitions it brings.
 
+    ``load`` gives the write parallelism; with ``overwrite=False`` rows are added to the partitions instead.
     Returns None for a table whose files are external already: there is nothing to move.
     """
     if spec.external:
         log.info("%s is external, skipped", spec.name)
         return None
-    rows = conform(matching(df, where), spec, "hive", on_loss=on_loss)
+    rows = _conformed(matching(df, where), spec, dest, "hive", on_loss, load)
     rows, parts = keep_partition_keys(rows, [p.lower() for p in spec.partition_columns])
-    if not parts:
-        return _write(rows, spec, dest, parts, LoadSpec())
+    if not parts or load.mode == "append":
+        return _write(rows, spec, dest, parts, load)
     spark, table = df.sparkSession, dest.table(spec)
     if dest.catalog and spark.catalog.tableExists(table):
         # A column the table lacks is added to it; one that the reload lacks is an error.
         rows = under(rows, _fit_table(spark, table, rows.schema, parts, spec))
-        return overwrite_table_partitions(rows, table, parts, clustered=clustered)
+        return overwrite_table_partitions(rows, table, parts, clustered=clustered, load=load)
     check_types(rows, dest.path(spec), parts)
-    path = overwrite_partitions(rows, dest.path(spec), parts, clustered=clustered)
+    path = overwrite_partitions(rows, dest.path(spec), parts, clustered=clustered, load=load)
     if dest.catalog:
         register(spark, table, path, rows.schema, parts, spec.comment, _properties(spec))
     return path

@@ -82,17 +82,22 @@ class KeySplit:
                 "numPartitions": str(self.partitions)}
 
 
-def key_bounds(spark: SparkSession, source: JdbcSource, table: str, column: str) -> tuple:
+def filtered(table: str, source_where: str = "") -> str:
+    """A table, or its rows by a condition in the source's own SQL, as what to read from."""
+    return f"(select * from {table} where {source_where}) filtered_rows" if source_where.strip() else table
+
+
+def key_bounds(spark: SparkSession, source: JdbcSource, table: str, column: str, source_where: str = "") -> tuple:
     """The smallest and largest key; the source computes them and sends one row."""
     name = quoted(column, source.dialect)
-    query = f"select min({name}) as lo, max({name}) as hi from {table}"
+    query = f"select min({name}) as lo, max({name}) as hi from {filtered(table, source_where)}"
     row = spark.read.format("jdbc").options(**source.reader_options()).option("query", query).load().first()
     return (row["lo"], row["hi"])
 
 
 def read_jdbc(spark: SparkSession, source: JdbcSource, table: str, *, split: KeySplit | None = None,
               predicates: Sequence[str] = (), where: str = NO_FILTER, load: LoadSpec = LoadSpec(),
-              key: Sequence[str] = ()) -> DataFrame:
+              key: Sequence[str] = (), source_where: str = "") -> DataFrame:
     """A relational table, read in parallel by key ranges or by ready-made conditions.
 
     ``load.split`` is on unless turned off: without a ``split`` one is made from the single column of
@@ -101,33 +106,40 @@ def read_jdbc(spark: SparkSession, source: JdbcSource, table: str, *, split: Key
 
     ``predicates`` gives one read partition per condition (see ``range_predicates``).  The filter
     and the columns selected later are pushed to the source by Spark.
+
+    ``where`` is a Spark expression, of which Spark pushes what it can translate.  ``source_where`` is in the source's own
+    SQL and always runs there, bounds included.
     """
+    rows = filtered(table, source_where)
     options = source.reader_options()
     if load.split and not predicates and split is None:
         if len(key) != 1:
             raise ValueError(f"{table}: no single-column key to split the read by; give split or predicates, or turn load.split off")
-        lower, upper = key_bounds(spark, source, table, key[0])
+        lower, upper = key_bounds(spark, source, table, key[0], *([source_where] if source_where else []))
         # An empty table has no bounds, and nothing to split.
         split = KeySplit(key[0], lower, upper, load.read_partitions or DEFAULT_PARTITIONS) if lower is not None else None
     if predicates and load.split:
         source.checked(len(predicates))
         url, properties = options.pop("url"), options
-        df = spark.read.jdbc(url, table, predicates=list(predicates), properties=properties)
+        df = spark.read.jdbc(url, rows, predicates=list(predicates), properties=properties)
     else:
         if split is not None and load.split:
             options |= split.reader_options()
             options["numPartitions"] = str(source.checked(load.read_partitions or split.partitions))
-        df = spark.read.format("jdbc").options(**options).option("dbtable", table).load()
+        df = spark.read.format("jdbc").options(**options).option("dbtable", rows).load()
     return df.where(F.expr(where))
 
 
 def list_tables_query(dialect: str, schema: str = "") -> str:
     """A query whose first column holds the names of all tables of the source."""
-    if dialect in ("postgres", "hologres"):
+    if dialect in ("postgres", "hologres", "redshift"):
         return f"select tablename from pg_tables where schemaname = {literal(schema)}"
     if dialect == "mysql":
         return "select table_name from information_schema.tables where table_schema = database()"
-    raise ValueError(f"{dialect} tables are listed through the catalog")
+    if dialect in ("hive", "maxcompute"):
+        # Their SHOW TABLES can't stand in a FROM clause, where the reader puts every query.
+        raise ValueError(f"{dialect} tables are listed through the catalog: it has no table of tables to query")
+    raise ValueError(f"no query lists the tables of {dialect!r}; one of {', '.join(_URLS)}")
 
 
 def literal(value: object) -> str:

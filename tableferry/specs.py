@@ -29,6 +29,7 @@ class TableSpec:
 
     ``max_sort_keys`` of the indexed columns become sort keys; those left out are logged.  ``interleaved`` gives
     them equal weight.
+    ``time_zone`` is that of the clocks by which instants (zoned timestamps) become dates, times without zone and text.
     """
 
     name: str
@@ -43,6 +44,7 @@ class TableSpec:
     lifecycle_days: int = DEFAULT_LIFECYCLE_DAYS
     max_sort_keys: int = MAX_SORT_KEYS
     interleaved: bool = False
+    time_zone: str = "UTC"
 
     def __post_init__(self) -> None:
         seen: dict[str, str] = {}

@@ -1,0 +1,144 @@
+"""Zones, long decimals, filters in the source's SQL, and settings of the Hive routes."""
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tableferry.functions.dates import wall_clock
+from tableferry.functions.typemaps import target_type
+from tableferry.operators.conform import conform, conform_or_reject, derive_pt
+from tableferry.plans.routes import Destination, maxcompute_to_hive, mysql_to_hive
+from tableferry.sinks.files import read_written
+from tableferry.sources.jdbc import KeySplit, filtered, key_bounds, list_tables_query, read_jdbc
+from tableferry.specs import LoadSpec, TableSpec
+from tableferry.specs import SourceColumn as C
+from tests.helpers import conf, rows
+from tests.test_sources import SOURCE, Recorder
+
+ZONES = ("UTC", "America/New_York", "Asia/Shanghai", "Asia/Kathmandu")
+
+
+def instants(spark):
+    micros = [0, 1704069000000000, 1704069000123456, -1, 1711847400000000, -2208988800000000, 253402300799999999]
+    return spark.createDataFrame([(m,) for m in micros], "m long").select(F.timestamp_micros("m").alias("last_update_time"), "m")
+
+
+def clock(micros, zone):
+    from zoneinfo import ZoneInfo
+
+    utc = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
+    return utc.astimezone(ZoneInfo(zone)).replace(tzinfo=None)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "America/New_York"])
+def test_clocks_do_not_depend_on_the_session(spark, zone):
+    seen = set()
+    for session in ZONES:
+        with conf(spark, spark__sql__session__timeZone=session):
+            got = instants(spark).where("m < 253402300799999999").select("m", wall_clock(F.col("last_update_time"), zone).alias("c")).collect()
+            assert {r.m: r.c for r in got} == {r.m: clock(r.m, zone) for r in got}
+            seen.add(str(sorted((r.m, str(r.c)) for r in got)))
+    assert len(seen) == 1
+
+
+SPEC = TableSpec("t", "mysql", (C("last_update_time", "DATETIME"), C("m", "BIGINT")), time_zone="Asia/Shanghai")
+
+
+def test_conformed_times_text_and_days_under_several_sessions(spark):
+    results = set()
+    for session in ZONES:
+        with conf(spark, spark__sql__session__timeZone=session):
+            df = instants(spark)
+            dated, _ = derive_pt(df, time_zone=SPEC.time_zone)
+            hive = conform(dated, SPEC, "hive", keep=["pt"])
+            warehouse = conform(df, SPEC, "warehouse")
+            text = conform(df, SPEC, "warehouse", temporal_as_string=True)
+            assert dict(warehouse.dtypes)["last_update_time"] == "timestamp_ntz"
+            results.add(str((rows(hive), rows(warehouse.select(F.col("last_update_time").cast("string"), "m")), rows(text), [x.count() for x in conform_or_reject(df, SPEC)])))
+    assert len(results) == 1
+    # Half past midnight of the first in Shanghai is still the day before in UTC.
+    late = derive_pt(spark.createDataFrame([(1704040200000000,)], "m long").select(F.timestamp_micros("m").alias("last_update_time")), time_zone="Asia/Shanghai")[0]
+    assert late.first().pt == "20240101"
+
+
+def test_targets_with_a_zone_keep_instants(spark):
+    spec = TableSpec("t", "postgres", (C("last_update_time", "TIMESTAMPTZ"), C("m", "INT8")), time_zone="Asia/Shanghai")
+    assert rows(conform(instants(spark), spec)) == rows(instants(spark))
+
+
+# --- decimals ---------------------------------------------------------------------------------
+
+def test_long_decimals_stay_decimals():
+    assert target_type("mysql", "warehouse", "DECIMAL", 12, 2) == "FLOAT8"
+    assert target_type("mysql", "warehouse", "DECIMAL", 19, 2) == "NUMERIC(19, 2)"
+    assert target_type("mysql", "warehouse", "DECIMAL", 65, 30) == "NUMERIC(38, 30)"
+    assert target_type("mysql", "warehouse", "DECIMAL", 19, 2, reference_types=True) == "FLOAT8"
+
+
+def test_digits_are_not_lost_silently(spark):
+    big, small = Decimal("12345678901234567.89"), Decimal("0.10")
+    df = spark.createDataFrame([(big,), (small,), (None,)], "d decimal(19,2)")
+    declared = TableSpec("t", "mysql", (C("d", "DECIMAL", 19, 2),))
+    assert rows(conform(df, declared)) == sorted([(big,), (small,), (None,)], key=repr)
+    for spec, options in ((TableSpec("t", "mysql", (C("d", "DECIMAL"),)), {}), (declared, {"reference_types": True})):
+        with pytest.raises(PySparkException, match="does not fit FLOAT8"):
+            conform(df, spec, **options).collect()
+        assert rows(conform(df, spec, on_loss="null", **options)) == sorted([(None,), (None,), (0.1,)], key=repr)
+        kept, rejected = conform_or_reject(df, spec, **options)
+        assert rows(kept) == sorted([(0.1,), (None,)], key=repr) and [r.d for r in rejected.collect()] == [big]
+
+
+# --- the source's own SQL ---------------------------------------------------------------------
+
+def test_a_condition_of_the_source_reaches_it():
+    where = "created > now() - interval 1 day"
+    inside = "(select * from orders where created > now() - interval 1 day) filtered_rows"
+    assert filtered("orders", where) == inside and filtered("orders", " ") == "orders"
+    assert read_jdbc(Recorder(), SOURCE, "orders", split=KeySplit("id", 1, 9, 2), source_where=where)["dbtable"] == inside
+    assert read_jdbc(Recorder(), SOURCE, "orders", predicates=["id < 5", "id >= 5"], source_where=where)["dbtable"] == inside
+
+
+def test_bounds_are_those_of_the_filtered_rows():
+    class One(Recorder):
+        def first(self):
+            return {"lo": 3, "hi": 8}
+
+    recorder = One()
+    assert key_bounds(recorder, SOURCE, "orders", "id", "a = 1") == (3, 8)
+    assert recorder.seen["query"] == "select min(`id`) as lo, max(`id`) as hi from (select * from orders where a = 1) filtered_rows"
+    found = One()
+    read_jdbc(found, SOURCE, "orders", key=["id"], source_where="a = 1")
+    assert found.seen["dbtable"].endswith("where a = 1) filtered_rows") and found.seen["lowerBound"] == "3"
+
+
+def test_tables_of_all_dialects_are_listed_or_it_is_said_why_not():
+    assert "pg_tables" in list_tables_query("redshift", "public")
+    for dialect in ("hive", "maxcompute"):
+        with pytest.raises(ValueError, match="listed through the catalog"):
+            list_tables_query(dialect)
+    with pytest.raises(ValueError, match="no query lists"):
+        list_tables_query("other")
+
+
+# --- settings of the Hive routes --------------------------------------------------------------
+
+def test_rows_that_do_not_fit_are_set_aside_on_the_hive_route(spark, path):
+    spec = TableSpec("h", "mysql", (C("id", "SMALLINT"), C("last_update_time", "DATETIME")))
+    df = spark.sql("select 1L as id, timestamp_ntz'2024-01-02 03:00:00' as last_update_time union all select 70000, timestamp_ntz'2024-01-03 00:00:00'")
+    dest = Destination(path("out"), "shop")
+    p = mysql_to_hive(df, spec, dest, on_loss="reject")
+    assert [(r.id, r.pt) for r in spark.read.parquet(p).collect()] == [(1, 20240102)]
+    assert [(r.id, r._rejected_columns) for r in spark.read.parquet(dest.rejected(spec)).collect()] == [(70000, ["id"])]
+
+
+def test_rows_are_added_to_partitions_on_request(spark, path):
+    spec = TableSpec("m", "maxcompute", (C("id", "BIGINT"), C("ds", "STRING")), partition_columns=("ds",))
+    dest = Destination(path("out"), "shop")
+    df = spark.createDataFrame([(1, "d1")], "id long, ds string")
+    maxcompute_to_hive(df, spec, dest)
+    p = maxcompute_to_hive(df, spec, dest, load=LoadSpec(overwrite=False))
+    assert read_written(spark, p, df.schema, ["ds"]).count() == 2
+    maxcompute_to_hive(df, spec, dest, load=LoadSpec(write_partitions=2))
+    assert read_written(spark, p, df.schema, ["ds"]).count() == 1
