@@ -176,6 +176,8 @@ select * replace (case when {_EVENTS_DAY} >= '20240125' then user_id + 109951162
     "schema_evolve_catalog": """
 select o_orderkey, case when o_orderdate < timestamp '1999-01-01' then o_custkey end as o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        case when o_orderdate >= timestamp '1999-01-01' then o_orderpriority end as o_orderpriority from orders""",
+    "schema_readded_column": """
+select * replace (case when year(o_orderdate) > 1997 then o_orderpriority end as o_orderpriority), true as all_files_kept from orders""",
     "merge_latest": """
 select user_id, ts, event_id, event_type, value from events
 qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",

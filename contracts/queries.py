@@ -519,6 +519,21 @@ def schema_evolve_catalog(spark, sf):
     return read_table(spark, name)
 
 
+def schema_readded_column(spark, sf):
+    """A column goes, comes, goes and comes again: only rows loaded since then have it, and no file is written anew."""
+    name, root = fresh_table(spark, "orders"), scratch_root(spark)
+    orders = table(spark, sf, "orders")
+    year = F.year("o_orderdate")
+    load_table(orders.where(year < 1995), _ORDERS, name, root, LoadSpec())
+    files = {r.file_name for r in spark.table(name).select("_metadata.file_name").distinct().collect()}
+    for rows, without in ((year == 1995, True), (year == 1996, False), (year == 1997, True), (year > 1997, False)):
+        increment = orders.where(rows).drop(*["o_orderpriority"] * without)
+        load_table(increment, _ORDERS, name, root, LoadSpec(incremental=IncrementalSpec("true", on_gone="drop")))
+        files |= {r.file_name for r in spark.table(name).select("_metadata.file_name").distinct().collect()}
+    left = spark.table(name).select(F.col("_metadata.file_name").alias("f")).distinct().agg((F.count(F.lit(1)) == len(files)).alias("all_files_kept"))
+    return read_table(spark, name).join(left)
+
+
 def merge_latest(spark, sf):
     """The newest event of every user, ties by event id."""
     events = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type", "value")
@@ -696,6 +711,7 @@ QUERIES = {
     "hive_to_hive_twice": hive_to_hive_twice,
     "reload_added_column": reload_added_column,
     "merge_widened_type": merge_widened_type,
+    "schema_readded_column": schema_readded_column,
     "merge_moved_partition": merge_moved_partition,
     "schema_evolve_catalog": schema_evolve_catalog,
     "conform_maxcompute_varchar": conform_maxcompute_varchar,

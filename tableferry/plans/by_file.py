@@ -19,7 +19,7 @@ from tableferry.operators.load import merge
 from tableferry.sinks.catalog import in_table_order, is_bucketed, location, recover_partitions
 from tableferry.sinks.changes import begin, decide, files_below, finish, new_files
 from tableferry.sinks.files import write_files
-from tableferry.sources.catalog import partition_columns
+from tableferry.sources.catalog import file_names, named, partition_columns, read_table
 from tableferry.specs import LoadSpec
 
 log = logging.getLogger(__name__)
@@ -47,7 +47,8 @@ def _unmarked(positioned: DataFrame, marks: DataFrame | None) -> DataFrame:
 
 
 def _live_positions(spark: SparkSession, table: str) -> DataFrame:
-    return _unmarked(with_position(spark.table(table), len(partition_columns(spark, table))), _marks(spark, location(spark, table)))
+    rows = named(with_position(spark.table(table), len(partition_columns(spark, table))), file_names(spark, table))
+    return _unmarked(rows, _marks(spark, location(spark, table)))
 
 
 def live(spark: SparkSession, table: str) -> DataFrame:
@@ -57,7 +58,7 @@ def live(spark: SparkSession, table: str) -> DataFrame:
     """
     marks = _marks(spark, location(spark, table))
     if marks is None:
-        return spark.table(table)
+        return read_table(spark, table)
     return _live_positions(spark, table).drop(FILE, PLACE)
 
 
@@ -65,7 +66,7 @@ def _of_files(spark: SparkSession, table: str, folder: str, names: Sequence[str]
     """The live rows of some files, with their positions."""
     parts = partition_columns(spark, table)
     rows = spark.read.schema(spark.table(table).schema).option("basePath", folder).parquet(*[f"{folder}/{unquote(n)}" for n in names])
-    return _unmarked(with_position(rows, len(parts)), _marks(spark, folder))
+    return _unmarked(named(with_position(rows, len(parts)), file_names(spark, table)), _marks(spark, folder))
 
 
 def files_holding(positioned: DataFrame, keys: DataFrame, key: Sequence[str]) -> list[str]:
@@ -111,7 +112,7 @@ def merge_by_file(staging: DataFrame, table: str, key: Sequence[str], order_by:
     spark, key = staging.sparkSession, list(key)
     folder = _check(spark, table)
     hit = files_holding(_live_positions(spark, table), staging, key)
-    old = _of_files(spark, table, folder, hit).drop(FILE, PLACE) if hit else spark.createDataFrame([], spark.table(table).schema)
+    old = _of_files(spark, table, folder, hit).drop(FILE, PLACE) if hit else spark.createDataFrame([], read_table(spark, table).schema)
     _exchange(spark, table, folder, merge(old, staging, key, order_by), hit, load, layout_key)
     log.info("%s: %s files rewritten", table, len(hit))
     return hit
@@ -148,6 +149,6 @@ def purge(spark: SparkSession, table: str, share: float = DEAD_SHARE) -> list[st
     hit = sorted(r[FILE] for r in shares.where(F.col("share") >= share).select(FILE).collect())
     stay = marks.distinct().join(shares.where(F.col("share") < share).select(FILE), FILE, "left_semi")
     old_marks = [f"{MARKS}/{n}" for n in files_below(spark, f"{folder}/{MARKS}")]
-    rows = _of_files(spark, table, folder, hit).drop(FILE, PLACE) if hit else spark.createDataFrame([], spark.table(table).schema)
+    rows = _of_files(spark, table, folder, hit).drop(FILE, PLACE) if hit else spark.createDataFrame([], read_table(spark, table).schema)
     _exchange(spark, table, folder, rows, [*hit, *(m.replace("%", "%25") for m in old_marks)], marks=None if stay.isEmpty() else stay)
     return hit

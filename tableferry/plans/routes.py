@@ -21,11 +21,11 @@ from tableferry.operators.layout import output_partitions, spread
 from tableferry.operators.load import affected_partitions, evolved_schema, in_partitions, merge, stage, staged, under
 from tableferry.plans.batch import Outcome, for_each_table
 from tableferry.plans.by_file import live, merge_by_file
-from tableferry.sinks.catalog import (in_table_order, location, new_version, overwrite_table_partitions, publish, register,
+from tableferry.sinks.catalog import (evolve_table, in_table_order, location, new_version, overwrite_table_partitions, publish, register,
                                       remove_partitions, replace_table, write_distributed)
 from tableferry.sinks.files import (check_apart, check_types, delete_path, folders_of, overwrite_partitions, replace_files, table_path,
                                     write_files)
-from tableferry.sources.catalog import list_tables, partition_columns
+from tableferry.sources.catalog import list_tables, partition_columns, read_table
 from tableferry.sources.files import NO_FILTER, matching
 from tableferry.specs import LoadSpec, TableSpec
 
@@ -143,7 +143,7 @@ def maxcompute_to_hive(df: DataFrame, spec: TableSpec, dest: Destination, *, whe
     spark, table = df.sparkSession, dest.table(spec)
     if dest.catalog and spark.catalog.tableExists(table):
         # A column the table lacks is added to it; one that the reload lacks is an error.
-        rows = under(rows, _fit_table(spark, table, rows.schema, parts, spec))
+        rows = under(rows, _fit_table(spark, table, rows.schema, parts))
         return overwrite_table_partitions(rows, table, parts, clustered=clustered, load=load)
     check_types(rows, dest.path(spec), parts)
     path = overwrite_partitions(rows, dest.path(spec), parts, clustered=clustered, load=load)
@@ -173,28 +173,19 @@ def hive_database_to_hive(spark: SparkSession, database: str, dest: Destination,
 
     def job(table: str) -> str:
         spec = TableSpec(table.split(".")[-1], "hive", (), partition_columns=tuple(partition_columns(spark, table)))
-        return hive_to_hive(spark.table(table), spec, dest)
+        return hive_to_hive(read_table(spark, table), spec, dest)
 
     return for_each_table(spark, {t: partial(job, t) for t in list_tables(spark, database)}, at_once)
 
 
-def _evolve_table(spark: SparkSession, table: str, schema: T.StructType, parts: Sequence[str], spec: TableSpec) -> None:
-    """Give a table other columns over the same files: none is read or written.
-
-    Old files lack new columns, which read as NULL, keep columns that are gone, which are passed over,
-    and hold narrower numbers, which read as the wider type.
-    """
-    publish(spark, table, location(spark, table), schema, parts, spec.comment, _properties(spec))
-
-
-def _fit_table(spark: SparkSession, table: str, rows: T.StructType, parts: Sequence[str], spec: TableSpec,
+def _fit_table(spark: SparkSession, table: str, rows: T.StructType, parts: Sequence[str],
                custom_fields: Sequence[str] = (), on_gone: str = "fail") -> T.StructType:
     """Make the definition of a table hold some rows; the schema it has then."""
-    target = spark.table(table).schema
+    target = read_table(spark, table).schema
     schema = evolved_schema(target, rows, custom_fields, on_gone)
     schema = T.StructType([f for f in schema.fields if f.name not in parts] + [f for f in schema.fields if f.name in parts])
     if [(f.name.lower(), f.dataType) for f in target.fields] != [(f.name, f.dataType) for f in schema.fields]:
-        _evolve_table(spark, table, schema, parts, spec)
+        evolve_table(spark, table, schema, parts)
     return schema
 
 
@@ -242,7 +233,7 @@ def load_table(source: DataFrame, spec: TableSpec, table: str, root: str, load:
         if not exists or action == "overwrite":
             replace(staging)
             return "overwrite"
-        staging = under(staging, _fit_table(spark, table, staging.schema, parts, spec, inc.custom_fields if inc else (), inc.on_gone if inc else "fail"))
+        staging = under(staging, _fit_table(spark, table, staging.schema, parts, inc.custom_fields if inc else (), inc.on_gone if inc else "fail"))
         if action == "append":
             _insert(staging, table, parts, load, spec.key)
             if inc and inc.compact_after_load:

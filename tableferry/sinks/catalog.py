@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from collections.abc import Sequence
+from itertools import count
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,7 @@ from tableferry.operators.interleave import interleave
 from tableferry.operators.layout import BUCKET_BYTES, bucket_sizes
 from tableferry.session import fresh_path
 from tableferry.sinks.files import _path, delete_path, overwrite_partitions, stored_bytes, table_path, write_files
-from tableferry.sources.catalog import is_external, partition_columns
+from tableferry.sources.catalog import FILE_NAMES, RETIRED, file_names, is_external, named, partition_columns, table_properties
 from tableferry.sources.files import partitioned_schema
 from tableferry.specs import LoadSpec
 
@@ -24,6 +26,8 @@ log = logging.getLogger(__name__)
 
 # Beyond this many times the mean size of a bucket the distribution key is skewed.
 MAX_BUCKET_SKEW = 3.0
+# Properties that the engine sets by itself.
+_ENGINE_PROPERTIES = ("transient_", "spark.sql.", "option.")
 # Partitions named in one statement to the catalog.
 PARTITIONS_AT_ONCE = 500
 # Fixed value: the directory of NULL partition values.
@@ -90,7 +94,11 @@ def publish(spark: SparkSession, table: str, path: str, schema: T.StructType, pa
     """
     if check_replaceable(spark, table):
         old = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
-        if old == [(f.name, f.dataType) for f in schema.fields] and not partition_by and not partition_columns(spark, table):
+        kept = {k: v for k, v in table_properties(spark, table).items() if not k.startswith(_ENGINE_PROPERTIES)}
+        renamed = (kept.pop(FILE_NAMES, None), kept.pop(RETIRED, None)) != (None, None)
+        # What the caller doesn't say stays, but for the names in the old files.
+        comment, properties = comment or spark.catalog.getTable(table).description or "", kept if properties is None else properties
+        if old == [(f.name, f.dataType) for f in schema.fields] and not partition_by and not partition_columns(spark, table) and not renamed:
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(path)}'")
             spark.catalog.refreshTable(table)
             return table
@@ -101,6 +109,36 @@ def publish(spark: SparkSession, table: str, path: str, schema: T.StructType, pa
     return register(spark, table, path, schema, partition_by, comment, properties)
 
 
+def evolve_table(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
+    """Give a table other columns over the same files: none is read or written.
+
+    Old files lack new columns, which read as NULL, keep columns that are gone, which are passed over, and hold narrower
+    numbers, which read as the wider type.  A name that was dropped before stands for a new column: files call it
+    otherwise, so the old values don't come back.  Columns that are only added don't take the table away for a moment.
+    """
+    properties = {k: v for k, v in table_properties(spark, table).items() if not k.startswith(_ENGINE_PROPERTIES)}
+    names: dict[str, str] = json.loads(properties.get(FILE_NAMES, "{}"))
+    retired = set(json.loads(properties.get(RETIRED, "[]")))
+    old = {f.name: f for f in named(spark.table(table), names).schema.fields}
+    wanted = {f.name.lower() for f in schema.fields}
+    have = {n.lower() for n in old}
+    retired |= {names.pop(n, n).lower() for n in old if n.lower() not in wanted}
+    taken = retired | {names.get(n, n).lower() for n in old if n.lower() in wanted}
+    for f in schema.fields:
+        if f.name.lower() not in have and f.name.lower() in taken:
+            names[f.name] = next(x for g in count(2) if (x := f"{f.name}__{g}").lower() not in taken | wanted)
+    identity = {FILE_NAMES: json.dumps(names), RETIRED: json.dumps(sorted(retired))} if names or retired else {}
+    physical = T.StructType([T.StructField(names.get(f.name, f.name), f.dataType) for f in schema.fields])
+    if all(n.lower() in wanted and f.dataType == schema[n].dataType for n, f in old.items() if n in schema.names) and not have - wanted:
+        added = [p for f, p in zip(schema.fields, physical.fields, strict=True) if f.name.lower() not in have]
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{p.name}` {p.dataType.simpleString()}' for p in added)})")
+        if identity:
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({', '.join(f"'{k}' = '{_quoted(v)}'" for k, v in identity.items())})")
+        spark.catalog.refreshTable(table)
+    else:
+        publish(spark, table, location(spark, table), physical, partition_by, properties=properties | identity)
+
+
 def swap_in(spark: SparkSession, table: str, new: str) -> None:
     """Give a complete external table the name of another, which is dropped; the files of both stay.
 
@@ -124,6 +162,8 @@ def in_table_order(rows: DataFrame, table: str) -> DataFrame:
     A table's files all have to have its types; a column too many would be lost, one of another type
     would make the table unreadable.
     """
+    names = {n.lower(): f for n, f in file_names(rows.sparkSession, table).items()}
+    rows = rows.withColumnsRenamed({c: names[c.lower()] for c in rows.columns if c.lower() in names}) if names else rows
     have = {f.name.lower(): f for f in rows.schema.fields}
     want = rows.sparkSession.table(table).schema.fields
     other = [f"{f.name} is not in the rows" for f in want if f.name.lower() not in have]

@@ -1,0 +1,124 @@
+import pytest
+
+from tableferry.plans.by_file import live, mark_deleted, purge
+from tableferry.plans.routes import Destination, hive_database_to_hive, load_table
+from tableferry.session import fresh_table
+from tableferry.sinks.catalog import evolve_table, location
+from tableferry.sinks.changes import files_below
+from tableferry.sources.catalog import FILE_NAMES, file_names, read_table, table_properties
+from tableferry.specs import IncrementalSpec, LoadSpec, TableSpec
+from tableferry.specs import SourceColumn as C
+from tests.helpers import rows
+
+SPEC = TableSpec("t", "mysql", (C("a", "INT"), C("b", "CHAR")), primary_key=("a",))
+PARTED = TableSpec("t", "mysql", (C("a", "INT"), C("b", "CHAR"), C("p", "CHAR")), primary_key=("a",), partition_columns=("p",))
+
+
+def increment(merge=False, rewrite="table"):
+    return LoadSpec(incremental=IncrementalSpec("true", merge=merge, on_gone="drop", rewrite=rewrite))
+
+
+def readded(spark, path, spec=SPEC):
+    """(1,'old'), then b goes, then it comes with (3,'new')."""
+    name, root = fresh_table(spark, "t"), path("root")
+    part = ", 'x' as p" if spec is PARTED else ""
+    load_table(spark.sql(f"select 1 as a, 'old' as b{part}"), spec, name, root, LoadSpec())
+    load_table(spark.sql(f"select 2 as a{part}"), spec, name, root, increment())
+    load_table(spark.sql(f"select 3 as a, 'new' as b{part}"), spec, name, root, increment())
+    return name, root
+
+
+@pytest.mark.parametrize("spec", [SPEC, PARTED])
+def test_dropped_values_do_not_come_back(spark, path, spec):
+    name, root = readded(spark, path, spec)
+    part = ("x",) if spec is PARTED else ()
+    got = read_table(spark, name)
+    assert got.columns == ["a", "b", *["p"] * len(part)]
+    assert rows(got) == [(1, None, *part), (2, None, *part), (3, "new", *part)]
+    files = set(files_below(spark, location(spark, name)))
+    # Once more: neither the first nor the second b is the third.
+    extra = ", 'x' as p" if part else ""
+    load_table(spark.sql(f"select 4 as a{extra}"), spec, name, root, increment())
+    load_table(spark.sql(f"select 5 as a, 'newest' as b{extra}"), spec, name, root, increment())
+    assert rows(read_table(spark, name)) == sorted([(i, None, *part) for i in (1, 2, 3, 4)] + [(5, "newest", *part)], key=repr)
+    assert files < set(files_below(spark, location(spark, name)))
+    assert file_names(spark, name) == {"b": "b__3"}
+
+
+@pytest.mark.parametrize("rewrite", ["table", "files"])
+def test_merges_go_by_the_columns_names(spark, path, rewrite):
+    name, root = readded(spark, path)
+    load_table(spark.sql("select 1 as a, 'merged' as b union all select 9, 'more'"), SPEC, name, root, increment(True, rewrite))
+    assert rows(read_table(spark, name)) == [(1, "merged"), (2, None), (3, "new"), (9, "more")]
+    # A new version has files of its own, and needs no other names.
+    assert (file_names(spark, name) == {}) == (rewrite == "table")
+
+
+def test_partitions_are_merged_by_the_columns_names(spark, path):
+    name, root = readded(spark, path, PARTED)
+    load_table(spark.sql("select 1 as a, 'moved' as b, 'y' as p"), PARTED, name, root, increment(True))
+    assert rows(read_table(spark, name)) == [(1, "moved", "y"), (2, None, "x"), (3, "new", "x")]
+
+
+def test_marks_and_purges(spark, path):
+    name, _ = readded(spark, path)
+    mark_deleted(spark, name, spark.sql("select 2 as a"), ["a"])
+    assert rows(live(spark, name)) == [(1, None), (3, "new")]
+    purge(spark, name, 0.0)
+    assert rows(live(spark, name)) == [(1, None), (3, "new")] == rows(read_table(spark, name))
+
+
+def test_a_full_load_begins_anew(spark, path):
+    name, root = readded(spark, path)
+    load_table(spark.sql("select 7 as a, 'x' as b"), SPEC, name, root, LoadSpec())
+    assert rows(spark.table(name)) == [(7, "x")] and file_names(spark, name) == {}
+
+
+def test_a_column_of_the_spare_name_is_left_alone(spark, path):
+    name, root = fresh_table(spark, "t"), path("root")
+    load_table(spark.sql("select 1 as a, 'old' as b, 'own' as b__2"), SPEC, name, root, LoadSpec())
+    load_table(spark.sql("select 2 as a, 'own' as b__2"), SPEC, name, root, increment())
+    load_table(spark.sql("select 3 as a, 'own' as b__2, 'new' as b"), SPEC, name, root, increment())
+    assert rows(read_table(spark, name).select("a", "b", "b__2")) == [(1, None, "own"), (2, None, "own"), (3, "new", "own")]
+
+
+def test_properties_and_comment_stay_and_added_columns_do_not_swap_the_table(spark, path, monkeypatch):
+    from tableferry.sinks import catalog
+
+    name, root = fresh_table(spark, "t"), path("root")
+    load_table(spark.sql("select 1 as a"), SPEC, name, root, LoadSpec())
+    spark.sql(f"alter table {name} set tblproperties ('own' = 'kept')")
+    spark.sql(f"comment on table {name} is 'about it'")
+    monkeypatch.setattr(catalog, "swap_in", lambda *a: pytest.fail("the table was swapped"))
+    load_table(spark.sql("select 2 as a, 'x' as b"), SPEC, name, root, increment())
+    assert rows(spark.table(name)) == [(1, None), (2, "x")]
+    monkeypatch.undo()
+    load_table(spark.sql("select 3L as a"), SPEC, name, root, increment())
+    assert spark.table(name).dtypes == [("a", "bigint")]
+    properties = table_properties(spark, name)
+    assert properties["own"] == "kept" and FILE_NAMES in properties
+    assert spark.catalog.getTable(name).description == "about it"
+
+
+def test_the_copy_of_a_database_has_the_columns_names(spark, path):
+    name, _ = readded(spark, path)
+    database = f"db_{name.rsplit('_', 1)[-1]}"
+    spark.sql(f"create database {database} location '{path(database)}'")
+    spark.sql(f"alter table {name} rename to {name.split('.')[0]}.moved_{database}")
+    source = f"{name.split('.')[0]}.moved_{database}"
+    # Another database can't take a table by renaming: register the same files there.
+    from tableferry.sinks.catalog import register
+    properties = {k: v for k, v in table_properties(spark, source).items() if k.startswith("tableferry.")}
+    register(spark, f"{database}.t", location(spark, source), spark.table(source).schema, properties=properties)
+    out = hive_database_to_hive(spark, database, Destination(path("out"), "shop"))
+    assert [o.error for o in out] == [None]
+    assert rows(spark.read.parquet(out[0].path).select("a", "b")) == [(1, None), (2, None), (3, "new")]
+
+
+def test_evolving_to_the_same_names_in_other_case_is_no_change(spark, path):
+    name, root = fresh_table(spark, "t"), path("root")
+    load_table(spark.sql("select 1 as a, 'x' as b"), SPEC, name, root, LoadSpec())
+    load_table(spark.sql("select 2 as A, 'y' as B"), SPEC, name, root, increment())
+    assert rows(spark.table(name)) == [(1, "x"), (2, "y")]
+    evolve_table(spark, name, spark.sql("select 1 as a, 'x' as b, 1.5D as c").schema)
+    assert spark.table(name).columns == ["a", "b", "c"]
