@@ -6,8 +6,9 @@ in every document.  All distinct entities are given surrogates together; where t
 entity of the corpus itself, all but one of them (or that one) are drawn again until none is left.  The surrogate
 is then written in the form of each place: its case, separators, country code, script, gender, check digit.
 
-Names are found after forms of address, several in a row too, and titles without a gender, which also tells the gender; bare repetitions of the surname in the same
-text get the same surrogate.
+Names are found after forms of address, several in a row too, and titles without a gender.  A surname has one surrogate
+whatever the form of address before it, and bare repetitions of it in the same text get the same; a given name's
+surrogate shows the gender, where the title tells none that of the same surname elsewhere in the text.
 
 Defined cases: null and empty texts, and texts without entities, stay as they are; repeated rows give repeated rows;
 an empty table stays empty; all columns but the text are passed on.
@@ -46,8 +47,19 @@ _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+(?:-[^\W\d_]+)?"
 _HEAD = r"(?i:(?:token|secret|password|passwd|pwd|passphrase|api[_ -]?key|access[_-]?key|private[_-]?key)[\"']?[ \t]{0,2}[=:][ \t]{0,2})"
 _KEY = r"(?:sk-|[sr]k_(?:live|test)_|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|AKIA|ASIA|AIza)"
 
+# An address, with what stands before it in its run of characters: sought once for each run, however long it is.
+_ADDRESS = r"[._%+-]*(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
+_REST_OF_RUN = re.compile(_ADDRESS)
+
+# Words in capitals behind a form of address that make no name of it.
+_ROLES = frozenset("""academy america architect chairman congress consultant designer developer director editor engineer executive
+lecturer manager marketing minister officer president product professor program project recruiter scientist senior software
+speaker supranational teenager universe vice world""".split())
+# Calls and attributes in source code, which no secret looks like.
+_CODE = re.compile(r"[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*(?:[(\[][\w.]*[)\]]?)?")
+
 _PATTERN = re.compile(
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
+    rf"(?<![A-Za-z0-9._%+-]){_ADDRESS}"
     r"|(?P<secret>(?<![\w])[0-9a-f]{32,}(?![\w])|(?<![\w])[0-9A-F]{32,}(?![\w])"
     rf"|{_HEAD}(?:\"(?P<quoted>[^\s\"]{{8,}})(?=\")|'(?P<ticked>[^\s']{{8,}})(?=')|(?P<bare>(?:(?<=[=])|(?<=[=] )|(?=[^\s\"',;]*(?:[0-9]|[a-z][A-Z])))[^\s\"',;]{{8,}}))"
     rf"|(?<!\w){_KEY}(?P<rest>(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{{16,}}))"
@@ -139,7 +151,14 @@ def _phone_end(text: str, start: int, end: int) -> int | None:
 def _matches(text: str) -> Iterator[tuple[re.Match, int]]:
     """Matches with their ends; what turns out to be no entity is searched again behind its first character."""
     at = 0
-    while m := _PATTERN.search(text, at):
+    while True:
+        m = _PATTERN.search(text, at)
+        # What was found last may end inside a run, whose rest is an address.
+        rest = _REST_OF_RUN.match(text, at) if at else None
+        if rest and (m is None or rest.start("email") <= m.start()):
+            m = rest
+        if m is None:
+            return
         end = _phone_end(text, *m.span()) if m.lastgroup == "phone" else m.end()
         if end is not None:
             yield m, end
@@ -150,10 +169,12 @@ def find(text: str | None) -> list[Found]:
     """Entities in order, none over another."""
     if not text or not _MAYBE.search(text):
         return []
-    out, surnames = [], {}
+    out: list[Found] = []
     for m, end in _matches(text):
         kind, surface = next(k for k in _KINDS if m[k] is not None), text[m.start():end]
         if kind == "name":
+            if m["one"].casefold() in _ROLES:
+                continue
             titles = [_GENDER[x.rstrip(".").lower()] for x in text[m.start():m.start("one")].split()]
             gender = next((x for x in titles if x != "n"), "n")
             parts = ["one", "two"] if m["two"] else ["one"]
@@ -161,12 +182,12 @@ def find(text: str | None) -> list[Found]:
                 word = m[part]
                 sort = f"{'surname' if i == len(parts) - 1 else 'given'}_{gender}_{_script(word)}"
                 out.append(Found(*m.span(part), sort, word.casefold()))
-                if sort[0] == "s":
-                    surnames[word] = sort
         elif kind == "email":
-            out.append(Found(*m.span(), kind, surface.lower()))
+            out.append(Found(*m.span("email"), kind, m["email"].lower()))
         elif kind == "secret":
             part = next((x for x in ("quoted", "ticked", "bare", "rest") if m[x]), "secret")
+            if part == "bare" and ("." in m[part] or "(" in m[part]) and _CODE.fullmatch(m[part]) and not any(c.isdigit() for c in m[part].partition("(")[0]):
+                continue
             out.append(Found(*m.span(part), kind, m[part]))
         elif kind == "ip":
             out.append(Found(*m.span(), kind, surface))
@@ -181,6 +202,8 @@ def find(text: str | None) -> list[Found]:
             if kind == "card" and luhn(digits):
                 kind = "card_checked"
             out.append(Found(m.start(), end, kind, digits))
+    out = _one_gender(out)
+    surnames = {text[x.start:x.end]: x.kind for x in out if x.kind.startswith("surname_")}
     if surnames:
         taken = [(x.start, x.end) for x in out]
         for m in re.finditer(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, surnames), key=len, reverse=True)) + r")(?!\w)", text):
@@ -190,6 +213,28 @@ def find(text: str | None) -> list[Found]:
     return out
 
 
+def _one_gender(found: list[Found]) -> list[Found]:
+    """Where a title tells no gender, that of the same surname elsewhere in the text, if there it has just one."""
+    genders: dict[tuple[str, str], set[str]] = {}
+    for x in found:
+        if x.kind.startswith("surname_"):
+            _, gender, script = x.kind.split("_")
+            genders.setdefault((x.entity, script), set()).add(gender)
+    told = {k: (v - {"n"}).pop() for k, v in genders.items() if len(v - {"n"}) == 1}
+    out = list(found)
+    for i, x in enumerate(found):
+        if x.kind.startswith("surname_n_") and (gender := told.get((x.entity, x.kind[10:]))):
+            out[i] = x._replace(kind=f"surname_{gender}_{x.kind[10:]}")
+            if i and found[i - 1].kind.startswith("given_n_") and found[i - 1].end + 1 == x.start:
+                out[i - 1] = found[i - 1]._replace(kind=f"given_{gender}_{found[i - 1].kind[8:]}")
+    return out
+
+
+def drawn_as(kind: str) -> str:
+    """The kind that surrogates are drawn for: a surname is one whoever bears it, its gender only shows elsewhere."""
+    return re.sub("^surname_._", "surname_n_", kind)
+
+
 def _like(entity: str, draw: Iterator[int]) -> str:
     """Letters for letters and digits for digits."""
     return "".join(str(next(draw) % 10) if c.isdigit() else chr((65 if c.isupper() else 97) + next(draw) % 26) if c.isalpha() and c.isascii() else c for c in entity)
@@ -206,6 +251,7 @@ def surrogate(key: bytes, kind: str, entity: str, number: int) -> str:
             yield from (block[i] << 8 | block[i + 1] for i in range(0, 32, 2))
             at += 1
 
+    kind = drawn_as(kind)
     draw = stream(entity)
     if kind == "email":
         local, _, domain = entity.partition("@")
@@ -273,7 +319,7 @@ def entities(docs: DataFrame, text_column: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {(c, x.kind, x.entity): None for c, t in zip(batch.column("content").to_pylist(), batch.column("text"), strict=True) for x in find(t.as_py())}
+            found = {(c, drawn_as(x.kind), x.entity): None for c, t in zip(batch.column("content").to_pylist(), batch.column("text"), strict=True) for x in find(t.as_py())}
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string()))], ["content", "kind", "entity"])
 
     texts = docs.select(F.xxhash64(text_column).alias("content"), F.col(text_column).alias("text")).where(maybe(F.col("text")))
@@ -335,7 +381,7 @@ def replace(docs: DataFrame, key: bytes, text_column: str = "text", count_column
                 known = {(x["kind"], x["entity"]): x["drawn"] for x in (pairs if pairs is not None else ())}
                 parts, at, places = [], 0, find(text) if known else []
                 for x in places:
-                    parts += [text[at:x.start], written(x.kind, text[x.start:x.end], known[x.kind, x.entity])]
+                    parts += [text[at:x.start], written(x.kind, text[x.start:x.end], known[drawn_as(x.kind), x.entity])]
                     at = x.end
                 out.append(("".join([*parts, text[at:]]) if places else text, len(places)))
             yield pd.DataFrame(out, columns=["text", "places"])

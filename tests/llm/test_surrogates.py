@@ -101,3 +101,50 @@ def test_odd_texts(spark, odd, none):
     some = spark.createDataFrame([(1, "x@y.example.com", "k"), (1, "x@y.example.com", "k"), (None, "to x@y.example.com", None)], "doc_id long, text string, content string")
     rows = surrogates.replace(some, KEY).collect()
     assert len(rows) == 3 and len({r.text.split()[-1] for r in rows}) == 1 and "x@y" not in rows[0].text
+
+
+def shown(spark, *texts):
+    """Texts with surrogates, of one corpus."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in sorted(surrogates.replace(docs, KEY).collect(), key=lambda r: r.doc_id)]
+
+
+def test_one_person_has_one_surrogate_whatever_the_form_of_address(spark):
+    first, second = shown(spark, "Dr Smith saw Mr Smith. Smith left.", "Dr. Anna Schmidt rang. Frau Schmidt, Frau Anna Schmidt and Prof. Schmidt are one. Mrs Smith is no relation.")
+    names = re.findall(r"(?:Dr|Mr|\.) ([A-Z]\w+)", first)
+    assert len(names) == 3 and len(set(names)) == 1 and names[0] != "Smith"
+    given, surname = re.match(r"Dr\. (\w+) (\w+) rang", second).groups()
+    assert second.count(surname) == 4 and second.count(f"{given} {surname}") == 2
+    assert given[-1] == "a" and f"Mrs {names[0]}" in second and "Schmidt" not in second
+
+
+def test_a_title_without_a_gender_stays_so_where_two_are_seen(spark):
+    text = "Dr Kim Lee met Herr Lee and Frau Lee."
+    assert [k for k, _ in entities(text)] == ["given_n_latin", "surname_n_latin", "surname_m_latin", "surname_f_latin"]
+    assert len(set(re.findall(r"(?:Herr|Frau) (\w+)", shown(spark, text)[0]))) == 1
+
+
+def test_code_and_roles_stay():
+    for clean in ("token = tokenizer.encode", "password=getpass.getpass()", "secret = config.secrets[name]", "Miss Universe", "Sr Developer, Sr. Software engineer"):
+        assert entities(clean) == [], clean
+    for text in ("password=correcthorse", "token = abc.def1.ghi", "password=p.a(1)b2", "Miss Universal", 'secret="os.environ.x"'):
+        assert entities(text), text
+
+
+def test_long_words_take_time_in_proportion():
+    import time
+
+    blob = ("aB3" * 350_000)[:1 << 20]
+    for text in (blob + " @", "a.b-c" * 200_000 + " 1@", "@" + "x1." * 300_000):
+        start = time.perf_counter()
+        assert surrogates.find(text) == []
+        assert time.perf_counter() - start < 5
+    start = time.perf_counter()
+    assert entities(f"{blob}@example.com")[0][1] == f"{blob.lower()}@example.com"
+    assert time.perf_counter() - start < 5
+
+
+@pytest.mark.parametrize("text,found", [("Mr Bob.x@foo.example.com", "x@foo.example.com"), ("..x_y@foo.example.com", "x_y@foo.example.com"), ("-a@b.example.com,c@d.example.com", "a@b.example.com"),
+                                        ("192.168.1.7 .b@c.example.com", "b@c.example.com"), ("+1 377 555 0271 bob@x.example.com", "bob@x.example.com"), ("%x@y.example.com", "x@y.example.com")])
+def test_addresses_inside_runs(text, found):
+    assert ("email", found) in entities(text)
