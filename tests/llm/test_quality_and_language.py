@@ -103,3 +103,32 @@ def test_odd_languages(spark, odd, none):
     assert (one.lang_pred, one.score, one.rejected) == ("en", 1.0, False)
     told = language.identify(spark.createDataFrame([("the dog and the fox",), ("der hund und der fuchs",)], "text string"), known).collect()
     assert [r.lang_pred for r in told] == ["en", "de"]
+
+
+def test_letters_are_letters_and_their_marks():
+    from tableferry.llm.language import letters
+
+    for text in ("½", "² ①", "Ⅷ", "12 ३", "́̂", "_", "", None):
+        assert letters(text) == b""
+    assert letters("हिन्दी, x2") == "हिन्दी x".encode()
+    assert letters("Ａ̈B") == "ａ̈b".encode()
+
+
+def test_marks_and_odd_numbers_alone_are_no_language(spark):
+    from tableferry.llm import language
+
+    docs = spark.createDataFrame([(1, "½ ² Ⅷ"), (2, "the house"), (3, None)], "doc_id long, text string")
+    known = {"en": b"the house went home and slept " * 20, "de": b"das haus ging heim und schlief " * 20}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, known).collect()}
+    assert got[1] == got[3] == ("und", 0.0) and got[2][0] == "en" and got[2][1] > 0
+
+
+def test_copies_of_a_text_are_learned_from_once(spark):
+    """A third of a language is one text: it gives one share of the dictionary, and goes to no task as often as it occurs."""
+    from pyspark.sql import functions as F
+
+    from tableferry.llm import language
+
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "the same text again").otherwise(F.concat(F.lit("word "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))).alias("text"), F.lit("en").alias("lang"))
+    learned = language.learn(rows, documents=3000)["en"]
+    assert learned.count(b"the same text again") == 1 and learned.count(b"word ") == 2000
