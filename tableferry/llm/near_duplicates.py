@@ -42,8 +42,9 @@ DARTS, ROWS = 240, 6
 MISSED = 1 / 100_000
 #: Pairs that a task compares, about.
 PAIRS = 2_000
-#: Further rounds, around three members of each bucket, before what is left is compared in blocks.
-ROUNDS = 3
+#: Further rounds, around three members of each bucket, before what is left is compared in blocks; they are left out
+#: where a member has this many others to be compared with or fewer in the mean, which blocks do at once.
+ROUNDS, OUTSIDE = 3, 4096
 #: Texts of a block, and bytes of runs in it, about; bytes of the blocks that are compared in one group.
 BLOCK, BLOCK_BYTES, BIN_BYTES = 256, 1 << 20, 4 << 20
 
@@ -335,7 +336,7 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         facts = open_.select(F.sum(F.col("n") - F.col("top")), F.count(F.lit(1))).first()
         if not facts[1]:
             break
-        if facts[0] <= 4 * facts[1] or rounds > ROUNDS:
+        if facts[0] <= OUTSIDE * facts[1] or rounds > ROUNDS:
             more = scratch.written(_by_blocks(open_.select("key", "node", "size", "label", "n"), texts, least, scratch), f"links{rounds}")
             found = found if more.isEmpty() else components(links.unionByName(more))
             break
