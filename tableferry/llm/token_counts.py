@@ -26,7 +26,7 @@ from tableferry.llm.vocabulary import Encoder, encoder
 from tableferry.llm.words import joined, mix, raw_of, slices
 
 #: Bytes of text whose pre-tokens meet in one group, about, of those that are cut before they are given on, and of a part.
-GROUP_BYTES, TASK_BYTES, PART_BYTES = 8 << 20, 12 << 20, 1 << 30
+GROUP_BYTES, TASK_BYTES, PART_BYTES = 8 << 20, 12 << 20, 1 << 28
 
 _FREQUENCIES = "groups long, batch long, heads array<long>, ids array<long>, bytes array<long>, words array<string>, n array<int>, steps array<int>, times array<int>"
 
