@@ -102,6 +102,7 @@ select 'float_price', 'FLOAT4', count(*), cast(0 as bigint),
 union all
 select 'serial_key', 'FLOAT4', count(*), cast(0 as bigint),
        cast(count(*) filter (cast(cast(o_orderkey * 10007 as real) as bigint) <> o_orderkey * 10007) as bigint) from orders""",
+    "even_split": "select count(*) as n, count(*) as n_once, true as even from lineitem",
     "drop_unsupported_columns": "select vec_id, label from embeddings",
     "json_to_variant": "select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k from events",
     "temporal_as_string": "select * replace (cast(ts as varchar) as ts) from events",

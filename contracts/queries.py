@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
@@ -29,6 +30,7 @@ from tableferry.sinks.catalog import (drop_expired, recover_partitions, register
 from tableferry.sinks.delimited import read_delimited, write_delimited
 from tableferry.sinks.files import FORMATS, overwrite_partitions, read_written, relocate, write_files
 from tableferry.sources.catalog import list_tables, read_table
+from tableferry.sources.even_split import even_conditions
 from tableferry.sources.files import matching
 from tableferry.sources.jdbc import equal_cuts, quantile_cuts, range_predicates, split_sizes
 from tableferry.sources.probe import probe
@@ -90,6 +92,19 @@ def split_predicates(spark, sf):
     return lines.agg(F.count("*").alias("n"), F.count_if(hits == 1).alias("n_once"))
 
 
+def even_split(spark, sf):
+    """Conditions over a key of text, number and number, whose first column has three values: how many rows satisfy
+    exactly one, and whether the largest range has at most twice the mean."""
+    lines = table(spark, sf, "lineitem")
+    key = ["l_returnflag", "l_orderkey", "l_linenumber"]
+    view = "lines_" + uuid.uuid4().hex
+    lines.select(*key).createOrReplaceTempView(view)
+    found = even_conditions(lambda q: [tuple(r) for r in spark.sql(q).collect()], view, key, 16)
+    hits = reduce(Column.__add__, [F.when(F.expr(c), 1).otherwise(0) for c in found])
+    sizes = [F.count_if(F.expr(c)) for c in found]
+    return lines.agg(F.count("*").alias("n"), F.count_if(hits == 1).alias("n_once"), (F.greatest(*sizes) * len(found) <= 2 * F.count("*")).alias("even"))
+
+
 def export_all_tables(spark, sf):
     def job(name):
         return write_files(table(spark, sf, name), fresh_path(spark, f"all-{name}"))
@@ -654,6 +669,7 @@ QUERIES = {
     "catalog_table_scan": catalog_table_scan,
     "parallel_split": parallel_split,
     "split_predicates": split_predicates,
+    "even_split": even_split,
     "export_all_tables": export_all_tables,
     "export_skip_external": export_skip_external,
     "unload_parquet": unload_parquet,

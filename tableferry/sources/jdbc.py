@@ -196,3 +196,20 @@ def range_predicates(column: str, cuts: Sequence, dialect: str = "") -> list[str
     name, points = quoted(column, dialect), [literal(c) for c in cuts]
     middle = [f"{name} >= {a} and {name} < {b}" for a, b in zip(points, points[1:])]
     return [f"{name} < {points[0]} or {name} is null", *middle, f"{name} >= {points[-1]}"]
+
+
+def read_evenly(spark: SparkSession, source: JdbcSource, table: str, key: Sequence[str], *, where: str = NO_FILTER, source_where: str = "",
+                load: LoadSpec = LoadSpec()) -> DataFrame:
+    """A table read by ranges of about equally many rows of any key: several columns, text, skewed values.
+
+    The source is asked for counts first, some aggregate queries over the key; ``read_jdbc`` with one whole-number key
+    only asks for its bounds, and takes ranges of equal width.
+    """
+    from tableferry.sources.even_split import even_conditions
+
+    def ask(query: str) -> list[tuple]:
+        return [tuple(r) for r in spark.read.format("jdbc").options(**source.reader_options()).option("query", query).load().collect()]
+
+    partitions = source.checked(load.read_partitions or DEFAULT_PARTITIONS)
+    found = even_conditions(ask, filtered(table, source_where), key, partitions, source.dialect)
+    return read_jdbc(spark, source, table, predicates=found, where=where, load=load, source_where=source_where)
