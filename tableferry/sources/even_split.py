@@ -116,13 +116,12 @@ def _refined(ask: Ask, table: str, columns: Sequence[str], wanted: float, dialec
         if not large:
             break
         # One query for all large ranges: the number of the last candidate that a value reaches.
-        branches, cuts = [], {}
+        branches: list[str] = []
         for r in large:
             values = between(r.low, r.high, PARTS)
             for number, value in enumerate([*values, None]):
                 low_end = f"{name} >= {literal(values[number - 1] if number else r.low)}"
                 high_end = f"{name} < {literal(value)}" if value is not None else f"{name} <= {literal(r.high)}"
-                cuts[len(branches)] = r
                 branches.append(f"when {low_end} and {high_end} then {len(branches)}")
         inside = " or ".join(f"({name} >= {literal(r.low)} and {name} <= {literal(r.high)})" for r in large)
         found = ask(f"select part, count(*), min(k), max(k) from (select {name} as k, case {' '.join(branches)} end as part from {table} "
