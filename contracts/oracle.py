@@ -124,6 +124,13 @@ select o_orderkey, cast(o_orderdate - interval 93 day as date) as minus_93_day,
 select *, strftime(ts, '%Y%m%d%H') as dh from events
 where strftime(ts, '%Y%m%d%H') > '2024010200' and strftime(ts, '%Y%m%d%H') < '2024010512'""",
     "hour_range_export_ds": f"select *, {_EVENTS_DAY} as ds from events where {_EVENTS_DAY} between '20240102' and '20240106'",
+    "hour_range_resumed": f"""
+select * replace (case when {_EVENTS_DAY} >= '20240104' then value + 1 else value end as value), {_EVENTS_DAY} as dt, cast(3 as integer) as n_before
+from events where {_EVENTS_DAY} between '20240101' and '20240108'""",
+    "partition_sync": f"""
+with days as (select *, {_EVENTS_DAY} as dt from events),
+there as (select * from days where dt not in ('20240103', '20240110') union all select * replace ('20240301' as dt) from days where dt = '20240105')
+select *, (select count(distinct dt) from there) as n_listed from there""",
     "day_series": f"""
 select d.day, count(e.event_id) as n from
  (select strftime(g, '%Y%m%d') as day from generate_series(

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import partial, reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,14 +23,14 @@ from tableferry.operators.layout import retained, without_deleted
 from tableferry.operators.load import evolve, latest
 from tableferry.plans.batch import for_each_table
 from tableferry.plans.by_file import FILE, PLACE, dead_shares, live, mark_deleted, purge, with_position
-from tableferry.plans.exports import export_hour_range
+from tableferry.plans.exports import export_hour_range, finished_windows
 from tableferry.plans.routes import (Destination, hive_database_to_hive, hive_to_hive, load_table, maxcompute_to_hive, mysql_to_hive,
                                      to_warehouse)
 from tableferry.session import SCRATCH_DATABASE, fresh_path, fresh_table, scratch_root
 from tableferry.sinks.catalog import (drop_expired, recover_partitions, register, replace_table,
                                       write_distributed)
 from tableferry.sinks.delimited import read_delimited, write_delimited
-from tableferry.sinks.files import FORMATS, overwrite_partitions, read_written, relocate, write_files
+from tableferry.sinks.files import FORMATS, delete_path, overwrite_partitions, read_written, relocate, write_files
 from tableferry.sources.catalog import list_tables, read_table
 from tableferry.sources.even_split import even_conditions
 from tableferry.sources.files import matching
@@ -336,6 +337,33 @@ def hour_range_export_ds(spark, sf):
     return read_written(spark, path, events.schema, ["ds"])
 
 
+def hour_range_resumed(spark, sf):
+    """An export by single days fails at the fourth; called again, with other values by then, it goes on from there."""
+    _, events = _by_day(spark, sf, "events_by_day")
+    path, hours = fresh_path(spark, "resumed"), HourRange("2024010100", "2024010823")
+    broken = events.withColumn("value", F.when(F.col("dt") == "20240104", F.raise_error(F.lit("the source is gone")).cast("double")).otherwise(F.col("value")))
+    try:
+        export_hour_range(broken, path, ["dt"], hours, max_days_per_job=1, run="first week")
+    except PySparkException:
+        pass
+    n_before = len(finished_windows(spark, path, "first week"))
+    export_hour_range(events.withColumn("value", F.col("value") + 1), path, ["dt"], hours, max_days_per_job=1, run="first week")
+    return read_written(spark, path, events.schema, ["dt"]).withColumn("n_before", F.lit(n_before))
+
+
+def partition_sync(spark, sf):
+    """Days arrive in files and go from files; the catalog follows both ways."""
+    path, events = _by_day(spark, sf, "events_by_day")
+    name = fresh_table(spark, "events")
+    register(spark, name, path, events.schema, ["dt"])
+    for day in ("20240103", "20240110"):
+        delete_path(spark, f"{path}/dt={day}")
+    overwrite_partitions(events.where("dt = '20240105'").withColumn("dt", F.lit("20240301")), path, ["dt"])
+    recover_partitions(spark, name, drop_missing=True)
+    listed = spark.sql(f"show partitions {name}").agg(F.count(F.lit(1)).alias("n_listed"))
+    return read_table(spark, name).join(listed)
+
+
 def day_counts(spark, sf):
     """Every day between the first and the last event, with its number of events."""
     events = table(spark, sf, "events")
@@ -712,6 +740,8 @@ QUERIES = {
     "date_literal_filter": date_literal_filter,
     "hour_to_day_filter": hour_to_day_filter,
     "hour_range_export": hour_range_export,
+    "hour_range_resumed": hour_range_resumed,
+    "partition_sync": partition_sync,
     "day_series": day_counts,
     "pk_audit": pk_audit,
     "dist_sort_layout": dist_sort_layout,

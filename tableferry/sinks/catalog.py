@@ -40,9 +40,16 @@ def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def recover_partitions(spark: SparkSession, table: str) -> None:
-    """Make the catalog see partition directories that files arrived in."""
-    spark.catalog.recoverPartitions(table)
+def recover_partitions(spark: SparkSession, table: str, drop_missing: bool = False) -> None:
+    """Make the catalog see partition directories that files arrived in.
+
+    ``drop_missing`` also takes partitions out of the catalog whose directories are gone.  The engine lists directories
+    many at once, and adds and drops in batches.
+    """
+    if drop_missing:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    else:
+        spark.catalog.recoverPartitions(table)
 
 
 def _facts(spark: SparkSession, table: str) -> dict[str, str]:
