@@ -10,7 +10,7 @@ notices, adverts, forms, side bars and comments whose place is known, made of th
 tags and with or without telling attributes.  The sample's size is a parameter.
 
 Defined cases: null and empty pages, and pages without kept text, have an empty text; an unfinished tag at the end is
-dropped; unclosed elements end with their parent; what is never shown (scripts, styles, templates, the head) is never
+dropped; unclosed elements end with their parent, pictures and players that nothing closes at the next block; what is never shown (scripts, styles, templates, the head) is never
 text; repeated rows give repeated rows; without pages nothing is trained and the result is empty.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -35,7 +36,9 @@ TREES, DEPTH, BINS, RATE = 60, 4, 32, 0.2
 
 # Elements by their role in the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript iframe svg math object title select textarea button datalist audio video canvas".split())
+HIDDEN = frozenset("head script style template noscript iframe svg title select textarea datalist audio video canvas".split())
+#: Of these, what ends at the next block if nothing closes it further on.
+LOOSE = frozenset("svg audio video canvas".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption option".split())
 #: What an opening element closes, up to the nearest element of the second set.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -72,7 +75,15 @@ class Tree(HTMLParser):
         #: (element, text) in page order; None ends a block.
         self.pieces: list[tuple[int, str] | None] = []
         self.open = [0]
+        #: Where elements of each tag, blocks, and bounds of scopes are among the open ones, so that none is sought.
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
         self.hidden = 0
+        lower = html.lower()
+        self.closing = {tag: lower.count(f"</{tag}") for tag in LOOSE}
+        #: Open elements that hide what follows and that nothing closes.
+        self.loose: list[int] = []
         tail = _UNFINISHED.search(html)
         self.feed(html[:tail.start()] if tail else html)
         self.close()
@@ -80,28 +91,42 @@ class Tree(HTMLParser):
     def _pop(self, depth: int) -> None:
         for node in self.open[depth:]:
             self.hidden -= self.tag[node] in HIDDEN
+            self.places[self.tag[node]].pop()
         del self.open[depth:]
+        for places in (self.blocks, self.scopes, self.loose):
+            while places and places[-1] >= depth:
+                places.pop()
+
+    def _push(self, node: int) -> None:
+        tag, place = self.tag[node], len(self.open)
+        self.open.append(node)
+        self.places.setdefault(tag, []).append(place)
+        self.hidden += tag in HIDDEN
+        if tag in BLOCK:
+            self.blocks.append(place)
+        if tag in SCOPE:
+            self.scopes.append(place)
+        if tag in LOOSE and not self.closing[tag]:
+            self.loose.append(place)
+
+    def _last(self, tag: str) -> int:
+        """The place of the innermost open element of a tag, 0 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCK:
             self.pieces.append(None)
-            for at in range(len(self.open) - 1, 0, -1):
-                name = self.tag[self.open[at]]
-                if name == "p":
-                    self._pop(at)
-                    break
-                if name in SCOPE:
-                    break
+            if self.loose:
+                self._pop(self.loose[0])
+            if self._last("p") > (self.scopes[-1] if self.scopes else 0):
+                self._pop(self._last("p"))
         if tag in CLOSES:
             ends, within = CLOSES[tag]
-            cut = None
-            for at in range(len(self.open) - 1, 0, -1):
-                name = self.tag[self.open[at]]
-                if name in within:
-                    break
-                if name in ends:
-                    cut = at
-            if cut is not None:
+            bound = max(map(self._last, within))
+            # The outermost element that ends, inside of the bound.
+            cut = min((places[at] for places in map(self.places.get, ends) if places and (at := bisect_right(places, bound)) < len(places)), default=0)
+            if cut:
                 self._pop(cut)
         kinds, mark = 0, None
         for key, value in attrs:
@@ -121,8 +146,7 @@ class Tree(HTMLParser):
         if tag == "br":
             self.pieces.append((self.open[-1], " "))
         if tag not in VOID:
-            self.open.append(len(self.tag) - 1)
-            self.hidden += tag in HIDDEN
+            self._push(len(self.tag) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -130,13 +154,11 @@ class Tree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.pieces.append(None)
-        for at in range(len(self.open) - 1, 0, -1):
-            name = self.tag[self.open[at]]
-            if name == tag:
-                self._pop(at)
-                return
-            if name in BLOCK and tag not in BLOCK:
-                return
+        if tag in LOOSE:
+            self.closing[tag] -= 1
+        at = self._last(tag)
+        if at and (tag in BLOCK or not self.blocks or at > self.blocks[-1]):
+            self._pop(at)
 
     def handle_data(self, data: str) -> None:
         if not self.hidden:
@@ -228,7 +250,7 @@ def grafted(html: str, seed: int) -> str | None:
     if not body:
         return None
     rng = random.Random(seed)
-    words = _TAG.sub(" ", body[1]).split()[:4000] or ["a"]
+    words = _TAG.sub(" ", body[1]).split() or ["a"]
 
     def some(a: int, b: int) -> str:
         at = rng.randrange(len(words))

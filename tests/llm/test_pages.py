@@ -78,3 +78,47 @@ def test_odd_pages(spark, model):
     assert next(r for r in got if r.page_id == 7).n_chars == 999_999
     assert pages.extract(frame.limit(0), model).collect() == [] and pages.train(frame.limit(0)) is None
     assert len(pages.extract(frame, None).collect()) == len(rows)
+
+
+def whole(html):
+    tree = pages.Tree(html)
+    return pages.text_of(tree, np.ones(len(tree.tag), bool))
+
+
+def test_what_is_shown_in_articles_is_text_and_players_swallow_no_page():
+    assert whole("<p>see <math>x = 2</math> and <object>a figure</object> <button>more</button></p>") == "see x = 2 and a figure more"
+    for tag in ("svg", "audio", "video", "canvas"):
+        assert whole(f"<p>first <{tag}> lost<p>second<p>third") == "first\nsecond\nthird"
+        assert whole(f"<div>first <{tag}><p>fallback</p></{tag}> on<p>second</div>") == "first\non\nsecond"
+    assert whole("<p>a<textarea>b<p>c</textarea>d") == "ad"
+
+
+@pytest.mark.parametrize("html", ["<div>" * 200_000, "<b>" * 200_000, "<div>" * 100_000 + "<li>" * 100_000, "<p><table>" + "<div>" * 100_000 + "<b></i>" * 50_000, "<ul><li><div>" * 60_000, "<p>" + "<b>" * 100_000 + "</p><p>" * 100_000])
+def test_many_open_elements_take_time_in_proportion(html):
+    import time
+
+    start = time.perf_counter()
+    tree = pages.Tree(html + "end")
+    pages.choose(tree.parent, np.ones(len(tree.tag)))
+    pages.features(tree)
+    assert time.perf_counter() - start < 10
+    assert pages.text_of(tree, np.ones(len(tree.tag), bool)) == "end"
+
+
+def text_by_force(html):
+    """Blocks, white space and references by patterns alone, for pages of well-formed paragraphs."""
+    import html as references
+
+    parts = re.split(r"</?(?:p|div|h2|ul|li)\b[^>]*>", html)
+    plain = [" ".join(references.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br>", " ", re.sub(r"<(script|style)>.*?</\1>", "", p, flags=re.S)))).split()) for p in parts]
+    return "\n".join(p for p in plain if p)
+
+
+def test_text_assembly_equals_brute_force():
+    import random
+
+    rng = random.Random(9)
+    for _ in range(300):
+        inner = lambda: "".join(rng.choice(["word ", "a&amp;b", "&#233;", "<b>bold</b>", "<br>", " \n\t", "<i>x</i>y", "<script>var p = '<p>';</script>", "&nbsp;", "5 &lt; 6"]) for _ in range(rng.randint(0, 8)))
+        html = "".join(rng.choice([f"<p>{inner()}</p>", f"<div>{inner()}<p>{inner()}</p>{inner()}</div>", f"<ul><li>{inner()}</li><li>{inner()}</li></ul>", f"<h2 class='x'>{inner()}</h2>", inner()]) for _ in range(rng.randint(0, 8)))
+        assert whole(html) == text_by_force(html)
