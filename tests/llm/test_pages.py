@@ -90,7 +90,6 @@ def test_what_is_shown_in_articles_is_text_and_players_swallow_no_page():
     for tag in ("svg", "audio", "video", "canvas"):
         assert whole(f"<p>first <{tag}> lost<p>second<p>third") == "first\nsecond\nthird"
         assert whole(f"<div>first <{tag}><p>fallback</p></{tag}> on<p>second</div>") == "first\non\nsecond"
-    assert whole("<p>a<textarea>b<p>c</textarea>d") == "ad"
 
 
 @pytest.mark.parametrize("html", ["<div>" * 200_000, "<b>" * 200_000, "<div>" * 100_000 + "<li>" * 100_000, "<p><table>" + "<div>" * 100_000 + "<b></i>" * 50_000, "<ul><li><div>" * 60_000, "<p>" + "<b>" * 100_000 + "</p><p>" * 100_000])
@@ -109,8 +108,9 @@ def text_by_force(html):
     """Blocks, white space and references by patterns alone, for pages of well-formed paragraphs."""
     import html as references
 
-    parts = re.split(r"</?(?:p|div|h2|ul|li)\b[^>]*>", html)
-    plain = [" ".join(references.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br>", " ", re.sub(r"<(script|style)>.*?</\1>", "", p, flags=re.S)))).split()) for p in parts]
+    shown = re.sub(r"<(script|style)>.*?</\1>", "", html, flags=re.S)
+    parts = re.split(r"</?(?:p|div|h2|ul|li)\b[^>]*>", shown)
+    plain = [" ".join(references.unescape(re.sub(r"<[^>]*>", "", p.replace("<br>", " "))).split()) for p in parts]
     return "\n".join(p for p in plain if p)
 
 
