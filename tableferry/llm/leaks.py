@@ -99,7 +99,7 @@ def agreement(doc: np.ndarray, item: np.ndarray, shift: int) -> int:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n = [agreement(np.frombuffer(d, "<u8"), np.frombuffer(i, "<u8"), s) for d, i, s in zip(batch.column("doc_words").to_pylist(), batch.column("item_words").to_pylist(), batch.column("shift").to_pylist(), strict=True)]
+        n = [max(agreement(np.frombuffer(d, "<u8"), np.frombuffer(i, "<u8"), s) for s in shifts) for d, i, shifts in zip(batch.column("doc_words").to_pylist(), batch.column("item_words").to_pylist(), batch.column("shifts").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), batch.column("item_id"), pa.array(n, pa.int64())], ["doc_id", "content", "item_id", "n_words"])
 
 
@@ -166,9 +166,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     # With clashes of content and place in mind, the words of a segment are not taken from its name.
     name = F.xxhash64("doc_id", "content", "low", "doc_words").alias("segment")
     hits = segments.select(name, F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select("segment", F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("at"))
-    pairs = hits.join(seeds, "seed").select("segment", "item_id", (F.col("at") - F.col("place")).alias("shift")).distinct()
+    pairs = hits.join(seeds, "seed").select("segment", "item_id", (F.col("at") - F.col("place")).alias("shift"))
+    # All places of an item in a segment in one row: a passage that is repeated in a text would else bring its words each time.
+    pairs = pairs.groupBy("segment", "item_id").agg(F.collect_set("shift").alias("shifts"))
     sides = pairs.join(segments.select(name, "doc_id", "content", "doc_words").dropDuplicates(["segment", "doc_id"]), "segment").join(item_words, "item_id")
-    found = sides.select("doc_id", "content", "item_id", "doc_words", "item_words", "shift").mapInArrow(_verify, "doc_id long, content long, item_id long, n_words long")
+    found = sides.select("doc_id", "content", "item_id", "doc_words", "item_words", "shifts").mapInArrow(_verify, "doc_id long, content long, item_id long, n_words long")
     return found.where("n_words > 0").groupBy("doc_id", "content", "item_id").agg(F.max("n_words").alias("n_words"))
 
 

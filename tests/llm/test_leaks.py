@@ -71,3 +71,18 @@ def test_odd_texts(spark, odd, none):
     assert leaks.report(none, items).collect() == []
     nothing = items.limit(0)
     assert leaks.clean(odd, nothing).count() == odd.count() and not any(r.contaminated for r in leaks.report(odd, nothing).collect())
+
+
+def test_a_passage_repeated_in_a_text_brings_its_words_once(spark):
+    """Thousands of places of one item in one text."""
+    import time
+
+    from tableferry.llm import leaks
+
+    passage = " ".join(f"p{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, " ".join([passage] * 3000)), (2, "nothing of it here " * 30)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, passage), (8, "something else that is not found anywhere in these texts at all today")], "item_id long, text string")
+    start = time.perf_counter()
+    got = {r.doc_id: (r.contaminated, list(r.item_ids), r.n_words) for r in leaks.report(docs, items).collect()}
+    assert got == {1: (True, [7], 20), 2: (False, [], 0)}
+    assert time.perf_counter() - start < 60
