@@ -24,6 +24,7 @@ from tableferry.operators.load import evolve, latest
 from tableferry.plans.batch import for_each_table
 from tableferry.plans.by_file import FILE, PLACE, dead_shares, live, mark_deleted, purge, with_position
 from tableferry.plans.exports import export_hour_range, finished_windows
+from tableferry.plans.ongoing_audit import ongoing_varchar_fit
 from tableferry.plans.routes import (Destination, hive_database_to_hive, hive_to_hive, load_table, maxcompute_to_hive, mysql_to_hive,
                                      to_warehouse)
 from tableferry.session import SCRATCH_DATABASE, fresh_path, fresh_table, scratch_root
@@ -265,6 +266,19 @@ def narrowing_audit(spark, sf):
     return narrowing(orders, {"big_key": "INT2", "o_totalprice": "INT2", "float_price": "FLOAT4", "serial_key": "FLOAT4"})
 
 
+def ongoing_audit(spark, sf):
+    """Two runs over events by day; between them days arrive and one is loaded again.  The second reads only these."""
+    name, root, state = fresh_table(spark, "events"), scratch_root(spark), fresh_path(spark, "audit_state")
+    spec = TableSpec("events", "mysql", (t.C("event_id", "BIGINT"), t.C("dt", "CHAR", 8)), primary_key=("event_id", "dt"), partition_columns=("dt",))
+    events, limits = _events_by(spark, sf, "dt", day_of), {"event_type": 4, "props": 8}
+    load_table(events.where("dt <= '20240120'"), spec, name, root, LoadSpec())
+    ongoing_varchar_fit(spark, name, state, limits)
+    longer = events.withColumn("event_type", F.concat("event_type", F.lit("é")))
+    load_table(longer, spec, name, root, LoadSpec(incremental=IncrementalSpec("dt > '20240120' or dt = '20240107'", merge=True)))
+    found, read = ongoing_varchar_fit(spark, name, state, limits)
+    return found.withColumn("days_read", F.lit(len(read)))
+
+
 def drop_unsupported_columns(spark, sf):
     return conform(table(spark, sf, "embeddings"), t.EMBEDDINGS_MYSQL)
 
@@ -729,6 +743,7 @@ QUERIES = {
     "conform_rejects": conform_rejects,
     "varchar_fit_audit": varchar_fit_audit,
     "narrowing_audit": narrowing_audit,
+    "ongoing_audit": ongoing_audit,
     "drop_unsupported_columns": drop_unsupported_columns,
     "json_to_variant": json_as_variant,
     "temporal_as_string": temporal_as_string,
