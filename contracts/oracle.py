@@ -107,10 +107,10 @@ select 'serial_key', 'FLOAT4', count(*), cast(0 as bigint),
 with days as (select *, {_EVENTS_DAY} as dt from events),
 final as (select case when dt > '20240120' or dt = '20240107' then event_type || 'é' else event_type end as event_type, props, dt from days),
 read as (select cast(count(distinct dt) as integer) as days_read from days where dt > '20240120' or dt = '20240107')
-select 'event_type' as column_name, 4 as max_allowed, count(*) as n, max(octet_length(encode(event_type))) as max_bytes,
+select 'event_type' as column_name, 4 as max_allowed, count(*) as n, cast(max(octet_length(encode(event_type))) as integer) as max_bytes,
        cast(count(*) filter (octet_length(encode(event_type)) > 4) as bigint) as n_over, any_value(days_read) as days_read from final, read
 union all
-select 'props', 8, count(*), max(octet_length(encode(props))), cast(count(*) filter (octet_length(encode(props)) > 8) as bigint), any_value(days_read) from final, read""",
+select 'props', 8, count(*), cast(max(octet_length(encode(props))) as integer), cast(count(*) filter (octet_length(encode(props)) > 8) as bigint), any_value(days_read) from final, read""",
     "drop_unsupported_columns": "select vec_id, label from embeddings",
     "json_to_variant": "select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k from events",
     "temporal_as_string": "select * replace (cast(ts as varchar) as ts) from events",

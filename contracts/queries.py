@@ -425,7 +425,7 @@ def compact_table(spark, sf):
 def interleaved_layout(spark, sf):
     """Order lines of one month, and those of a part range, from a table laid out by both: few files can hold either."""
     name, path = fresh_table(spark, "lineitem"), fresh_path(spark, "interleaved")
-    write_distributed(table(spark, sf, "lineitem"), name, path, dist_key=None, sort_keys=["l_partkey", "l_shipdate"], buckets=16, interleaved=True)
+    write_distributed(table(spark, sf, "lineitem"), name, path, dist_key=None, sort_keys=["l_partkey", "l_shipdate"], buckets=64, interleaved=True)
     rows = read_table(spark, name)
     low, high = F.min("l_partkey"), F.max("l_partkey")
     ends = rows.agg((low + (high - low) / 2).cast("long").alias("a"), (low + (high - low) / 2 + (high - low) / 50).cast("long").alias("b")).first()
