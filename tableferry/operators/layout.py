@@ -11,8 +11,11 @@ from pyspark.sql import types as T
 from tableferry.functions.dates import DAY
 from tableferry.session import adaptive
 
-# A bucket is read by one task: it should hold about this much.
-BUCKET_BYTES = 256 * 1024 * 1024
+# A bucket is sorted and read by one task: its rows should take about this much memory, and where fewer buckets than
+# shuffle partitions would do, no less than this.  Files are smaller, as repeated values are stored once.
+BUCKET_BYTES, LEAST_BUCKET_BYTES = 256 * 1024 * 1024, 32 * 1024 * 1024
+# Fixed value: what a sort keeps for each row beside its columns, about.
+ROW_BYTES = 40
 
 
 def tie_break(df: DataFrame, used: Sequence[str], key: Sequence[str]) -> list[Column]:
@@ -47,6 +50,40 @@ def output_partitions(df: DataFrame, read_partitions: int | None, write_partitio
     return df.repartition(write_partitions)
 
 
+def _beside(c: Column, kind: T.DataType) -> Column:
+    """The bytes that a value takes beside its eight in the row; NULL takes none."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(c)
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(c, F.lit(8).cast("long"), lambda total, x: total + 8 + _beside(x, kind.elementType))
+    elif isinstance(kind, T.MapType):
+        size = _beside(F.map_keys(c), T.ArrayType(kind.keyType)) + _beside(F.map_values(c), T.ArrayType(kind.valueType))
+    elif isinstance(kind, T.StructType):
+        size = sum((_beside(c[f.name], f.dataType) for f in kind.fields), F.lit(8 + 8 * len(kind.fields)))
+        size = F.when(c.isNotNull(), size)
+    elif isinstance(kind, T.VariantType):
+        size = F.octet_length(F.to_json(c))
+    else:
+        return F.lit(16 if isinstance(kind, T.DecimalType) and kind.precision > 18 else 0).cast("long")
+    return F.coalesce(size.cast("long"), F.lit(0).cast("long"))
+
+
+def memory_bytes(df: DataFrame) -> int:
+    """About the memory that all rows take in a sort; files tell less, as they store repeated values once.
+
+    One pass, over the columns whose values differ in size.
+    """
+    each = F.lit(ROW_BYTES + 8 * len(df.columns)).cast("long")
+    return df.agg(F.sum(sum((_beside(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), each))).first()[0] or 0
+
+
+def bucket_number(df: DataFrame, most: int = BUCKET_BYTES) -> int:
+    """So many buckets that the rows of one take up to ``most`` memory; more for a table that would leave tasks idle."""
+    size, tasks = memory_bytes(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    allowed = int(df.sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(allowed, max(1, -(-size // most), min(tasks, -(-size // LEAST_BUCKET_BYTES))))
+
+
 def bucket_sizes(df: DataFrame, key: Sequence[str | Column], buckets: int) -> tuple[int, float]:
     """Rows of the largest bucket and the mean, counted exactly; ``buckets`` rows are shuffled."""
     # hash() is the function that bucketing uses, so these are the buckets a write would make.

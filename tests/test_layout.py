@@ -120,3 +120,39 @@ def test_layout_is_replaced(spark, path):
     spark.range(1).write.saveAsTable(managed)
     with pytest.raises(ValueError, match="managed"):
         write_distributed(spark.range(1), managed, path(), dist_key="id")
+
+
+def test_buckets_come_from_the_memory_of_rows(spark, path, monkeypatch):
+    """Repeated values take little room in files, and all of it in the task that sorts a bucket."""
+    from tableferry.operators import layout
+    from tableferry.sinks import catalog
+    from tableferry.sinks.files import stored_bytes
+
+    monkeypatch.setattr(catalog, "BUCKET_BYTES", 1 << 20)
+    monkeypatch.setattr(layout, "LEAST_BUCKET_BYTES", 1 << 20)
+    df = spark.range(0, 20_000, 1, 4).select("id", F.repeat(F.lit("a"), 500).alias("s"))
+    for layout_of in ({"dist_key": "id"}, {"dist_key": None, "sort_keys": ["id", "s"], "interleaved": True}):
+        p = path()
+        write_distributed(df, fresh_table(spark, "t"), p, **layout_of)
+        assert stored_bytes(spark, p) < 1 << 20
+        per_file = spark.read.parquet(p).groupBy(F.input_file_name()).count()
+        assert per_file.agg(F.max("count")).first()[0] * 500 < 3 << 20 and spark.read.parquet(p).count() == 20_000
+
+
+def test_memory_of_rows(spark):
+    from tableferry.operators.layout import LEAST_BUCKET_BYTES, bucket_number, memory_bytes
+
+    df = spark.sql("""select s, struct(s as a, 1 as b) as t, array(s, null) as x, map(s, 2) as m, cast(1 as decimal(38, 0)) as d,
+                      parse_json('[1, 2]') as v from values ('abc'), (null), ('abcd') as r(s) where s is not null
+                      union all select null, null, null, null, null, null""")
+    each = 40 + 8 * 6
+    assert memory_bytes(df) == 3 * each + 3 * 16 + sum(n + (24 + n) + (24 + n) + (16 + n + 16) + 5 for n in (3, 4))
+    assert memory_bytes(spark.range(0)) == 0 and bucket_number(spark.range(0)) == 1
+    # As many as there are tasks, until a bucket takes the most it may.
+    rows = spark.range(2 * LEAST_BUCKET_BYTES // 48 + 1)
+    with conf(spark, spark__sql__shuffle__partitions="2"):
+        assert bucket_number(rows) == 2 and bucket_number(rows, 1 << 20) == 65
+    with conf(spark, spark__sql__shuffle__partitions="100"):
+        assert bucket_number(rows) == 3
+    with conf(spark, spark__sql__sources__bucketing__maxBuckets="50"):
+        assert bucket_number(rows, 1 << 20) == 50
