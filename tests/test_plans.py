@@ -187,3 +187,21 @@ def test_rejected_rows_are_kept(spark, path):
     p = to_warehouse(df, spec, dest, on_loss="reject")
     assert rows(spark.read.parquet(p)) == [(1, "ok"), (3, None)]
     assert rows(spark.read.parquet(dest.rejected(spec))) == [(2, "too long", ["s"])]
+
+
+def test_distributed_route_bounds_the_rows_of_a_bucket(spark, path, monkeypatch):
+    """Orders whose columns repeat are small files, yet many rows for the task that sorts them."""
+    from dataclasses import replace
+
+    from contracts.tables import ORDERS_POSTGRES
+    from tableferry.session import SCRATCH_DATABASE, fresh_table
+    from tableferry.sinks import catalog
+
+    monkeypatch.setattr(catalog, "BUCKET_BYTES", 1 << 20)
+    orders = spark.range(0, 60_000, 1, 4).selectExpr("id as o_orderkey", "1L as o_custkey", "'F' as o_orderstatus", "1.5D as o_totalprice",
+                                                     "date'1995-01-01' as o_orderdate", "'1-URGENT' as o_orderpriority")
+    name = fresh_table(spark, "orders").split(".")[1]
+    dest = Destination(path(), SCRATCH_DATABASE, catalog=True)
+    found = to_warehouse(orders, replace(ORDERS_POSTGRES, name=name), dest, distributed=True)
+    per_file = [r["count"] for r in spark.read.parquet(found).groupBy(F.input_file_name()).count().collect()]
+    assert len(files(found)) == len(per_file) >= 5 and sum(per_file) == 60_000 and max(per_file) < 20_000
