@@ -138,6 +138,20 @@ def test_csv_is_read_by_several_tasks(spark, path):
         write_files(spark.createDataFrame([("a\nb",)], "s string"), path(), fmt="csv")
 
 
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_packed_text_takes_little_room(spark, path, monkeypatch, fmt):
+    """Compressed files can't be read in parts, so they have few rows each."""
+    from tableferry.sinks import files as sink
+
+    monkeypatch.setitem(sink._PACKED, "maxRecordsPerFile", "5000")
+    df = spark.range(0, 20_000, 1, 2).select("id", F.concat(F.lit('a "b", '), F.col("id")).alias("s"), F.when(F.col("id") % 2 == 0, 0.25).alias("d"))
+    plain, packed = write_files(df, path(), fmt=fmt), write_files(df, path(), fmt=fmt, packed=True)
+    assert sink.stored_bytes(spark, packed) * 3 < sink.stored_bytes(spark, plain)
+    assert len(files(packed, f"*.{fmt}.gz")) == 4
+    back = read_written(spark, packed, df.schema, fmt=fmt)
+    assert back.exceptAll(df).isEmpty() and back.count() == 20_000
+
+
 def test_csv_stops_at_the_null_mark(spark, path):
     with pytest.raises(PySparkException, match="NULL mark"):
         write_files(spark.createDataFrame([("\\N",)], "a string"), path(), fmt="csv")
