@@ -36,7 +36,11 @@ from tableferry.llm.words import slices, span_hash
 
 BLANK = "▁"
 #: Pairs of pieces whose order a worker has tried and keeps; then it begins anew.
-PAIRS = 1_000_000
+PAIRS = 300_000
+#: Words whose ids a worker keeps; several workers share an executor's memory.
+WORDS = 1_000_000
+#: Bytes of text encoded at a time: the arrays over its characters take about fifty times as much.
+SLICE_BYTES = 1 << 18
 #: More than any model has, to name a pair of pieces by one number.
 PIECES = 1 << 24
 #: Characters between looks whether the paths have met.
@@ -82,7 +86,7 @@ class Pieces:
         self.dummy = model.normalizer_spec.add_dummy_prefix
         self.may_follow: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
-        self.known = Known(np.int32)
+        self.known = Known(np.int32, WORDS)
         #: The largest number of boundaries held at once, for tests.
         self.held = 0
 
@@ -262,7 +266,7 @@ def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = pieces_of(model)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             ids = encode_slice(tool, batch.column("text").to_pylist())
             offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))], ["doc_id", "ids"])
@@ -290,7 +294,7 @@ def summary(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = pieces_of(model)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             texts = batch.column("text").to_pylist()
             ids = encode_slice(tool, texts)
             back = [tool.decode(x) for x in ids]

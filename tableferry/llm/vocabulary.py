@@ -13,21 +13,32 @@ from tableferry.llm.pretokens import classes_of
 
 #: Pieces encoded in one call: their text is joined, as a blank before each keeps them apart.
 TOGETHER = 300
-#: Strings whose ids a worker keeps, at some tens of bytes each; then it begins anew.
+#: Strings whose ids a worker keeps, at some tens of bytes each; then only those that were found again stay.
 KEPT = 3_000_000
 
 
 class _Part:
-    """Strings by rising hash, with their lengths, and where their ids are in ``flat``."""
+    """Strings by rising hash, with their lengths, where their ids are in ``flat``, and whether they were found again."""
 
     def __init__(self, hashes: np.ndarray, lengths: np.ndarray, begin: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
         order = np.argsort(hashes, kind="stable")
         self.hash, self.length, self.begin, self.size, self.flat = hashes[order], lengths[order], begin[order], size[order], flat
+        self.found = np.zeros(len(order), bool)
+
+    def again(self) -> _Part:
+        """The strings that were found again, with only their ids."""
+        keep = np.flatnonzero(self.found)
+        flat, total = laid_out(self.flat, self.begin, self.size, keep)
+        return _Part(self.hash[keep], self.length[keep], total[:-1], self.size[keep], flat)
 
     def with_(self, other: _Part) -> _Part:
-        both = [np.concatenate([getattr(self, x), getattr(other, x)]) for x in ("hash", "length", "begin", "size", "flat")]
-        both[2][len(self.hash):] += len(self.flat)
-        return _Part(*both)
+        order = np.argsort(np.concatenate([self.hash, other.hash]), kind="stable")
+        both = _Part(self.hash[:0], self.length[:0], self.begin[:0], self.size[:0], np.concatenate([self.flat, other.flat]))
+        # A column at a time, so that one is held twice.
+        for name in ("hash", "length", "size", "found"):
+            setattr(both, name, np.concatenate([getattr(self, name), getattr(other, name)])[order])
+        both.begin = np.concatenate([self.begin, other.begin + len(self.flat)])[order]
+        return both
 
 
 class Known:
@@ -36,8 +47,8 @@ class Known:
     Two sorted parts: new strings go to the smaller one, which joins the larger one when it has grown.
     """
 
-    def __init__(self, kind: type) -> None:
-        self.kind = kind
+    def __init__(self, kind: type, kept: int = KEPT) -> None:
+        self.kind, self.kept = kind, kept
         self._clear()
 
     def _clear(self) -> None:
@@ -49,16 +60,23 @@ class Known:
 
         ``string`` gives a string by its place, ``encode`` the ids of those that are not known yet.
         """
-        if sum(len(p.hash) for p in self.parts) + len(hashes) > KEPT:
-            self._clear()
+        if sum(len(p.hash) for p in self.parts) + len(hashes) > self.kept:
+            main, recent = (p.again() for p in self.parts)
+            self.parts = [main.with_(recent), _Part(recent.hash[:0], recent.length[:0], recent.begin[:0], recent.size[:0], recent.flat[:0])]
+            if len(self.parts[0].hash) + len(hashes) > self.kept // 2:
+                self._clear()
         begin, size, before = np.zeros(len(hashes), np.int64), np.full(len(hashes), -1, np.int64), 0
+        # Only the ids of the strings asked for are copied.
+        flats = []
         for part in self.parts:
             if len(part.hash):
                 at = np.minimum(np.searchsorted(part.hash, hashes), len(part.hash) - 1)
-                hit = (part.hash[at] == hashes) & (part.length[at] == lengths)
-                begin[hit], size[hit] = part.begin[at[hit]] + before, part.size[at[hit]]
-            before += len(part.flat)
-        flats = [p.flat for p in self.parts]
+                hit = np.flatnonzero((part.hash[at] == hashes) & (part.length[at] == lengths))
+                part.found[at[hit]] = True
+                flat, total = laid_out(part.flat, part.begin, part.size, at[hit])
+                begin[hit], size[hit] = total[:-1] + before, part.size[at[hit]]
+                flats.append(flat)
+                before += len(flat)
         missing = np.flatnonzero(size < 0)
         if len(missing):
             ids = encode([string(i) for i in missing.tolist()])
@@ -71,7 +89,7 @@ class Known:
             if len(recent.hash) > 50_000 + len(main.hash) // 4:
                 main, recent = main.with_(recent), _Part(recent.hash[:0], recent.length[:0], recent.begin[:0], recent.size[:0], recent.flat[:0])
             self.parts = [main, recent]
-        return np.concatenate(flats), begin, size
+        return np.concatenate(flats) if flats else np.zeros(0, self.kind), begin, size
 
 
 def laid_out(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

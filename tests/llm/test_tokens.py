@@ -219,3 +219,47 @@ def test_whole_larger_table(spark, library):
     assert sorted(map(tuple, got)) == stream(docs, library)
     counts = {r.doc_id: r.n_tokens for r in QUERIES["op7_token_counts"](spark, SMALL).collect()}
     assert counts == {i: len(x) for (i, _), x in zip(docs, ids_of(library, [t for _, t in docs]))}
+
+
+def test_known_strings_stay_within_their_number():
+    """A worker that has seen many strings keeps those found again; ids are right all along."""
+    from tableferry.llm.vocabulary import Known, laid_out
+
+    tries, known = [], Known(np.int32, 1000)
+
+    def ask(numbers):
+        hashes = np.array(numbers, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+        def encode(strings):
+            tries.extend(strings)
+            return [np.array([int(x)] * (int(x) % 4), np.int32) for x in strings]
+
+        flat, total = laid_out(*known.look_up(hashes, np.ones(len(numbers), np.int64), lambda k: str(numbers[k]), encode), np.arange(len(numbers)))
+        assert [flat[a:b].tolist() for a, b in zip(total, total[1:])] == [[n] * (n % 4) for n in numbers]
+        assert sum(len(p.hash) for p in known.parts) <= 1000
+
+    for i in range(200):
+        ask([*range(50), *range(1000 + 90 * i, 1090 + 90 * i)])
+    # Frequent strings were encoded once, rare ones went.
+    assert all(tries.count(str(n)) == 1 for n in range(50)) and len(tries) == 50 + 200 * 90
+    ask(list(range(5000, 5990)))
+    ask([])
+
+
+def test_what_a_look_up_copies():
+    """Ids of the strings asked for are copied, not those of all that are known."""
+    from tableferry.llm.vocabulary import Known
+
+    known, encode = Known(np.int32), lambda strings: [np.zeros(5, np.int32)] * len(strings)
+    known.look_up(np.arange(20_000, dtype=np.uint64), np.ones(20_000, np.int64), str, encode)
+    flat, begin, size = known.look_up(np.array([3, 9], np.uint64), np.ones(2, np.int64), str, encode)
+    assert len(flat) == 10 and begin.tolist() == [0, 5] and size.tolist() == [5, 5]
+
+
+def test_slices_hold_few_bytes():
+    import pyarrow as pa
+
+    from tableferry.llm.words import slices
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 9, None, "é" * 5, "", "y" * 30, "z"])], ["text"]).slice(1)
+    assert [s.column("text").to_pylist() for s in slices(iter([batch]), limit=10)] == [[None, "é" * 5, ""], ["y" * 30], ["z"]]
