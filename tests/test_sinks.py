@@ -152,6 +152,26 @@ def test_packed_text_takes_little_room(spark, path, monkeypatch, fmt):
     assert back.exceptAll(df).isEmpty() and back.count() == 20_000
 
 
+def test_packed_columns_take_little_room(spark, path):
+    """Every format gets smaller when packed, the columnar ones too, and reads back whole."""
+    from tableferry.sinks import files as sink
+
+    word = ["con", "tra", "ver", "sel", "mo", "ni", "tas", "que", "ling", "ster", "hap", "ou"]
+    made = [F.element_at(F.array(*map(F.lit, word)), (F.abs(F.hash("id", F.lit(i))) % len(word) + 1).cast("int")) for i in range(60)]
+    df = spark.range(0, 20_000, 1, 2).select("id", (F.abs(F.xxhash64("id")) % 9_000_000 / 100).alias("price"), F.concat_ws(" ", *made).alias("s"),
+                                             F.when(F.col("id") % 3 > 0, F.timestamp_seconds(F.abs(F.hash("id")) % 9000 * 86400)).alias("t"))
+    for fmt in FORMATS:
+        packed = write_files(df, path(), fmt=fmt, packed=True)
+        if fmt in ("parquet", "orc"):
+            assert len(files(packed, f"*.zstd.{fmt}")) == 2
+            other, less = write_files(df, path(), fmt=fmt), 1.3
+        else:
+            other, less = write_files(df, path(), fmt=fmt, packed=True, **{"zlib.compress.level": "BEST_SPEED"}), 1.05
+        assert sink.stored_bytes(spark, packed) * less < sink.stored_bytes(spark, other), fmt
+        back = read_written(spark, packed, df.schema, fmt=fmt)
+        assert back.exceptAll(df).isEmpty() and back.count() == 20_000
+
+
 def test_csv_stops_at_the_null_mark(spark, path):
     with pytest.raises(PySparkException, match="NULL mark"):
         write_files(spark.createDataFrame([("\\N",)], "a string"), path(), fmt="csv")
